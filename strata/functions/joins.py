@@ -1,0 +1,36 @@
+"""Join helpers: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest estimated size we broadcast on our own initiative (the optimizer
+# may still pick a broadcast below spark.sql.autoBroadcastJoinThreshold).
+BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of a plan (from file and column stats)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - estimate unavailable (e.g. Spark Connect)
+        return None
+
+
+def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its estimated size is known and under the limit.
+
+    Otherwise the plain DataFrame: the optimizer and AQE then choose the
+    join from runtime sizes (sort-merge for big sides).
+    """
+    size = estimated_bytes(df)
+    if size is not None and size <= limit_bytes:
+        return F.broadcast(df)
+    return df
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
+                   limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Join a fact to a dimension, broadcasting the dimension only if small."""
+    return fact.join(broadcast_if_small(dim, limit_bytes), on, how)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.columns import computed_once
 from strata.schemas import AUDIT_COLUMN, LOG_FIELDS, LOG_PATTERN
 
 CORRUPT = "_corrupt_record"
@@ -42,13 +43,19 @@ def parse_json_columns(df: DataFrame, schema: T.StructType, column: str = "value
     if CORRUPT in schema.fieldNames():
         raise ValueError(f"schema must not contain {CORRUPT}")
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json(F.col(column), with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
     raw = F.col(column)
     kept_raw = F.col("_raw")
     malformed = kept_raw.isNull() | (F.trim(kept_raw) == F.lit("")) | F.col(f"_parsed.{CORRUPT}").isNotNull()
     fields = [F.col(f"_parsed.{f.name}").alias(f.name) for f in schema.fields]
     extra = [F.col(f"_parsed.{CORRUPT}").alias(CORRUPT)] if keep_corrupt_text else []
-    out = (df.select(*[F.col(k) for k in keep], raw.alias("_raw"), parsed.alias("_parsed"))
+    staged = computed_once(df.select(*[F.col(k) for k in keep], raw.alias("_raw")),
+                           F.struct(F.col("_raw").alias("raw"),
+                                    F.from_json(F.col("_raw"), with_corrupt,
+                                                {"columnNameOfCorruptRecord": CORRUPT}).alias("parsed")),
+                           "_s", list(keep))
+    staged = staged.select(*[F.col(k) for k in keep], F.col("_s.raw").alias("_raw"),
+                           F.col("_s.parsed").alias("_parsed"))
+    out = (staged
              .select(*[F.col(k) for k in keep], *fields, *extra,
                      malformed.alias(MALFORMED)))
     if drop_malformed:

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.columns import computed_once
 from strata.schemas import CONTRACTS
 
 _INT_TAGS = ("BIGINT", "INT", "SMALLINT", "TINYINT", "BOOLEAN")
@@ -114,7 +115,7 @@ def validate(df: DataFrame, source: str, column: str = "value",
     """
     contract = contract_for(source)
     v = to_variant(df, column, source)
-    base = df.select(*[F.col(k) for k in keep], v.alias("record"))
+    base = computed_once(df, v, "record", keep)
     rec = F.col("record")
     is_object = F.coalesce(_tag(rec).startswith("OBJECT"), F.lit(False))
 

@@ -132,3 +132,84 @@ def contract_records(events: DataFrame) -> DataFrame:
     )
     value = F.when(m == 8, F.concat(F.lit("["), parts, F.lit("]"))).otherwise(parts)
     return events.select("event_id", value.alias("value"))
+
+
+def order_documents(orders: DataFrame, customer: DataFrame, nation: DataFrame, ragged: bool = False) -> DataFrame:
+    """One nested JSON order document per order (P7 input).
+
+    ``{"order_id", "status", "priority", "total", "placed_at",
+    "customer": {"key", "name", "segment", "nation": {"key", "name"}},
+    "meta": {}, "tags": [priority, status]}``. With ``ragged`` every 5th
+    order carries ``customer`` as the bare customer key (a scalar where
+    other records hold an object) and no ``total``.
+    """
+    from strata.functions.joins import join_dimension
+
+    cust = join_dimension(
+        customer.select("c_custkey", "c_name", "c_mktsegment", "c_nationkey"),
+        nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), "c_nationkey", how="left")
+    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice",
+                      "o_orderdate")
+    joined = o.join(cust, o["o_custkey"] == cust["c_custkey"], "left")
+    customer_obj = F.when(F.col("c_custkey").isNotNull(), F.struct(
+        F.col("c_custkey").alias("key"), F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("segment"),
+        F.struct(F.col("c_nationkey").alias("key"), F.col("n_name").alias("name")).alias("nation")))
+
+    def body(customer_value: Column, with_total: bool) -> Column:
+        fields = [F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"),
+                  F.col("o_orderpriority").alias("priority")]
+        if with_total:
+            fields.append(F.col("o_totalprice").alias("total"))
+        fields += [F.date_format("o_orderdate", "yyyy-MM-dd").alias("placed_at"),
+                   customer_value.alias("customer"),
+                   F.array(F.col("o_orderpriority"), F.col("o_orderstatus")).alias("tags")]
+        return F.to_json(F.struct(*fields))
+
+    if ragged:
+        doc = F.when(F.col("o_orderkey") % 5 == 0, body(F.col("o_custkey"), False)) \
+            .otherwise(body(customer_obj, False))
+    else:
+        doc = body(customer_obj, True)
+    # An empty object, which flattening must drop.
+    doc = F.regexp_replace(doc, r"\}$", ',"meta":{}}')
+    return joined.select(F.col("o_orderkey").alias("src_id"), doc.alias("doc"))
+
+
+ORDERS_PER_DOCUMENT = 100
+
+
+def order_batch_documents(orders: DataFrame) -> DataFrame:
+    """Bronze files built from orders: ``ORDERS_PER_DOCUMENT`` orders each.
+
+    Orders are grouped by ``o_orderkey div 100``; the key is unique, so every
+    group holds at most 100 rows whatever the data size (the arrays built
+    per group are bounded by construction). Batch ``b``:
+
+    * ``b % 3 == 0``: ``{"shipments": [...]}`` at ``bronze/shipments/shipping_<b>.json``
+    * ``b % 3 == 1``: ``[..., b]`` (a trailing scalar) at ``bronze/orders/orders_<b>.json``
+    * ``b % 3 == 2``: ``[...]`` at ``bronze/orders/web_orders_<b>.json``, where
+      every 7th order carries ``"source_name": null``
+
+    Records are ``{"order_id", "status", "customer": {"key"}}`` in key order.
+    """
+    k = F.col("o_orderkey")
+    b = F.floor(k / ORDERS_PER_DOCUMENT).cast("bigint")
+    rec = F.concat(
+        F.lit('{"order_id":'), k.cast("string"),
+        F.lit(',"status":"'), F.col("o_orderstatus"), F.lit('"'),
+        F.lit(',"customer":{"key":'), F.col("o_custkey").cast("string"), F.lit("}"),
+        F.when((b % 3 == 2) & (k % 7 == 0), F.lit(',"source_name":null')).otherwise(F.lit("")),
+        F.lit("}"))
+    grouped = (orders.select(b.alias("batch"), k.alias("k"), rec.alias("rec"))
+               .groupBy("batch")
+               .agg(F.sort_array(F.collect_list(F.struct("k", "rec"))).alias("items")))
+    body = F.array_join(F.transform("items", lambda x: x["rec"]), ",")
+    bb = F.col("batch")
+    doc = (F.when(bb % 3 == 0, F.concat(F.lit('{"shipments":['), body, F.lit("]}")))
+           .when(bb % 3 == 1, F.concat(F.lit("["), body, F.lit(","), bb.cast("string"), F.lit("]")))
+           .otherwise(F.concat(F.lit("["), body, F.lit("]"))))
+    path = (F.when(bb % 3 == 0, F.concat(F.lit("bronze/shipments/shipping_"), bb.cast("string"), F.lit(".json")))
+            .when(bb % 3 == 1, F.concat(F.lit("bronze/orders/orders_"), bb.cast("string"), F.lit(".json")))
+            .otherwise(F.concat(F.lit("bronze/orders/web_orders_"), bb.cast("string"), F.lit(".json"))))
+    return grouped.select(path.alias("path"), doc.alias("doc"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.functions import parse as P
+from strata.functions.columns import ensure_parallelism
 from strata.operators import contracts as C
 from strata.plans import derive as D
 from strata.plans.registry import register
@@ -29,7 +30,8 @@ _LOG_LINE_SQL = """
 
 
 def _events(spark, sf_dir, *cols):
-    return read_table(spark, sf_dir, "events", *cols)
+    # Parsing is CPU-bound and narrow: spread a coarse scan over all slots.
+    return ensure_parallelism(read_table(spark, sf_dir, "events", *cols))
 
 
 @register("json_parse", sql="""
