@@ -136,3 +136,31 @@ def object_records(docs: DataFrame, doc_col: str = "doc", keep: tuple[str, ...]
     """The object records of each document (non-objects dropped)."""
     rows = explode_documents(docs, doc_col, keep, unwrap_keys=())
     return rows.where(_is_object(F.col("_rec"))).select(*[F.col(k) for k in keep], F.col("_rec").alias("record"))
+
+
+def normalize_map(docs: DataFrame, source: Column | str | None = None, doc_col: str = "doc",
+                  keep: tuple[str, ...] = (), unwrap_keys: tuple[str, ...] = (SHIPMENTS,),
+                  path_col: str = "path", depth: int = 8) -> DataFrame:
+    """P7-P12 in the ragged form: ``record`` is a ``map<string, variant>``
+    with the flattened keys of that record only, plus ``source_name`` and
+    ``record_index`` set where absent (an explicit null is kept)."""
+    if source is None:
+        src = document_source(F.col("_doc"), F.col(path_col))
+        keep_in = keep if path_col in keep else keep + (path_col,)
+    else:
+        src = F.lit(source) if isinstance(source, str) else source
+        keep_in = keep
+    rows = explode_documents(docs, doc_col, keep_in, unwrap_keys, extra=(src.alias("_src"),))
+    rec = F.col("_rec")
+    wrapped = F.when(_is_object(rec), rec).otherwise(
+        F.to_variant_object(F.struct(rec.alias("value"))))
+    staged = rows.select(*[F.col(k) for k in keep], "_src", "_pos", wrapped.alias("_obj"))
+    flat = FL.flatten_ragged(staged, "_obj", keep=keep + ("_src", "_pos"), depth=depth)
+    m = F.col("record")
+    meta = F.create_map(
+        F.lit("source_name"), F.col("_src").cast("variant"),
+        F.lit("record_index"), F.col("_pos").cast("bigint").cast("variant"))
+    # Existing keys win (map_concat keeps the last duplicate only under
+    # LAST_WIN, so absent keys are added by filtering the metadata first).
+    missing_meta = F.map_filter(meta, lambda k, _: ~F.map_contains_key(m, k))
+    return flat.select(*[F.col(k) for k in keep], F.map_concat(m, missing_meta).alias("record"))
