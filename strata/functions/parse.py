@@ -110,3 +110,13 @@ def utc_stamp(fmt: str = "yyyyMMdd'T'HHmmss'Z'") -> Column:
 def parse_time(text: Column) -> Column:
     """ISO-8601 text (with offset or Z) to a timestamp; null when unparsable."""
     return F.try_to_timestamp(text)
+
+
+def to_utc_wall_clock(spark, ts: Column) -> Column:
+    """An instant (``timestamp``) as its UTC wall-clock ``timestamp_ntz``,
+    whatever the session time zone."""
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    local = ts.cast("timestamp_ntz")
+    if tz in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        return local
+    return F.convert_timezone(F.lit(tz), F.lit("UTC"), local)

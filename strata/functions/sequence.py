@@ -53,15 +53,14 @@ def neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: S
     inner = staged.select("*", *cols)
 
     summary = staged.groupBy(*keys, BUCKET).agg(F.min(row).alias("_first"), F.max(row).alias("_last"))
-    w_b = Window.partitionBy(*keys).orderBy(BUCKET)
+    w_b = Window.partitionBy(*keys).orderBy(BUCKET) if keys else Window.orderBy(BUCKET)
     edge_cols = []
     if prev:
         edge_cols.append(F.lag("_last").over(w_b).alias("_prev_edge"))
     if nxt:
         edge_cols.append(F.lead("_first").over(w_b).alias("_next_edge"))
     edges = summary.select(*keys, BUCKET, *edge_cols)
-    joined = inner.join(broadcast_if_small(edges), [*keys, BUCKET], "left") if keys else \
-        inner.join(broadcast_if_small(edges), [BUCKET], "left")
+    joined = inner.join(broadcast_if_small(edges), [*keys, BUCKET], "left")
     out = []
     if prev:
         out.append(F.coalesce("_prev_in", "_prev_edge").alias("prev"))
@@ -84,7 +83,26 @@ def carry_forward_max(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = staged.withColumn("_run", F.max("_v").over(w_in))
     summary = staged.groupBy(*keys, BUCKET).agg(F.max("_v").alias("_bmax"))
-    w_b = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    w_b = (Window.partitionBy(*keys).orderBy(BUCKET) if keys else Window.orderBy(BUCKET)) \
+        .rowsBetween(Window.unboundedPreceding, -1)
     edges = summary.select(*keys, BUCKET, F.max("_bmax").over(w_b).alias("_before"))
     joined = inner.join(broadcast_if_small(edges), [*keys, BUCKET], "left")
     return joined.select(*df.columns, F.greatest("_run", "_before").alias(name))
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
+                bucket: Column, name: str) -> DataFrame:
+    """``name`` = sum of ``value`` over the key's rows up to and including this
+    one in ``order``; running sum inside ``(key, bucket)`` plus the total of
+    the key's earlier buckets from the per-bucket summary."""
+    keys, order = list(keys), list(order)
+    staged = df.withColumn(BUCKET, bucket).withColumn("_v", value)
+    w_in = (Window.partitionBy(*keys, BUCKET).orderBy(*[F.col(c) for c in order])
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inner = staged.withColumn("_run", F.sum("_v").over(w_in))
+    summary = staged.groupBy(*keys, BUCKET).agg(F.sum("_v").alias("_bsum"))
+    w_b = (Window.partitionBy(*keys).orderBy(BUCKET) if keys else Window.orderBy(BUCKET)) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    edges = summary.select(*keys, BUCKET, F.coalesce(F.sum("_bsum").over(w_b), F.lit(0)).alias("_before"))
+    joined = inner.join(broadcast_if_small(edges), [*keys, BUCKET], "left")
+    return joined.select(*df.columns, (F.coalesce(F.col("_run"), F.lit(0)) + F.col("_before")).alias(name))
