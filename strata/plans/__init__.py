@@ -6,6 +6,7 @@ from strata.plans import (  # noqa: F401  (importing registers the queries)
     parse_queries,
     reconcile_queries,
     silver_queries,
+    stream_queries,
 )
 from strata.plans.registry import ORACLE_SQL, QUERIES
 
