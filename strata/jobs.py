@@ -63,3 +63,29 @@ def gold_reconcile_job(orders: DataFrame, shipments: DataFrame, output_dir: str,
         "duplicate_orders": sinks.write_table(rec.duplicates, f"{base}/duplicate_orders"),
         "orphan_shipments": sinks.write_table(rec.orphans, f"{base}/orphan_shipments"),
     }
+
+
+def run_bronze_batch(spark: SparkSession, out_base: str, topics: dict[str, DataFrame],
+                     tables: dict[str, DataFrame], payloads: dict[str, DataFrame] | None = None,
+                     max_messages: int = 5) -> DataFrame:
+    """One bounded bronze pull: up to ``max_messages`` per topic, whole
+    tables, API payloads; each lands as raw JSON lines (K3). Returns the run
+    summary (A8): per source kind the number of sources and of rows landed,
+    read back from the landing folder (so it counts what was written).
+    """
+    kinds: dict[str, str] = {}
+    for name, df in topics.items():  # topics first, in the given order
+        sinks.write_raw(df.limit(max_messages), out_base, name)
+        kinds[name] = "kafka_topics"
+    for name, df in tables.items():
+        sinks.write_raw(df, out_base, name)
+        kinds[name] = "postgres_tables"
+    for name, df in (payloads or {}).items():
+        sinks.write_raw(df, out_base, name)
+        kinds[name] = "api_payloads"
+    kind_df = spark.createDataFrame(sorted(kinds.items()), "source string, source_kind string")
+    landed = spark.read.json(out_base).groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
+    per_source = kind_df.join(landed, "source", "left")
+    return (per_source.groupBy("source_kind")
+            .agg(F.count_distinct("source").alias("sources"),
+                 F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("rows")))
