@@ -2,15 +2,19 @@
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to
 one task; with one key holding a third of all rows that task holds a third
-of the data. Here the window is ``partitionBy(key, bucket)``, with ``bucket``
-a time slice of the ordering column, so a hot key is spread over as many
-tasks as it has buckets. Values that cross a bucket edge come from a small
-per-(key, bucket) summary (one row per key and bucket, built with partial
-aggregation) over which a per-key window runs; that summary has
-``span / bucket width`` rows per key, independent of the key's row count.
-
-The big side keeps its ``(key, bucket)`` hash partitioning from the window,
-so joining the summary back shuffles only the summary.
+of the data. Here the rows are hash-partitioned on ``(key, bucket)``, with
+``bucket`` a time slice of the ordering column, and the window runs per
+``(key, bucket)``, so a hot key is spread over as many tasks as it has
+buckets. Values that cross a bucket edge come from a small per-(key, bucket)
+summary (one row per key and bucket, built from the same exchange) over
+which a per-key window runs; it has ``span / bucket width`` rows per key,
+independent of the key's row count.
+
+The partitioning on ``(key, bucket)`` is explicit: left to itself the planner
+would satisfy both the ``(key, bucket)`` and the per-key requirement with a
+hash on the key alone, which puts a hot key back on one task. The summary
+and its join back only shuffle summary rows; the big side is shuffled once.
+Without keys, the summary window runs over buckets alone (one small task).
 """
 
 from __future__ import annotations
@@ -31,19 +35,24 @@ def time_bucket(ts: Column, width_seconds: int) -> Column:
     return F.floor(micros / F.lit(width_seconds * 1_000_000)).cast("bigint")
 
 
-def neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str],
-              bucket: Column, prev: bool = True, nxt: bool = True) -> DataFrame:
-    """Add ``prev`` / ``next`` struct columns: the ``order + carry`` values of
-    the previous / next row of the same key in ``order`` (null at the ends).
+def stage(df: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:
+    """Add the bucket column and hash-partition on ``(keys, bucket)``."""
+    return df.withColumn(BUCKET, bucket).repartition(*keys, BUCKET)
 
-    ``order`` must be a total order within a key (add a unique tie-breaker)
-    and ``bucket`` must not decrease along it (a time bucket of the first
-    ordering column).
-    """
+
+def _bucket_window(keys: list[str]):
+    return Window.partitionBy(*keys).orderBy(BUCKET) if keys else Window.orderBy(BUCKET)
+
+
+def _join_edges(inner: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
+    return inner.join(broadcast_if_small(edges), [*keys, BUCKET], "left")
+
+
+def neighbors_staged(staged: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str],
+                     prev: bool = True, nxt: bool = True) -> DataFrame:
+    """:func:`neighbors` on a :func:`stage`-d frame; keeps ``BUCKET``."""
     keys, order, carry = list(keys), list(order), [c for c in carry if c not in order]
-    fields = order + carry
-    row = F.struct(*[F.col(c) for c in fields])
-    staged = df.withColumn(BUCKET, bucket)
+    row = F.struct(*[F.col(c) for c in order + carry])
     w_in = Window.partitionBy(*keys, BUCKET).orderBy(*[F.col(c) for c in order])
     cols = []
     if prev:
@@ -51,58 +60,75 @@ def neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: S
     if nxt:
         cols.append(F.lead(row).over(w_in).alias("_next_in"))
     inner = staged.select("*", *cols)
-
     summary = staged.groupBy(*keys, BUCKET).agg(F.min(row).alias("_first"), F.max(row).alias("_last"))
-    w_b = Window.partitionBy(*keys).orderBy(BUCKET) if keys else Window.orderBy(BUCKET)
+    w_b = _bucket_window(keys)
     edge_cols = []
     if prev:
         edge_cols.append(F.lag("_last").over(w_b).alias("_prev_edge"))
     if nxt:
         edge_cols.append(F.lead("_first").over(w_b).alias("_next_edge"))
-    edges = summary.select(*keys, BUCKET, *edge_cols)
-    joined = inner.join(broadcast_if_small(edges), [*keys, BUCKET], "left")
+    joined = _join_edges(inner, summary.select(*keys, BUCKET, *edge_cols), keys)
     out = []
     if prev:
         out.append(F.coalesce("_prev_in", "_prev_edge").alias("prev"))
     if nxt:
         out.append(F.coalesce("_next_in", "_next_edge").alias("next"))
-    return joined.select(*df.columns, *out)
+    return joined.select(*staged.columns, *out)
 
 
-def carry_forward_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
-                      bucket: Column, name: str) -> DataFrame:
-    """``name`` = max of ``value`` over the key's rows up to and including
-    this one in ``order`` (e.g. the start time of the current session).
+def neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str],
+              bucket: Column, prev: bool = True, nxt: bool = True) -> DataFrame:
+    """Add ``prev`` / ``next`` struct columns: the ``order + carry`` values of
+    the previous / next row of the same key in ``order`` (null at the ends).
 
-    Running max inside ``(key, bucket)`` plus the max of all earlier buckets
-    of the key, from the per-bucket summary.
+    ``order`` must be a total order within a key (add a unique tie-breaker)
+    and ``bucket`` must not decrease along it (a time bucket of the first
+    ordering column).
     """
+    out = neighbors_staged(stage(df, keys, bucket), keys, order, carry, prev, nxt)
+    return out.drop(BUCKET)
+
+
+def carry_forward_max_staged(staged: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
+                             name: str) -> DataFrame:
+    """:func:`carry_forward_max` on a :func:`stage`-d frame; keeps ``BUCKET``."""
     keys, order = list(keys), list(order)
-    staged = df.withColumn(BUCKET, bucket).withColumn("_v", value)
+    with_v = staged.withColumn("_v", value)
     w_in = (Window.partitionBy(*keys, BUCKET).orderBy(*[F.col(c) for c in order])
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inner = staged.withColumn("_run", F.max("_v").over(w_in))
-    summary = staged.groupBy(*keys, BUCKET).agg(F.max("_v").alias("_bmax"))
-    w_b = (Window.partitionBy(*keys).orderBy(BUCKET) if keys else Window.orderBy(BUCKET)) \
-        .rowsBetween(Window.unboundedPreceding, -1)
+    inner = with_v.withColumn("_run", F.max("_v").over(w_in))
+    summary = with_v.groupBy(*keys, BUCKET).agg(F.max("_v").alias("_bmax"))
+    w_b = _bucket_window(keys).rowsBetween(Window.unboundedPreceding, -1)
     edges = summary.select(*keys, BUCKET, F.max("_bmax").over(w_b).alias("_before"))
-    joined = inner.join(broadcast_if_small(edges), [*keys, BUCKET], "left")
-    return joined.select(*df.columns, F.greatest("_run", "_before").alias(name))
+    joined = _join_edges(inner, edges, keys)
+    return joined.select(*staged.columns, F.greatest("_run", "_before").alias(name))
 
 
-def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
-                bucket: Column, name: str) -> DataFrame:
-    """``name`` = sum of ``value`` over the key's rows up to and including this
-    one in ``order``; running sum inside ``(key, bucket)`` plus the total of
-    the key's earlier buckets from the per-bucket summary."""
+def carry_forward_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
+                      bucket: Column, name: str) -> DataFrame:
+    """``name`` = max of ``value`` over the key's rows up to and including
+    this one in ``order`` (e.g. the start time of the current session)."""
+    return carry_forward_max_staged(stage(df, keys, bucket), keys, order, value, name).drop(BUCKET)
+
+
+def running_sum_staged(staged: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
+                       name: str) -> DataFrame:
+    """:func:`running_sum` on a :func:`stage`-d frame; keeps ``BUCKET``."""
     keys, order = list(keys), list(order)
-    staged = df.withColumn(BUCKET, bucket).withColumn("_v", value)
+    with_v = staged.withColumn("_v", value)
     w_in = (Window.partitionBy(*keys, BUCKET).orderBy(*[F.col(c) for c in order])
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inner = staged.withColumn("_run", F.sum("_v").over(w_in))
-    summary = staged.groupBy(*keys, BUCKET).agg(F.sum("_v").alias("_bsum"))
-    w_b = (Window.partitionBy(*keys).orderBy(BUCKET) if keys else Window.orderBy(BUCKET)) \
-        .rowsBetween(Window.unboundedPreceding, -1)
+    inner = with_v.withColumn("_run", F.sum("_v").over(w_in))
+    summary = with_v.groupBy(*keys, BUCKET).agg(F.sum("_v").alias("_bsum"))
+    w_b = _bucket_window(keys).rowsBetween(Window.unboundedPreceding, -1)
     edges = summary.select(*keys, BUCKET, F.coalesce(F.sum("_bsum").over(w_b), F.lit(0)).alias("_before"))
-    joined = inner.join(broadcast_if_small(edges), [*keys, BUCKET], "left")
-    return joined.select(*df.columns, (F.coalesce(F.col("_run"), F.lit(0)) + F.col("_before")).alias(name))
+    joined = _join_edges(inner, edges, keys)
+    return joined.select(*staged.columns,
+                         (F.coalesce(F.col("_run"), F.lit(0)) + F.col("_before")).alias(name))
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
+                bucket: Column, name: str) -> DataFrame:
+    """``name`` = sum of ``value`` over the key's rows up to and including this
+    one in ``order``."""
+    return running_sum_staged(stage(df, keys, bucket), keys, order, value, name).drop(BUCKET)

@@ -134,10 +134,11 @@ def sessionize(events: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequen
     start time; a session is then (key, session_start).
     """
     order = [ts] + list(tiebreak)
-    bucket = S.time_bucket(F.col(ts), bucket_seconds)
-    nb = S.neighbors(events, keys, order, [], bucket, nxt=False)
+    staged = S.stage(events, keys, S.time_bucket(F.col(ts), bucket_seconds))
+    nb = S.neighbors_staged(staged, keys, order, [], nxt=False)
     gap = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col(f"prev.{ts}").cast("timestamp"))
     starts = nb.withColumn("_is_start", F.col("prev").isNull() | (gap > F.lit(gap_seconds * 1_000_000)))
     start_value: Column = F.when(F.col("_is_start"), F.col(ts))
-    out = S.carry_forward_max(starts, keys, order, start_value, bucket, "session_start")
-    return out.drop("prev", "_is_start")
+    # Same (key, bucket) partitioning as the lag step: no second shuffle.
+    out = S.carry_forward_max_staged(starts, keys, order, start_value, "session_start")
+    return out.drop("prev", "_is_start", S.BUCKET)

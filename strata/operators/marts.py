@@ -149,10 +149,11 @@ def count_within(probes: DataFrame, probe_id: str, probe_ts: str, targets: DataF
     at = probes.select(*keys, p_us.alias("_t"), F.lit(3).alias("_kind"), F.col(probe_id).alias("_pid"))
     rows = reduce(DataFrame.unionByName, [tgt, lower, upper, at])
     bucket = F.floor(F.col("_t") / F.lit(bucket_seconds * 1_000_000)).cast("bigint")
-    counted = S.running_sum(rows, keys, ["_t", "_kind", "_pid"], F.when(F.col("_kind") == 1, 1).otherwise(0),
-                            bucket, "_cum")
-    counted = S.carry_forward_max(counted, keys, ["_t", "_kind", "_pid"],
-                                  F.when(F.col("_kind") == 1, F.col("_t")), bucket, "_last_t")
+    staged = S.stage(rows, keys, bucket)
+    order = ["_t", "_kind", "_pid"]
+    counted = S.running_sum_staged(staged, keys, order, F.when(F.col("_kind") == 1, 1).otherwise(0), "_cum")
+    counted = S.carry_forward_max_staged(counted, keys, order, F.when(F.col("_kind") == 1, F.col("_t")),
+                                         "_last_t")
     per = (counted.where(F.col("_kind") != 1).groupBy("_pid")
            .agg(F.max(F.when(F.col("_kind") == 2, F.col("_cum"))).alias("_hi"),
                 F.max(F.when(F.col("_kind") == 0, F.col("_cum"))).alias("_lo"),
