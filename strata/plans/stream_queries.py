@@ -63,3 +63,27 @@ def q_stream_product_activity_window(spark, sf_dir):
     q.awaitTermination()
     state = ST.read_upsert_log(spark, f"{base}/log", ["window_start", "window_end", "product_id"])
     return M.top_per_window(state, 3)
+
+
+@register("stream_service_health", sql=ORACLE_SQL["service_health"])
+def q_stream_service_health(spark, sf_dir):
+    """B4 (stream): hourly service health from a log-line stream, watermarked,
+    written as an idempotent upsert log and read back as its latest state."""
+    events = stream_table(spark, sf_dir, "events")
+    logs = P.parse_log_lines(D.server_log_lines(events), keep=("event_id",))
+    logs = logs.withColumn("log_ts", P.to_utc_wall_clock(spark, P.parse_time(F.col("timestamp"))))
+    status = F.col("status_code")
+    counts = ST.windowed_counts(
+        logs, "log_ts", WATERMARK, "1 hour", None, [F.col("service")],
+        [F.count(F.lit(1)).alias("requests"),
+         F.count(F.when(status >= 500, True)).alias("errors_5xx"),
+         F.count(F.when(status == 504, True)).alias("timeouts_504"),
+         F.percentile("latency_ms", 0.5).alias("p50_latency_ms"),
+         F.percentile("latency_ms", 0.95).alias("p95_latency_ms"),
+         F.percentile("latency_ms", 0.99).alias("p99_latency_ms")])
+    base = scratch_path(spark, "stream_service_health")
+    ST.upsert_log(counts, f"{base}/log", f"{base}/checkpoint").awaitTermination()
+    state = ST.read_upsert_log(spark, f"{base}/log", ["service", "window_start"])
+    return state.select("service", "window_start", "requests", "errors_5xx",
+                        (F.col("errors_5xx") / F.col("requests")).alias("error_share"), "timeouts_504",
+                        "p50_latency_ms", "p95_latency_ms", "p99_latency_ms")
