@@ -80,3 +80,16 @@ def test_interval_join_stream_equals_batch(spark, scratch):
     rb = spark.read.schema("fid int, fts timestamp").json(b)
     exp = lb.join(rb, (F.abs(F.unix_seconds("ts") - F.unix_seconds("fts")) <= 120))
     assert got == sorted((r.id, r.fid) for r in exp.collect()) and got
+
+
+def test_validated_append_quarantines(spark, scratch):
+    src = f"{scratch}/v"
+    _write_lines(src, "a.json", [_click(1), json.dumps({"event_id": "e-2", "event_type": "view"}), "[1]"])
+    for _ in range(2):  # a rerun over the same checkpoint adds nothing
+        B.validated_append(B.text_stream(spark, src), "clickstream_events", f"{scratch}/ok", f"{scratch}/q",
+                           f"{scratch}/ck", schema=CLICKSTREAM_SCHEMA, trigger={"availableNow": True}
+                           ).awaitTermination()
+    ok = spark.read.parquet(f"{scratch}/ok").collect()
+    assert [r.event_id for r in ok] == ["e-1"]
+    q = sorted(r.error for r in spark.read.parquet(f"{scratch}/q").collect())
+    assert q == ["expected an object", "missing required fields ['user_id']"]
