@@ -76,14 +76,25 @@ SELECT service, date_trunc('hour', log_ts) AS window_start, CAST(count(*) AS BIG
   CAST(count(*) FILTER (WHERE status_code >= 500) AS BIGINT) AS errors_5xx,
   CAST(count(*) FILTER (WHERE status_code >= 500) AS DOUBLE) / count(*) AS error_share,
   CAST(count(*) FILTER (WHERE status_code = 504) AS BIGINT) AS timeouts_504,
-  quantile_cont(latency_ms, 0.5) AS p50_latency_ms,
-  quantile_cont(latency_ms, 0.95) AS p95_latency_ms,
-  quantile_cont(latency_ms, 0.99) AS p99_latency_ms
+  round(quantile_cont(latency_ms, 0.5), 6) AS p50_latency_ms,
+  round(quantile_cont(latency_ms, 0.95), 6) AS p95_latency_ms,
+  round(quantile_cont(latency_ms, 0.99), 6) AS p99_latency_ms
 FROM ({_LOGS_SQL}) GROUP BY service, date_trunc('hour', log_ts)
 """)
 def q_service_health(spark, sf_dir):
-    """Hourly health per service from the parsed access log."""
-    return M.service_health(_parsed_logs(spark, sf_dir), F.col("log_ts"))
+    """Hourly health per service from the parsed access log.
+
+    Percentiles are rounded to 6 decimals here (the operator keeps them
+    exact): interpolation formulas differ between engines in the last bit.
+    """
+    return round_columns(M.service_health(_parsed_logs(spark, sf_dir), F.col("log_ts")), PERCENTILE_COLUMNS)
+
+
+PERCENTILE_COLUMNS = ("p50_latency_ms", "p95_latency_ms", "p99_latency_ms")
+
+
+def round_columns(df: DataFrame, names, digits: int = 6) -> DataFrame:
+    return df.select(*[F.round(c, digits).alias(c) if c in names else F.col(c) for c in df.columns])
 
 
 def _shipment_events(spark, sf_dir) -> DataFrame:
@@ -111,8 +122,8 @@ stats AS (
     CAST(count(*) FILTER (WHERE latency < 0) AS BIGINT) AS invalid,
     CAST(count(*) FILTER (WHERE latency IS NULL) AS BIGINT) AS open,
     avg(latency) FILTER (WHERE latency >= 0) AS avg_latency,
-    quantile_cont(latency, 0.5) FILTER (WHERE latency >= 0) AS p50_latency,
-    quantile_cont(latency, 0.95) FILTER (WHERE latency >= 0) AS p95_latency,
+    round(quantile_cont(latency, 0.5) FILTER (WHERE latency >= 0), 6) AS p50_latency,
+    round(quantile_cont(latency, 0.95) FILTER (WHERE latency >= 0), 6) AS p95_latency,
     max(latency) FILTER (WHERE latency >= 0) AS max_latency
   FROM lat GROUP BY carrier)
 SELECT *, CAST(rank() OVER (ORDER BY avg_latency DESC NULLS LAST) AS INTEGER) AS worst_rank FROM stats
@@ -120,7 +131,7 @@ SELECT *, CAST(rank() OVER (ORDER BY avg_latency DESC NULLS LAST) AS INTEGER) AS
 def q_carrier_latency(spark, sf_dir):
     """Pickup at the order date, delivery at the ship date, carrier by
     supplier; deliveries dated before pickup are counted as invalid."""
-    return M.carrier_latency(_shipment_events(spark, sf_dir))
+    return round_columns(M.carrier_latency(_shipment_events(spark, sf_dir)), ("p50_latency", "p95_latency"))
 
 
 @register("sessions", sql=f"""

@@ -22,7 +22,7 @@ def _order_docs(spark, sf_dir, ragged=False):
 SELECT o_orderkey AS order_id, o_orderstatus AS status, o_orderpriority AS priority,
   o_totalprice AS total, strftime(o_orderdate, '%Y-%m-%d') AS placed_at,
   c_custkey AS customer_key, c_name AS customer_name, c_mktsegment AS customer_segment,
-  CASE WHEN c_custkey IS NOT NULL THEN c_nationkey END AS customer_nation_key,
+  CAST(CASE WHEN c_custkey IS NOT NULL THEN c_nationkey END AS BIGINT) AS customer_nation_key,
   n_name AS customer_nation_name,
   CAST(to_json([o_orderpriority, o_orderstatus]) AS VARCHAR) AS tags
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from strata.functions import parse as P
 from strata.operators import marts as M
 from strata.plans import derive as D
+from strata.plans.mart_queries import PERCENTILE_COLUMNS, round_columns
 from strata.plans.registry import ORACLE_SQL, register
 from strata.schemas import CLICKSTREAM_SCHEMA
 from strata.session import scratch_path
@@ -84,6 +85,7 @@ def q_stream_service_health(spark, sf_dir):
     base = scratch_path(spark, "stream_service_health")
     ST.upsert_log(counts, f"{base}/log", f"{base}/checkpoint").awaitTermination()
     state = ST.read_upsert_log(spark, f"{base}/log", ["service", "window_start"])
-    return state.select("service", "window_start", "requests", "errors_5xx",
-                        (F.col("errors_5xx") / F.col("requests")).alias("error_share"), "timeouts_504",
-                        "p50_latency_ms", "p95_latency_ms", "p99_latency_ms")
+    out = state.select("service", "window_start", "requests", "errors_5xx",
+                       (F.col("errors_5xx") / F.col("requests")).alias("error_share"), "timeouts_504",
+                       "p50_latency_ms", "p95_latency_ms", "p99_latency_ms")
+    return round_columns(out, PERCENTILE_COLUMNS)

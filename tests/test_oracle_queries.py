@@ -16,7 +16,7 @@ def _norm(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return "NULL"
     if isinstance(v, float):
-        return repr(round(v, 6))
+        return repr(v)
     if hasattr(v, "isoformat"):
         return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
     return str(v)
