@@ -54,14 +54,22 @@ def silver_folder_job(spark: SparkSession, input_dir: str, output_dir: str, **kw
 def gold_reconcile_job(orders: DataFrame, shipments: DataFrame, output_dir: str,
                        order_key: str = R.KEY, shipment_key: str | None = None,
                        zero_is_missing: bool = True) -> dict[str, str]:
-    """E5: reconcile two silver datasets; write the report and its id tables."""
-    rec = R.reconcile(orders, shipments, order_key, shipment_key, zero_is_missing)
+    """E5: reconcile two silver datasets; write the report and its id tables.
+
+    The per-key counts are written once (``_key_counts``) and every output
+    is derived from that table, so the inputs are scanned and shuffled once
+    and a lost executor recomputes from the written table, not the inputs.
+    """
     base = output_dir.rstrip("/")
+    counts = R.key_counts(orders, shipments, order_key, shipment_key, zero_is_missing)
+    counts_path = sinks.write_table(counts, f"{base}/_key_counts")
+    rec = R.from_counts(orders.sparkSession.read.parquet(counts_path))
     return {
         "report": sinks.write_report(rec.report, f"{base}/report"),
         "missing_shipments": sinks.write_table(rec.missing, f"{base}/missing_shipments"),
         "duplicate_orders": sinks.write_table(rec.duplicates, f"{base}/duplicate_orders"),
         "orphan_shipments": sinks.write_table(rec.orphans, f"{base}/orphan_shipments"),
+        "key_counts": counts_path,
     }
 
 

@@ -112,6 +112,41 @@ def duplicate_orders(orders: DataFrame, order_key: str = KEY, zero_is_missing: b
             .where(F.col("n") > 1))
 
 
+def key_counts(orders: DataFrame, shipments: DataFrame, order_key: str = KEY,
+               shipment_key: str | None = None, zero_is_missing: bool = True) -> DataFrame:
+    """Per key: order rows ``n_orders`` and shipment rows ``n_shipments``.
+
+    One full outer join of two partial aggregates (each side shuffled once on
+    the key, unique keys at join time). Keys that do not count as present
+    (P16) are kept on the order side only, under their own value, so
+    ``total_orders`` still counts their rows. Every reconciliation output
+    derives from this one table.
+    """
+    shipment_key = shipment_key or order_key
+    ktype = common_key_type(orders, order_key, shipments, shipment_key)
+    o = _keys(orders, order_key, ktype).groupBy(KEY).agg(F.count(F.lit(1)).alias("n_orders"))
+    s = _keys(shipments, shipment_key, ktype)
+    s = s.where(truthy_key(s, KEY, zero_is_missing)).groupBy(KEY).agg(F.count(F.lit(1)).alias("n_shipments"))
+    joined = o.join(s, KEY, "full")
+    return joined.withColumn("present", truthy_key(joined, KEY, zero_is_missing) & F.col("n_orders").isNotNull())
+
+
+def report_from_counts(counts: DataFrame) -> DataFrame:
+    """The one-row report of :func:`reconcile_report` from :func:`key_counts`."""
+    valid, hit = F.col("present"), F.col("n_shipments").isNotNull()
+    agg = counts.agg(
+        F.coalesce(F.sum("n_orders"), F.lit(0)).cast("bigint").alias("total_orders"),
+        F.count(F.when(valid, True)).alias("unique_orders"),
+        F.coalesce(F.sum(F.when(valid & hit, F.col("n_orders"))), F.lit(0)).cast("bigint").alias("matched_orders"),
+        F.count(F.when(valid & hit, True)).alias("matched_unique_orders"),
+        F.count(F.when(valid & ~hit, True)).alias("missing_shipments"),
+        F.count(F.when(valid & (F.col("n_orders") > 1), True)).alias("duplicate_orders"),
+    )
+    rate = F.coalesce(F.try_divide(F.col("matched_orders").cast("double"),
+                                   F.col("total_orders").cast("double")), F.lit(0.0))
+    return agg.withColumn("reconciliation_rate", rate)
+
+
 @dataclass
 class Reconciliation:
     report: DataFrame
@@ -120,16 +155,46 @@ class Reconciliation:
     orphans: DataFrame
 
 
+def from_counts(counts: DataFrame) -> Reconciliation:
+    """All outputs from one :func:`key_counts` table (read it from storage
+    once when several outputs are written, so the inputs are scanned once)."""
+    return Reconciliation(
+        report=report_from_counts(counts),
+        missing=counts.where(F.col("present") & F.col("n_shipments").isNull()).select(KEY),
+        duplicates=counts.where(F.col("present") & (F.col("n_orders") > 1))
+        .select(KEY, F.col("n_orders").alias("n")),
+        orphans=counts.where(F.col("n_orders").isNull()).select(KEY, F.col("n_shipments").alias("shipment_rows")),
+    )
+
+
+def key_findings(counts: DataFrame) -> DataFrame:
+    """Every finding of the per-key table in one pass: ``(kind, order_id, n)``
+    for ``missing_shipment`` (n = order rows), ``duplicate_order`` (order key
+    on several order rows), ``orphan_shipment`` (n = shipment rows) and
+    ``duplicate_shipment`` (several shipment rows for one key).
+
+    One projection with an ``explode`` of a short array per key, so the
+    inputs behind ``counts`` are scanned and joined once whatever the kinds.
+    """
+    present, n_o, n_s = F.col("present"), F.col("n_orders"), F.col("n_shipments")
+
+    def item(cond, kind, n):
+        return F.when(cond, F.struct(F.lit(kind).alias("kind"), n.cast("bigint").alias("n")))
+
+    items = F.array(
+        item(present & n_s.isNull(), "missing_shipment", n_o),
+        item(present & (n_o > 1), "duplicate_order", n_o),
+        item(n_o.isNull(), "orphan_shipment", n_s),
+        item(n_s > 1, "duplicate_shipment", n_s),
+    )
+    found = counts.select(KEY, F.explode(F.filter(items, lambda x: x.isNotNull())).alias("f"))
+    return found.select(F.col("f.kind").alias("kind"), KEY, F.col("f.n").alias("n"))
+
+
 def reconcile(orders: DataFrame, shipments: DataFrame, order_key: str = KEY,
               shipment_key: str | None = None, zero_is_missing: bool = True) -> Reconciliation:
     """E5 without files: the report plus the id tables behind its counts."""
-    kw = dict(order_key=order_key, shipment_key=shipment_key, zero_is_missing=zero_is_missing)
-    return Reconciliation(
-        report=reconcile_report(orders, shipments, **kw),
-        missing=missing_shipments(orders, shipments, **kw),
-        duplicates=duplicate_orders(orders, order_key, zero_is_missing),
-        orphans=orphan_shipments(orders, shipments, **kw),
-    )
+    return from_counts(key_counts(orders, shipments, order_key, shipment_key, zero_is_missing))
 
 
 def id_list_report(rec: Reconciliation, max_ids: int) -> DataFrame:

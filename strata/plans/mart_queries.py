@@ -210,21 +210,28 @@ def q_purchase_log_interval_join(spark, sf_dir):
 
 
 def _discrepancies(spark, sf_dir) -> DataFrame:
-    orders, ships = _order_extract(spark, sf_dir), _shipments(spark, sf_dir)
+    # All order/shipment kinds come from one pass over one per-key table, so
+    # line items are scanned and shuffled once.
+    counts = R.key_counts(_order_extract(spark, sf_dir), _shipments(spark, sf_dir))
+    found = R.key_findings(counts)
+    # line items are the shipment feed: their repeated keys are the
+    # "duplicate order" findings of the report
+    kind = F.col("kind")
+    detail = (F.when(kind == "missing_shipment", F.lit(f"order placed before {ORDER_EXTRACT_CUTOFF} has no shipment"))
+              .when(kind == "orphan_shipment", F.concat(F.col("n").cast("string"), F.lit(" shipment rows")))
+              .otherwise(F.concat(F.col("n").cast("string"), F.lit(" rows"))))
+    found = found.where(kind.isin("missing_shipment", "orphan_shipment", "duplicate_shipment")).select(
+        F.when(kind == "duplicate_shipment", F.lit("duplicate_order")).otherwise(kind).alias("kind"),
+        F.col("order_id"), detail.alias("detail"))
+    severity = F.when(F.col("kind") == "missing_shipment", "high").otherwise("medium")
+    keyed = found.select("kind", severity.alias("severity"), F.col("order_id").cast("string").alias("key"),
+                         "detail")
     purchases = read_table(spark, sf_dir, "events", "user_id", "event_type").where(
         F.col("event_type") == "purchase")
     pvo = M.purchases_vs_orders(purchases, read_table(spark, sf_dir, "orders", "o_custkey"))
-    parts = [
-        M.discrepancy(R.missing_shipments(orders, ships), "missing_shipment", F.col("order_id"),
-                      F.lit(f"order placed before {ORDER_EXTRACT_CUTOFF} has no shipment")),
-        M.discrepancy(R.orphan_shipments(orders, ships), "orphan_shipment", F.col("order_id"),
-                      F.concat(F.col("shipment_rows").cast("string"), F.lit(" shipment rows"))),
-        M.discrepancy(R.duplicate_orders(ships), "duplicate_order", F.col("order_id"),
-                      F.concat(F.col("n").cast("string"), F.lit(" rows"))),
-        M.discrepancy(pvo.where(F.col("status") != "matched"), "unmatched_purchase", F.col("customer_id"),
-                      F.col("status")),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    unmatched = M.discrepancy(pvo.where(F.col("status") != "matched"), "unmatched_purchase",
+                              F.col("customer_id"), F.col("status"))
+    return keyed.unionByName(unmatched)
 
 
 _DISCREPANCIES_SQL = f"""
