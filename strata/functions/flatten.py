@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import computed_once
+from strata.functions.variant import is_object
 
 SEP = "_"
 
@@ -117,7 +118,7 @@ def _entries(v: Column) -> Column:
 
 
 def _is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    return is_object(v)
 
 
 def _flatten_round(entries: Column) -> Column:

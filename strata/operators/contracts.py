@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import computed_once
+from strata.functions.variant import is_object as variant_is_object
 from strata.schemas import CONTRACTS
 
 _INT_TAGS = ("BIGINT", "INT", "SMALLINT", "TINYINT", "BOOLEAN")
@@ -117,7 +118,7 @@ def validate(df: DataFrame, source: str, column: str = "value",
     v = to_variant(df, column, source)
     base = computed_once(df, v, "record", keep)
     rec = F.col("record")
-    is_object = F.coalesce(_tag(rec).startswith("OBJECT"), F.lit(False))
+    is_object = variant_is_object(rec)
 
     fields = {name: _field(rec, name) for name in
               list(contract["required"]) + [n for n in contract["types"] if n not in contract["required"]]}

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions import flatten as FL
+from strata.functions.variant import is_object
 
 SHIPMENTS = "shipments"
 ENVELOPE = "records"
@@ -26,7 +27,7 @@ def _tag(v: Column) -> Column:
 
 
 def _is_object(v: Column) -> Column:
-    return F.coalesce(_tag(v).startswith("OBJECT"), F.lit(False))
+    return is_object(v)
 
 
 def _has_key(v: Column, key: str) -> Column:
@@ -109,8 +110,9 @@ def normalize(docs: DataFrame, source: Column | str | None = None, doc_col: str
         src = F.lit(source) if isinstance(source, str) else source
         keep_in = keep
     rows = explode_documents(docs, doc_col, keep_in, unwrap_keys, extra=(src.alias("_src"),))
+    rows = rows.withColumn("_obj", _is_object(F.col("_rec")))
     rec, pos = F.col("_rec"), F.col("_pos")
-    obj = _is_object(rec)
+    obj = F.col("_obj")
     if schema is None:
         schema = FL.infer_variant_schema(rows.where(obj), rec)
     pairs = dict(FL.flatten_variant_pairs(F.when(obj, rec), schema))
@@ -119,7 +121,7 @@ def normalize(docs: DataFrame, source: Column | str | None = None, doc_col: str
         meta.append(F.when(~obj, rec).alias("value"))
 
     def set_default(name: str, default: Column, dtype: str) -> Column:
-        present = _has_key(rec, name)
+        present = obj & F.try_variant_get(rec, f"$['{name}']", "variant").isNotNull()
         if name in pairs:
             flat = pairs.pop(name).cast(dtype)
             return F.when(present | flat.isNotNull(), flat).otherwise(default)
