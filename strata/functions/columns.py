@@ -29,7 +29,9 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     large input already has more partitions than slots and is left untouched,
     so no shuffle is added at scale.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave the plan alone
+        return df
+    return df.repartition(target) if current < target else df

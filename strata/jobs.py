@@ -6,6 +6,8 @@ files or records on the driver.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,18 +83,22 @@ def run_bronze_batch(spark: SparkSession, out_base: str, topics: dict[str, DataF
     summary (A8): per source kind the number of sources and of rows landed,
     read back from the landing folder (so it counts what was written).
     """
+    run_id = uuid.uuid4().hex
     kinds: dict[str, str] = {}
     for name, df in topics.items():  # topics first, in the given order
-        sinks.write_raw(df.limit(max_messages), out_base, name)
+        sinks.write_raw(df.limit(max_messages), out_base, name, run_id)
         kinds[name] = "kafka_topics"
     for name, df in tables.items():
-        sinks.write_raw(df, out_base, name)
+        sinks.write_raw(df, out_base, name, run_id)
         kinds[name] = "postgres_tables"
     for name, df in (payloads or {}).items():
-        sinks.write_raw(df, out_base, name)
+        sinks.write_raw(df, out_base, name, run_id)
         kinds[name] = "api_payloads"
     kind_df = spark.createDataFrame(sorted(kinds.items()), "source string, source_kind string")
-    landed = spark.read.json(out_base).groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
+    # Read back only this run's rows, two columns, no schema inference.
+    landed = (spark.read.schema("_run_id string, source string, ingest_date date").json(out_base)
+              .where(F.col("_run_id") == run_id)
+              .groupBy("source").agg(F.count(F.lit(1)).alias("rows")))
     per_source = kind_df.join(landed, "source", "left")
     return (per_source.groupBy("source_kind")
             .agg(F.count_distinct("source").alias("sources"),

@@ -82,15 +82,17 @@ def late_router(df: DataFrame, ts: str, lateness_seconds: int, on_time_path: str
     high-water mark of earlier batches to a late table.
 
     The high-water mark (max event time of all earlier batches) is kept as a
-    tiny per-batch file next to the outputs; every output of batch ``n`` goes
-    to ``batch_id=n`` folders, so a replayed batch rewrites the same result.
+    one-row file per batch next to the outputs; every output of batch ``n``
+    goes to ``batch_id=n`` folders, so a replayed batch rewrites the same
+    result. Only batch ``n - 1``'s mark is read by batch ``n``.
     """
     def route(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        # The previous batch's mark already folds in every earlier one, so
+        # only its one-row file is read (no scan over all past batches).
         try:
-            marks = spark.read.parquet(marks_path).where(F.col("batch_id") < batch_id)
-            mark = marks.agg(F.max("hw").alias("hw")).first()["hw"]
-        except Exception:  # noqa: BLE001 - no earlier batch yet
+            mark = spark.read.parquet(_batch_dir(marks_path, batch_id - 1)).first()["hw"] if batch_id > 0 else None
+        except Exception:  # noqa: BLE001 - the previous batch wrote no mark (e.g. fresh checkpoint)
             mark = None
         t = F.col(ts).cast("timestamp")
         if mark is None:

@@ -73,3 +73,10 @@ def test_gold_job_writes_report(spark, scratch):
     rep = spark.read.json(out["report"]).first()
     assert rep.matched_orders == 1 and rep.total_orders == 3
     assert [r.order_id for r in spark.read.parquet(out["missing_shipments"]).collect()] == ["o-2"]
+
+
+def test_bronze_batch_counts_only_this_run(spark, scratch):
+    topics = {"clickstream_events": spark.createDataFrame([("a",), ("b",)], "value string")}
+    for _ in range(2):
+        s = {r.source_kind: r for r in jobs.run_bronze_batch(spark, f"{scratch}/raw2", topics, {}).collect()}
+        assert s["kafka_topics"].rows == 2
