@@ -26,23 +26,34 @@ def constraint_report(df: DataFrame, table: str, primary_key: Sequence[str] = ()
                       not_null: Sequence[str] = (), unique: Sequence[Sequence[str]] = ()) -> DataFrame:
     """C4: violations of primary key, NOT NULL and UNIQUE constraints.
 
-    ``primary_key``: duplicate key groups and rows with a null key part;
+    ``primary_key``: duplicate key groups, plus nulls in any key column;
     ``not_null``: null count per column; ``unique``: duplicate value groups
-    (nulls are not compared, as in SQL).
+    (nulls are not compared, as in SQL). With a primary key the null counts
+    ride along in the key's partial aggregate, so the table is scanned once
+    for both; every UNIQUE constraint adds one aggregate of its own.
     """
     parts: list[DataFrame] = []
-    null_cols = list(dict.fromkeys(list(primary_key) + list(not_null)))
-    if null_cols:
-        counts = df.agg(*[F.count(F.when(F.col(c).isNull(), True)).alias(c) for c in null_cols])
+    pk = list(primary_key)
+    null_cols = list(dict.fromkeys(pk + list(not_null)))
+    nulls = [F.count(F.when(F.col(c).isNull(), True)).alias(f"_null_{c}") for c in null_cols]
+    if pk:
+        per_key = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"), *nulls)
+        key_present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in pk])
+        totals = per_key.agg(
+            F.count(F.when(key_present & (F.col("_n") > 1), True)).alias("_dup"),
+            *[F.coalesce(F.sum(f"_null_{c}"), F.lit(0)).alias(f"_null_{c}") for c in null_cols])
         for c in null_cols:
-            parts.append(counts.select(*_row(table, "not_null", c, F.col(c))))
-    groups = ([("primary_key", list(primary_key))] if primary_key else []) + \
-        [("unique", list(u)) for u in unique]
-    for check, cols in groups:
+            parts.append(totals.select(*_row(table, "not_null", c, F.col(f"_null_{c}"))))
+        parts.append(totals.select(*_row(table, "primary_key", ",".join(pk), F.col("_dup"))))
+    elif null_cols:
+        totals = df.agg(*nulls)
+        for c in null_cols:
+            parts.append(totals.select(*_row(table, "not_null", c, F.col(f"_null_{c}"))))
+    for cols in (list(u) for u in unique):
         present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
         dup = (df.where(present).groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
                .where(F.col("n") > 1).agg(F.count(F.lit(1)).alias("v")))
-        parts.append(dup.select(*_row(table, check, ",".join(cols), F.col("v"))))
+        parts.append(dup.select(*_row(table, "unique", ",".join(cols), F.col("v"))))
     return reduce(DataFrame.unionByName, parts)
 
 

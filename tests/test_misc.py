@@ -87,3 +87,25 @@ def test_write_raw_layout(spark, scratch):
     assert any(d.startswith("ingest_date=") for d in os.listdir(out))
     back = spark.read.json(f"{scratch}/raw").first()
     assert back.event_id == "e-1" and back.source == "clickstream_events"
+
+
+def test_constraint_report_and_orphans(spark):
+    from strata.operators import checks as CK
+    users = spark.createDataFrame([(1, "a@x", "Ada"), (1, "b@x", None), (None, "a@x", "Bo"), (2, None, "Cy")],
+                                  "user_id int, email string, full_name string")
+    rep = {(r.check, r.column): r.violations for r in
+           CK.constraint_report(users, "users", ["user_id"], ["email", "full_name"], unique=[["email"]]).collect()}
+    assert rep == {("not_null", "user_id"): 1, ("not_null", "email"): 1, ("not_null", "full_name"): 1,
+                   ("primary_key", "user_id"): 1, ("unique", "email"): 1}
+    orders = spark.createDataFrame([(10, 1), (11, 7), (12, 7), (13, None)], "order_id int, user_id int")
+    orphans = CK.orphan_keys(orders, "user_id", users, "user_id", "orders.user_id->users").collect()
+    assert [(r.key, r.rows) for r in orphans] == [(7, 2)]
+
+
+def test_top_per_window_salted_is_exact(spark):
+    rows = [("2024-01-01 00:00:00", p, n) for p, n in enumerate([5, 9, 9, 1, 7, 9, 3, 8, 2, 6] * 5)]
+    counts = spark.createDataFrame(rows, "window_start string, product_id int, interactions int") \
+        .withColumn("window_end", F.col("window_start")).withColumn("purchases", F.lit(0)) \
+        .withColumn("users", F.lit(1))
+    got = [(r.product_id, r.rank) for r in M.top_per_window(counts, 3, salt_buckets=4).orderBy("rank").collect()]
+    assert got == [(1, 1), (2, 2), (5, 3)]
