@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from strata.functions import parse as P
 from strata.operators import marts as M
 from strata.plans import derive as D
-from strata.plans.mart_queries import PERCENTILE_COLUMNS, round_columns
+from strata.plans.mart_queries import (
+    _LOGS_SQL,
+    FAILURE_WINDOW_SECONDS,
+    PERCENTILE_COLUMNS,
+    round_columns,
+)
 from strata.plans.registry import ORACLE_SQL, register
 from strata.schemas import CLICKSTREAM_SCHEMA
 from strata.session import scratch_path
@@ -89,3 +94,38 @@ def q_stream_service_health(spark, sf_dir):
                        (F.col("errors_5xx") / F.col("requests")).alias("error_share"), "timeouts_504",
                        "p50_latency_ms", "p95_latency_ms", "p99_latency_ms")
     return round_columns(out, PERCENTILE_COLUMNS)
+
+
+@register("stream_current_state", sql=ORACLE_SQL["current_state"])
+def q_stream_current_state(spark, sf_dir):
+    """B11 (stream): the latest event per user kept as streaming aggregate
+    state (one row per key: the state is the current-state table itself),
+    emitted in update mode to an idempotent upsert log."""
+    events = stream_table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    latest = events.groupBy("user_id").agg(F.max(F.struct("ts", "event_id", "event_type", "value")).alias("r"))
+    base = scratch_path(spark, "stream_current_state")
+    ST.upsert_log(latest, f"{base}/log", f"{base}/checkpoint").awaitTermination()
+    state = ST.read_upsert_log(spark, f"{base}/log", ["user_id"])
+    return state.select("user_id", "r.ts", "r.event_id", "r.event_type", "r.value")
+
+
+@register("stream_purchase_failure_join", sql=f"""
+WITH p AS (SELECT event_id, ts FROM events WHERE event_type = 'purchase'),
+f AS (SELECT src_id AS failure_id, log_ts FROM ({_LOGS_SQL}) WHERE path = '/checkout' AND status_code >= 500)
+SELECT p.event_id, p.ts, f.failure_id, f.log_ts FROM p JOIN f
+  ON f.log_ts BETWEEN p.ts - INTERVAL {FAILURE_WINDOW_SECONDS} SECOND AND p.ts + INTERVAL {FAILURE_WINDOW_SECONDS} SECOND
+""")
+def q_stream_purchase_failure_join(spark, sf_dir):
+    """B10 (stream): stream-stream interval join of purchases with failing
+    checkout requests within 15 minutes; watermarks on both sides bound the
+    join state. Output: one row per (purchase, failure) within the bound."""
+    purchases = stream_table(spark, sf_dir, "events").where(F.col("event_type") == "purchase") \
+        .select("event_id", "ts")
+    logs = P.parse_log_lines(D.server_log_lines(stream_table(spark, sf_dir, "events")), keep=("event_id",))
+    failures = logs.where((F.col("path") == "/checkout") & (F.col("status_code") >= 500)).select(
+        F.col("event_id").alias("failure_id"),
+        P.to_utc_wall_clock(spark, P.parse_time(F.col("timestamp"))).alias("log_ts"))
+    joined = ST.interval_join_stream(purchases, "ts", failures, "log_ts", FAILURE_WINDOW_SECONDS,
+                                     WATERMARK, WATERMARK)
+    return runner.run_available(joined.select("event_id", "ts", "failure_id", "log_ts"), spark,
+                                "stream_purchase_failure_join")

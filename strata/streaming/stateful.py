@@ -117,18 +117,20 @@ def interval_join_stream(left: DataFrame, left_ts: str, right: DataFrame, right_
                          left_delay: str, right_delay: str, bucket_seconds: int | None = None) -> DataFrame:
     """B10 (stream): stream-stream inner join of rows within ``seconds``.
 
-    Both sides carry a watermark; the equality on a time bucket (the right
-    side replicated into its neighbour buckets) gives the join an equi key,
-    and the range condition bounds the state Spark keeps per side.
+    Both sides carry a watermark on a ``timestamp`` copy of their event time
+    (``timestamp_ntz`` is read in the session time zone); the equality on a
+    time bucket (the right side replicated into its neighbour buckets) gives
+    the join an equi key, and the range condition on the watermarked columns
+    lets Spark drop join state once both watermarks pass it.
     """
     width = bucket_seconds or max(seconds, 1)
-    lb = F.floor(F.unix_seconds(F.col(left_ts).cast("timestamp")) / width).cast("bigint")
-    rb = F.floor(F.unix_seconds(F.col(right_ts).cast("timestamp")) / width).cast("bigint")
     span = -(-seconds // width)  # neighbour buckets a match can fall in
-    lw = left.withWatermark(left_ts, left_delay).withColumn("_lb", lb)
-    rw = (right.withWatermark(right_ts, right_delay)
-          .withColumn("_rb", F.explode(F.sequence(rb - F.lit(span), rb + F.lit(span)))))
+    lw = left.withColumn("_lt", F.col(left_ts).cast("timestamp")).withWatermark("_lt", left_delay)
+    lw = lw.withColumn("_lb", F.floor(F.unix_seconds("_lt") / width).cast("bigint"))
+    rw = right.withColumn("_rt", F.col(right_ts).cast("timestamp")).withWatermark("_rt", right_delay)
+    rb = F.floor(F.unix_seconds("_rt") / width).cast("bigint")
+    rw = rw.withColumn("_rb", F.explode(F.sequence(rb - F.lit(span), rb + F.lit(span))))
+    bound = F.expr(f"INTERVAL {seconds} SECONDS")
     cond = ((F.col("_lb") == F.col("_rb"))
-            & (F.col(right_ts) >= F.col(left_ts) - F.expr(f"INTERVAL {seconds} SECONDS"))
-            & (F.col(right_ts) <= F.col(left_ts) + F.expr(f"INTERVAL {seconds} SECONDS")))
-    return lw.join(rw, cond, "inner").drop("_lb", "_rb")
+            & (F.col("_rt") >= F.col("_lt") - bound) & (F.col("_rt") <= F.col("_lt") + bound))
+    return lw.join(rw, cond, "inner").drop("_lb", "_rb", "_lt", "_rt")
