@@ -64,3 +64,13 @@ def orphan_keys(child: DataFrame, fk: str, parent: DataFrame, pk: str, relation:
               .agg(F.count(F.lit(1)).alias("rows")))
     parents = parent.select(F.col(pk).alias("key")).distinct()
     return counts.join(parents, "key", "left_anti").select(F.lit(relation).alias("relation"), "key", "rows")
+
+
+def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A3 on any (composite) key: key values on more than one row, with the
+    row count ``n``; rows with a null key part are not compared. A partially
+    aggregated ``groupBy``, so a hot key reaches the shuffle pre-counted."""
+    keys = list(keys)
+    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys])
+    return (df.where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > 1))

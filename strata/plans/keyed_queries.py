@@ -207,3 +207,14 @@ def q_referential_checks(spark, sf_dir):
                        "events.user_id->customer"),
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+@register("duplicate_keys", sql="""
+SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS n FROM lineitem
+WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+""")
+def q_duplicate_keys(spark, sf_dir):
+    """A3 on the line items' composite key (order, line number)."""
+    return CK.duplicate_keys(read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber"),
+                             ["l_orderkey", "l_linenumber"])

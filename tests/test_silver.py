@@ -91,3 +91,14 @@ def test_map_form(spark):
                   key=lambda d: d["record_index"])
     assert recs[0] == {"a_b": 1, "source_name": "src", "record_index": 0}
     assert recs[1] == {"value": 7, "source_name": "src", "record_index": 1}
+
+
+def test_silver_write_round_trip(spark, scratch):
+    from strata.sinks import files as sinks
+    df = spark.createDataFrame([("e-1", "clickstream", "clickstream")], "event_id string, source_name string, dataset string")
+    sinks.write_silver(df, f"{scratch}/silver")
+    back = spark.read.parquet(f"{scratch}/silver").collect()
+    assert [(r.event_id, r.source_name, r.dataset) for r in back] == [("e-1", "clickstream", "clickstream")]
+    other = spark.createDataFrame([("o-1", "orders", "orders")], "event_id string, source_name string, dataset string")
+    sinks.write_silver(other, f"{scratch}/silver")   # another dataset: the first one stays
+    assert spark.read.parquet(f"{scratch}/silver").count() == 2
