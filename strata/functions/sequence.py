@@ -25,14 +25,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.joins import broadcast_if_small
+from strata.functions.timecols import epoch_micros
 
 BUCKET = "_seq_bucket"
 
 
-def time_bucket(ts: Column, width_seconds: int) -> Column:
-    """Bucket number of a timestamp: whole ``width_seconds`` slices since epoch."""
-    micros = F.unix_micros(ts.cast("timestamp"))
-    return F.floor(micros / F.lit(width_seconds * 1_000_000)).cast("bigint")
+def time_bucket(df: DataFrame, ts: str, width_seconds: int) -> Column:
+    """Bucket number of a time column: whole ``width_seconds`` slices since
+    the epoch (time-zone independent, see :mod:`strata.functions.timecols`)."""
+    return F.floor(epoch_micros(df, ts) / F.lit(width_seconds * 1_000_000)).cast("bigint")
 
 
 def stage(df: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:

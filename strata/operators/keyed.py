@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import sequence as S
+from strata.functions.timecols import epoch_micros
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], latest: bool) -> DataFrame:
@@ -96,7 +97,7 @@ def scd2_history(changes: DataFrame, keys: Sequence[str], ts: str, tiebreak: Seq
     very many changes is spread over its time buckets.
     """
     order = [ts] + list(tiebreak)
-    nb = S.neighbors(changes, keys, order, [], S.time_bucket(F.col(ts), bucket_seconds), prev=False)
+    nb = S.neighbors(changes, keys, order, [], S.time_bucket(changes, ts, bucket_seconds), prev=False)
     return nb.select(*changes.columns, F.col(ts).alias("valid_from"), F.col(f"next.{ts}").alias("valid_to"),
                      F.col("next").isNull().alias("is_current"))
 
@@ -113,7 +114,7 @@ def transition_violations(changes: DataFrame, keys: Sequence[str], ts: str, tieb
     """
     order = [ts] + list(tiebreak)
     pairs = sorted({f"{a}\u0000{b}" for a, b in allowed})
-    nb = S.neighbors(changes, keys, order, [status], S.time_bucket(F.col(ts), bucket_seconds), nxt=False)
+    nb = S.neighbors(changes, keys, order, [status], S.time_bucket(changes, ts, bucket_seconds), nxt=False)
     prev_status = F.col(f"prev.{status}")
     cur = F.col(status)
     ok_pair = F.concat(prev_status, F.lit("\u0000"), cur).isin(*pairs) if pairs else F.lit(False)
@@ -134,11 +135,12 @@ def sessionize(events: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequen
     start time; a session is then (key, session_start).
     """
     order = [ts] + list(tiebreak)
-    staged = S.stage(events, keys, S.time_bucket(F.col(ts), bucket_seconds))
-    nb = S.neighbors_staged(staged, keys, order, [], nxt=False)
-    gap = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col(f"prev.{ts}").cast("timestamp"))
+    staged = S.stage(events.withColumn("_us", epoch_micros(events, ts)), keys,
+                     S.time_bucket(events, ts, bucket_seconds))
+    nb = S.neighbors_staged(staged, keys, order, ["_us"], nxt=False)
+    gap = F.col("_us") - F.col("prev._us")
     starts = nb.withColumn("_is_start", F.col("prev").isNull() | (gap > F.lit(gap_seconds * 1_000_000)))
     start_value: Column = F.when(F.col("_is_start"), F.col(ts))
     # Same (key, bucket) partitioning as the lag step: no second shuffle.
     out = S.carry_forward_max_staged(starts, keys, order, start_value, "session_start")
-    return out.drop("prev", "_is_start", S.BUCKET)
+    return out.drop("prev", "_is_start", "_us", S.BUCKET)

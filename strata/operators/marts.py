@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import sequence as S
 from strata.functions.joins import broadcast_if_small
+from strata.functions.timecols import epoch_micros
 
 # --- B3: product activity in sliding windows --------------------------------
 
@@ -91,7 +92,7 @@ def carrier_latency(shipment_events: DataFrame, pickup: str = "PICKED_UP", deliv
     shipments delivered before pickup are counted apart (``invalid``) and
     left out of the statistics. Latency in whole ``unit_seconds``.
     """
-    t = F.unix_seconds(F.col("time").cast("timestamp"))
+    t = F.floor(epoch_micros(shipment_events, "time") / F.lit(1_000_000)).cast("bigint")
     per = (shipment_events.groupBy("carrier", "tracking_number")
            .agg(F.min(F.when(F.col("event") == pickup, t)).alias("_p"),
                 F.max(F.when(F.col("event") == delivered, t)).alias("_d")))
@@ -145,8 +146,8 @@ def count_within(probes: DataFrame, probe_id: str, probe_ts: str, targets: DataF
     """
     keys = list(keys)
     us = F.lit(seconds * 1_000_000)
-    p_us = F.unix_micros(F.col(probe_ts).cast("timestamp"))
-    t_us = F.unix_micros(F.col(target_ts).cast("timestamp"))
+    p_us = epoch_micros(probes, probe_ts)
+    t_us = epoch_micros(targets, target_ts)
     # kind orders rows at equal time: lower probe (0) < target (1) < upper probe (2)
     tgt = targets.select(*keys, t_us.alias("_t"), F.lit(1).alias("_kind"),
                          F.lit(None).cast(probes.schema[probe_id].dataType).alias("_pid"))

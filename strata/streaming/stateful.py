@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from strata.functions.timecols import as_instant, epoch_micros, instant_as_ntz
 from strata.operators import keyed as K
 
 EVENT_TIME = "_event_time"
@@ -26,9 +27,9 @@ def _is_ntz(df: DataFrame, ts: str) -> bool:
 
 def with_event_time(df: DataFrame, ts: str, delay: str) -> tuple[DataFrame, str]:
     """Watermark on ``ts``; a ``timestamp_ntz`` column gets a ``timestamp``
-    twin (watermarks need one), in the session time zone."""
+    twin (watermarks need one), read as UTC whatever the session zone."""
     if _is_ntz(df, ts):
-        return df.withColumn(EVENT_TIME, F.col(ts).cast("timestamp")).withWatermark(EVENT_TIME, delay), EVENT_TIME
+        return df.withColumn(EVENT_TIME, as_instant(df, ts)).withWatermark(EVENT_TIME, delay), EVENT_TIME
     return df.withWatermark(ts, delay), ts
 
 
@@ -45,10 +46,13 @@ def windowed_counts(df: DataFrame, ts: str, delay: str, window: str, slide: str
     bounds come back in ``ts``'s own type."""
     marked, et = with_event_time(df, ts, delay)
     w = F.window(et, window, slide) if slide else F.window(et, window)
-    bound_type = df.schema[ts].dataType.simpleString()
+    if _is_ntz(df, ts):
+        start = instant_as_ntz(df.sparkSession, F.col("w.start"))
+        end = instant_as_ntz(df.sparkSession, F.col("w.end"))
+    else:
+        start, end = F.col("w.start"), F.col("w.end")
     return (marked.groupBy(w.alias("w"), *group).agg(*aggs)
-            .select(F.col("w.start").cast(bound_type).alias("window_start"),
-                    F.col("w.end").cast(bound_type).alias("window_end"), "*")
+            .select(start.alias("window_start"), end.alias("window_end"), "*")
             .drop("w"))
 
 
@@ -94,17 +98,17 @@ def late_router(df: DataFrame, ts: str, lateness_seconds: int, on_time_path: str
             mark = spark.read.parquet(_batch_dir(marks_path, batch_id - 1)).first()["hw"] if batch_id > 0 else None
         except Exception:  # noqa: BLE001 - the previous batch wrote no mark (e.g. fresh checkpoint)
             mark = None
-        t = F.col(ts).cast("timestamp")
+        t_us = epoch_micros(batch, ts)
         if mark is None:
             late_cond = F.lit(False)
         else:
-            late_cond = F.unix_micros(t) < F.lit(mark) - F.lit(lateness_seconds * 1_000_000)
+            late_cond = t_us < F.lit(mark) - F.lit(lateness_seconds * 1_000_000)
         flagged = batch.withColumn("_late", F.coalesce(late_cond, F.lit(False)))
         flagged.where(~F.col("_late")).drop("_late").write.mode("overwrite").parquet(
             _batch_dir(on_time_path, batch_id))
         flagged.where(F.col("_late")).drop("_late").write.mode("overwrite").parquet(
             _batch_dir(late_path, batch_id))
-        hw = batch.agg(F.max(F.unix_micros(t)).alias("hw")).first()["hw"]
+        hw = batch.agg(F.max(t_us).alias("hw")).first()["hw"]
         hw = max(x for x in (hw, mark) if x is not None) if (hw is not None or mark is not None) else None
         spark.createDataFrame([(hw,)], "hw bigint").write.mode("overwrite").parquet(
             _batch_dir(marks_path, batch_id))
@@ -118,16 +122,16 @@ def interval_join_stream(left: DataFrame, left_ts: str, right: DataFrame, right_
     """B10 (stream): stream-stream inner join of rows within ``seconds``.
 
     Both sides carry a watermark on a ``timestamp`` copy of their event time
-    (``timestamp_ntz`` is read in the session time zone); the equality on a
+    (``timestamp_ntz`` is read as UTC); the equality on a
     time bucket (the right side replicated into its neighbour buckets) gives
     the join an equi key, and the range condition on the watermarked columns
     lets Spark drop join state once both watermarks pass it.
     """
     width = bucket_seconds or max(seconds, 1)
     span = -(-seconds // width)  # neighbour buckets a match can fall in
-    lw = left.withColumn("_lt", F.col(left_ts).cast("timestamp")).withWatermark("_lt", left_delay)
+    lw = left.withColumn("_lt", as_instant(left, left_ts)).withWatermark("_lt", left_delay)
     lw = lw.withColumn("_lb", F.floor(F.unix_seconds("_lt") / width).cast("bigint"))
-    rw = right.withColumn("_rt", F.col(right_ts).cast("timestamp")).withWatermark("_rt", right_delay)
+    rw = right.withColumn("_rt", as_instant(right, right_ts)).withWatermark("_rt", right_delay)
     rb = F.floor(F.unix_seconds("_rt") / width).cast("bigint")
     rw = rw.withColumn("_rb", F.explode(F.sequence(rb - F.lit(span), rb + F.lit(span))))
     bound = F.expr(f"INTERVAL {seconds} SECONDS")
