@@ -13,9 +13,10 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate of a plan (from file and column stats)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     except Exception:  # noqa: BLE001 - estimate unavailable (e.g. Spark Connect)
         return None
+    return int(size) if isinstance(size, int) else int(size.toString())  # py4j may return a BigInt
 
 
 def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:

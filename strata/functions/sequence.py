@@ -133,3 +133,30 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     """``name`` = sum of ``value`` over the key's rows up to and including this
     one in ``order``."""
     return running_sum_staged(stage(df, keys, bucket), keys, order, value, name).drop(BUCKET)
+
+
+def running_aggs_staged(staged: DataFrame, keys: Sequence[str], order: Sequence[str],
+                        specs: dict[str, tuple[Column, str]]) -> DataFrame:
+    """Several running aggregates in one window pass: ``specs`` maps an output
+    name to ``(value, "sum" | "max")``; each is the aggregate over the key's
+    rows up to and including this one in ``order``. One in-bucket window, one
+    per-bucket summary and one edge join for all of them."""
+    keys, order = list(keys), list(order)
+    fns = {"sum": F.sum, "max": F.max}
+    with_v = staged.select("*", *[v.alias(f"_v_{n}") for n, (v, _) in specs.items()])
+    w_in = (Window.partitionBy(*keys, BUCKET).orderBy(*[F.col(c) for c in order])
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inner = with_v.select("*", *[fns[k](f"_v_{n}").over(w_in).alias(f"_run_{n}") for n, (_, k) in specs.items()])
+    summary = with_v.groupBy(*keys, BUCKET).agg(*[fns[k](f"_v_{n}").alias(f"_b_{n}") for n, (_, k) in specs.items()])
+    w_b = _bucket_window(keys).rowsBetween(Window.unboundedPreceding, -1)
+    edges = summary.select(*keys, BUCKET, *[fns[k](f"_b_{n}").over(w_b).alias(f"_before_{n}")
+                                            for n, (_, k) in specs.items()])
+    joined = _join_edges(inner, edges, keys)
+    out = []
+    for n, (_, k) in specs.items():
+        if k == "sum":
+            out.append((F.coalesce(F.col(f"_run_{n}"), F.lit(0)) + F.coalesce(F.col(f"_before_{n}"), F.lit(0)))
+                       .alias(n))
+        else:
+            out.append(F.greatest(f"_run_{n}", f"_before_{n}").alias(n))
+    return joined.select(*staged.columns, *out)

@@ -32,23 +32,27 @@ def constraint_report(df: DataFrame, table: str, primary_key: Sequence[str] = ()
     ride along in the key's partial aggregate, so the table is scanned once
     for both; every UNIQUE constraint adds one aggregate of its own.
     """
-    parts: list[DataFrame] = []
     pk = list(primary_key)
     null_cols = list(dict.fromkeys(pk + list(not_null)))
     nulls = [F.count(F.when(F.col(c).isNull(), True)).alias(f"_null_{c}") for c in null_cols]
+    findings: list[tuple[str, str, str]] = [("not_null", c, f"_null_{c}") for c in null_cols]
     if pk:
         per_key = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"), *nulls)
         key_present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in pk])
         totals = per_key.agg(
             F.count(F.when(key_present & (F.col("_n") > 1), True)).alias("_dup"),
             *[F.coalesce(F.sum(f"_null_{c}"), F.lit(0)).alias(f"_null_{c}") for c in null_cols])
-        for c in null_cols:
-            parts.append(totals.select(*_row(table, "not_null", c, F.col(f"_null_{c}"))))
-        parts.append(totals.select(*_row(table, "primary_key", ",".join(pk), F.col("_dup"))))
-    elif null_cols:
-        totals = df.agg(*nulls)
-        for c in null_cols:
-            parts.append(totals.select(*_row(table, "not_null", c, F.col(f"_null_{c}"))))
+        findings.append(("primary_key", ",".join(pk), "_dup"))
+    else:
+        totals = df.agg(*nulls) if nulls else None
+    parts: list[DataFrame] = []
+    if totals is not None:
+        # One aggregate row, unpivoted: a single plan branch, not one per check.
+        rows = F.array(*[F.struct(F.lit(check).alias("check"), F.lit(col).alias("column"),
+                                  F.col(value).cast("bigint").alias("violations"))
+                         for check, col, value in findings])
+        parts.append(totals.select(F.explode(rows).alias("r")).select(
+            F.lit(table).alias("table"), "r.check", "r.column", "r.violations"))
     for cols in (list(u) for u in unique):
         present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
         dup = (df.where(present).groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))

@@ -148,19 +148,24 @@ def count_within(probes: DataFrame, probe_id: str, probe_ts: str, targets: DataF
     us = F.lit(seconds * 1_000_000)
     p_us = epoch_micros(probes, probe_ts)
     t_us = epoch_micros(targets, target_ts)
-    # kind orders rows at equal time: lower probe (0) < target (1) < upper probe (2)
+    # kind orders rows at equal time: lower probe (0) < target (1) < upper
+    # probe (2) < the probe itself (3). The three probe points come from one
+    # scan of the probes (an explode), the targets from one scan.
     tgt = targets.select(*keys, t_us.alias("_t"), F.lit(1).alias("_kind"),
                          F.lit(None).cast(probes.schema[probe_id].dataType).alias("_pid"))
-    lower = probes.select(*keys, (p_us - us).alias("_t"), F.lit(0).alias("_kind"), F.col(probe_id).alias("_pid"))
-    upper = probes.select(*keys, (p_us + us).alias("_t"), F.lit(2).alias("_kind"), F.col(probe_id).alias("_pid"))
-    at = probes.select(*keys, p_us.alias("_t"), F.lit(3).alias("_kind"), F.col(probe_id).alias("_pid"))
-    rows = reduce(DataFrame.unionByName, [tgt, lower, upper, at])
+    points = F.array(F.struct((p_us - us).alias("_t"), F.lit(0).alias("_kind")),
+                     F.struct((p_us + us).alias("_t"), F.lit(2).alias("_kind")),
+                     F.struct(p_us.alias("_t"), F.lit(3).alias("_kind")))
+    prb = probes.select(*keys, F.col(probe_id).alias("_pid"), F.explode(points).alias("_p")).select(
+        *keys, "_p._t", "_p._kind", "_pid")
+    rows = tgt.unionByName(prb)
     bucket = F.floor(F.col("_t") / F.lit(bucket_seconds * 1_000_000)).cast("bigint")
     staged = S.stage(rows, keys, bucket)
-    order = ["_t", "_kind", "_pid"]
-    counted = S.running_sum_staged(staged, keys, order, F.when(F.col("_kind") == 1, 1).otherwise(0), "_cum")
-    counted = S.carry_forward_max_staged(counted, keys, order, F.when(F.col("_kind") == 1, F.col("_t")),
-                                         "_last_t")
+    is_target = F.col("_kind") == 1
+    counted = S.running_aggs_staged(staged, keys, ["_t", "_kind", "_pid"], {
+        "_cum": (F.when(is_target, 1).otherwise(0), "sum"),
+        "_last_t": (F.when(is_target, F.col("_t")), "max"),
+    })
     per = (counted.where(F.col("_kind") != 1).groupBy("_pid")
            .agg(F.max(F.when(F.col("_kind") == 2, F.col("_cum"))).alias("_hi"),
                 F.max(F.when(F.col("_kind") == 0, F.col("_cum"))).alias("_lo"),

@@ -109,3 +109,13 @@ def test_top_per_window_salted_is_exact(spark):
         .withColumn("users", F.lit(1))
     got = [(r.product_id, r.rank) for r in M.top_per_window(counts, 3, salt_buckets=4).orderBy("rank").collect()]
     assert got == [(1, 1), (2, 2), (5, 3)]
+
+
+def test_broadcast_only_when_small(spark):
+    from strata.functions.joins import broadcast_if_small, estimated_bytes
+    small = spark.read.parquet("/root/testdata/sf0.001/nation.parquet")
+    assert 0 < estimated_bytes(small) < 10_000
+    plan = broadcast_if_small(small)._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in plan.lower()
+    big = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    assert broadcast_if_small(big, limit_bytes=1_000) is big
