@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import computed_once
+from strata.functions.timecols import instant_as_ntz
 from strata.schemas import AUDIT_COLUMN, LOG_FIELDS, LOG_PATTERN
 
 CORRUPT = "_corrupt_record"
@@ -115,8 +116,4 @@ def parse_time(text: Column) -> Column:
 def to_utc_wall_clock(spark, ts: Column) -> Column:
     """An instant (``timestamp``) as its UTC wall-clock ``timestamp_ntz``,
     whatever the session time zone."""
-    tz = spark.conf.get("spark.sql.session.timeZone")
-    local = ts.cast("timestamp_ntz")
-    if tz in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
-        return local
-    return F.convert_timezone(F.lit(tz), F.lit("UTC"), local)
+    return instant_as_ntz(spark, ts)

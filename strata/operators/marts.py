@@ -12,13 +12,11 @@ is exact and stays linear however many rows share a key or a second.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import sequence as S
-from strata.functions.joins import broadcast_if_small
 from strata.functions.timecols import epoch_micros
 
 # --- B3: product activity in sliding windows --------------------------------
@@ -241,4 +239,4 @@ def latest_status(updates: DataFrame, key: str, ts: str, status: str) -> DataFra
 
 __all__ = ["product_activity", "service_health", "carrier_latency", "sessions", "funnel", "count_within",
            "failures_near_purchases", "purchases_vs_orders", "purchases_matched_within", "discrepancy",
-           "discrepancy_counts", "latest_status", "broadcast_if_small"]
+           "discrepancy_counts", "latest_status", "top_per_window"]

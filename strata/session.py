@@ -58,13 +58,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     unset (a local test session) do we pick a fresh temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    context = None
+    try:
+        context = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext in a remote (Connect) session
+        pass
+    if not configured and context is not None:
+        configured = context.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+    if context is not None and context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured)
     return configured
 
 

@@ -1,6 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
 
 from strata import jobs
 from strata.functions import flatten as FL
