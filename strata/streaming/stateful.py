@@ -117,16 +117,8 @@ def late_router(df: DataFrame, ts: str, lateness_seconds: int, on_time_path: str
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def interval_join_stream(left: DataFrame, left_ts: str, right: DataFrame, right_ts: str, seconds: int,
-                         left_delay: str, right_delay: str, bucket_seconds: int | None = None) -> DataFrame:
-    """B10 (stream): stream-stream inner join of rows within ``seconds``.
-
-    Both sides carry a watermark on a ``timestamp`` copy of their event time
-    (``timestamp_ntz`` is read as UTC); the equality on a
-    time bucket (the right side replicated into its neighbour buckets) gives
-    the join an equi key, and the range condition on the watermarked columns
-    lets Spark drop join state once both watermarks pass it.
-    """
+def _interval_sides(left: DataFrame, left_ts: str, right: DataFrame, right_ts: str, seconds: int,
+                    left_delay: str, right_delay: str, bucket_seconds: int | None):
     width = bucket_seconds or max(seconds, 1)
     span = -(-seconds // width)  # neighbour buckets a match can fall in
     lw = left.withColumn("_lt", as_instant(left, left_ts)).withWatermark("_lt", left_delay)
@@ -137,4 +129,33 @@ def interval_join_stream(left: DataFrame, left_ts: str, right: DataFrame, right_
     bound = F.expr(f"INTERVAL {seconds} SECONDS")
     cond = ((F.col("_lb") == F.col("_rb"))
             & (F.col("_rt") >= F.col("_lt") - bound) & (F.col("_rt") <= F.col("_lt") + bound))
+    return lw, rw, cond
+
+
+def interval_join_stream(left: DataFrame, left_ts: str, right: DataFrame, right_ts: str, seconds: int,
+                         left_delay: str, right_delay: str, bucket_seconds: int | None = None) -> DataFrame:
+    """B10 (stream): stream-stream inner join of rows within ``seconds``.
+
+    Both sides carry a watermark on a ``timestamp`` copy of their event time
+    (``timestamp_ntz`` is read as UTC); the equality on a time bucket (the
+    right side replicated into its neighbour buckets) gives the join an equi
+    key, and the range condition on the watermarked columns lets Spark drop
+    join state once both watermarks pass it. The output has one row per
+    matching pair, so it grows with the square of the event rate inside the
+    bound: use :func:`interval_semi_join_stream` when the question is
+    whether a match exists.
+    """
+    lw, rw, cond = _interval_sides(left, left_ts, right, right_ts, seconds, left_delay, right_delay,
+                                   bucket_seconds)
     return lw.join(rw, cond, "inner").drop("_lb", "_rb", "_lt", "_rt")
+
+
+def interval_semi_join_stream(left: DataFrame, left_ts: str, right: DataFrame, right_ts: str, seconds: int,
+                              left_delay: str, right_delay: str, bucket_seconds: int | None = None) -> DataFrame:
+    """B10 (stream): the left rows with at least one right row within
+    ``seconds`` (stream-stream left semi join); each left row is emitted at
+    most once, so the output is linear in the left stream. State on both
+    sides is bounded by the watermarks as in :func:`interval_join_stream`."""
+    lw, rw, cond = _interval_sides(left, left_ts, right, right_ts, seconds, left_delay, right_delay,
+                                   bucket_seconds)
+    return lw.join(rw, cond, "left_semi").drop("_lb", "_lt")

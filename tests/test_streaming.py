@@ -93,3 +93,16 @@ def test_validated_append_quarantines(spark, scratch):
     assert [r.event_id for r in ok] == ["e-1"]
     q = sorted(r.error for r in spark.read.parquet(f"{scratch}/q").collect())
     assert q == ["expected an object", "missing required fields ['user_id']"]
+
+
+def test_interval_semi_join_stream(spark, scratch):
+    a, b = f"{scratch}/sa", f"{scratch}/sb"
+    _write_lines(a, "a.json", [json.dumps({"id": i, "ts": f"2026-06-11T10:{i:02d}:00Z"}) for i in range(0, 60, 5)])
+    _write_lines(b, "b.json", [json.dumps({"fts": f"2026-06-11T10:{i:02d}:10Z"}) for i in (11, 12, 13, 40)])
+    left = spark.readStream.format("json").schema("id int, ts timestamp").load(a)
+    right = spark.readStream.format("json").schema("fts timestamp").load(b)
+    from strata.streaming.runner import run_available
+    got = sorted(r.id for r in run_available(ST.interval_semi_join_stream(left, "ts", right, "fts", 120,
+                                                                          "10 minutes", "10 minutes"),
+                                             spark, "semi").collect())
+    assert got == [10, 15, 40]
