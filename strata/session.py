@@ -32,6 +32,28 @@ DEFAULT_CONF: dict[str, str] = {
 }
 
 
+def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024,
+                scan_split_bytes: int = 512 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle and scan sizing for a job over ``input_bytes`` on ``total_cores``.
+
+    The initial shuffle partition count is chosen so that the largest shuffle
+    (at most about the input size after column pruning) gives partitions near
+    ``target_partition_bytes``, and never fewer than two waves of tasks; AQE
+    then coalesces small partitions towards the same advisory size and splits
+    skewed ones. Scans are split at ``scan_split_bytes``. For 100 TB on
+    1,000 executors x 8 cores this gives 409,600 shuffle partitions before
+    coalescing and 204,800 scan splits.
+    """
+    partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+    }
+
+
 def build_session(
     app_name: str = "strata",
     master: str | None = None,

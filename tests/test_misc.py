@@ -119,3 +119,10 @@ def test_broadcast_only_when_small(spark):
     assert "broadcast" in plan.lower()
     big = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     assert broadcast_if_small(big, limit_bytes=1_000) is big
+
+
+def test_sizing_conf():
+    from strata.session import sizing_conf
+    conf = sizing_conf(100 * 1024 ** 4, 8000)
+    assert conf["spark.sql.shuffle.partitions"] == "409600"
+    assert sizing_conf(10 * 1024 ** 2, 8)["spark.sql.shuffle.partitions"] == "16"
