@@ -46,17 +46,21 @@ def deduplicate(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
     return first_per_key(df, keys, order or [])
 
 
-def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
-                     order: Sequence[str] | None = None) -> DataFrame:
-    """C1 (``ON CONFLICT DO NOTHING``): target plus incoming rows whose key is new.
-
-    Incoming rows are first reduced to one per key (the first by ``order``),
-    then anti-joined against the target's distinct keys.
-    """
+def rows_to_insert(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
+                   order: Sequence[str] | None = None) -> DataFrame:
+    """C1, the rows to append: incoming rows reduced to one per key (the
+    first by ``order``) whose key the target lacks. Only the target's key
+    column(s) are read; append the result instead of rewriting the table."""
     keys = list(keys)
     fresh = first_per_key(incoming.select(*target.columns), keys, order or [])
-    new_rows = fresh.join(target.select(*keys).distinct(), keys, "left_anti")
-    return target.unionByName(new_rows)
+    return fresh.join(target.select(*keys).distinct(), keys, "left_anti")
+
+
+def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
+                     order: Sequence[str] | None = None) -> DataFrame:
+    """C1 (``ON CONFLICT DO NOTHING``): target plus incoming rows whose key is
+    new (the table after the insert; :func:`rows_to_insert` for the append)."""
+    return target.unionByName(rows_to_insert(target, incoming, keys, order))
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str],

@@ -74,12 +74,36 @@ def upsert_log(df: DataFrame, path: str, checkpoint: str, trigger: dict | None =
             .foreachBatch(write).trigger(**(trigger or {"availableNow": True})).start())
 
 
-def read_upsert_log(spark, path: str, keys: Sequence[str]) -> DataFrame:
-    """The latest version of every key in an upsert log (partially aggregated)."""
+def read_upsert_log(spark, path: str, keys: Sequence[str], snapshot: str | None = None) -> DataFrame:
+    """The latest version of every key in an upsert log (partially aggregated).
+
+    With ``snapshot`` (written by :func:`compact_upsert_log`), only the log's
+    batches after the snapshot are read on top of it, so the read cost stays
+    bounded as the log grows.
+    """
     log = spark.read.parquet(path)
+    if snapshot:
+        snap = spark.read.parquet(snapshot)
+        upto = snap.agg(F.max("batch_id")).first()[0]
+        if upto is not None:
+            log = snap.unionByName(log.where(F.col("batch_id") > F.lit(upto)))
     return K.latest_per_key(log, list(keys), ["batch_id"]).drop("batch_id")
 
 
+def compact_upsert_log(spark, path: str, keys: Sequence[str], snapshot_out: str,
+                       snapshot: str | None = None) -> str:
+    """Write the log's current state (with the batch each row came from) to
+    ``snapshot_out``: later reads merge only newer batches onto it."""
+    log = spark.read.parquet(path)
+    if snapshot:
+        snap = spark.read.parquet(snapshot)
+        upto = snap.agg(F.max("batch_id")).first()[0]
+        if upto is not None:
+            log = snap.unionByName(log.where(F.col("batch_id") > F.lit(upto)))
+    K.latest_per_key(log, list(keys), ["batch_id"]).write.mode("overwrite").parquet(snapshot_out)
+    return snapshot_out
+
+
 def late_router(df: DataFrame, ts: str, lateness_seconds: int, on_time_path: str, late_path: str,
                 marks_path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """B7 (stream): route updates older than ``lateness_seconds`` behind the
