@@ -13,10 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import sequence as S
+from strata.functions.joins import broadcast_if_small
 from strata.functions.timecols import epoch_micros
 
 
@@ -133,18 +134,37 @@ def transition_violations(changes: DataFrame, keys: Sequence[str], ts: str, tieb
 def sessionize(events: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str],
                gap_seconds: int, bucket_seconds: int = 86_400) -> DataFrame:
     """``session_start`` per event: a new session starts when the gap to
-    the key's previous event exceeds ``gap_seconds``.
-
-    Bucketed lag for the gap, then a bucketed carry-forward of the latest
-    start time; a session is then (key, session_start).
+    the key's previous event exceeds ``gap_seconds``; a session is then
+    ``(key, session_start)``.
+
+    One shuffle of the events on ``(key, time bucket)`` and one window pass:
+    inside a bucket, ``lag`` gives the gap and a running max the latest start
+    so far. A per-bucket summary (first and last time, latest inner start)
+    decides across bucket edges whether a bucket's first event starts a
+    session and what the latest start before the bucket is; the event's
+    session start is the greatest of the three.
     """
+    keys = list(keys)
     order = [ts] + list(tiebreak)
+    gap_us = F.lit(gap_seconds * 1_000_000)
     staged = S.stage(events.withColumn("_us", epoch_micros(events, ts)), keys,
                      S.time_bucket(events, ts, bucket_seconds))
-    nb = S.neighbors_staged(staged, keys, order, ["_us"], nxt=False)
-    gap = F.col("_us") - F.col("prev._us")
-    starts = nb.withColumn("_is_start", F.col("prev").isNull() | (gap > F.lit(gap_seconds * 1_000_000)))
-    start_value: Column = F.when(F.col("_is_start"), F.col(ts))
-    # Same (key, bucket) partitioning as the lag step: no second shuffle.
-    out = S.carry_forward_max_staged(starts, keys, order, start_value, "session_start")
-    return out.drop("prev", "_is_start", "_us", S.BUCKET)
+    w = Window.partitionBy(*keys, S.BUCKET).orderBy(*[F.col(c) for c in order])
+    prev_us = F.lag("_us").over(w)
+    inner = staged.withColumn("_prev_us", prev_us)
+    inner_start = F.when(F.col("_prev_us").isNotNull() & (F.col("_us") - F.col("_prev_us") > gap_us), F.col(ts))
+    inner = inner.withColumn("_run_start", F.max(inner_start).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    summary = inner.groupBy(*keys, S.BUCKET).agg(
+        F.min(F.struct("_us", *order)).alias("_first"), F.max("_us").alias("_last_us"),
+        F.max("_run_start").alias("_inner_max"))
+    w_b = (Window.partitionBy(*keys).orderBy(S.BUCKET) if keys else Window.orderBy(S.BUCKET))
+    prev_last = F.lag("_last_us").over(w_b)
+    first_starts = prev_last.isNull() | (F.col("_first._us") - prev_last > gap_us)
+    edges = summary.select(*keys, S.BUCKET, F.when(first_starts, F.col(f"_first.{ts}")).alias("_first_start"),
+                           "_inner_max")
+    edges = edges.select(*keys, S.BUCKET, "_first_start", F.max(F.greatest("_first_start", "_inner_max")).over(
+        w_b.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+    joined = inner.join(broadcast_if_small(edges), [*keys, S.BUCKET], "left")
+    start = F.greatest("_run_start", "_first_start", "_before").alias("session_start")
+    return joined.select(*events.columns, start)
