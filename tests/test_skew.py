@@ -57,3 +57,17 @@ def test_latest_per_key_hot(spark):
     ev = _events(spark)
     latest = {r.user_id: r.event_id for r in K.latest_per_key(ev, ["user_id"], ["ts", "event_id"]).collect()}
     assert latest[0] == 29_997
+
+
+def test_running_helpers_match_plain_window(spark):
+    ev = _events(spark, 6_000).withColumn("v", F.col("event_id") % 7)
+    bucket = S.time_bucket(ev, "ts", 3_600)
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    exp = ev.select("event_id", F.sum("v").over(w).alias("s"), F.max("v").over(w).alias("m"))
+    got_s = S.running_sum(ev, ["user_id"], ["ts", "event_id"], F.col("v"), bucket, "s")
+    got_m = S.carry_forward_max(ev, ["user_id"], ["ts", "event_id"], F.col("v"), bucket, "m")
+    assert got_s.select("event_id", "s").exceptAll(exp.select("event_id", "s")).count() == 0
+    assert got_m.select("event_id", "m").exceptAll(exp.select("event_id", "m")).count() == 0
+    both = S.running_aggs_staged(S.stage(ev, ["user_id"], bucket), ["user_id"], ["ts", "event_id"],
+                                 {"s": (F.col("v"), "sum"), "m": (F.col("v"), "max")})
+    assert both.select("event_id", "s", "m").exceptAll(exp).count() == 0
