@@ -269,3 +269,28 @@ FROM ({_DISCREPANCIES_SQL}) GROUP BY ROLLUP (severity, kind)
 def q_discrepancy_counts(spark, sf_dir):
     """Discrepancy counts by severity and kind with subtotals (rollup)."""
     return M.discrepancy_counts(_discrepancies(spark, sf_dir))
+
+
+VIEW_WINDOW_SECONDS = 30 * 60
+
+
+@register("purchase_view_within", sql=f"""
+WITH p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
+v AS (SELECT user_id, ts AS vts FROM events WHERE event_type = 'view')
+SELECT p.event_id, p.user_id, p.ts,
+  CAST(count(v.vts) AS BIGINT) AS n_within,
+  (epoch_us(p.ts) - epoch_us(max(v.vts) FILTER (WHERE v.vts <= p.ts))) / 1000000.0 AS seconds_since_last,
+  CASE WHEN count(v.vts) > 0 THEN 'matched' ELSE 'no_view' END AS status
+FROM p LEFT JOIN v ON v.user_id = p.user_id
+  AND v.vts BETWEEN p.ts - INTERVAL {VIEW_WINDOW_SECONDS} SECOND AND p.ts + INTERVAL {VIEW_WINDOW_SECONDS} SECOND
+GROUP BY p.event_id, p.user_id, p.ts
+""")
+def q_purchase_view_within(spark, sf_dir):
+    """B2/B9 with a time bound, keyed: per purchase, the same user's views
+    within 30 minutes (count, seconds since the last one before it) and a
+    matched / no_view status; pair-free running counts per (user, bucket)."""
+    events = read_table(spark, sf_dir, "events", "event_id", "user_id", "ts", "event_type")
+    purchases = events.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
+    views = events.where(F.col("event_type") == "view").select("user_id", F.col("ts").alias("vts"))
+    counted = M.count_within(purchases, "event_id", "ts", views, "vts", VIEW_WINDOW_SECONDS, keys=["user_id"])
+    return counted.withColumn("status", F.when(F.col("n_within") > 0, "matched").otherwise("no_view"))
