@@ -80,3 +80,26 @@ def test_bronze_batch_counts_only_this_run(spark, scratch):
     for _ in range(2):
         s = {r.source_kind: r for r in jobs.run_bronze_batch(spark, f"{scratch}/raw2", topics, {}).collect()}
         assert s["kafka_topics"].rows == 2
+
+
+def test_bucketed_tables_reconcile_without_key_shuffle(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from strata.operators import reconcile as R
+    from strata.sinks import files as sinks
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS silver")
+    orders = spark.range(2000).select((F.col("id") % 1500).alias("order_id"))
+    ships = spark.range(1000).select(F.col("id").alias("order_id"))
+    sinks.write_bucketed(orders, "silver.orders_b", ["order_id"], 8, f"{scratch}/ob")
+    sinks.write_bucketed(ships, "silver.ships_b", ["order_id"], 8, f"{scratch}/sb")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rep = R.reconcile_report(spark.table("silver.orders_b"), spark.table("silver.ships_b"))
+        plan = rep._jdf.queryExecution().executedPlan().toString()
+        r = rep.first()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE silver.orders_b")
+        spark.sql("DROP TABLE silver.ships_b")
+    assert "hashpartitioning" not in plan  # co-located: only the final single-row exchange
+    assert (r.total_orders, r.unique_orders, r.matched_unique_orders) == (2000, 1499, 999)
