@@ -26,6 +26,9 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # JSON objects with a repeated key parse with the last value winning (as
+    # Python's json module does) instead of failing to parse.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
