@@ -12,7 +12,6 @@ from strata.operators import keyed as K
 from strata.operators import marts as M
 from strata.operators import reconcile as R
 from strata.plans import derive as D
-from strata.plans.parse_queries import _LOG_LINE_SQL
 from strata.plans.reconcile_queries import ORDER_EXTRACT_CUTOFF, _order_extract, _shipments
 from strata.plans.registry import register
 from strata.sources.tables import read_table
@@ -37,7 +36,6 @@ _LOGS_SQL = f"""
     CAST(floor(value * 100) % 2990 + 10 AS INTEGER) AS latency_ms
   FROM events WHERE event_id % 34 NOT IN (0, 17)
 """
-assert _LOG_LINE_SQL  # the raw-line form lives with the parse queries
 
 
 def _parsed_logs(spark, sf_dir) -> DataFrame:
