@@ -28,8 +28,9 @@ Reading the numbers:
 
 - At sf0.1 a user has about one event per hour, so per-(key, bucket) summaries are about as large as
   the data; with denser data they shrink to one row per key and bucket while the events grow. The
-  summary branch of the sequence helpers reads its key and order columns a second time: column pruning
-  gives it a narrower scan than the big side, and the two branches do not share an exchange.
+  summary branch of the sequence helpers scans only the key and order columns a second time and
+  aggregates them map-side before its shuffle. That is cheaper at scale than forcing it onto the big
+  side's exchange, which would re-read every shuffled column.
 - `product_activity_window` shuffles about 19 rows per event. A 5-minute window sliding by 1 minute
   puts every event in 5 windows. The fixture is so sparse that each (window, product, user) and
   (window, product) group holds about one row, and the top-k runs in two ranked stages. With real
