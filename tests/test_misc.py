@@ -126,3 +126,17 @@ def test_sizing_conf():
     conf = sizing_conf(100 * 1024 ** 4, 8000)
     assert conf["spark.sql.shuffle.partitions"] == "409600"
     assert sizing_conf(10 * 1024 ** 2, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_epoch_micros_ignores_session_zone(spark):
+    from strata.functions.timecols import as_instant, epoch_micros, instant_as_ntz
+    df = spark.sql("select timestamp_ntz'2024-03-10 01:30:00' a, timestamp_ntz'2024-03-10 03:30:00' b")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")  # DST starts 2024-03-10 02:00
+    try:
+        r = df.select((epoch_micros(df, "b") - epoch_micros(df, "a")).alias("d"),
+                      instant_as_ntz(spark, as_instant(df, "a")).alias("back")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r.d == 2 * 3600 * 1_000_000
+    assert str(r.back) == "2024-03-10 01:30:00"
