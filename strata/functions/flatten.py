@@ -26,15 +26,13 @@ from pyspark.sql import types as T
 
 from strata.functions.columns import computed_once
 from strata.functions.variant import is_object
+from strata.functions.variant import path as variant_path
 
 SEP = "_"
 
 
 def _path(parts: list[str]) -> str:
-    for p in parts:
-        if "'" in p or "\\" in p:
-            raise ValueError(f"unsupported key in path: {p!r}")
-    return "$" + "".join(f"['{p}']" for p in parts)
+    return variant_path(*parts)
 
 
 def infer_variant_schema(df: DataFrame, column: Column) -> T.DataType:

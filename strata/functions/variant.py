@@ -19,3 +19,17 @@ def type_tag(v: Column) -> Column:
     """The value's type as text (``STRING``, ``BIGINT``, ``DECIMAL(1,0)``,
     ``OBJECT<...>``, ``VOID`` for JSON null); use on scalars, it walks objects."""
     return F.schema_of_variant(v)
+
+
+def path(*keys: str) -> str:
+    """A VARIANT extraction path for object keys, any characters allowed
+    except a key holding both quote characters (no escape exists for it)."""
+    parts = []
+    for key in keys:
+        if "'" not in key:
+            parts.append(f"['{key}']")
+        elif '"' not in key:
+            parts.append(f'["{key}"]')
+        else:
+            raise ValueError(f"object key with both quote characters: {key!r}")
+    return "$" + "".join(parts)

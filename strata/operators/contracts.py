@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from strata.functions.columns import computed_once
 from strata.functions.variant import is_object as variant_is_object
+from strata.functions.variant import path as variant_path
 from strata.schemas import CONTRACTS
 
 _INT_TAGS = ("BIGINT", "INT", "SMALLINT", "TINYINT", "BOOLEAN")
@@ -35,9 +36,7 @@ _FLOAT_TAGS = ("DOUBLE", "FLOAT")
 
 def _field(v: Column, name: str) -> Column:
     """The field as VARIANT: SQL NULL when absent, variant null when JSON null."""
-    if "'" in name or "\\" in name:
-        raise ValueError(f"unsupported field name: {name!r}")
-    return F.try_variant_get(v, f"$['{name}']", "variant")
+    return F.try_variant_get(v, variant_path(name), "variant")
 
 
 def _tag(v: Column) -> Column:

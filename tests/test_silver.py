@@ -101,3 +101,11 @@ def test_silver_write_round_trip(spark, scratch):
     other = spark.createDataFrame([("o-1", "orders", "orders")], "event_id string, source_name string, dataset string")
     sinks.write_silver(other, f"{scratch}/silver")   # another dataset: the first one stays
     assert spark.read.parquet(f"{scratch}/silver").count() == 2
+
+
+def test_flatten_keys_with_quotes_and_dots(spark):
+    from strata.functions import flatten as FL
+    doc = json.dumps({"it's": {"x.y": 1}, 'a"b': 2})
+    df = spark.createDataFrame([(doc,)], "value string")
+    row = FL.flatten_json(df).first().asDict()
+    assert row == {'a"b': 2, "it's_x.y": 1}
