@@ -6,6 +6,7 @@ files or records on the driver.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,8 +29,10 @@ def silver_records(spark: SparkSession, input_path: str, base_dir: str | None =
     """
     docs = sources.read_json_documents(spark, input_path)
     base = base_dir or input_path
+    # local paths come back as file:/... or file:///...; compare without the scheme
+    local_base = re.sub(r"^file:/+", "/", base)
     dataset = F.lit(dataset_name) if dataset_name else N.dataset_from_path(
-        F.regexp_replace(F.col("path"), r"^file:", ""), base.replace("file:", ""))
+        F.regexp_replace(F.col("path"), r"^file:/+", "/"), local_base)
     docs = docs.withColumn("dataset", dataset)
     if form == "wide":
         return N.normalize(docs, None, doc_col="doc", keep=("dataset",), unwrap_keys=unwrap_keys)
