@@ -135,3 +135,15 @@ def q_stream_purchases_near_failures(spark, sf_dir):
     near = ST.interval_semi_join_stream(purchases, "ts", failures, "log_ts", FAILURE_WINDOW_SECONDS,
                                         WATERMARK, WATERMARK)
     return runner.run_available(near.select("event_id", "ts"), spark, "stream_purchases_near_failures")
+
+
+@register("stream_reconcile_report", sql=ORACLE_SQL["reconcile_report"])
+def q_stream_reconcile_report(spark, sf_dir):
+    """E5 (stream): the flagship report kept up to date incrementally: order
+    and line-item streams update per-key counts (update mode, idempotent
+    upsert log); the report is aggregated from the current state."""
+    counts = ST.reconcile_counts_stream(stream_table(spark, sf_dir, "orders"), stream_table(spark, sf_dir, "lineitem"),
+                                        "o_orderkey", "l_orderkey")
+    base = scratch_path(spark, "stream_reconcile_report")
+    ST.upsert_log(counts, f"{base}/log", f"{base}/checkpoint").awaitTermination()
+    return ST.reconcile_report_from_log(spark, f"{base}/log")

@@ -183,3 +183,34 @@ def interval_semi_join_stream(left: DataFrame, left_ts: str, right: DataFrame, r
     lw, rw, cond = _interval_sides(left, left_ts, right, right_ts, seconds, left_delay, right_delay,
                                    bucket_seconds)
     return lw.join(rw, cond, "left_semi").drop("_lb", "_lt")
+
+
+def reconcile_counts_stream(orders: DataFrame, shipments: DataFrame, order_key: str, shipment_key: str,
+                            zero_is_missing: bool = True) -> DataFrame:
+    """E5 (stream): running per-key order and shipment row counts from two
+    streams, as update-mode aggregate state (one row per key: the state is
+    the per-key table itself). Feed it to :func:`upsert_log` and read the
+    report with :func:`reconcile_report_from_log`."""
+    from strata.functions.keys import common_key_type, truthy_key
+    ktype = common_key_type(orders, order_key, shipments, shipment_key)
+    o = orders.select(F.col(order_key).cast(ktype).alias("order_id"), F.lit(1).alias("_o"), F.lit(0).alias("_s"))
+    s = shipments.select(F.col(shipment_key).cast(ktype).alias("order_id"), F.lit(0).alias("_o"),
+                         F.lit(1).alias("_s"))
+    s = s.where(truthy_key(s, "order_id", zero_is_missing))
+    return (o.unionByName(s).groupBy("order_id")
+            .agg(F.sum("_o").cast("bigint").alias("n_orders"), F.sum("_s").cast("bigint").alias("n_shipments")))
+
+
+def reconcile_report_from_log(spark, path: str, zero_is_missing: bool = True,
+                              snapshot: str | None = None) -> DataFrame:
+    """The reconciliation report of the current state of an upsert log
+    written from :func:`reconcile_counts_stream`."""
+    from strata.functions.keys import truthy_key
+    from strata.operators.reconcile import report_from_counts
+    state = read_upsert_log(spark, path, ["order_id"], snapshot=snapshot)
+    counts = state.select("order_id",
+                          F.when(F.col("n_orders") > 0, F.col("n_orders")).alias("n_orders"),
+                          F.when(F.col("n_shipments") > 0, F.col("n_shipments")).alias("n_shipments"))
+    counts = counts.withColumn("present", truthy_key(counts, "order_id", zero_is_missing)
+                               & F.col("n_orders").isNotNull())
+    return report_from_counts(counts)

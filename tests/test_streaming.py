@@ -154,3 +154,20 @@ def test_processing_time_trigger_runs(spark, scratch):
     finally:
         q.stop()
     assert spark.read.parquet(out).count() == 1
+
+
+def test_stream_reconcile_matches_batch(spark, scratch):
+    from strata.operators import reconcile as R
+    o_dir, s_dir = f"{scratch}/o", f"{scratch}/s"
+    _write_lines(o_dir, "1.json", [json.dumps({"order_id": k}) for k in ["o-1", "o-2", "o-2", ""]])
+    _write_lines(o_dir, "2.json", [json.dumps({"order_id": k}) for k in ["o-3", "o-1"]])
+    _write_lines(s_dir, "1.json", [json.dumps({"order_id": k}) for k in ["o-1"]])
+    _write_lines(s_dir, "2.json", [json.dumps({"order_id": k}) for k in ["o-3", "o-9", ""]])
+    read = lambda d: spark.readStream.format("json").schema("order_id string").option(
+        "maxFilesPerTrigger", 1).load(d)
+    counts = ST.reconcile_counts_stream(read(o_dir), read(s_dir), "order_id", "order_id")
+    ST.upsert_log(counts, f"{scratch}/rlog", f"{scratch}/rck").awaitTermination()
+    got = ST.reconcile_report_from_log(spark, f"{scratch}/rlog").first().asDict()
+    batch = lambda d: spark.read.schema("order_id string").json(d)
+    exp = R.reconcile_report(batch(o_dir), batch(s_dir)).first().asDict()
+    assert got == exp and exp["matched_orders"] == 3 and exp["total_orders"] == 6
