@@ -22,6 +22,7 @@ from strata.plans.registry import ORACLE_SQL, register
 from strata.schemas import CLICKSTREAM_SCHEMA
 from strata.session import scratch_path
 from strata.sources.tables import stream_table
+from strata.streaming import bronze as B
 from strata.streaming import runner
 from strata.streaming import stateful as ST
 
@@ -147,3 +148,16 @@ def q_stream_reconcile_report(spark, sf_dir):
     base = scratch_path(spark, "stream_reconcile_report")
     ST.upsert_log(counts, f"{base}/log", f"{base}/checkpoint").awaitTermination()
     return ST.reconcile_report_from_log(spark, f"{base}/log")
+
+
+@register("stream_validate_errors", sql=ORACLE_SQL["validate_errors"])
+def q_stream_validate_errors(spark, sf_dir):
+    """V2-V7 / D10 (stream): contract check inside a bronze stream; rejected
+    records land per micro-batch in a quarantine table, read back here."""
+    raw = D.contract_records(stream_table(spark, sf_dir, "events")).withColumnRenamed("event_id", "src_id")
+    base = scratch_path(spark, "stream_validate_errors")
+    q = B.validated_append(raw, "clickstream_events", f"{base}/valid", f"{base}/quarantine", f"{base}/checkpoint",
+                           schema=CLICKSTREAM_SCHEMA, trigger={"availableNow": True}, keep=("src_id",))
+    q.awaitTermination()
+    bad = spark.read.parquet(f"{base}/quarantine")
+    return bad.select("src_id", "error", F.size("errors").alias("n_errors"))

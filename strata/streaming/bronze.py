@@ -13,7 +13,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -92,27 +91,30 @@ def append_stream(df: DataFrame, checkpoint: str, table: str | None = None, path
 
 
 def validated_append(raw: DataFrame, source: str, out_path: str, quarantine_path: str, checkpoint: str,
-                     schema: T.StructType | None = None, trigger: Mapping | None = None) -> StreamingQuery:
+                     schema: T.StructType | None = None, trigger: Mapping | None = None,
+                     keep: tuple[str, ...] = ()) -> StreamingQuery:
     """Contract check between parsing and landing, on a message stream.
 
     Each micro-batch is split by the source's contract (V2-V7): valid
     records are parsed by ``schema`` (or kept as log lines) and land under
     ``out_path/batch_id=<n>``, rejected ones with their reasons under
-    ``quarantine_path/batch_id=<n>``. Both writes overwrite their batch
-    folder, so a replayed batch does not duplicate rows.
+    ``quarantine_path/batch_id=<n>``; ``keep`` columns ride along in both.
+    Both writes overwrite their batch folder, so a replayed batch does not
+    duplicate rows.
     """
     from strata.operators.contracts import validate
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        checked = validate(batch, source, column="value", keep=("value",))
-        valid = checked.valid.select("value")
+        checked = validate(batch, source, column="value", keep=keep + ("value",))
+        valid = checked.valid.select(*keep, "value")
         if schema is not None:
-            valid = json_bronze(valid, schema)
+            valid = P.with_audit_time(P.parse_json_columns(valid, schema, keep=keep))
         else:
             valid = P.with_audit_time(valid)
         valid.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
-        checked.quarantine.drop("value").withColumn("batch_id", F.lit(batch_id)) \
-            .write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/batch_id={batch_id}")
+        # the batch_id=<n> folder is the batch column when the table is read
+        checked.quarantine.drop("value").write.mode("overwrite").parquet(
+            f"{quarantine_path.rstrip('/')}/batch_id={batch_id}")
 
     return (raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(land)
             .trigger(**dict(trigger or DEFAULT_TRIGGER)).start())
