@@ -98,9 +98,11 @@ def run_bronze_batch(spark: SparkSession, out_base: str, topics: dict[str, DataF
         sinks.write_raw(df, out_base, name, run_id)
         kinds[name] = "api_payloads"
     kind_df = spark.createDataFrame(sorted(kinds.items()), "source string, source_kind string")
-    # Read back only this run's rows, two columns, no schema inference.
-    landed = (spark.read.schema("_run_id string, source string, ingest_date date").json(out_base)
-              .where(F.col("_run_id") == run_id)
+    # Read back only this run's partitions (no listing of earlier runs), no
+    # schema inference; the source comes from the partition path.
+    landed = (spark.read.option("basePath", out_base)
+              .schema("source string, ingest_date date, run_id string")
+              .json(f"{out_base.rstrip('/')}/source=*/ingest_date=*/run_id={run_id}")
               .groupBy("source").agg(F.count(F.lit(1)).alias("rows")))
     per_source = kind_df.join(landed, "source", "left")
     return (per_source.groupBy("source_kind")

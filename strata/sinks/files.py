@@ -9,18 +9,22 @@ from strata.schemas import AUDIT_COLUMN
 
 
 def write_raw(df: DataFrame, base_path: str, source: str, run_id: str | None = None) -> str:
-    """K3: land raw records as JSON lines under ``<base>/source=<s>/ingest_date=<d>/``.
+    """K3: land raw records as JSON lines under
+    ``<base>/source=<s>/ingest_date=<d>/[run_id=<r>/]``.
 
-    One record per line (splittable), tagged with source, UTC ingest time and
-    (optionally) the run that landed it; appends never overwrite earlier
-    landings (Spark's part names are unique). Returns the source's folder.
+    One record per line (splittable), tagged with source and UTC ingest time;
+    appends never overwrite earlier landings (Spark's part names are unique).
+    With ``run_id`` every run gets its own partition, so a run's rows can be
+    read back without listing earlier runs. Returns the source's folder.
     """
     out = (df.withColumn("source", F.lit(source))
              .withColumn(AUDIT_COLUMN, F.current_timestamp())
              .withColumn("ingest_date", F.to_date(F.col(AUDIT_COLUMN))))
+    parts = ["source", "ingest_date"]
     if run_id is not None:
-        out = out.withColumn("_run_id", F.lit(run_id))
-    out.write.mode("append").partitionBy("source", "ingest_date").json(base_path)
+        out = out.withColumn("run_id", F.lit(run_id))
+        parts.append("run_id")
+    out.write.mode("append").partitionBy(*parts).json(base_path)
     return f"{base_path.rstrip('/')}/source={source}"
 
 
