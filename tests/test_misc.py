@@ -140,3 +140,30 @@ def test_epoch_micros_ignores_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert r.d == 2 * 3600 * 1_000_000
     assert str(r.back) == "2024-03-10 01:30:00"
+
+
+def test_deduplicate_and_json_lines(spark, scratch):
+    from strata.operators import keyed as K
+    from strata.sources import files
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "id int, v string")
+    assert sorted(tuple(r) for r in K.deduplicate(df, ["id"]).collect()) == [(1, "a"), (2, "c")]
+    assert K.deduplicate(df.select("id"), ["id"]).count() == 2
+    os.makedirs(f"{scratch}/jl/sub")
+    with open(f"{scratch}/jl/sub/a.json", "w") as fh:
+        fh.write('{"x":1}\n{"x":2}\n')
+    lines = files.read_json_lines(spark, f"{scratch}/jl")
+    assert lines.count() == 2 and lines.first().path.endswith("sub/a.json")
+
+
+def test_flatten_entries_single_expression(spark):
+    from strata.functions import flatten as FL
+    df = spark.createDataFrame([('{"a":{"b":{"c":1}},"d":2}',)], "value string")
+    row = df.select(FL.last_wins(FL.flatten_entries(F.parse_json("value"), depth=3)).alias("e")).first()
+    assert sorted((x.key, x.value.toPython()) for x in row.e) == [("a_b_c", 1), ("d", 2)]
+
+
+def test_kafka_source_needs_its_connector(spark):
+    import pytest
+    from strata.streaming import bronze as B
+    with pytest.raises(Exception, match="(?i)kafka"):
+        B.kafka_stream(spark, "localhost:9092", "clickstream_events")
