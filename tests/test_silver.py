@@ -109,3 +109,17 @@ def test_flatten_keys_with_quotes_and_dots(spark):
     df = spark.createDataFrame([(doc,)], "value string")
     row = FL.flatten_json(df).first().asDict()
     assert row == {'a"b': 2, "it's_x.y": 1}
+
+
+def test_folder_job_map_form(spark, scratch):
+    import os
+    bronze = f"{scratch}/bronze_m"
+    os.makedirs(bronze)
+    with open(f"{bronze}/orders_1.json", "w") as fh:
+        json.dump([{"order_id": "o-1", "customer": {"name": "Ada"}}, {"order_id": "o-2", "note": None}], fh)
+    jobs.silver_folder_job(spark, bronze, f"{scratch}/silver_m", form="map")
+    rows = spark.read.parquet(f"{scratch}/silver_m").collect()
+    recs = sorted(({k: v.toPython() for k, v in r.record.items()} for r in rows), key=lambda d: d["record_index"])
+    assert recs[0] == {"order_id": "o-1", "customer_name": "Ada", "source_name": "orders", "record_index": 0}
+    assert recs[1] == {"order_id": "o-2", "note": None, "source_name": "orders", "record_index": 1}
+    assert {r.dataset for r in rows} == {"orders_1"}
