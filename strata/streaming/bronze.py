@@ -152,3 +152,22 @@ def run_bronze_streams(spark: SparkSession, sources: list[BronzeSource], out_bas
             queries.append(append_stream(parsed, ckpt, path=f"{out_base.rstrip('/')}/{src.name}",
                                          trigger=trigger, query_name=src.name))
     return queries
+
+
+def run_until_any_ends(spark: SparkSession, queries: list[StreamingQuery], timeout_s: float | None = None
+                       ) -> StreamingQuery | None:
+    """Wait until one of the queries ends (or ``timeout_s`` passes), then
+    stop the others; a query that ended with an error re-raises it here.
+    Returns the query that ended first (None on timeout)."""
+    if timeout_s is None:
+        spark.streams.awaitAnyTermination()
+    elif not spark.streams.awaitAnyTermination(int(timeout_s * 1000)):
+        return None
+    ended = next((q for q in queries if not q.isActive), None)
+    for q in queries:
+        if q.isActive:
+            q.stop()
+    spark.streams.resetTerminated()
+    if ended is not None and ended.exception() is not None:
+        raise RuntimeError(f"stream {ended.name or ended.id} failed") from Exception(str(ended.exception()))
+    return ended

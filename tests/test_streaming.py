@@ -171,3 +171,16 @@ def test_stream_reconcile_matches_batch(spark, scratch):
     batch = lambda d: spark.read.schema("order_id string").json(d)
     exp = R.reconcile_report(batch(o_dir), batch(s_dir)).first().asDict()
     assert got == exp and exp["matched_orders"] == 3 and exp["total_orders"] == 6
+
+
+def test_run_until_any_ends(spark, scratch):
+    a, b = f"{scratch}/ra", f"{scratch}/rb"
+    _write_lines(a, "a.json", [_click(1)])
+    _write_lines(b, "b.json", [_click(2)])
+    done = B.append_stream(B.json_bronze(B.text_stream(spark, a), CLICKSTREAM_SCHEMA), f"{scratch}/cka",
+                           path=f"{scratch}/oa", trigger={"availableNow": True}, query_name="ends_first")
+    running = B.append_stream(B.json_bronze(B.text_stream(spark, b), CLICKSTREAM_SCHEMA), f"{scratch}/ckb",
+                              path=f"{scratch}/ob", trigger={"processingTime": "1 second"}, query_name="keeps_going")
+    ended = B.run_until_any_ends(spark, [done, running], timeout_s=60)
+    assert ended is not None and ended.name == "ends_first"
+    assert not running.isActive
