@@ -119,6 +119,9 @@ def normalize(docs: DataFrame, source: Column | str | None = None, doc_col: str
     meta = []
     if "value" not in pairs:
         meta.append(F.when(~obj, rec).alias("value"))
+    else:
+        # objects have a "value" key too: one VARIANT column holds both kinds
+        pairs["value"] = F.when(obj, F.try_variant_get(rec, "$['value']", "variant")).otherwise(rec)
 
     def set_default(name: str, default: Column, dtype: str) -> Column:
         present = obj & F.try_variant_get(rec, f"$['{name}']", "variant").isNotNull()

@@ -123,3 +123,8 @@ def test_folder_job_map_form(spark, scratch):
     assert recs[0] == {"order_id": "o-1", "customer_name": "Ada", "source_name": "orders", "record_index": 0}
     assert recs[1] == {"order_id": "o-2", "note": None, "source_name": "orders", "record_index": 1}
     assert {r.dataset for r in rows} == {"orders_1"}
+
+
+def test_value_key_and_scalar_elements(spark):
+    rows = N.normalize(docs(spark, '[{"value": 3}, 7]'), "s").orderBy("record_index").collect()
+    assert [r.value.toPython() for r in rows] == [3, 7]
