@@ -149,3 +149,28 @@ def test_normalize_map_matches_model(spark, docs):
     for i, d in enumerate(docs):
         expected = sorted(model_normalize(d, "src"), key=lambda x: x["record_index"])
         assert sorted(got.get(i, []), key=lambda x: x["record_index"]) == expected, (d, got.get(i))
+
+
+WIDE_RECORDS = st.fixed_dictionaries({}, optional={
+    "a": st.integers(0, 9), "b": st.integers(0, 9),
+    "c": st.fixed_dictionaries({}, optional={"x": st.integers(0, 9), "y": st.integers(0, 9)}),
+    "d": st.fixed_dictionaries({}, optional={"x": st.integers(0, 9)})})
+WIDE_DOCS = st.one_of(st.lists(st.one_of(WIDE_RECORDS, st.integers(0, 9)), max_size=4),
+                      st.fixed_dictionaries({"shipments": st.lists(WIDE_RECORDS, max_size=3)}), WIDE_RECORDS)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(WIDE_DOCS, min_size=1, max_size=12))
+def test_normalize_wide_matches_model(spark, docs):
+    from strata.operators import normalize as N
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "doc_id int, doc string")
+    out = N.normalize(df, "src", keep=("doc_id",))
+    got = {}
+    for r in out.collect():
+        d = {k: (v.toPython() if hasattr(v, "toPython") else v) for k, v in r.asDict().items()
+             if k != "doc_id" and v is not None}
+        got.setdefault(r.doc_id, []).append(d)
+    for i, d in enumerate(docs):
+        expected = [{k: v for k, v in rec.items() if v is not None}
+                    for rec in sorted(model_normalize(d, "src"), key=lambda x: x["record_index"])]
+        assert sorted(got.get(i, []), key=lambda x: x["record_index"]) == expected, (d, got.get(i))
