@@ -25,10 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import computed_once
+from strata.schemas import FLATTEN_SEPARATOR
 from strata.functions.variant import is_object
 from strata.functions.variant import path as variant_path
 
-SEP = "_"
+SEP = FLATTEN_SEPARATOR
 
 
 def _path(parts: list[str]) -> str:

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from strata.functions.columns import computed_once
 from strata.functions.variant import is_object as variant_is_object
 from strata.functions.variant import path as variant_path
+from strata import schemas as S
 from strata.schemas import CONTRACTS
 
 _INT_TAGS = ("BIGINT", "INT", "SMALLINT", "TINYINT", "BOOLEAN")
@@ -54,10 +55,10 @@ def _is_type(tag: Column, type_name: str) -> Column:
     raise ValueError(f"unknown contract type: {type_name}")
 
 
-def _type_text(spec) -> str:
+def _type_message(name: str, spec) -> str:
     if isinstance(spec, tuple):
-        return "must be one of (" + ", ".join(spec) + ")"
-    return f"must be of type {spec}"
+        return S.MSG_TYPES.format(name=name, types=", ".join(spec))
+    return S.MSG_TYPE.format(name=name, type=spec)
 
 
 def _canonical(value: Column, spec) -> Column:
@@ -79,7 +80,7 @@ class Validated:
 def contract_for(source: str) -> dict:
     """V1: the contract of a known source; an unknown name raises."""
     if source not in CONTRACTS:
-        raise ValueError(f"Unknown Bronze source schema: {source}")
+        raise ValueError(S.MSG_UNKNOWN_SOURCE.format(source=source))
     return CONTRACTS[source]
 
 
@@ -133,8 +134,9 @@ def validate(df: DataFrame, source: str, column: str = "value",
         F.array(*[F.when(~present(n) | (_tag(fields[n]) == "STRING") & (fields[n].cast("string") == ""),
                          F.lit(n)) for n in contract["required"]]),
         lambda x: x.isNotNull())
+    head, tail = S.MSG_MISSING.split("{names}")
     missing_msg = F.when(F.size(missing_names) > 0, F.concat(
-        F.lit("missing required fields ['"), F.array_join(missing_names, "', '"), F.lit("']")))
+        F.lit(head + "'"), F.array_join(missing_names, "', '"), F.lit("'" + tail)))
 
     type_msgs = []
     for name, spec in contract["types"].items():
@@ -143,9 +145,9 @@ def validate(df: DataFrame, source: str, column: str = "value",
         ok = None
         for k in kinds:
             ok = _is_type(tag, k) if ok is None else ok | _is_type(tag, k)
-        type_msgs.append(F.when(present(name) & ~ok, F.lit(f"field '{name}' {_type_text(spec)}")))
+        type_msgs.append(F.when(present(name) & ~ok, F.lit(_type_message(name, spec))))
 
-    errors = F.when(~is_object, F.array(F.lit("expected an object"))).otherwise(
+    errors = F.when(~is_object, F.array(F.lit(S.MSG_NOT_OBJECT))).otherwise(
         F.filter(F.array(missing_msg, *type_msgs), lambda x: x.isNotNull()))
     checked = base.select(*[F.col(k) for k in keep], rec, errors.alias("errors"),
                           *[c.alias(f"_f_{n}") for n, c in fields.items()])
@@ -169,5 +171,5 @@ def validate_strict(df: DataFrame, source: str, index_col: str, column: str = "v
     first_bad = checked.quarantine.agg(
         F.min_by(F.struct(index_col, "error"), F.col(index_col)).alias("first")).first()["first"]
     if first_bad is not None:
-        raise ValueError(f"Invalid record at index {first_bad[index_col]} for {source}: {first_bad['error']}")
+        raise ValueError(S.MSG_INVALID.format(index=first_bad[index_col], source=source, error=first_bad["error"]))
     return checked.valid

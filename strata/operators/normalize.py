@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions import flatten as FL
+from strata import schemas as S
 from strata.functions.variant import is_object
+from strata.functions.variant import path as variant_path
 
-SHIPMENTS = "shipments"
-ENVELOPE = "records"
+SHIPMENTS = S.SHIPMENTS_KEY
+ENVELOPE = S.ENVELOPE_KEY
 
 
 def _tag(v: Column) -> Column:
@@ -32,7 +34,7 @@ def _is_object(v: Column) -> Column:
 
 def _has_key(v: Column, key: str) -> Column:
     """Key present in an object, whatever its value (JSON null included)."""
-    return _is_object(v) & F.try_variant_get(v, f"$['{key}']", "variant").isNotNull()
+    return _is_object(v) & F.try_variant_get(v, variant_path(key), "variant").isNotNull()
 
 
 def file_stem(path: Column) -> Column:
@@ -62,7 +64,7 @@ def unwrap(v: Column, keys: tuple[str, ...] = (SHIPMENTS,)) -> Column:
     """
     out = None
     for key in keys:
-        listed = F.when(_is_object(v), F.try_variant_get(v, f"$['{key}']", "array<variant>"))
+        listed = F.when(_is_object(v), F.try_variant_get(v, variant_path(key), "array<variant>"))
         out = listed if out is None else F.coalesce(out, listed)
     as_list = F.try_variant_get(v, "$", "array<variant>")
     out = as_list if out is None else F.coalesce(out, as_list)
@@ -85,7 +87,7 @@ def explode_documents(docs: DataFrame, doc_col: str = "doc", keep: tuple[str, ..
 def document_source(doc: Column, path: Column) -> Column:
     """``shipping`` for a document with a ``shipments`` key (list or
     not), else the file stem up to the first ``_``."""
-    return F.when(_has_key(doc, SHIPMENTS), F.lit("shipping")).otherwise(source_from_path(path))
+    return F.when(_has_key(doc, SHIPMENTS), F.lit(S.SHIPPING_SOURCE)).otherwise(source_from_path(path))
 
 
 def normalize(docs: DataFrame, source: Column | str | None = None, doc_col: str = "doc",
@@ -117,24 +119,24 @@ def normalize(docs: DataFrame, source: Column | str | None = None, doc_col: str
         schema = FL.infer_variant_schema(rows.where(obj), rec)
     pairs = dict(FL.flatten_variant_pairs(F.when(obj, rec), schema))
     meta = []
-    if "value" not in pairs:
-        meta.append(F.when(~obj, rec).alias("value"))
+    if S.VALUE_KEY not in pairs:
+        meta.append(F.when(~obj, rec).alias(S.VALUE_KEY))
     else:
         # objects have a "value" key too: one VARIANT column holds both kinds
-        pairs["value"] = F.when(obj, F.try_variant_get(rec, "$['value']", "variant")).otherwise(rec)
+        pairs[S.VALUE_KEY] = F.when(obj, F.try_variant_get(rec, variant_path(S.VALUE_KEY), "variant")).otherwise(rec)
 
     def set_default(name: str, default: Column, dtype: str) -> Column:
-        present = obj & F.try_variant_get(rec, f"$['{name}']", "variant").isNotNull()
+        present = obj & F.try_variant_get(rec, variant_path(name), "variant").isNotNull()
         if name in pairs:
             flat = pairs.pop(name).cast(dtype)
             return F.when(present | flat.isNotNull(), flat).otherwise(default)
-        return F.when(present, F.try_variant_get(rec, f"$['{name}']", dtype)).otherwise(default)
+        return F.when(present, F.try_variant_get(rec, variant_path(name), dtype)).otherwise(default)
 
-    src_col = set_default("source_name", F.col("_src"), "string")
-    idx_col = set_default("record_index", pos.cast("bigint"), "bigint")
+    src_col = set_default(S.SOURCE_NAME, F.col("_src"), "string")
+    idx_col = set_default(S.RECORD_INDEX, pos.cast("bigint"), "bigint")
     flat = [c.alias(n) for n, c in pairs.items()]
     return rows.select(*[F.col(k) for k in keep], *flat, *meta,
-                       src_col.alias("source_name"), idx_col.alias("record_index"))
+                       src_col.alias(S.SOURCE_NAME), idx_col.alias(S.RECORD_INDEX))
 
 
 def object_records(docs: DataFrame, doc_col: str = "doc", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -158,13 +160,13 @@ def normalize_map(docs: DataFrame, source: Column | str | None = None, doc_col:
     rows = explode_documents(docs, doc_col, keep_in, unwrap_keys, extra=(src.alias("_src"),))
     rec = F.col("_rec")
     wrapped = F.when(_is_object(rec), rec).otherwise(
-        F.to_variant_object(F.struct(rec.alias("value"))))
+        F.to_variant_object(F.struct(rec.alias(S.VALUE_KEY))))
     staged = rows.select(*[F.col(k) for k in keep], "_src", "_pos", wrapped.alias("_obj"))
     flat = FL.flatten_ragged(staged, "_obj", keep=keep + ("_src", "_pos"), depth=depth)
     m = F.col("record")
     meta = F.create_map(
-        F.lit("source_name"), F.col("_src").cast("variant"),
-        F.lit("record_index"), F.col("_pos").cast("bigint").cast("variant"))
+        F.lit(S.SOURCE_NAME), F.col("_src").cast("variant"),
+        F.lit(S.RECORD_INDEX), F.col("_pos").cast("bigint").cast("variant"))
     # Existing keys win (map_concat keeps the last duplicate only under
     # LAST_WIN, so absent keys are added by filtering the metadata first).
     missing_meta = F.map_filter(meta, lambda k, _: ~F.map_contains_key(m, k))

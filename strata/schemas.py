@@ -122,6 +122,26 @@ PAYMENT_TRANSITIONS = (
     ("PENDING", "FAILED"),
 )
 
+# Silver records: nested keys are joined with this separator; a document
+# {"shipments": [...]} is unwrapped to its list and its records are tagged
+# with this source name; other sources come from the file name; metadata
+# columns and the wrapper key of non-object elements.
+FLATTEN_SEPARATOR = "_"
+SHIPMENTS_KEY = "shipments"
+ENVELOPE_KEY = "records"
+SHIPPING_SOURCE = "shipping"
+SOURCE_NAME = "source_name"
+RECORD_INDEX = "record_index"
+VALUE_KEY = "value"
+
+# Contract check messages.
+MSG_UNKNOWN_SOURCE = "Unknown Bronze source schema: {source}"
+MSG_NOT_OBJECT = "expected an object"
+MSG_MISSING = "missing required fields [{names}]"
+MSG_TYPE = "field '{name}' must be of type {type}"
+MSG_TYPES = "field '{name}' must be one of ({types})"
+MSG_INVALID = "Invalid record at index {index} for {source}: {error}"
+
 # --- end of fixed values ----------------------------------------------------
 
 BRONZE_SCHEMAS: dict[str, T.StructType] = {

@@ -9,6 +9,7 @@ restart over an existing checkpoint appends exactly where it stopped.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -156,18 +157,26 @@ def run_bronze_streams(spark: SparkSession, sources: list[BronzeSource], out_bas
 
 def run_until_any_ends(spark: SparkSession, queries: list[StreamingQuery], timeout_s: float | None = None
                        ) -> StreamingQuery | None:
-    """Wait until one of the queries ends (or ``timeout_s`` passes), then
+    """Wait until one of ``queries`` ends (or ``timeout_s`` passes), then
     stop the others; a query that ended with an error re-raises it here.
-    Returns the query that ended first (None on timeout)."""
-    if timeout_s is None:
-        spark.streams.awaitAnyTermination()
-    elif not spark.streams.awaitAnyTermination(int(timeout_s * 1000)):
-        return None
+    Returns the query that ended first (None on timeout). Terminations of
+    other queries in the session do not count."""
+    deadline = None if timeout_s is None else time.monotonic() + timeout_s
+    spark.streams.resetTerminated()
     ended = next((q for q in queries if not q.isActive), None)
+    while ended is None:
+        left = None if deadline is None else deadline - time.monotonic()
+        if left is not None and left <= 0:
+            return None
+        if left is None:
+            spark.streams.awaitAnyTermination()
+        else:
+            spark.streams.awaitAnyTermination(max(1, int(left * 1000)))
+        spark.streams.resetTerminated()
+        ended = next((q for q in queries if not q.isActive), None)
     for q in queries:
         if q.isActive:
             q.stop()
-    spark.streams.resetTerminated()
-    if ended is not None and ended.exception() is not None:
+    if ended.exception() is not None:
         raise RuntimeError(f"stream {ended.name or ended.id} failed") from Exception(str(ended.exception()))
     return ended
