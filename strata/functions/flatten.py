@@ -49,6 +49,22 @@ def infer_variant_schema(df: DataFrame, column: Column) -> T.DataType:
     return T._parse_datatype_string(ddl)
 
 
+def load_or_infer_schema(df: DataFrame, column: Column, path: str) -> T.DataType:
+    """The shape stored at ``path`` (one line of schema JSON, written with
+    Spark so any shared file system works), else inferred from ``df`` and
+    stored there. Later batch runs skip inference; streams can pass it on."""
+    spark = df.sparkSession
+    try:
+        text = spark.read.text(path).first()
+    except Exception:  # noqa: BLE001 - nothing stored yet
+        text = None
+    if text is not None:
+        return T._parse_datatype_json_string(text["value"])
+    schema = infer_variant_schema(df, column)
+    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return schema
+
+
 def leaf_paths(dtype: T.DataType, prefix: tuple[str, ...] = ()) -> list[tuple[tuple[str, ...], T.DataType]]:
     """(path, type) of every non-object leaf, in field order; empty objects vanish."""
     if isinstance(dtype, T.StructType):

@@ -128,3 +128,14 @@ def test_folder_job_map_form(spark, scratch):
 def test_value_key_and_scalar_elements(spark):
     rows = N.normalize(docs(spark, '[{"value": 3}, 7]'), "s").orderBy("record_index").collect()
     assert [r.value.toPython() for r in rows] == [3, 7]
+
+
+def test_schema_is_stored_and_reused(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from strata.functions import flatten as FL
+    df = spark.createDataFrame([('{"a":{"b":1}}',)], "value string").select(F.parse_json("value").alias("v"))
+    first = FL.load_or_infer_schema(df, F.col("v"), f"{scratch}/schema")
+    other = spark.createDataFrame([('{"z":1}',)], "value string").select(F.parse_json("value").alias("v"))
+    again = FL.load_or_infer_schema(other, F.col("v"), f"{scratch}/schema")  # stored shape wins
+    assert first == again and first.simpleString() == "struct<a:struct<b:bigint>>"
