@@ -1,4 +1,4 @@
-"""Business marts.
+"""Business marts (B2-B6, B7 batch, B9, B10).
 
 All marts are aggregates over the parsed bronze/silver tables. Percentiles
 are exact (``percentile``): Spark keeps a value -> count map per group and
@@ -142,9 +142,11 @@ def count_within(probes: DataFrame, probe_id: str, probe_ts: str, targets: DataF
     since the latest such target at or before the probe
     (``seconds_since_last``, null when there is none in the bound).
 
-    Exact and pair-free: targets and two probe points per probe
-    (``ts - N`` and ``ts + N``) are ordered per key by time; a bucketed running
-    count gives ``count(<= ts + N) - count(< ts - N)``.
+    Exact and pair-free: targets and three points per probe (``ts - N``,
+    ``ts + N`` and ``ts`` itself) are ordered per key by time; one bucketed
+    pass gives the running target count, so ``count(<= ts + N) - count(< ts - N)``
+    is the count in the bound, and the running latest target time at ``ts``
+    gives ``seconds_since_last``.
     """
     keys = list(keys)
     us = F.lit(seconds * 1_000_000)
