@@ -20,12 +20,13 @@ from strata.sources import files as sources
 
 def silver_records(spark: SparkSession, input_path: str, base_dir: str | None = None,
                    unwrap_keys: tuple[str, ...] = (N.SHIPMENTS,), dataset_name: str | None = None,
-                   form: str = "wide") -> DataFrame:
+                   form: str = "wide", schema_path: str | None = None) -> DataFrame:
     """Bronze JSON files to silver records with ``dataset`` (E3/E4 plan).
 
     ``form="wide"``: one column per flattened key over all inputs;
     ``form="map"``: each record as ``map<string, variant>`` keeping only its
-    own keys (for sources whose shapes disagree).
+    own keys (for sources whose shapes disagree). ``schema_path`` keeps the
+    wide shape between runs (inferred on the first).
     """
     docs = sources.read_json_documents(spark, input_path)
     base = base_dir or input_path
@@ -35,7 +36,8 @@ def silver_records(spark: SparkSession, input_path: str, base_dir: str | None =
         F.regexp_replace(F.col("path"), r"^file:/+", "/"), local_base)
     docs = docs.withColumn("dataset", dataset)
     if form == "wide":
-        return N.normalize(docs, None, doc_col="doc", keep=("dataset",), unwrap_keys=unwrap_keys)
+        return N.normalize(docs, None, doc_col="doc", keep=("dataset",), unwrap_keys=unwrap_keys,
+                           schema_path=schema_path)
     if form == "map":
         return N.normalize_map(docs, doc_col="doc", keep=("dataset",), unwrap_keys=unwrap_keys)
     raise ValueError(f"unknown form: {form}")

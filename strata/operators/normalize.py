@@ -92,7 +92,8 @@ def document_source(doc: Column, path: Column) -> Column:
 
 def normalize(docs: DataFrame, source: Column | str | None = None, doc_col: str = "doc",
               keep: tuple[str, ...] = (), unwrap_keys: tuple[str, ...] = (SHIPMENTS,),
-              schema: T.DataType | None = None, path_col: str = "path") -> DataFrame:
+              schema: T.DataType | None = None, path_col: str = "path",
+              schema_path: str | None = None) -> DataFrame:
     """Flat records with ``source_name`` and ``record_index``.
 
     ``source`` is a constant, a column, or None to derive it per document
@@ -100,7 +101,8 @@ def normalize(docs: DataFrame, source: Column | str | None = None, doc_col: str
     ``record_index`` are set only where the flat record lacks the key, so a
     value already in the record wins, an explicit null included.
     Non-object elements become ``{"value": x}`` records. The wide shape is
-    inferred from all records (one aggregate job) unless ``schema`` is given.
+    inferred from all records (one aggregate job) unless ``schema`` is given;
+    with ``schema_path`` it is inferred once and reused from there.
     """
     if source is None:
         src = document_source(F.col("_doc"), F.col(path_col))
@@ -115,7 +117,9 @@ def normalize(docs: DataFrame, source: Column | str | None = None, doc_col: str
     rows = rows.withColumn("_obj", _is_object(F.col("_rec")))
     rec, pos = F.col("_rec"), F.col("_pos")
     obj = F.col("_obj")
-    if schema is None:
+    if schema is None and schema_path:
+        schema = FL.load_or_infer_schema(rows.where(obj), rec, schema_path)
+    elif schema is None:
         schema = FL.infer_variant_schema(rows.where(obj), rec)
     pairs = dict(FL.flatten_variant_pairs(F.when(obj, rec), schema))
     meta = []

@@ -139,3 +139,15 @@ def test_schema_is_stored_and_reused(spark, scratch):
     other = spark.createDataFrame([('{"z":1}',)], "value string").select(F.parse_json("value").alias("v"))
     again = FL.load_or_infer_schema(other, F.col("v"), f"{scratch}/schema")  # stored shape wins
     assert first == again and first.simpleString() == "struct<a:struct<b:bigint>>"
+
+
+def test_folder_job_reuses_stored_schema(spark, scratch):
+    import os
+    bronze = f"{scratch}/bronze_s"
+    os.makedirs(bronze)
+    with open(f"{bronze}/orders_1.json", "w") as fh:
+        json.dump([{"order_id": "o-1"}], fh)
+    jobs.silver_folder_job(spark, bronze, f"{scratch}/silver_s", schema_path=f"{scratch}/shape")
+    assert os.path.isdir(f"{scratch}/shape")
+    rows = jobs.silver_records(spark, bronze, base_dir=bronze, schema_path=f"{scratch}/shape").collect()
+    assert rows[0].order_id == "o-1" and rows[0].source_name == "orders"
