@@ -184,3 +184,15 @@ def test_run_until_any_ends(spark, scratch):
     ended = B.run_until_any_ends(spark, [done, running], timeout_s=60)
     assert ended is not None and ended.name == "ends_first"
     assert not running.isActive
+
+
+def test_windowed_counts_on_timestamp_column(spark, scratch):
+    src = f"{scratch}/w"
+    _write_lines(src, "a.json", [json.dumps({"svc": "api", "ts": f"2026-06-11T10:{m:02d}:00Z"}) for m in (1, 2, 14)])
+    raw = spark.readStream.format("json").schema("svc string, ts timestamp").load(src)
+    counts = ST.windowed_counts(raw, "ts", "1 hour", "10 minutes", None, [F.col("svc")],
+                                [F.count(F.lit(1)).alias("n")])
+    ST.upsert_log(counts, f"{scratch}/wlog", f"{scratch}/wck").awaitTermination()
+    state = ST.read_upsert_log(spark, f"{scratch}/wlog", ["svc", "window_start"])
+    assert state.schema["window_start"].dataType.simpleString() == "timestamp"
+    assert sorted(r.n for r in state.collect()) == [1, 2]
