@@ -7,7 +7,8 @@ projections, no shuffle), deterministically from the row's own columns,
 so a DuckDB oracle can compute the expected parsed values from the same
 base columns independently. Variations (broken lines, missing or retyped
 fields) are chosen by the row's id, never by sampling, and no row is
-dropped: every input row yields one raw record.
+dropped: every input row ends up in exactly one raw record (one per row,
+or one bounded document of up to 100 orders).
 """
 
 from __future__ import annotations
