@@ -13,52 +13,53 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _row(table: str, check: str, column: str, violations) -> list:
-    return [F.lit(table).alias("table"), F.lit(check).alias("check"), F.lit(column).alias("column"),
-            violations.cast("bigint").alias("violations")]
-
-
 def constraint_report(df: DataFrame, table: str, primary_key: Sequence[str] = (),
                       not_null: Sequence[str] = (), unique: Sequence[Sequence[str]] = ()) -> DataFrame:
     """C4: violations of primary key, NOT NULL and UNIQUE constraints.
 
     ``primary_key``: duplicate key groups, plus nulls in any key column;
     ``not_null``: null count per column; ``unique``: duplicate value groups
-    (nulls are not compared, as in SQL). With a primary key the null counts
-    ride along in the key's partial aggregate, so the table is scanned once
-    for both; every UNIQUE constraint adds one aggregate of its own.
+    (nulls are not compared, as in SQL). One scan for all of it: the key and
+    every UNIQUE column set are grouping sets of a single aggregate (partial
+    counts per set, combined map-side), and the null counts ride along in
+    it. The single result row is unpivoted into the report.
     """
     pk = list(primary_key)
     null_cols = list(dict.fromkeys(pk + list(not_null)))
+    sets = ([("primary_key", pk)] if pk else []) + [("unique", list(u)) for u in unique]
     nulls = [F.count(F.when(F.col(c).isNull(), True)).alias(f"_null_{c}") for c in null_cols]
-    findings: list[tuple[str, str, str]] = [("not_null", c, f"_null_{c}") for c in null_cols]
-    if pk:
-        per_key = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"), *nulls)
-        key_present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in pk])
-        totals = per_key.agg(
-            F.count(F.when(key_present & (F.col("_n") > 1), True)).alias("_dup"),
-            *[F.coalesce(F.sum(f"_null_{c}"), F.lit(0)).alias(f"_null_{c}") for c in null_cols])
-        findings.append(("primary_key", ",".join(pk), "_dup"))
+    findings: list[tuple[str, str, Column]] = []
+    if not sets:
+        if not nulls:
+            raise ValueError("no constraint given")
+        totals = df.agg(*nulls)
+        findings = [("not_null", c, F.col(f"_null_{c}")) for c in null_cols]
     else:
-        totals = df.agg(*nulls) if nulls else None
-    parts: list[DataFrame] = []
-    if totals is not None:
-        # One aggregate row, unpivoted: a single plan branch, not one per check.
-        rows = F.array(*[F.struct(F.lit(check).alias("check"), F.lit(col).alias("column"),
-                                  F.col(value).cast("bigint").alias("violations"))
-                         for check, col, value in findings])
-        parts.append(totals.select(F.explode(rows).alias("r")).select(
-            F.lit(table).alias("table"), "r.check", "r.column", "r.violations"))
-    for cols in (list(u) for u in unique):
-        present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
-        dup = (df.where(present).groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
-               .where(F.col("n") > 1).agg(F.count(F.lit(1)).alias("v")))
-        parts.append(dup.select(*_row(table, "unique", ",".join(cols), F.col("v"))))
-    return reduce(DataFrame.unionByName, parts)
+        group_cols = list(dict.fromkeys(c for _, cols in sets for c in cols))
+
+        def gid(cols: list[str]) -> int:  # grouping_id(): one bit per column, set when not grouped
+            return int("".join("0" if c in cols else "1" for c in group_cols), 2)
+
+        grouped = df.groupingSets([cols for _, cols in sets], *group_cols).agg(
+            F.count(F.lit(1)).alias("_n"), *nulls, F.grouping_id().alias("_gid"))
+        first = gid(sets[0][1])  # every set covers all rows once: null counts from the first
+        aggs = [F.coalesce(F.sum(F.when(F.col("_gid") == first, F.col(f"_null_{c}"))), F.lit(0))
+                .alias(f"_null_{c}") for c in null_cols]
+        for i, (_, cols) in enumerate(sets):
+            present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+            aggs.append(F.count(F.when((F.col("_gid") == gid(cols)) & present & (F.col("_n") > 1), True))
+                        .alias(f"_dup_{i}"))
+        totals = grouped.agg(*aggs)
+        findings = [("not_null", c, F.col(f"_null_{c}")) for c in null_cols]
+        findings += [(check, ",".join(cols), F.col(f"_dup_{i}")) for i, (check, cols) in enumerate(sets)]
+    rows = F.array(*[F.struct(F.lit(check).alias("check"), F.lit(col).alias("column"),
+                              value.cast("bigint").alias("violations")) for check, col, value in findings])
+    return totals.select(F.explode(rows).alias("r")).select(
+        F.lit(table).alias("table"), "r.check", "r.column", "r.violations")
 
 
 def orphan_keys(child: DataFrame, fk: str, parent: DataFrame, pk: str, relation: str) -> DataFrame:

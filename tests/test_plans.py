@@ -61,3 +61,9 @@ def test_no_python_udfs_anywhere(spark):
             continue
         plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_constraint_checks_scan_each_table_once(no_broadcast):
+    plan = _final_plan(E.queries()["constraint_checks"](no_broadcast, SF))
+    for table in ("orders", "lineitem", "customer"):
+        assert len(re.findall(rf"FileScan parquet [^\n]*{table}\.parquet", plan)) == 1, table
