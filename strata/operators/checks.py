@@ -79,3 +79,41 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys])
     return (df.where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
             .where(F.col("n") > 1))
+
+
+def orphan_report(children: Sequence[tuple[DataFrame, Sequence[tuple[str, str, DataFrame, str]]]],
+                  key_type: str = "bigint") -> DataFrame:
+    """C5 for many foreign keys at once: ``(relation, key, rows)`` for every
+    foreign-key value without a parent row.
+
+    ``children`` lists each child table with its foreign keys as
+    ``(fk_column, relation_name, parent_df, parent_key)``. Each child is
+    scanned once: its foreign keys are the grouping sets of one aggregate
+    (value counts, combined map-side). All parents' keys, tagged with their
+    relation, form one table, and a single anti join on (relation, key)
+    finds the orphans. Keys are compared as ``key_type``.
+    """
+    counted: list[DataFrame] = []
+    parents: list[DataFrame] = []
+    for child, fks in children:
+        fks = list(fks)
+        cols = list(dict.fromkeys(fk for fk, _, _, _ in fks))
+
+        def gid(col: str) -> int:
+            return int("".join("0" if c == col else "1" for c in cols), 2)
+
+        grouped = (child.groupingSets([[c] for c in cols], *cols)
+                   .agg(F.count(F.lit(1)).alias("rows"), F.grouping_id().alias("_gid")))
+        relation = F.lit(None).cast("string")
+        key = F.lit(None).cast(key_type)
+        for fk, name, _, _ in fks:
+            relation = F.when(F.col("_gid") == gid(fk), F.lit(name)).otherwise(relation)
+            key = F.when(F.col("_gid") == gid(fk), F.col(fk).cast(key_type)).otherwise(key)
+        counted.append(grouped.select(relation.alias("relation"), key.alias("key"), "rows")
+                       .where(F.col("key").isNotNull()))
+        for fk, name, parent, pk in fks:
+            parents.append(parent.select(F.lit(name).alias("relation"), F.col(pk).cast(key_type).alias("key"))
+                           .where(F.col("key").isNotNull()).distinct())
+    all_counts = reduce(DataFrame.unionByName, counted)
+    all_parents = reduce(DataFrame.unionByName, parents)
+    return all_counts.join(all_parents, ["relation", "key"], "left_anti").select("relation", "key", "rows")

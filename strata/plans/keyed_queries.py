@@ -192,21 +192,21 @@ FROM events WHERE user_id IS NOT NULL AND user_id NOT IN (SELECT c_custkey FROM
   WHERE c_custkey IS NOT NULL) GROUP BY user_id
 """)
 def q_referential_checks(spark, sf_dir):
-    """Foreign keys without a parent row."""
+    """Foreign keys without a parent row (each child table scanned once)."""
     t = lambda name, *c: read_table(spark, sf_dir, name, *c)
-    parts = [
-        CK.orphan_keys(t("lineitem", "l_orderkey"), "l_orderkey", t("orders", "o_orderkey"), "o_orderkey",
-                       "lineitem.l_orderkey->orders"),
-        CK.orphan_keys(t("lineitem", "l_partkey"), "l_partkey", t("part", "p_partkey"), "p_partkey",
-                       "lineitem.l_partkey->part"),
-        CK.orphan_keys(t("lineitem", "l_suppkey"), "l_suppkey", t("supplier", "s_suppkey"), "s_suppkey",
-                       "lineitem.l_suppkey->supplier"),
-        CK.orphan_keys(t("orders", "o_custkey"), "o_custkey", t("customer", "c_custkey"), "c_custkey",
-                       "orders.o_custkey->customer"),
-        CK.orphan_keys(t("events", "user_id"), "user_id", t("customer", "c_custkey"), "c_custkey",
-                       "events.user_id->customer"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return CK.orphan_report([
+        (t("lineitem", "l_orderkey", "l_partkey", "l_suppkey"), [
+            ("l_orderkey", "lineitem.l_orderkey->orders", t("orders", "o_orderkey"), "o_orderkey"),
+            ("l_partkey", "lineitem.l_partkey->part", t("part", "p_partkey"), "p_partkey"),
+            ("l_suppkey", "lineitem.l_suppkey->supplier", t("supplier", "s_suppkey"), "s_suppkey"),
+        ]),
+        (t("orders", "o_custkey"), [
+            ("o_custkey", "orders.o_custkey->customer", t("customer", "c_custkey"), "c_custkey"),
+        ]),
+        (t("events", "user_id"), [
+            ("user_id", "events.user_id->customer", t("customer", "c_custkey"), "c_custkey"),
+        ]),
+    ])
 
 
 @register("duplicate_keys", sql="""

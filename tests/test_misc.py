@@ -167,3 +167,18 @@ def test_kafka_source_needs_its_connector(spark):
     from strata.streaming import bronze as B
     with pytest.raises(Exception, match="(?i)kafka"):
         B.kafka_stream(spark, "localhost:9092", "clickstream_events")
+
+
+def test_orphan_report_matches_single_checks(spark):
+    from strata.operators import checks as CK
+    lines = spark.createDataFrame([(1, 10, 100), (2, 11, 100), (9, 10, 101), (9, None, 102), (None, 12, 100)],
+                                  "o bigint, p bigint, s bigint")
+    orders = spark.createDataFrame([(1,), (2,)], "o_orderkey bigint")
+    parts = spark.createDataFrame([(10,), (11,)], "p_partkey bigint")
+    supp = spark.createDataFrame([(100,)], "s_suppkey bigint")
+    rep = CK.orphan_report([(lines, [("o", "l->o", orders, "o_orderkey"), ("p", "l->p", parts, "p_partkey"),
+                                     ("s", "l->s", supp, "s_suppkey")])])
+    got = sorted((r.relation, r.key, r.rows) for r in rep.collect())
+    assert got == [("l->o", 9, 2), ("l->p", 12, 1), ("l->s", 101, 1), ("l->s", 102, 1)]
+    single = CK.orphan_keys(lines, "s", supp, "s_suppkey", "l->s")
+    assert sorted((r.key, r.rows) for r in single.collect()) == [(101, 1), (102, 1)]

@@ -67,3 +67,8 @@ def test_constraint_checks_scan_each_table_once(no_broadcast):
     plan = _final_plan(E.queries()["constraint_checks"](no_broadcast, SF))
     for table in ("orders", "lineitem", "customer"):
         assert len(re.findall(rf"FileScan parquet [^\n]*{table}\.parquet", plan)) == 1, table
+
+
+def test_referential_checks_scan_lineitem_once(no_broadcast):
+    plan = _final_plan(E.queries()["referential_checks"](no_broadcast, SF))
+    assert len(re.findall(r"FileScan parquet [^\n]*lineitem\.parquet", plan)) == 1
