@@ -146,7 +146,9 @@ def count_within(probes: DataFrame, probe_id: str, probe_ts: str, targets: DataF
     ``ts + N`` and ``ts`` itself) are ordered per key by time; one bucketed
     pass gives the running target count, so ``count(<= ts + N) - count(< ts - N)``
     is the count in the bound, and the running latest target time at ``ts``
-    gives ``seconds_since_last``.
+    gives ``seconds_since_last``. ``probe_id`` must identify a probe row
+    (unique, not null); the output has the probe's columns plus the two
+    results.
     """
     keys = list(keys)
     us = F.lit(seconds * 1_000_000)
@@ -157,11 +159,16 @@ def count_within(probes: DataFrame, probe_id: str, probe_ts: str, targets: DataF
     # scan of the probes (an explode), the targets from one scan.
     tgt = targets.select(*keys, t_us.alias("_t"), F.lit(1).alias("_kind"),
                          F.lit(None).cast(probes.schema[probe_id].dataType).alias("_pid"))
-    points = F.array(F.struct((p_us - us).alias("_t"), F.lit(0).alias("_kind")),
-                     F.struct((p_us + us).alias("_t"), F.lit(2).alias("_kind")),
-                     F.struct(p_us.alias("_t"), F.lit(3).alias("_kind")))
+    # The probe's own columns ride along on its own point (kind 3), so the
+    # result needs no join back to the probes (one scan of them).
+    payload = F.struct(*[F.col(c) for c in probes.columns])
+    null_payload = F.lit(None).cast(probes.select(payload.alias("p")).schema["p"].dataType)
+    tgt = tgt.withColumn("_payload", null_payload)
+    points = F.array(F.struct((p_us - us).alias("_t"), F.lit(0).alias("_kind"), null_payload.alias("_payload")),
+                     F.struct((p_us + us).alias("_t"), F.lit(2).alias("_kind"), null_payload.alias("_payload")),
+                     F.struct(p_us.alias("_t"), F.lit(3).alias("_kind"), payload.alias("_payload")))
     prb = probes.select(*keys, F.col(probe_id).alias("_pid"), F.explode(points).alias("_p")).select(
-        *keys, "_p._t", "_p._kind", "_pid")
+        *keys, "_p._t", "_p._kind", "_pid", "_p._payload")
     rows = tgt.unionByName(prb)
     bucket = F.floor(F.col("_t") / F.lit(bucket_seconds * 1_000_000)).cast("bigint")
     staged = S.stage(rows, keys, bucket)
@@ -174,11 +181,12 @@ def count_within(probes: DataFrame, probe_id: str, probe_ts: str, targets: DataF
            .agg(F.max(F.when(F.col("_kind") == 2, F.col("_cum"))).alias("_hi"),
                 F.max(F.when(F.col("_kind") == 0, F.col("_cum"))).alias("_lo"),
                 F.max(F.when(F.col("_kind") == 3, F.col("_last_t"))).alias("_last"),
-                F.max(F.when(F.col("_kind") == 3, F.col("_t"))).alias("_at")))
+                F.max(F.when(F.col("_kind") == 3, F.col("_t"))).alias("_at"),
+                F.max_by("_payload", "_kind").alias("_probe")))
     gap = (F.col("_at") - F.col("_last")) / F.lit(1_000_000.0)
-    per = per.select(F.col("_pid").alias(probe_id), (F.col("_hi") - F.col("_lo")).cast("bigint").alias("n_within"),
-                     F.when(F.col("_last") >= F.col("_at") - us, gap).alias("seconds_since_last"))
-    return probes.join(per, probe_id, "left")
+    return per.select(*[F.col(f"_probe.{c}").alias(c) for c in probes.columns],
+                      (F.col("_hi") - F.col("_lo")).cast("bigint").alias("n_within"),
+                      F.when(F.col("_last") >= F.col("_at") - us, gap).alias("seconds_since_last"))
 
 
 def failures_near_purchases(purchases: DataFrame, failures: DataFrame, seconds: int,
