@@ -161,3 +161,4 @@ def q_stream_validate_errors(spark, sf_dir):
     q.awaitTermination()
     bad = spark.read.parquet(f"{base}/quarantine")
     return bad.select("src_id", "error", F.size("errors").alias("n_errors"))
+

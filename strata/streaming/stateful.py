@@ -56,6 +56,21 @@ def windowed_counts(df: DataFrame, ts: str, delay: str, window: str, slide: str
             .drop("w"))
 
 
+def sessions_stream(df: DataFrame, keys: Sequence[str], ts: str, gap: str, delay: str,
+                    aggs: Sequence[Column] = ()) -> DataFrame:
+    """B9 (stream): sessions per key with Spark's ``session_window`` under a
+    watermark, for append mode: a session is emitted once the watermark
+    passes its end (last event + ``gap``), and its state is dropped then.
+    Columns: keys, ``session_start``, ``session_end`` (last event), ``events``
+    and ``aggs``. A gap of exactly ``gap`` starts a new session (the window
+    end is exclusive)."""
+    marked, et = with_event_time(df, ts, delay)
+    return (marked.groupBy(*keys, F.session_window(et, gap).alias("_s"))
+            .agg(F.min(ts).alias("session_start"), F.max(ts).alias("session_end"),
+                 F.count(F.lit(1)).alias("events"), *aggs)
+            .drop("_s"))
+
+
 def _batch_dir(path: str, batch_id: int) -> str:
     return f"{path.rstrip('/')}/batch_id={batch_id}"
 

@@ -196,3 +196,20 @@ def test_windowed_counts_on_timestamp_column(spark, scratch):
     state = ST.read_upsert_log(spark, f"{scratch}/wlog", ["svc", "window_start"])
     assert state.schema["window_start"].dataType.simpleString() == "timestamp"
     assert sorted(r.n for r in state.collect()) == [1, 2]
+
+
+def test_sessions_stream_emits_closed_sessions(spark, scratch):
+    from strata.operators import keyed as K
+    src = f"{scratch}/sess"
+    first = [(1, "2026-06-11T10:00:00Z"), (1, "2026-06-11T10:10:00Z"), (1, "2026-06-11T11:00:00Z"),
+             (2, "2026-06-11T10:05:00Z")]
+    _write_lines(src, "1.json", [json.dumps({"u": u, "ts": t}) for u, t in first])
+    _write_lines(src, "2.json", [json.dumps({"u": 3, "ts": "2026-06-11T18:00:00Z"})])  # moves the watermark
+    raw = spark.readStream.format("json").schema("u int, ts timestamp").option("maxFilesPerTrigger", 1).load(src)
+    from strata.streaming.runner import run_available
+    out = run_available(ST.sessions_stream(raw, ["u"], "ts", "30 minutes", "1 hour"), spark, "sess")
+    got = sorted((r.u, str(r.session_start), r.events) for r in out.collect())
+    batch = spark.read.schema("u int, ts timestamp").json(f"{src}/1.json").withColumn("id", F.col("u"))
+    exp_rows = K.sessionize(batch, ["u"], "ts", ["id"], 1800).groupBy("u", "session_start").count().collect()
+    assert got == sorted((r.u, str(r.session_start), r["count"]) for r in exp_rows)
+    assert len(got) == 3
