@@ -8,10 +8,18 @@ from strata.streaming import bronze as B
 from strata.streaming import stateful as ST
 
 
+_MTIME = [1_750_000_000]
+
+
 def _write_lines(path, name, lines):
+    """Write a text file with a strictly later modification time than the
+    previous one, so a file stream reads the files in writing order."""
     os.makedirs(path, exist_ok=True)
-    with open(os.path.join(path, name), "w") as fh:
+    full = os.path.join(path, name)
+    with open(full, "w") as fh:
         fh.write("\n".join(lines) + "\n")
+    _MTIME[0] += 10
+    os.utime(full, (_MTIME[0], _MTIME[0]))
 
 
 def _click(i, ts="2026-06-11T10:00:00Z"):
@@ -213,3 +221,21 @@ def test_sessions_stream_emits_closed_sessions(spark, scratch):
     exp_rows = K.sessionize(batch, ["u"], "ts", ["id"], 1800).groupBy("u", "session_start").count().collect()
     assert got == sorted((r.u, str(r.session_start), r["count"]) for r in exp_rows)
     assert len(got) == 3
+
+
+def test_windowed_state_is_evicted_behind_the_watermark(spark, scratch):
+    src = f"{scratch}/late_w"
+    _write_lines(src, "1.json", [json.dumps({"svc": "api", "ts": "2026-06-11T10:01:00Z"})])
+    _write_lines(src, "2.json", [json.dumps({"svc": "api", "ts": "2026-06-11T12:30:00Z"})])  # watermark -> 11:30
+    _write_lines(src, "3.json", [json.dumps({"svc": "api", "ts": "2026-06-11T12:31:00Z"})])
+    raw = spark.readStream.format("json").schema("svc string, ts timestamp").option("maxFilesPerTrigger", 1).load(src)
+    counts = ST.windowed_counts(raw, "ts", "1 hour", "10 minutes", None, [F.col("svc")],
+                                [F.count(F.lit(1)).alias("n")])
+    q = ST.upsert_log(counts, f"{scratch}/lw_log", f"{scratch}/lw_ck")
+    q.awaitTermination()
+    # once the watermark passed 10:10, the 10:00 window left the state store:
+    # only the 12:30 window is still held
+    assert q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 1
+    state = {str(r.window_start)[11:16]: r.n for r in
+             ST.read_upsert_log(spark, f"{scratch}/lw_log", ["svc", "window_start"]).collect()}
+    assert state == {"10:00": 1, "12:30": 2}
