@@ -174,3 +174,35 @@ def test_normalize_wide_matches_model(spark, docs):
         expected = [{k: v for k, v in rec.items() if v is not None}
                     for rec in sorted(model_normalize(d, "src"), key=lambda x: x["record_index"])]
         assert sorted(got.get(i, []), key=lambda x: x["record_index"]) == expected, (d, got.get(i))
+
+
+SEQ_ROWS = st.lists(st.tuples(st.sampled_from([0, 0, 0, 1, 2]), st.integers(0, 72 * 3600), st.integers(0, 5)),
+                    min_size=1, max_size=80)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(SEQ_ROWS, st.sampled_from([600, 3600, 86_400]), st.integers(60, 7200))
+def test_sequence_helpers_match_plain_windows(spark, rows, bucket_seconds, gap):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from strata.functions import sequence as S
+    from strata.operators import keyed as K
+    df = spark.createDataFrame([(k, t, v, i) for i, (k, t, v) in enumerate(rows)], "k int, t long, v int, id int") \
+        .withColumn("ts", F.timestamp_seconds("t").cast("timestamp_ntz"))
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    bucket = S.time_bucket(df, "ts", bucket_seconds)
+    nb = S.neighbors(df, ["k"], ["ts", "id"], ["v"], bucket)
+    exp = df.select("id", F.lag("v").over(w).alias("pv"), F.lead("v").over(w).alias("nv"),
+                    F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"),
+                    F.max("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("m"))
+    got = nb.select("id", F.col("prev.v").alias("pv"), F.col("next.v").alias("nv"))
+    assert got.exceptAll(exp.select("id", "pv", "nv")).count() == 0
+    run = S.running_aggs_staged(S.stage(df, ["k"], bucket), ["k"], ["ts", "id"],
+                                {"s": (F.col("v"), "sum"), "m": (F.col("v"), "max")})
+    assert run.select("id", "s", "m").exceptAll(exp.select("id", "s", "m")).count() == 0
+    sess = K.sessionize(df, ["k"], "ts", ["id"], gap, bucket_seconds=bucket_seconds)
+    g = F.col("t") - F.lag("t").over(w)
+    plain = df.withColumn("st", F.when(g.isNull() | (g > gap), F.col("ts"))) \
+        .withColumn("session_start", F.max("st").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    assert sess.select("id", "session_start").exceptAll(plain.select("id", "session_start")).count() == 0
