@@ -206,3 +206,25 @@ def test_sequence_helpers_match_plain_windows(spark, rows, bucket_seconds, gap):
     plain = df.withColumn("st", F.when(g.isNull() | (g > gap), F.col("ts"))) \
         .withColumn("session_start", F.max("st").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     assert sess.select("id", "session_start").exceptAll(plain.select("id", "session_start")).count() == 0
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from([0, 0, 1]), st.integers(0, 4000)), min_size=1, max_size=30),
+       st.lists(st.tuples(st.sampled_from([0, 0, 1, 2]), st.integers(0, 4000)), max_size=40),
+       st.integers(0, 600), st.sampled_from([60, 600, 3600]))
+def test_count_within_matches_brute_force(spark, probes, targets, seconds, bucket_seconds):
+    from pyspark.sql import functions as F
+
+    from strata.operators import marts as M
+    p = spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate(probes)], "pid int, k int, t long") \
+        .withColumn("ts", F.timestamp_seconds("t").cast("timestamp_ntz")).drop("t")
+    tg = spark.createDataFrame([(k, t) for k, t in targets] or [(9, 0)], "k int, t long") \
+        .withColumn("tts", F.timestamp_seconds("t").cast("timestamp_ntz")).drop("t")
+    got = {r.pid: (r.n_within, r.seconds_since_last) for r in
+           M.count_within(p, "pid", "ts", tg, "tts", seconds, keys=["k"], bucket_seconds=bucket_seconds).collect()}
+    tlist = [(k, t) for k, t in targets] or [(9, 0)]
+    for i, (k, t) in enumerate(probes):
+        near = [tt for kk, tt in tlist if kk == k and abs(tt - t) <= seconds]
+        before = [tt for tt in near if tt <= t]
+        expected = (len(near), float(t - max(before)) if before else None)
+        assert got[i] == expected, (i, k, t, got[i], expected)
