@@ -228,3 +228,22 @@ def test_count_within_matches_brute_force(spark, probes, targets, seconds, bucke
         before = [tt for tt in near if tt <= t]
         expected = (len(near), float(t - max(before)) if before else None)
         assert got[i] == expected, (i, k, t, got[i], expected)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 200), st.integers(1, 6)), min_size=1, max_size=120,
+                unique_by=lambda r: (r[0], r[1])),
+       st.integers(1, 5), st.sampled_from([1, 2, 16]))
+def test_salted_top_k_matches_plain_rank(spark, rows, k, salts):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from strata.operators import marts as M
+    counts = spark.createDataFrame(rows, "window_start int, product_id int, interactions int") \
+        .withColumn("window_end", F.col("window_start") + 1).withColumn("purchases", F.lit(0)) \
+        .withColumn("users", F.lit(1))
+    got = {(r.window_start, r.rank): r.product_id for r in M.top_per_window(counts, k, salt_buckets=salts).collect()}
+    w = Window.partitionBy("window_start").orderBy(F.col("interactions").desc(), F.col("product_id").asc())
+    exp = {(r.window_start, r.rank): r.product_id for r in
+           counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).collect()}
+    assert got == exp
