@@ -247,3 +247,35 @@ def test_salted_top_k_matches_plain_rank(spark, rows, k, salts):
     exp = {(r.window_start, r.rank): r.product_id for r in
            counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).collect()}
     assert got == exp
+
+
+def model_validate_any(rec, source, contract):
+    if source == "server_logs" and isinstance(rec, str):
+        rec = {"message": rec}
+    if isinstance(rec, dict) and source == "clickstream_events" and "ts" not in rec and "event_time" in rec:
+        rec = {**rec, "ts": rec["event_time"]}
+    return model_validate(rec, contract)
+
+
+ANY_FIELDS = st.sampled_from(["event_id", "event_type", "user_id", "ts", "event_time", "amount", "timestamp",
+                              "level", "message", "order_id", "order_status", "status",
+                              "status_last_updated_at", "carrier", "tracking_number", "x"])
+ANY_RECORDS = st.one_of(st.dictionaries(ANY_FIELDS, FIELD_VALUES, max_size=8), st.text("ab ", max_size=4),
+                        st.integers(), st.lists(st.integers(), max_size=2))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.sampled_from(["clickstream_events", "server_logs", "order_changes", "shipment_data"]),
+       st.lists(ANY_RECORDS, min_size=1, max_size=50))
+def test_every_contract_matches_model(spark, source, records):
+    contract = C.contract_for(source)
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "idx long, value string")
+    v = C.validate(df, source, keep=("idx",))
+    errors = {r.idx: r.error for r in v.quarantine.collect()}
+    valid = {r.idx for r in v.valid.collect()}
+    for i, r in enumerate(records):
+        expected = model_validate_any(r, source, contract)
+        if expected is None:
+            assert i in valid and i not in errors, (source, r, errors.get(i))
+        else:
+            assert errors.get(i) == expected, (source, r, errors.get(i), expected)
