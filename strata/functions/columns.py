@@ -31,7 +31,8 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave the plan alone
+        # the JVM RDD's partition count: planning only, no conversion to Python rows
+        current = df._jdf.rdd().getNumPartitions()
+    except Exception:  # noqa: BLE001 - no JVM access (e.g. a remote session): leave the plan alone
         return df
     return df.repartition(target) if current < target else df

@@ -75,6 +75,7 @@ def _canonical(value: Column, spec) -> Column:
 class Validated:
     valid: DataFrame
     quarantine: DataFrame
+    _checked: DataFrame | None = None
 
 
 def contract_for(source: str) -> dict:
@@ -151,16 +152,31 @@ def validate(df: DataFrame, source: str, column: str = "value",
         F.filter(F.array(missing_msg, *type_msgs), lambda x: x.isNotNull()))
     checked = base.select(*[F.col(k) for k in keep], rec, errors.alias("errors"),
                           *[c.alias(f"_f_{n}") for n, c in fields.items()])
+    out = split_checked(checked, source, keep)
+    out._checked = checked
+    return out
+
+
+def split_checked(checked: DataFrame, source: str, keep: tuple[str, ...] = ()) -> Validated:
+    """Valid rows and quarantine from one checked frame (see :func:`validate`);
+    persist ``checked`` first when both outputs are written."""
+    contract = contract_for(source)
     ok_rows = checked.where(F.size("errors") == 0)
     valid = ok_rows.select(
         *[F.col(k) for k in keep], "record",
         *[_canonical(F.col(f"_f_{n}"), spec).alias(n) for n, spec in contract["types"].items()])
     bad = checked.where(F.size("errors") > 0).select(
-        *[F.col(k) for k in keep], F.to_json(rec).alias("record"), "errors",
+        *[F.col(k) for k in keep], F.to_json("record").alias("record"), "errors",
         F.element_at("errors", 1).alias("error"))
     return Validated(valid=valid, quarantine=bad)
 
 
+def checked_records(df: DataFrame, source: str, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """The record, its ``errors`` and its declared fields, before the split;
+    :func:`split_checked` turns it into valid rows and quarantine."""
+    return validate(df, source, column, keep)._checked
+
+
 def validate_strict(df: DataFrame, source: str, index_col: str, column: str = "value") -> DataFrame:
     """V7 strict mode: raise on the lowest-index bad record, else the valid rows.
 

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions import parse as P
+from strata.functions.columns import ensure_parallelism
 from strata.schemas import bronze_ddl
 
 DEFAULT_TRIGGER = {"processingTime": "30 seconds"}
@@ -103,19 +104,28 @@ def validated_append(raw: DataFrame, source: str, out_path: str, quarantine_path
     Both writes overwrite their batch folder, so a replayed batch does not
     duplicate rows.
     """
-    from strata.operators.contracts import validate
+    from strata.operators.contracts import checked_records, split_checked
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        checked = validate(batch, source, column="value", keep=keep + ("value",))
-        valid = checked.valid.select(*keep, "value")
-        if schema is not None:
-            valid = P.with_audit_time(P.parse_json_columns(valid, schema, keep=keep))
-        else:
-            valid = P.with_audit_time(valid)
-        valid.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
-        # the batch_id=<n> folder is the batch column when the table is read
-        checked.quarantine.drop("value").write.mode("overwrite").parquet(
-            f"{quarantine_path.rstrip('/')}/batch_id={batch_id}")
+        # The micro-batch is read once (cached as raw text, spread over all
+        # slots when it arrives as too few partitions); both writes validate
+        # from the cache. Caching the parsed VARIANT frame instead ran out of
+        # heap on small drivers, so the raw text is what is kept.
+        staged = ensure_parallelism(batch).persist()
+        try:
+            out = split_checked(checked_records(staged, source, column="value", keep=keep + ("value",)),
+                                source, keep + ("value",))
+            valid = out.valid.select(*keep, "value")
+            if schema is not None:
+                valid = P.with_audit_time(P.parse_json_columns(valid, schema, keep=keep))
+            else:
+                valid = P.with_audit_time(valid)
+            valid.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+            # the batch_id=<n> folder is the batch column when the table is read
+            out.quarantine.drop("value").write.mode("overwrite").parquet(
+                f"{quarantine_path.rstrip('/')}/batch_id={batch_id}")
+        finally:
+            staged.unpersist()
 
     return (raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(land)
             .trigger(**dict(trigger or DEFAULT_TRIGGER)).start())
