@@ -56,3 +56,21 @@ def test_query_matches_oracle(spark, duck, name):
 def test_entry_runs(spark):
     out = E.entry(spark).collect()
     assert len(out) == 1 and out[0].total_orders == 1500 and out[0].matched_orders == 1472
+
+
+TIME_QUERIES = ["sessions", "scd2_history", "carrier_latency", "service_health", "purchase_log_interval_join",
+                "purchase_view_within", "product_activity_window", "json_parse", "log_parse"]
+
+
+@pytest.mark.parametrize("name", TIME_QUERIES)
+def test_time_queries_ignore_the_session_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, SF)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.execute(E.oracle_sql()[name])
+    dcols = [d[0] for d in res.description]
+    assert _digest(df.columns, rows) == _digest(dcols, res.fetchall())
