@@ -75,7 +75,6 @@ def _canonical(value: Column, spec) -> Column:
 class Validated:
     valid: DataFrame
     quarantine: DataFrame
-    _checked: DataFrame | None = None
 
 
 def contract_for(source: str) -> dict:
@@ -105,16 +104,10 @@ def to_variant(df: DataFrame, column: str, source: str) -> Column:
     return F.when(v.isNull() & raw.isNotNull(), as_message).when(is_string, as_message).otherwise(v)
 
 
-def validate(df: DataFrame, source: str, column: str = "value",
-             keep: tuple[str, ...] = ()) -> Validated:
-    """V2-V7: split records into valid rows and a quarantine with reasons.
-
-    ``valid`` holds the kept columns, the record as VARIANT (``record``) and
-    one typed column per declared field (V4 applied to ``ts``).
-    ``quarantine`` holds the kept columns, the record as JSON text,
-    ``errors`` (every failed check in check order) and ``error`` (the first,
-    which is the message a record-at-a-time validator would stop on).
-    """
+def checked_records(df: DataFrame, source: str, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """V2-V6 as columns: the kept columns, the record as VARIANT, ``errors``
+    (every failed check in check order) and the declared fields (V4 applied
+    to ``ts``); :func:`split_checked` turns it into valid rows and quarantine."""
     contract = contract_for(source)
     v = to_variant(df, column, source)
     base = computed_once(df, v, "record", keep)
@@ -150,11 +143,21 @@ def validate(df: DataFrame, source: str, column: str = "value",
 
     errors = F.when(~is_object, F.array(F.lit(S.MSG_NOT_OBJECT))).otherwise(
         F.filter(F.array(missing_msg, *type_msgs), lambda x: x.isNotNull()))
-    checked = base.select(*[F.col(k) for k in keep], rec, errors.alias("errors"),
-                          *[c.alias(f"_f_{n}") for n, c in fields.items()])
-    out = split_checked(checked, source, keep)
-    out._checked = checked
-    return out
+    return base.select(*[F.col(k) for k in keep], rec, errors.alias("errors"),
+                       *[c.alias(f"_f_{n}") for n, c in fields.items()])
+
+
+def validate(df: DataFrame, source: str, column: str = "value",
+             keep: tuple[str, ...] = ()) -> Validated:
+    """V2-V7: split records into valid rows and a quarantine with reasons.
+
+    ``valid`` holds the kept columns, the record as VARIANT (``record``) and
+    one typed column per declared field (V4 applied to ``ts``).
+    ``quarantine`` holds the kept columns, the record as JSON text,
+    ``errors`` (every failed check in check order) and ``error`` (the first,
+    which is the message a record-at-a-time validator would stop on).
+    """
+    return split_checked(checked_records(df, source, column, keep), source, keep)
 
 
 def split_checked(checked: DataFrame, source: str, keep: tuple[str, ...] = ()) -> Validated:
@@ -171,12 +174,6 @@ def split_checked(checked: DataFrame, source: str, keep: tuple[str, ...] = ()) -
     return Validated(valid=valid, quarantine=bad)
 
 
-def checked_records(df: DataFrame, source: str, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """The record, its ``errors`` and its declared fields, before the split;
-    :func:`split_checked` turns it into valid rows and quarantine."""
-    return validate(df, source, column, keep)._checked
-
-
 def validate_strict(df: DataFrame, source: str, index_col: str, column: str = "value") -> DataFrame:
     """V7 strict mode: raise on the lowest-index bad record, else the valid rows.
 
