@@ -1,4 +1,5 @@
-"""Stateful streams with bounded state (stream forms of B1, B3, B4, B7, B10).
+"""Stateful streams with bounded state (stream forms of B1, B3, B4, B7, B9,
+B10, B11 and E5).
 
 Every stateful operator here has a watermark, so its state is dropped once
 event time has moved past the bound. Sinks that update earlier results are
