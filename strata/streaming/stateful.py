@@ -1,8 +1,10 @@
 """Stateful streams with bounded state (stream forms of B1, B3, B4, B7, B9,
 B10, B11 and E5).
 
-Every stateful operator here has a watermark, so its state is dropped once
-event time has moved past the bound. Sinks that update earlier results are
+Windowed, session, dedup and join operators carry a watermark, so their
+state is dropped once event time has moved past the bound; the per-key
+counts of the streaming reconciliation keep one row per key, which is the
+per-key table itself. Sinks that update earlier results are
 ``foreachBatch`` writers keyed by ``batch_id``: a batch replayed after a
 failure overwrites its own output folder, so restarts are exactly-once.
 """
