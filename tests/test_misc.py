@@ -182,3 +182,16 @@ def test_orphan_report_matches_single_checks(spark):
     assert got == [("l->o", 9, 2), ("l->p", 12, 1), ("l->s", 101, 1), ("l->s", 102, 1)]
     single = CK.orphan_keys(lines, "s", supp, "s_suppkey", "l->s")
     assert sorted((r.key, r.rows) for r in single.collect()) == [(101, 1), (102, 1)]
+
+
+def test_apply_changes_update_and_upsert(spark):
+    from strata.operators import keyed as K
+    target = spark.createDataFrame([(1, "PLACED", 10.0), (2, "PLACED", 20.0)], "id int, status string, amount double")
+    changes = spark.createDataFrame([(1, "SHIPPED", 1), (1, "DELIVERED", 2), (3, "PLACED", 1)],
+                                    "id int, new_status string, seq int")
+    upd = {r.id: (r.status, r.amount, r.updated_at) for r in
+           K.apply_changes(target, changes, ["id"], ["seq"], {"status": "new_status"}, change_time="seq").collect()}
+    assert upd == {1: ("DELIVERED", 10.0, 2), 2: ("PLACED", 20.0, None)}
+    ups = {r.id: r.status for r in
+           K.apply_changes(target, changes, ["id"], ["seq"], {"status": "new_status"}, insert_missing=True).collect()}
+    assert ups == {1: "DELIVERED", 2: "PLACED", 3: "PLACED"}
