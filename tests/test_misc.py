@@ -195,3 +195,24 @@ def test_apply_changes_update_and_upsert(spark):
     ups = {r.id: r.status for r in
            K.apply_changes(target, changes, ["id"], ["seq"], {"status": "new_status"}, insert_missing=True).collect()}
     assert ups == {1: "DELIVERED", 2: "PLACED", 3: "PLACED"}
+
+
+def test_order_life_cycle_and_history(spark):
+    from strata.operators import keyed as K
+    from strata.schemas import ORDER_TRANSITIONS
+    rows = [(1, "2026-01-01 00:00:00", "PLACED"), (1, "2026-01-02 00:00:00", "SHIPPED"),
+            (1, "2026-01-03 00:00:00", "DELIVERED"), (2, "2026-01-01 00:00:00", "SHIPPED"),
+            (2, "2026-01-05 00:00:00", "PLACED"), (3, "2026-01-01 00:00:00", "PLACED"),
+            (3, "2026-01-01 00:00:00", "PLACED")]
+    df = spark.createDataFrame([(k, t, s, i) for i, (k, t, s) in enumerate(rows)],
+                               "order_id int, ts string, status string, seq int") \
+        .withColumn("ts", F.to_timestamp_ntz("ts"))
+    bad = sorted(((r.order_id, r.prev_status, r.status) for r in K.transition_violations(
+        df, ["order_id"], "ts", ["seq"], "status", ORDER_TRANSITIONS, allow_initial=["PLACED"]).collect()),
+        key=lambda t: (t[0], t[1] or "", t[2]))
+    assert bad == [(2, None, "SHIPPED"), (2, "SHIPPED", "PLACED")]
+    hist = {(r.order_id, r.status, r.seq): (r.valid_to, r.is_current)
+            for r in K.scd2_history(df, ["order_id"], "ts", ["seq"]).collect()}
+    assert str(hist[(1, "PLACED", 0)][0]) == "2026-01-02 00:00:00" and hist[(1, "DELIVERED", 2)] == (None, True)
+    latest = {r.order_id: r.status for r in K.latest_per_key(df, ["order_id"], ["ts", "seq"]).collect()}
+    assert latest == {1: "DELIVERED", 2: "PLACED", 3: "PLACED"}
