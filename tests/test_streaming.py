@@ -239,3 +239,17 @@ def test_windowed_state_is_evicted_behind_the_watermark(spark, scratch):
     state = {str(r.window_start)[11:16]: r.n for r in
              ST.read_upsert_log(spark, f"{scratch}/lw_log", ["svc", "window_start"]).collect()}
     assert state == {"10:00": 1, "12:30": 2}
+
+
+def test_run_bronze_streams_to_paths(spark, scratch):
+    clicks, logs = f"{scratch}/pc", f"{scratch}/pl"
+    _write_lines(clicks, "c.json", [_click(1), _click(2)])
+    _write_lines(logs, "l.txt", ["2026-06-11T10:00:00Z 10.0.0.1 api-gateway GET /home 504 2999ms"])
+    qs = B.run_bronze_streams(spark, [B.BronzeSource("clicks", B.text_stream(spark, clicks), CLICKSTREAM_SCHEMA),
+                                      B.BronzeSource("logs", B.text_stream(spark, logs))],
+                              f"{scratch}/pout", f"{scratch}/pck", trigger={"availableNow": True})
+    for q in qs:
+        q.awaitTermination()
+    assert spark.read.parquet(f"{scratch}/pout/clicks").count() == 2
+    row = spark.read.parquet(f"{scratch}/pout/logs").first()
+    assert (row.status_code, row.latency_ms, row._ingested_at is not None) == (504, 2999, True)
