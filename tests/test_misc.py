@@ -216,3 +216,10 @@ def test_order_life_cycle_and_history(spark):
     assert str(hist[(1, "PLACED", 0)][0]) == "2026-01-02 00:00:00" and hist[(1, "DELIVERED", 2)] == (None, True)
     latest = {r.order_id: r.status for r in K.latest_per_key(df, ["order_id"], ["ts", "seq"]).collect()}
     assert latest == {1: "DELIVERED", 2: "PLACED", 3: "PLACED"}
+
+
+def test_kafka_batch_needs_its_connector(spark):
+    import pytest
+    from strata.streaming import bronze as B
+    with pytest.raises(Exception, match="(?i)kafka"):
+        B.kafka_batch(spark, "localhost:9092", "server_logs", max_messages=5).count()
