@@ -81,3 +81,14 @@ def test_each_record_is_parsed_once(spark, name):
     plan = E.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     parses = plan.count("parseJson") + plan.count("from_json(")
     assert parses == 1, parses
+
+
+def test_top_k_ranks_in_salted_stages(no_broadcast):
+    ex = _exchanges(_final_plan(E.queries()["product_activity_window"](no_broadcast, SF)))
+    assert "hashpartitioning(window_start, _salt, 8)" in ex   # first stage: per window and salt
+    assert "hashpartitioning(window_start, 8)" in ex          # second stage: the few candidates
+
+
+def test_reconcile_gold_outputs_derive_from_one_scan(no_broadcast):
+    plan = _final_plan(E.queries()["discrepancy_counts"](no_broadcast, SF))
+    assert len(re.findall(r"FileScan parquet [^\n]*lineitem\.parquet", plan)) == 1
