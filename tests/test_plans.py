@@ -92,3 +92,12 @@ def test_top_k_ranks_in_salted_stages(no_broadcast):
 def test_reconcile_gold_outputs_derive_from_one_scan(no_broadcast):
     plan = _final_plan(E.queries()["discrepancy_counts"](no_broadcast, SF))
     assert len(re.findall(r"FileScan parquet [^\n]*lineitem\.parquet", plan)) == 1
+
+
+def test_small_dimension_broadcast_by_size_check(no_broadcast):
+    """With Spark's own threshold off, the nation dimension (a few KB by the
+    optimizer's estimate) is still broadcast by the size-checked helper, and
+    nothing large is."""
+    plan = _final_plan(E.queries()["flatten_struct"](no_broadcast, SF))
+    assert plan.count("BroadcastExchange") == 1
+    assert "hashpartitioning(o_custkey, 8)" in _exchanges(plan)   # orders x customer stays a shuffle join
