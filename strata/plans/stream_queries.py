@@ -2,7 +2,9 @@
 
 Each query runs a Structured Streaming job with ``availableNow`` over the
 table's file, writes to a fresh folder under the shared checkpoint location
-and returns what it wrote; the oracle is the batch query's.
+and returns what it wrote (stateful ones: the latest state of their upsert
+log). The oracle is the batch query's, except for the semi interval join,
+whose stream form has its own SQL.
 """
 
 from __future__ import annotations
