@@ -58,18 +58,29 @@ def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
     }
 
 
+def session_conf(conf: Mapping[str, str] | None = None, input_bytes: int | None = None,
+                 total_cores: int | None = None) -> dict[str, str]:
+    """Our defaults, then sizing for the input (when given), then ``conf``."""
+    merged = dict(DEFAULT_CONF)
+    if input_bytes is not None and total_cores:
+        merged.update(sizing_conf(input_bytes, total_cores))
+    merged.update(conf or {})
+    return merged
+
+
 def build_session(
     app_name: str = "strata",
     master: str | None = None,
     conf: Mapping[str, str] | None = None,
+    input_bytes: int | None = None,
+    total_cores: int | None = None,
 ) -> SparkSession:
-    """Return a session with our defaults; ``conf`` wins over them."""
+    """Return a session with our defaults (sized for ``input_bytes`` on
+    ``total_cores`` when both are given); ``conf`` wins over both."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    merged = dict(DEFAULT_CONF)
-    merged.update(conf or {})
-    for key, value in merged.items():
+    for key, value in session_conf(conf, input_bytes, total_cores).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)

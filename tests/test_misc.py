@@ -223,3 +223,12 @@ def test_kafka_batch_needs_its_connector(spark):
     from strata.streaming import bronze as B
     with pytest.raises(Exception, match="(?i)kafka"):
         B.kafka_batch(spark, "localhost:9092", "server_logs", max_messages=5).count()
+
+
+def test_session_conf_layers():
+    from strata.session import session_conf
+    conf = session_conf({"spark.sql.shuffle.partitions": "64"}, input_bytes=100 * 1024 ** 4, total_cores=8000)
+    assert conf["spark.sql.shuffle.partitions"] == "64"                 # explicit conf wins
+    assert conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 * 1024 * 1024)
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    assert "spark.sql.files.maxPartitionBytes" in session_conf()
