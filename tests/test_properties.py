@@ -279,3 +279,15 @@ def test_every_contract_matches_model(spark, source, records):
             assert i in valid and i not in errors, (source, r, errors.get(i))
         else:
             assert errors.get(i) == expected, (source, r, errors.get(i), expected)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(WIDE_RECORDS, min_size=1, max_size=30))
+def test_wide_and_ragged_flatten_agree(spark, records):
+    from strata.functions import flatten as FL
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "i int, value string")
+    wide = {r.i: {k: v for k, v in r.asDict().items() if k != "i" and v is not None}
+            for r in FL.flatten_json(df, keep=("i",)).collect()}
+    ragged = {r.i: {k: v.toPython() for k, v in r.record.items() if v.toPython() is not None}
+              for r in FL.flatten_ragged(df, keep=("i",)).collect()}
+    assert wide == ragged
