@@ -7,11 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm.quality_rules import quality_figures
 from strata.llm.registry import ORACLE_SQL, QUERIES, register
+from strata.llm.sentence_pieces import encode_digests
+from strata.llm.simhash import SimHashParams, simhash_components
+from strata.llm.token_blocks import read_tokens, tokens_folder, write_tokens
 from strata.sources.tables import read_table
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_MODEL = "byte_bpe_50k.json"
+END_ID = 2
 
 
 @register("op10_quality_rules")
@@ -19,3 +24,24 @@ def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base figures, tokeniser fertility and verdict of every document."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return quality_figures(docs, public_tokenizers.path(PIECE_MODEL))
+
+
+@register("op5_sentence_pieces")
+def sentence_pieces_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded with spans and decoded again, as digests."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return encode_digests(docs, public_tokenizers.path(PIECE_MODEL))
+
+
+@register("op7_token_blocks")
+def token_blocks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents written as block files and read back."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return read_tokens(write_tokens(docs, tokens_folder(spark), public_tokenizers.path(BYTE_MODEL), END_ID))
+
+
+@register("op9_simhash")
+def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of every document."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return simhash_components(docs, SimHashParams(shingle_words=4, max_distance=4, seed=42))
