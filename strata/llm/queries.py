@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.llm.chat_format import format_conversations, read_formatted
+from strata.llm.common import materialise
 from strata.llm.quality_rules import quality_figures
 from strata.llm.registry import ORACLE_SQL, QUERIES, register
 from strata.llm.sentence_pieces import encode_digests
 from strata.llm.simhash import SimHashParams, simhash_components
 from strata.llm.token_blocks import read_tokens, tokens_folder, write_tokens
+from strata.llm.url_filter import GlobRule, HostRule, filter_urls
 from strata.sources.tables import read_table
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -45,3 +49,80 @@ def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return simhash_components(docs, SimHashParams(shingle_words=4, max_distance=4, seed=42))
+
+
+URL_RULES = (
+    HostRule("allow", "org", "/"),
+    HostRule("block", "example.org", "/es/"),
+    HostRule("block", "example.org", "/en/1"),
+    HostRule("allow", "com", "/fr/"),
+    HostRule("block", "com", "/de/"),
+)
+# Where no host rule fits: binary files, log-in and cart pages go, anything else stays.
+URL_GLOBS = tuple(GlobRule("block", g) for g in (
+    "*/**.pdf", "*/**.exe", "*/**.zip", "*/**.jpg", "*/**.png", "*/**/login", "*/**/login/**", "*/login", "*/login/**",
+    "*/cart", "*/cart/**", "ads.*/**", "tracker.*/**",
+))
+
+
+@register("op1_url_filters", """
+    WITH u AS (
+      SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+    ), c AS (
+      SELECT page_id, regexp_extract(rest, '^[^?#]*') AS rest FROM u
+    ), p AS (
+      SELECT page_id,
+             translate(regexp_extract(rest, '^[^/]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             substr(rest, length(regexp_extract(rest, '^[^/]*')) + 1) AS path
+      FROM c
+    ), r AS (
+      SELECT *, CASE
+        WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+        WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+        WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+        WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+        WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/'
+      END AS rule FROM p
+    )
+    SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, CASE
+      WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
+      WHEN rule IS NOT NULL THEN 'block'
+      WHEN regexp_matches(path, '^/.*(\\.pdf|\\.exe|\\.zip|\\.jpg|\\.png)$', 's') THEN 'block'
+      WHEN regexp_matches(path, '^/(.*/)?login(/.*)?$', 's') OR regexp_matches(path, '^/cart(/.*)?$', 's') THEN 'block'
+      WHEN regexp_matches(host, '^(ads|tracker)\\.') AND starts_with(path, '/') THEN 'block'
+      ELSE 'allow' END AS verdict
+    FROM r
+""")
+def url_filters_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    return filter_urls(read_table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES, URL_GLOBS)
+
+
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+@register("op4_chat_format", r"""
+    WITH t AS (
+      SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+      UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+    ), e AS (
+      SELECT *, length(regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\]|/?SYS\]|/?ROLE)', '\1\\\2\3', 'g'))
+                + CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 5 WHEN 'system' THEN 16 END AS chars
+      FROM t
+    )
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(chars) AS BIGINT) AS formatted_chars, false AS rewrites
+    FROM e GROUP BY conv_id
+""")
+def chat_format_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one of control strings only, formatted, written and read back."""
+    table = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    extra = spark.range(1).select(F.explode(F.array(*[
+        F.struct(F.lit(-1).cast("long").alias("conv_id"), F.lit(i).cast("long").alias("turn"), F.lit(role).alias("role"),
+                 F.lit(CONTROL_TEXT).alias("text")) for i, role in enumerate(("user", "assistant"))])).alias("t")).select("t.*")
+    formatted = materialise(spark, format_conversations(table.unionByName(extra)), "formatted-conversations")
+    return read_formatted(formatted)
