@@ -14,6 +14,7 @@ from strata.llm.sentence_pieces import encode_digests
 from strata.llm.simhash import SimHashParams, simhash_components
 from strata.llm.token_blocks import read_tokens, tokens_folder, write_tokens
 from strata.llm.url_filter import GlobRule, HostRule, filter_urls
+from strata.llm.warc import archive_folder, read_records, write_archives
 from strata.sources.tables import read_table
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -126,3 +127,20 @@ def chat_format_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lit(CONTROL_TEXT).alias("text")) for i, role in enumerate(("user", "assistant"))])).alias("t")).select("t.*")
     formatted = materialise(spark, format_conversations(table.unionByName(extra)), "formatted-conversations")
     return read_formatted(formatted)
+
+
+@register("op3_warc", """
+    WITH p AS (
+      SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+    ), k AS (
+      SELECT payload_digest, max(page_id) AS keeper FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN keeper IS NOT NULL AND keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+    FROM p LEFT JOIN k USING (payload_digest)
+""")
+def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back through the index."""
+    index = write_archives(read_table(spark, sf_dir, "pages", "page_id", "url", "html"), archive_folder(spark))
+    return read_records(index).drop("url")

@@ -30,7 +30,7 @@ def open_output(uri: str):
     """A new file, with its folder."""
     system, path = file_system(uri)
     system.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    return system.open_output_stream(path)
+    return system.open_output_stream(path, compression=None)
 
 
 def open_input(uri: str):
