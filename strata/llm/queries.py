@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.chat_format import format_conversations, read_formatted
 from strata.llm.common import materialise
+from strata.llm.embedding_dedup import NearDupParams, near_duplicates
 from strata.llm.quality_rules import quality_figures
 from strata.llm.registry import ORACLE_SQL, QUERIES, register
 from strata.llm.sentence_pieces import encode_digests
@@ -144,3 +145,9 @@ def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back through the index."""
     index = write_archives(read_table(spark, sf_dir, "pages", "page_id", "url", "html"), archive_folder(spark))
     return read_records(index).drop("url")
+
+
+@register("op2_embedding_dedup")
+def embedding_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and verdict of every embedding."""
+    return near_duplicates(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), NearDupParams(threshold=0.9))
