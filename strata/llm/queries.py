@@ -13,6 +13,7 @@ from strata.llm.quality_rules import quality_figures
 from strata.llm.registry import ORACLE_SQL, QUERIES, register
 from strata.llm.sentence_pieces import encode_digests
 from strata.llm.simhash import SimHashParams, simhash_components
+from strata.llm.source_mix import mix_sources
 from strata.llm.token_blocks import read_tokens, tokens_folder, write_tokens
 from strata.llm.url_filter import GlobRule, HostRule, filter_urls
 from strata.llm.warc import archive_folder, read_records, write_archives
@@ -151,3 +152,12 @@ def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def embedding_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, component and verdict of every embedding."""
     return near_duplicates(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), NearDupParams(threshold=0.9))
+
+MIX_WEIGHTS = (5.0, 2.0, 1.0)
+
+
+@register("op8_source_mix")
+def source_mix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return mix_sources(docs, MIX_WEIGHTS, cap=3.0).select("doc_id", "size", "source_size", "target", "taken")
