@@ -11,6 +11,7 @@ from strata.llm.common import materialise
 from strata.llm.embedding_dedup import NearDupParams, near_duplicates
 from strata.llm.quality_rules import quality_figures
 from strata.llm.registry import ORACLE_SQL, QUERIES, register
+from strata.llm.repeated_text import RepeatParams, remove_repeats
 from strata.llm.sentence_pieces import encode_digests
 from strata.llm.simhash import SimHashParams, simhash_components
 from strata.llm.source_mix import mix_sources
@@ -161,3 +162,9 @@ def source_mix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "source")
     return mix_sources(docs, MIX_WEIGHTS, cap=3.0).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op6_repeated_text")
+def repeated_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that lie in repeated strings of 400 bytes, removed."""
+    return remove_repeats(read_table(spark, sf_dir, "documents", "doc_id", "text"), RepeatParams(min_length=400))
