@@ -12,21 +12,52 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import materialise
-from strata.llm.queries import PIECE_MODEL
+from strata.llm.queries import MIX_WEIGHTS, PIECE_MODEL
 from strata.llm.quality_rules import quality_figures
+from strata.llm.repeated_text import RepeatParams, remove_repeats
+from strata.llm.sentence_pieces import encode_pieces
+from strata.llm.simhash import SimHashParams, keep_one_per_component
+from strata.llm.source_mix import take_copies
 from strata.sources.tables import read_table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go. Null and empty texts have no words and go too."""
     figures = quality_figures(docs.select(*COLUMNS), public_tokenizers.path(PIECE_MODEL), carry=COLUMNS)
     return figures.where(F.col("kept")).select(*COLUMNS)
 
 
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, that with the smallest id."""
+    return keep_one_per_component(docs.select(*COLUMNS), SimHashParams(shingle_words=4, max_distance=4, seed=42))
+
+
+def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 400 bytes or more that repeat go; ``n_chars`` counts what is left."""
+    cut = remove_repeats(docs.select(*COLUMNS), RepeatParams(min_length=400), carry=("lang", "source"), kept="text")
+    return cut.select("doc_id", F.col("kept_text").alias("text"), "lang", "source",
+                      F.char_length("kept_text").cast("long").alias("n_chars"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; those with no copies go."""
+    return take_copies(docs.select(*COLUMNS), MIX_WEIGHTS, cap=3.0)
+
+
+def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per copy: its piece ids and the borders of the pieces in the text's bytes."""
+    made = encode_pieces(docs.select("doc_id", "text"), public_tokenizers.path(PIECE_MODEL))
+    return made.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "borders")
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("repeated_text", repeated_text),
+    ("source_mix", source_mix),
+    ("sentence_pieces", sentence_pieces),
 ]
 
 # The stages tokenise and search whole texts, which SQL cannot express; tests hold them against brute force.

@@ -67,16 +67,17 @@ def fingerprint(text: str, params: SimHashParams) -> int:
     return int(np.packbits(2 * counts > shingles, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, params: SimHashParams, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): the fingerprint as a signed 64-bit integer. Null texts count as empty."""
-    source = docs.select(id_col, text_col)
-    kind = source.schema[id_col].dataType.simpleString()
+def fingerprints(docs: DataFrame, params: SimHashParams, id_col: str = "doc_id", text_col: str = "text",
+                 carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, carried columns, fp): the fingerprint as a signed 64-bit integer. Null texts count as empty."""
+    source = docs.select(id_col, *carry, text_col)
+    kept = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in (id_col, *carry))
 
     def run(batch: pa.RecordBatch):
         made = np.array([fingerprint(t or "", params) for t in batch.column(text_col).to_pylist()], dtype=np.uint64)
-        yield {id_col: batch.column(id_col), "fp": made.view(np.int64)}
+        yield {**{c: batch.column(c) for c in (id_col, *carry)}, "fp": made.view(np.int64)}
 
-    return map_batches(source, run, f"`{id_col}` {kind}, fp bigint")
+    return map_batches(source, run, f"{kept}, fp bigint")
 
 
 # --- multi-index search -----------------------------------------------------------------------
@@ -234,6 +235,16 @@ def _batches(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 # --- components -------------------------------------------------------------------------------
 
+def _rooted(prints: DataFrame, params: SimHashParams, id_col: str) -> DataFrame:
+    """(fp, least, root): distinct fingerprints with their least id and their component's root."""
+    spark = prints.sparkSession
+    classes = materialise(spark, prints.groupBy("fp").agg(F.min(id_col).alias("least")), "fingerprint-classes")
+    roots = connected_components(links(classes.select("fp"), params))
+    linked = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    return materialise(spark, linked, "fingerprint-roots")
+
+
 def simhash_components(docs: DataFrame, params: SimHashParams | None = None, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """One row per document: id, ``fingerprint`` (16 hex digits), ``component_id``.
@@ -245,14 +256,31 @@ def simhash_components(docs: DataFrame, params: SimHashParams | None = None, id_
     columns are ignored, and an empty table gives an empty result.
     """
     params = params or SimHashParams()
-    spark = docs.sparkSession
-    prints = materialise(spark, fingerprints(docs, params, id_col, text_col), "fingerprints")
-    classes = materialise(spark, prints.groupBy("fp").agg(F.min(id_col).alias("least")), "fingerprint-classes")
-    roots = connected_components(links(classes.select("fp"), params))
-    linked = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    linked = materialise(spark, linked, "fingerprint-roots")
+    prints = materialise(docs.sparkSession, fingerprints(docs, params, id_col, text_col), "fingerprints")
+    linked = _rooted(prints, params, id_col)
     ids = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     named = linked.join(ids, "root").select("fp", "component_id")
     return prints.join(named, "fp").select(
         id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one_per_component(docs: DataFrame, params: SimHashParams | None = None, id_col: str = "doc_id",
+                           text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, one for each component, with all their columns.
+
+    The row with the smallest id stays, null ids last; of rows with the same
+    id that with the smallest MD5 of its text (null as empty), and of equal
+    rows one. Nulls, empty and long texts: as in :func:`simhash_components`.
+    """
+    params = params or SimHashParams()
+    mark = F.md5(F.coalesce(F.col(text_col), F.lit("")))
+    marked = docs.select(F.col(id_col).alias("id"), mark.alias("mark"), F.col(text_col).alias("text"))
+    prints = materialise(docs.sparkSession, fingerprints(marked, params, "id", "text", ("mark",)), "fingerprints")
+    linked = _rooted(prints.select("id", "fp"), params, "id")
+    order = F.struct(F.col("id").isNull().alias("unnamed"), "id", "mark")
+    chosen = (prints.join(linked.select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("best"))
+              .select(F.col("best.id").alias("chosen_id"), F.col("best.mark").alias("chosen_mark")).distinct())
+    names = docs.columns
+    rows = docs.select(F.struct(*[F.col(c) for c in names]).alias("row"), F.col(id_col).alias("id"), mark.alias("mark"))
+    kept = rows.join(chosen, F.col("id").eqNullSafe(F.col("chosen_id")) & (F.col("mark") == F.col("chosen_mark")), "left_semi")
+    return kept.dropDuplicates(["id", "mark"]).select("row.*")

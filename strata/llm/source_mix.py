@@ -118,6 +118,24 @@ def mix_sources(docs: DataFrame, weights: Sequence[float], cap: float = 3.0, id_
                         "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def take_copies(docs: DataFrame, weights: Sequence[float], cap: float = 3.0, id_col: str = "doc_id",
+                text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, with all their columns.
+
+    Rows that agree in id, source and size share out their copies in the
+    order of their texts.
+    """
+    names = docs.columns
+    mixed = mix_sources(docs, weights, cap, id_col, text_col, source_col)
+    copies = (mixed.groupBy(F.struct(F.col(id_col).alias("id"), F.col(source_col).alias("source"), "size").alias("key"))
+              .agg(F.sort_array(F.collect_list("copies"), asc=False).alias("copies")))
+    keyed = docs.select(F.struct(*[F.col(c) for c in names]).alias("row"), F.col(text_col).alias("text"), F.struct(
+        F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")).alias("key"))
+    place = F.row_number().over(Window.partitionBy("key").orderBy("text"))
+    taken = keyed.join(copies, "key").withColumn("n", F.element_at("copies", place).cast("int")).where(F.col("n") > 0)
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("n")))).select("row.*")
+
+
 def _corrected(mixed: DataFrame, cap: float) -> DataFrame:
     """Give or take one copy of the document whose size fits its source's error best, where that helps."""
     error = mixed.groupBy("source").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("error"))

@@ -1,0 +1,71 @@
+"""Base figures and fertility against plain counting."""
+
+import math
+import re
+from collections import Counter
+
+import public_tokenizers
+import sentencepiece
+
+from strata.llm.quality_rules import Band, QualityParams, quality_figures, script_of
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def brute_base(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(tuple(words[i:i + 5]) for i in range(len(words) - 4))
+    covered = {i + k for i in range(len(words) - 4) if windows[tuple(words[i:i + 5])] > 1 for k in range(5)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)),
+            sum(x in lines[:i] for i, x in enumerate(lines)), len(covered))
+
+
+TEXTS = [None, "", " \n\t ", "one", "a b c d e a b c d e f g h", "x y " * 40, "l1 a\nl2\nl1 a\n \n \nl2", "a\x1cb c\x85d",
+         "Ein Haus # * & <b> %\r\nEin Haus", "été à la mer " * 3 + "fin", "да нет " * 12, "日本語のテキスト " * 20,
+         " ".join(f"word{i}" for i in range(3000)), "a " * 20000, "\x00 \u2028 \u00a0 z", "q w e r t y u i o p a s d f g h j k l z"]
+
+
+def test_figures_match_plain_counting(spark):
+    rows = [(i, t, "clash") for i, t in enumerate(TEXTS)] + [(None, TEXTS[4], "clash"), (4, TEXTS[4], "clash")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept string")
+    got = quality_figures(docs, MODEL).collect()
+    assert len(got) == len(rows)
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    texts = dict(enumerate(TEXTS)) | {None: TEXTS[4]}
+    for r in got:
+        text = texts[r.doc_id] or ""
+        base = brute_base(text)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == base
+        assert r.base_failed == (base[0] < 10 or 100 * base[4] > 20 * base[0])
+        ids = sp.encode(text)
+        counts = Counter(ids)
+        entropy = -sum(c / len(ids) * math.log2(c / len(ids)) for c in counts.values()) if ids else 0.0
+        assert r.n_tokens == len(ids)
+        assert math.isclose(r.token_entropy, entropy, abs_tol=1e-9)
+        assert math.isclose(r.byte_share, sum(sp.is_byte(i) for i in ids) / max(1, len(ids)))
+        assert not (r.base_failed and r.kept)
+        assert r.kept == (r.reason is None)
+
+
+def test_bands_reject_per_script(spark):
+    prose = ("The quick brown fox jumps over a lazy dog while seven other animals watch from the nearby hill, and they all "
+             "wonder what will happen next because nobody has ever seen such a strange thing before today.")
+    docs = spark.createDataFrame([(1, prose), (2, " ".join("zq" * 9 + str(i) for i in range(30)))],
+                                 "doc_id long, text string")
+    loose = {r.doc_id: (r.kept, r.reason) for r in quality_figures(docs, MODEL).collect()}
+    assert loose == {1: (True, None), 2: (False, "too few characters per token")}
+    tight = QualityParams(bands={"Latin": Band(2.2, 9.0, 0.1, 2.0), "other": Band(0.1, 9.0, 1.0, 0.0)}, max_repeat_percent=100)
+    got = {r.doc_id: (r.kept, r.reason) for r in quality_figures(docs, MODEL, tight).collect()}
+    assert got[1] == (True, None)
+    assert got[2] == (False, "too few characters per token")
+
+
+def test_scripts():
+    assert script_of("plain") == "Latin" and script_of("été") == "Latin" and script_of("") == "Latin"
+    assert script_of("привет мир x") == "Cyrillic" and script_of("日本語") == "Han" and script_of("αβγ") == "Greek"
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert quality_figures(docs, MODEL).collect() == []
