@@ -108,11 +108,18 @@ def _sample_rows(data: bytes, params: RepeatParams) -> tuple[np.ndarray, np.ndar
     return at[some], first[some], last[some]
 
 
-_ROWS = "name bigint, stretch bigint, text_key binary, at int, first int, last int"
+# ``many``: 0 for a sample found once in its text, 1 for one of several with the same stretch, which
+# stands for all of them, and 2 for the starts of the others, which need no further comparison.
+_ROWS = "many byte, name bigint, stretch bigint, text_key binary, at int, first int, last int"
 
 
 def _named_samples(docs: DataFrame, params: RepeatParams, text_col: str) -> DataFrame:
-    """A row per sample: the name of its near bytes, of its whole stretch, the text and its starts."""
+    """A row per sample: the name of its near bytes, of its whole stretch, the text and its starts.
+
+    Samples of one text with equal stretches (a text that repeats a line has
+    many) repeat each other. They are folded before the shuffle: one stands
+    for them, and the starts of the others are merged into few rows.
+    """
     length = params.min_length
     near, far = params.reach
     source = docs.select(F.col(text_col).alias("text")).where(F.octet_length(F.col("text")) >= length)
@@ -132,9 +139,25 @@ def _named_samples(docs: DataFrame, params: RepeatParams, text_col: str) -> Data
             # The stretch's offsets are part of its name.
             stretches = np.array([digest(data[p:q + length], (a - p) << 16 | (a - q))
                                   for a, p, q in zip(at_list, first_list, last_list)], dtype=np.uint64)
-            for column, values in zip(columns.values(), (names.view(np.int64), stretches.view(np.int64), [key] * len(at),
-                                                          at, first, last)):
-                column.append(values)
+            pairs = np.stack((names, stretches), axis=1)
+            _, one, own, count = np.unique(pairs, axis=0, return_index=True, return_inverse=True, return_counts=True)
+            stands = np.zeros(len(at), dtype=bool)
+            stands[one] = True
+            many = np.where(stands, (count[own.reshape(-1)] > 1).astype(np.int8), np.int8(2))
+            kept = np.ones(len(at), dtype=bool)
+            rest = np.flatnonzero(~stands)
+            if len(rest):
+                # Runs of starts that touch become one row, dealt out by a number of its own.
+                breaks = np.concatenate(([True], first[rest][1:] > last[rest][:-1] + 1))
+                heads = rest[breaks]
+                last = last.copy()
+                last[heads] = last[rest][np.concatenate((np.flatnonzero(breaks)[1:] - 1, [len(rest) - 1]))]
+                kept[rest[~breaks]] = False
+                names = names.copy()
+                names[heads] = np.array([digest(key, p) for p in first[heads].tolist()], dtype=np.uint64)
+            for column, values in zip(columns.values(), (many, names.view(np.int64), stretches.view(np.int64),
+                                                          np.array([key] * len(at), dtype=object), at, first, last)):
+                column.append(values[kept])
             held += len(at)
             if held >= 200_000:
                 yield _joined(columns)
@@ -146,8 +169,7 @@ def _named_samples(docs: DataFrame, params: RepeatParams, text_col: str) -> Data
 
 
 def _joined(columns: dict[str, list]) -> dict:
-    return {c: ([x for part in parts for x in part] if c == "text_key" else np.concatenate(parts))
-            for c, parts in columns.items()}
+    return {c: (np.concatenate(parts).tolist() if c == "text_key" else np.concatenate(parts)) for c, parts in columns.items()}
 
 
 # --- sorted names, neighbours compared --------------------------------------------------------
@@ -159,11 +181,12 @@ REPEATED, OPEN, WITNESS = "repeated", "open", "witness"
 def _judge_neighbours(rows: DataFrame) -> DataFrame:
     """Rows that matter, with their state, from the order by (name, stretch).
 
-    ``repeated``: a neighbour has the same stretch. ``open``: only the name is
+    ``repeated``: a neighbour has the same stretch, or the row stands for several. ``open``: only the name is
     shared. ``witness``: a repeated row that open rows may be compared with.
     One row of look-back and look-ahead decides, however large a group is.
     """
-    dealt = rows.repartition("name").sortWithinPartitions("name", "stretch")
+    # Rows that need no comparison come first, apart from the names.
+    dealt = rows.repartition("name").sortWithinPartitions((F.col("many") != 2), "name", "stretch")
     schema = pa.schema([("name", pa.int64()), ("text_key", pa.binary()), ("at", pa.int32()), ("first", pa.int32()),
                         ("last", pa.int32()), ("state", pa.string())])
 
@@ -172,12 +195,16 @@ def _judge_neighbours(rows: DataFrame) -> DataFrame:
         n = table.num_rows - (0 if final else 1)
         if n <= 0:
             return
-        name, stretch = (table.column(c).to_numpy() for c in ("name", "stretch"))
+        many, name, stretch = (table.column(c).to_numpy() for c in ("many", "name", "stretch"))
         lead = before or (None, None)
         same_name = np.concatenate(([lead[0] is not None and name[0] == lead[0]], name[1:] == name[:-1], [False]))
+        # A row that needs no comparison has no neighbour.
+        apart = many == 2
+        same_name[:-1] &= ~apart
+        same_name[1:] &= ~apart
         same = np.concatenate(([same_name[0] and stretch[0] == lead[1]], stretch[1:] == stretch[:-1], [False])) & same_name
         back, ahead = same[:n], same[1:n + 1]
-        repeated = back | ahead
+        repeated = back | ahead | (many[:n] > 0)
         border = (same_name[:n] & ~back) | (same_name[1:n + 1] & ~ahead)
         for state, mask in ((REPEATED, repeated), (OPEN, border & ~repeated), (WITNESS, border & repeated)):
             some = np.flatnonzero(mask)
@@ -198,7 +225,8 @@ def _judge_neighbours(rows: DataFrame) -> DataFrame:
             rest = pa.Table.from_batches(held)
             if rest.num_rows > 1:
                 row = rest.slice(rest.num_rows - 2, 1)
-                before = (row.column("name")[0].as_py(), row.column("stretch")[0].as_py())
+                before = (None, None) if row.column("many")[0].as_py() == 2 else (
+                    row.column("name")[0].as_py(), row.column("stretch")[0].as_py())
             held = rest.slice(rest.num_rows - 1).to_batches()
         if held:
             yield from judged(held, before, final=True)
