@@ -1,39 +1,160 @@
 """Flatten nested records into one level, keys joined by ``_``.
 
-Two forms, both a single narrow projection (no shuffle):
-
-1. **Wide** (:func:`flatten_variant`, :func:`flatten_struct`): the shape is
-   known, either given or inferred once with the distributed aggregate
-   ``schema_of_variant_agg``; every leaf path becomes one column
-   ``try_variant_get(v, path, type)``. Objects are walked to any depth, lists
-   are kept as lists, empty objects vanish. Column pruning works as usual.
-2. **Ragged** (:func:`flatten_ragged`): when one key holds an object in some
-   records and a scalar in others, the shape is not a struct. Records become
-   ``map<string, variant>`` flattened by ``depth`` rounds of higher-order
-   functions over the map entries.
-
-Name clashes (``{"t_c": 1, "t": {"c": 2}}``): the later key wins. VARIANT
-stores object keys sorted, so "later" is later in key order, not in the
-document; in the wide form a later column wins only where it is present
-(absent and JSON null are both null there).
+A record keeps the order of its document: where two paths give the same name
+(``{"t_c": 1, "t": {"c": 2}}``) the later one in the document wins, a JSON
+null included. Objects are walked to any depth, lists are kept as lists, empty
+objects vanish, numbers keep the digits they were written with.
+
+VARIANT sorts object keys, so document order cannot be had from it. The walk
+itself is therefore a small per-record helper behind one narrow ``mapInArrow``
+step; it turns each document into flat JSON objects, and everything after it
+(types, columns, metadata) is Spark expressions over those.
+
+Two forms, neither with a shuffle:
+
+1. **Wide** (:func:`flatten_json`): a column per flat name. Names and types are
+   given, or found by one distributed aggregate over the flat entries, so a
+   name that holds an object in some records and a scalar in others simply
+   gives ``c`` and ``c_d``.
+2. **Map** (:func:`flatten_ragged`): ``map<string, variant>`` with the names of
+   that record only.
 """
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Iterator, Sequence
+
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from strata.functions.columns import computed_once
-from strata.schemas import FLATTEN_SEPARATOR
-from strata.functions.variant import is_object
 from strata.functions.variant import path as variant_path
+from strata.schemas import FLATTEN_SEPARATOR
 
 SEP = FLATTEN_SEPARATOR
 
+# --- one record -----------------------------------------------------------------
+
+
+class _Number(str):
+    """A JSON number as it was written."""
+
+
+def _refuse(token: str):
+    raise ValueError(f"not JSON: {token}")
+
+
+def _load(text: str):
+    return json.loads(text, parse_int=_Number, parse_float=_Number, parse_constant=_refuse)
+
+
+def _dump(value) -> str:
+    if isinstance(value, _Number):
+        return str(value)
+    if isinstance(value, list):
+        return "[" + ",".join(map(_dump, value)) + "]"
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{json.dumps(k)}:{_dump(v)}" for k, v in value.items()) + "}"
+    return json.dumps(value)
+
+
+def flat_entries(record: dict) -> dict:
+    """The flat form of a record; of equal names the last in the document wins."""
+    out: dict = {}
+    # A stack, so depth is bounded by the document alone.
+    stack = [iter([(k, v) for k, v in record.items()])]
+    while stack:
+        for name, value in stack[-1]:
+            if isinstance(value, dict):
+                stack.append(iter([(f"{name}{SEP}{k}", v) for k, v in value.items()]))
+                break
+            out[name] = value
+        else:
+            stack.pop()
+    return out
+
 
-def _path(parts: list[str]) -> str:
-    return variant_path(*parts)
+def document_records(text: str | None, unwrap_keys: Sequence[str], explode: bool = True) -> list | None:
+    """The records of a document, None if it is not JSON.
+
+    ``{"<key>": [...]}`` for a key of ``unwrap_keys`` gives the list, a list
+    stays a list, anything else is a list of one; without ``explode`` the
+    document is the one record.
+    """
+    if text is None:
+        return None
+    try:
+        doc = _load(text)
+    except (ValueError, RecursionError):
+        return None
+    if not explode:
+        return [doc]
+    if isinstance(doc, dict):
+        for key in unwrap_keys:
+            if isinstance(doc.get(key), list):
+                return doc[key]
+    return doc if isinstance(doc, list) else [doc]
+
+
+# --- documents to flat records --------------------------------------------------
+
+
+def flat_records(docs: DataFrame, doc_col: str, keep: Sequence[str] = (), unwrap_keys: Sequence[str] = (),
+                 explode: bool = True) -> DataFrame:
+    """Kept columns, ``_pos``, ``_flat`` (VARIANT) and ``_is_object`` per record.
+
+    A record that is no object has its own value in ``_flat``. A document that
+    is not JSON gives one row with a null ``_pos``. Without ``explode`` the
+    document itself is the one record. A VARIANT column is taken as its text.
+    """
+    doc = F.col(doc_col)
+    if isinstance(docs.schema[doc_col].dataType, T.VariantType):
+        doc = F.to_json(doc)
+    keep = list(dict.fromkeys(keep))
+    source = docs.select(*[F.col(k) for k in keep], doc.cast("string").alias("_doc"))
+    fields = T.StructType([*[source.schema[k] for k in keep], T.StructField("_pos", T.LongType()),
+                           T.StructField("_text", T.StringType()), T.StructField("_is_object", T.BooleanType())])
+    target = to_arrow_schema(fields)
+    keys = tuple(unwrap_keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[int] = []
+            made: list[tuple] = []
+            for i, text in enumerate(batch.column("_doc").to_pylist()):
+                records = document_records(text, keys, explode)
+                if records is None:
+                    rows.append(i)
+                    made.append((None, None, False))
+                    continue
+                for pos, record in enumerate(records):
+                    is_object = isinstance(record, dict)
+                    rows.append(i)
+                    made.append((pos, _dump(flat_entries(record) if is_object else record), is_object))
+            kept = batch.select(keep).take(pa.array(rows, pa.int64())) if keep else None
+            columns = list(kept.columns) if keep else []
+            columns += [pa.array(list(c), t.type) for c, t in
+                        zip(zip(*made) if made else ((), (), ()), list(target)[len(keep):])]
+            yield pa.RecordBatch.from_arrays(columns, schema=target)
+
+    out = source.mapInArrow(run, fields)
+    return out.select(*[F.col(k) for k in keep], "_pos", F.try_parse_json("_text").alias("_flat"), "_is_object")
+
+
+# --- names and types ------------------------------------------------------------
+
+_TYPE_TOKEN = re.compile(r"`(?:[^`]|``)*`|\bOBJECT(?=<)|\bVOID(?=\s*(?:[,>]|$))")
+
+
+def _parse_variant_type(text: str) -> T.DataType:
+    """A type that ``schema_of_variant`` printed; key names stay untouched."""
+    ddl = _TYPE_TOKEN.sub(lambda m: {"OBJECT": "STRUCT", "VOID": "STRING"}.get(m[0], m[0]), text)
+    return T._parse_datatype_string(ddl)
 
 
 def infer_variant_schema(df: DataFrame, column: Column) -> T.DataType:
@@ -43,26 +164,46 @@ def infer_variant_schema(df: DataFrame, column: Column) -> T.DataType:
     small string per partition is shuffled. Conflicting shapes become VARIANT.
     """
     text = df.select(F.schema_of_variant_agg(column).alias("s")).first()["s"]
-    if text is None:
-        return T.StructType([])
-    ddl = text.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
-    return T._parse_datatype_string(ddl)
+    return T.StructType([]) if text is None else _parse_variant_type(text)
+
+
+def infer_flat_schema(rows: DataFrame, flat: Column) -> T.StructType:
+    """(name, merged type) of all flat entries, from one distributed aggregate.
+
+    The result is as large as the schema. Types of a name that conflict merge
+    to VARIANT; a name that is always null is a string.
+    """
+    entries = rows.select(F.explode(F.try_variant_get(flat, "$", "map<string,variant>")).alias("name", "value"))
+    found = entries.groupBy("name").agg(F.schema_of_variant_agg("value").alias("type")).collect()
+    return T.StructType([T.StructField(r["name"], _parse_variant_type(r["type"] or "VOID"))
+                         for r in sorted(found, key=lambda r: r["name"])])
+
+
+def _stored(df: DataFrame, path: str) -> T.DataType | None:
+    try:
+        text = df.sparkSession.read.text(path).first()
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return None if text is None else T._parse_datatype_json_string(text["value"])
+
+
+def _store(df: DataFrame, schema: T.DataType, path: str) -> T.DataType:
+    df.sparkSession.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return schema
 
 
 def load_or_infer_schema(df: DataFrame, column: Column, path: str) -> T.DataType:
     """The shape stored at ``path`` (one line of schema JSON, written with
     Spark so any shared file system works), else inferred from ``df`` and
     stored there. Later batch runs skip inference; streams can pass it on."""
-    spark = df.sparkSession
-    try:
-        text = spark.read.text(path).first()
-    except Exception:  # noqa: BLE001 - nothing stored yet
-        text = None
-    if text is not None:
-        return T._parse_datatype_json_string(text["value"])
-    schema = infer_variant_schema(df, column)
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
-    return schema
+    return _stored(df, path) or _store(df, infer_variant_schema(df, column), path)
+
+
+def load_or_infer_flat_schema(rows: DataFrame, flat: Column, path: str) -> T.StructType:
+    """:func:`infer_flat_schema`, stored and reused like :func:`load_or_infer_schema`."""
+    return _stored(rows, path) or _store(rows, infer_flat_schema(rows, flat), path)
 
 
 def leaf_paths(dtype: T.DataType, prefix: tuple[str, ...] = ()) -> list[tuple[tuple[str, ...], T.DataType]]:
@@ -75,118 +216,98 @@ def leaf_paths(dtype: T.DataType, prefix: tuple[str, ...] = ()) -> list[tuple[tu
     return [(prefix, dtype)]
 
 
-def _dedup_last(pairs: list[tuple[str, Column]]) -> list[tuple[str, Column]]:
-    """Later names win; an earlier column with the same name is the fallback."""
-    by_name: dict[str, Column] = {}
-    order: list[str] = []
-    for name, col in pairs:
-        if name in by_name:
-            by_name[name] = F.coalesce(col, by_name[name])
-        else:
-            order.append(name)
-            by_name[name] = col
-    return [(n, by_name[n]) for n in order]
-
-
-def flatten_variant_pairs(v: Column, schema: T.DataType) -> list[tuple[str, Column]]:
-    """(name, column) for every leaf of ``schema`` read from VARIANT ``v``."""
-    pairs = []
+def flat_names(schema: T.DataType) -> list[tuple[str, T.DataType]]:
+    """(flat name, type) of a shape; a name that two paths give is VARIANT where their types differ."""
+    out: dict[str, T.DataType] = {}
     for path, dtype in leaf_paths(schema):
         name = SEP.join(path)
-        pairs.append((name, F.try_variant_get(v, _path(list(path)), dtype.simpleString())))
-    return _dedup_last(pairs)
+        out[name] = dtype if out.get(name, dtype) == dtype else T.VariantType()
+    return list(out.items())
+
+
+def column_names(names: Sequence[str]) -> list[str]:
+    """Column names for flat names: one that differs from an earlier name in
+    case only gets a number, since column names ignore case."""
+    out: list[str] = []
+    taken: set[str] = set()
+    for name in names:
+        new, n = name, 1
+        while new.lower() in taken or (n > 1 and new in names):
+            n += 1
+            new = f"{name}{SEP}{n}"
+        taken.add(new.lower())
+        out.append(new)
+    return out
+
+
+def type_ddl(dtype: T.DataType) -> str:
+    """A type as DDL with every key name quoted."""
+    if isinstance(dtype, T.StructType):
+        fields = (f"`{f.name.replace('`', '``')}`: {type_ddl(f.dataType)}" for f in dtype.fields)
+        return f"STRUCT<{', '.join(fields)}>"
+    if isinstance(dtype, T.ArrayType):
+        return f"ARRAY<{type_ddl(dtype.elementType)}>"
+    return dtype.simpleString()
+
+
+def flat_value(flat: Column, name: str, dtype: str) -> Column:
+    """The value of one flat name, of the given type."""
+    if "'" in name and '"' in name:  # no path can hold both quotes
+        entry = F.element_at(F.try_variant_get(flat, "$", "map<string,variant>"), F.lit(name))
+        return F.try_variant_get(entry, "$", dtype)
+    return F.try_variant_get(flat, variant_path(name), dtype)
+
 
+def flat_columns(flat: Column, schema: T.DataType) -> list[tuple[str, Column]]:
+    """(column name, value) of every flat name of a shape."""
+    pairs = flat_names(schema)
+    out = []
+    for new, (name, dtype) in zip(column_names([n for n, _ in pairs]), pairs):
+        value = flat_value(flat, name, type_ddl(dtype))
+        # A JSON null is a null of the column, whatever the column's type.
+        out.append((new, F.when(~F.is_variant_null(value), value) if isinstance(dtype, T.VariantType) else value))
+    return out
 
-def flatten_variant(v: Column, schema: T.DataType) -> list[Column]:
-    """Columns for every leaf of ``schema`` read from VARIANT ``v``."""
-    return [c.alias(n) for n, c in flatten_variant_pairs(v, schema)]
+
+# --- operators ------------------------------------------------------------------
 
 
 def flatten_struct(df: DataFrame, column: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Wide flatten of struct columns (``column``, or every column when None)."""
+    """Wide flatten of struct columns (``column``, or every column when None).
+
+    Of two leaves with one name the later wins; where the types agree, the
+    earlier fills its nulls (a struct cannot tell absent from null).
+    """
     schema = df.schema if column is None else T.StructType([df.schema[column]])
-    pairs = []
-    for path, _ in leaf_paths(schema):
+    found: dict[str, tuple[Column, T.DataType]] = {}
+    for path, dtype in leaf_paths(schema):
         inner = path[1:] if column is not None else path
         name = SEP.join(inner) if inner else path[0]
-        pairs.append((name, F.col(".".join(f"`{p}`" for p in path))))
-    return df.select(*[F.col(k) for k in keep], *[c.alias(n) for n, c in _dedup_last(pairs)])
+        value = F.col(".".join(f"`{p}`" for p in path))
+        if name in found and found[name][1] == dtype:
+            value = F.coalesce(value, found[name][0])
+        found[name] = (value, dtype)
+    return df.select(*[F.col(k) for k in keep], *[c.alias(n) for n, (c, _) in found.items()])
 
 
 def flatten_json(df: DataFrame, column: str = "value", keep: tuple[str, ...] = (),
                  schema: T.DataType | None = None) -> DataFrame:
-    """Parse JSON text (or take VARIANT) and flatten it wide.
+    """JSON text (or VARIANT) flattened wide: a column per flat name.
 
-    Without ``schema`` the shape is inferred from all rows first (one job);
-    a stream must pass ``schema``.
+    Without ``schema`` (flat, or nested with the same flat names) names and
+    types are found from all rows first, which takes one job over the input; a
+    stream must pass it. Records that are no object, or not JSON, have nulls.
     """
-    col = F.col(column)
-    v = col if isinstance(df.schema[column].dataType, T.VariantType) else F.try_parse_json(col)
-    staged = df.select(*[F.col(k) for k in keep], v.alias("_v"))
+    rows = flat_records(df, column, keep, explode=False)
+    flat = F.when(F.col("_is_object"), F.col("_flat"))
     if schema is None:
-        schema = infer_variant_schema(staged, F.col("_v"))
-    return staged.select(*[F.col(k) for k in keep], *flatten_variant(F.col("_v"), schema))
+        schema = infer_flat_schema(rows, flat)
+    return rows.select(*[F.col(k) for k in keep], *[c.alias(n) for n, c in flat_columns(flat, schema)])
 
 
-def _entries(v: Column) -> Column:
-    return F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
-
-
-def _is_object(v: Column) -> Column:
-    return is_object(v)
-
-
-def _flatten_round(entries: Column) -> Column:
-    """Replace each object-valued entry by its children (one level).
-
-    The object test is the cast to a map itself (null for non-objects), done
-    once per entry; a round over a record with no object left is skipped.
-    """
-    typed = F.transform(entries, lambda e: F.struct(
-        e["key"].alias("key"), e["value"].alias("value"),
-        F.try_variant_get(e["value"], "$", "map<string,variant>").alias("m")))
-    expanded = F.flatten(F.transform(typed, lambda e: F.when(
-        e["m"].isNull(), F.array(F.struct(e["key"].alias("key"), e["value"].alias("value")))
-    ).otherwise(F.transform(F.map_entries(e["m"]), lambda c: F.struct(
-        F.concat(e["key"], F.lit(SEP), c["key"]).alias("key"), c["value"].alias("value"))))))
-    return expanded
-
-
-def flatten_entries(v: Column, depth: int = 8) -> Column:
-    """``array<struct<key, value: variant>>`` of the flattened record, as one
-    expression (for small ``depth``; :func:`flatten_ragged` stages rounds)."""
-    entries = _entries(v)
-    for _ in range(depth):
-        entries = _flatten_round(entries)
-    return entries
-
-
-def last_wins(entries: Column) -> Column:
-    """Keep, for each key, its last entry (no reliance on map dedup settings)."""
-    n = F.size(entries)
-    return F.filter(entries, lambda e, i: ~F.exists(
-        F.slice(entries, i + 2, F.greatest(n - i - 1, F.lit(1))),
-        lambda x: (x["key"] == e["key"]) & (i + 1 < n)))
-
-
-def flatten_ragged(df: DataFrame, column: str = "value", keep: tuple[str, ...] = (),
-                   depth: int = 8, as_map: bool = True) -> DataFrame:
-    """Ragged flatten: one ``map<string, variant>`` column ``record``.
-
-    Each of the ``depth`` rounds flattens one level of nesting, so objects
-    nested deeper than ``depth`` stay as VARIANT values. Each round is its
-    own projection evaluated once per row (see ``computed_once``); rounds
-    after the deepest object of a record only test its entries. Non-object
-    records give a null map; ``as_map=False`` returns the de-duplicated entry
-    array instead.
-    """
-    col = F.col(column)
-    v = col if isinstance(df.schema[column].dataType, T.VariantType) else F.try_parse_json(col)
-    kept = list(keep)
-    cur = computed_once(df.select(*[F.col(k) for k in keep], v.alias("_v")), _entries(F.col("_v")), "_e", kept)
-    for _ in range(depth):
-        has_object = F.exists("_e", lambda e: F.try_variant_get(e["value"], "$", "map<string,variant>").isNotNull())
-        cur = computed_once(cur, F.when(has_object, _flatten_round(F.col("_e"))).otherwise(F.col("_e")), "_e", kept)
-    deduped = last_wins(F.col("_e"))
-    out = F.map_from_entries(deduped) if as_map else deduped
-    return cur.select(*[F.col(k) for k in keep], out.alias("record"))
+def flatten_ragged(df: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Flatten to one ``map<string, variant>`` column ``record`` with the
+    names of that record; null where the record is no object."""
+    rows = flat_records(df, column, keep, explode=False)
+    record = F.when(F.col("_is_object"), F.try_variant_get("_flat", "$", "map<string,variant>"))
+    return rows.select(*[F.col(k) for k in keep], record.alias("record"))

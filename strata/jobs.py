@@ -8,9 +8,12 @@ from __future__ import annotations
 
 import re
 import uuid
+from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators import normalize as N
 from strata.operators import reconcile as R
@@ -18,44 +21,86 @@ from strata.sinks import files as sinks
 from strata.sources import files as sources
 
 
+_LANDED = "_landed_source"
+_PATH = "_path"
+QUARANTINE = "_quarantine"
+
+
+def bronze_documents(spark: SparkSession, input_path: str, base_dir: str | None = None,
+                     dataset_name: str | None = None) -> DataFrame:
+    """Every document below a path: ``_path``, ``doc``, ``dataset``, ``_landed_source``.
+
+    JSON files are documents of their own, named by their path. In raw
+    landings (K3) each line is a document; source and dataset are the
+    landing's source.
+    """
+    landed, others = sources.landing_folders(spark, input_path)
+    # local paths come back as file:/... or file:///...; compare without the scheme
+    local_base = re.sub(r"^file:/+", "/", base_dir or input_path)
+    name = F.lit(dataset_name) if dataset_name else N.dataset_from_path(
+        F.regexp_replace(F.col("path"), r"^file:/+", "/"), local_base)
+    parts = []
+    if not landed:
+        parts.append(sources.read_json_documents(spark, input_path).select(
+            F.col("path").alias(_PATH), "doc", name.alias("dataset"), F.lit(None).cast("string").alias(_LANDED)))
+    else:
+        parts += [sources.read_json_documents(spark, other).select(
+            F.col("path").alias(_PATH), "doc", name.alias("dataset"), F.lit(None).cast("string").alias(_LANDED))
+            for other in others]
+        dataset = F.lit(dataset_name) if dataset_name else F.col("landed_source")
+        parts.append(sources.read_landing(spark, landed).select(
+            F.col("path").alias(_PATH), "doc", dataset.alias("dataset"), F.col("landed_source").alias(_LANDED)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def silver_records(spark: SparkSession, input_path: str, base_dir: str | None = None,
                    unwrap_keys: tuple[str, ...] = (N.SHIPMENTS,), dataset_name: str | None = None,
-                   form: str = "wide", schema_path: str | None = None) -> DataFrame:
-    """Bronze JSON files to silver records with ``dataset`` (E3/E4 plan).
+                   form: str = "wide", schema_path: str | None = None, docs: DataFrame | None = None) -> DataFrame:
+    """Bronze JSON files and raw landings to silver records with ``dataset`` (E3/E4 plan).
 
     ``form="wide"``: one column per flattened key over all inputs;
     ``form="map"``: each record as ``map<string, variant>`` keeping only its
     own keys (for sources whose shapes disagree). ``schema_path`` keeps the
-    wide shape between runs (inferred on the first).
+    wide shape between runs (inferred on the first). Documents that are not
+    JSON give no record: :func:`unparsed_documents` has them.
     """
-    docs = sources.read_json_documents(spark, input_path)
-    base = base_dir or input_path
-    # local paths come back as file:/... or file:///...; compare without the scheme
-    local_base = re.sub(r"^file:/+", "/", base)
-    dataset = F.lit(dataset_name) if dataset_name else N.dataset_from_path(
-        F.regexp_replace(F.col("path"), r"^file:/+", "/"), local_base)
-    docs = docs.withColumn("dataset", dataset)
+    if docs is None:
+        docs = bronze_documents(spark, input_path, base_dir, dataset_name)
+    source = F.coalesce(F.col(_LANDED), N.document_source(F.col("doc"), F.col(_PATH)))
     if form == "wide":
-        return N.normalize(docs, None, doc_col="doc", keep=("dataset",), unwrap_keys=unwrap_keys,
+        return N.normalize(docs, source, doc_col="doc", keep=("dataset",), unwrap_keys=unwrap_keys,
                            schema_path=schema_path)
     if form == "map":
-        return N.normalize_map(docs, doc_col="doc", keep=("dataset",), unwrap_keys=unwrap_keys)
+        return N.normalize_map(docs, source, doc_col="doc", keep=("dataset",), unwrap_keys=unwrap_keys)
     raise ValueError(f"unknown form: {form}")
 
 
+def unparsed_documents(docs: DataFrame) -> DataFrame:
+    """Bronze documents that are not JSON: ``dataset``, ``path``, ``doc``, ``error``."""
+    return N.unparsed_documents(docs).select("dataset", F.col(_PATH).alias("path"), "doc", F.lit("not JSON").alias("error"))
+
+
+def _silver_job(spark: SparkSession, input_path: str, output_dir: str, base_dir: str | None,
+                dataset_name: str | None, **kw) -> str:
+    docs = bronze_documents(spark, input_path, base_dir, dataset_name)
+    out = sinks.write_silver(silver_records(spark, input_path, docs=docs, **kw), output_dir)
+    sinks.write_table(unparsed_documents(docs), f"{output_dir.rstrip('/')}/{QUARANTINE}")
+    return out
+
+
 def silver_file_job(spark: SparkSession, input_path: str, output_dir: str,
                     dataset_name: str | None = None, **kw) -> str:
     """One bronze file to a silver dataset (default name: the file stem)."""
     if dataset_name is None:
         dataset_name = input_path.rstrip("/").split("/")[-1].rsplit(".", 1)[0]
-    recs = silver_records(spark, input_path, dataset_name=dataset_name, **kw)
-    return sinks.write_silver(recs, output_dir)
+    return _silver_job(spark, input_path, output_dir, None, dataset_name, **kw)
 
 
 def silver_folder_job(spark: SparkSession, input_dir: str, output_dir: str, **kw) -> str:
-    """Every ``*.json`` under a folder, one scan, one partitioned write."""
-    recs = silver_records(spark, input_dir, base_dir=input_dir, **kw)
-    return sinks.write_silver(recs, output_dir)
+    """Every ``*.json`` under a folder, one partitioned write. Documents
+    that are not JSON go to ``<output_dir>/_quarantine``, which readers of the
+    datasets skip."""
+    return _silver_job(spark, input_dir, output_dir, input_dir, None, **kw)
 
 
 def gold_reconcile_job(orders: DataFrame, shipments: DataFrame, output_dir: str,
@@ -89,6 +134,7 @@ def run_bronze_batch(spark: SparkSession, out_base: str, topics: dict[str, DataF
     read back from the landing folder (so it counts what was written).
     """
     run_id = uuid.uuid4().hex
+    began = datetime.now(timezone.utc).date()
     kinds: dict[str, str] = {}
     for name, df in topics.items():  # topics first, in the given order
         sinks.write_raw(df.limit(max_messages), out_base, name, run_id)
@@ -99,14 +145,21 @@ def run_bronze_batch(spark: SparkSession, out_base: str, topics: dict[str, DataF
     for name, df in (payloads or {}).items():
         sinks.write_raw(df, out_base, name, run_id)
         kinds[name] = "api_payloads"
+    days = {began, datetime.now(timezone.utc).date()}
+    return _run_summary(spark, out_base, run_id, kinds, [d.isoformat() for d in sorted(days)])
+
+
+def _run_summary(spark: SparkSession, out_base: str, run_id: str, kinds: dict[str, str], days: list[str]) -> DataFrame:
+    """Sources and rows per kind. Only this run's partitions are read, with
+    no schema inference; a source that landed no row has no partition and counts 0."""
+    landing = T.StructType([T.StructField("source", T.StringType()), T.StructField("ingest_date", T.DateType()),
+                            T.StructField("run_id", T.StringType())])
     kind_df = spark.createDataFrame(sorted(kinds.items()), "source string, source_kind string")
-    # Read back only this run's partitions (no listing of earlier runs), no
-    # schema inference; the source comes from the partition path.
-    landed = (spark.read.option("basePath", out_base)
-              .schema("source string, ingest_date date, run_id string")
-              .json(f"{out_base.rstrip('/')}/source=*/ingest_date=*/run_id={run_id}")
-              .groupBy("source").agg(F.count(F.lit(1)).alias("rows")))
-    per_source = kind_df.join(landed, "source", "left")
+    folders = [f"{out_base.rstrip('/')}/source=*/ingest_date={day}/run_id={run_id}" for day in days]
+    folders = [f for f in folders if sources.matches(spark, f)]
+    landed = (spark.read.option("basePath", out_base).schema(landing).json(folders) if folders
+              else spark.createDataFrame([], landing))
+    per_source = kind_df.join(landed.groupBy("source").agg(F.count(F.lit(1)).alias("rows")), "source", "left")
     return (per_source.groupBy("source_kind")
             .agg(F.count_distinct("source").alias("sources"),
                  F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("rows")))

@@ -4,9 +4,11 @@ Input: one row per bronze document, with its JSON text and the file path it
 came from. Output: one row per record, flattened, with ``source_name`` and
 ``record_index`` added unless the record already has them.
 
-The whole operator is narrow: parse, unwrap, ``posexplode`` and a projection.
-``record_index`` is the position inside its own document, so no global
-ordering (and no single-task sort) is ever needed.
+The whole operator is narrow: one step from documents to flat records (see
+:mod:`strata.functions.flatten`) and a projection. ``record_index`` is the
+position inside its own document, so no global ordering (and no single-task
+sort) is ever needed. Documents that are not JSON give no record;
+:func:`unparsed_documents` returns them.
 """
 
 from __future__ import annotations
@@ -15,28 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions import flatten as FL
 from strata import schemas as S
-from strata.functions.variant import is_object
-from strata.functions.variant import path as variant_path
+from strata.functions import flatten as FL
 
 SHIPMENTS = S.SHIPMENTS_KEY
 ENVELOPE = S.ENVELOPE_KEY
 
 
-def _tag(v: Column) -> Column:
-    return F.schema_of_variant(v)
-
-
-def _is_object(v: Column) -> Column:
-    return is_object(v)
-
-
-def _has_key(v: Column, key: str) -> Column:
-    """Key present in an object, whatever its value (JSON null included)."""
-    return _is_object(v) & F.try_variant_get(v, variant_path(key), "variant").isNotNull()
-
-
 def file_stem(path: Column) -> Column:
     """File name without its last suffix."""
     name = F.element_at(F.split(path, "/"), -1)
@@ -55,39 +42,36 @@ def dataset_from_path(path: Column, base_dir: str) -> Column:
     return F.regexp_replace(F.regexp_replace(rel, r"\.[^./]*$", ""), "/", "_")
 
 
-def unwrap(v: Column, keys: tuple[str, ...] = (SHIPMENTS,)) -> Column:
-    """P8-P9 (+ D4, D12): the record array of a document.
+def document_source(doc: Column, path: Column) -> Column:
+    """``shipping`` for a document (JSON text) with a ``shipments`` key,
+    list or not, else the file stem up to the first ``_``."""
+    keys = F.json_object_keys(doc)
+    wrapped = F.coalesce(F.array_contains(keys, F.lit(SHIPMENTS)), F.lit(False))
+    return F.when(wrapped, F.lit(S.SHIPPING_SOURCE)).otherwise(source_from_path(path))
 
-    ``{"<key>": [...]}`` for a key in ``keys`` unwraps to the list (first key
-    that holds a list wins); a list stays a list; any other value, object or
-    not, becomes a one-element list.
-    """
-    out = None
-    for key in keys:
-        listed = F.when(_is_object(v), F.try_variant_get(v, variant_path(key), "array<variant>"))
-        out = listed if out is None else F.coalesce(out, listed)
-    as_list = F.try_variant_get(v, "$", "array<variant>")
-    out = as_list if out is None else F.coalesce(out, as_list)
-    return F.coalesce(out, F.array(v))
 
+def _records(docs: DataFrame, source: Column | str | None, doc_col: str, keep: tuple[str, ...],
+             unwrap_keys: tuple[str, ...], path_col: str) -> DataFrame:
+    """Kept columns, ``_src``, ``_pos``, ``_flat`` and ``_is_object`` per record."""
+    text = F.to_json(F.col(doc_col)) if isinstance(docs.schema[doc_col].dataType, T.VariantType) else F.col(doc_col)
+    if source is None:
+        src = document_source(text, F.col(path_col))
+    else:
+        src = F.lit(source) if isinstance(source, str) else source
+    staged = docs.select(*[F.col(k) for k in keep], src.alias("_src"), text.alias("_doc"))
+    rows = FL.flat_records(staged, "_doc", (*keep, "_src"), unwrap_keys)
+    return rows.where(F.col("_pos").isNotNull())
 
-def explode_documents(docs: DataFrame, doc_col: str = "doc", keep: tuple[str, ...] = (),
-                      unwrap_keys: tuple[str, ...] = (SHIPMENTS,), extra: tuple[Column, ...] = ()) -> DataFrame:
-    """(kept columns, extras, ``_doc`` variant, ``_pos``, ``_rec``) per record.
 
-    ``extra`` columns are computed per document and may use ``_doc``.
-    """
-    col = F.col(doc_col)
-    v = col if isinstance(docs.schema[doc_col].dataType, T.VariantType) else F.try_parse_json(col)
-    staged = docs.select(*[F.col(k) for k in keep], v.alias("_doc"))
-    return staged.select(*[F.col(k) for k in keep], *extra, "_doc",
-                         F.posexplode(unwrap(F.col("_doc"), unwrap_keys)).alias("_pos", "_rec"))
+def unparsed_documents(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """The documents that are not JSON, with all their columns."""
+    rows = FL.flat_records(docs, doc_col, tuple(docs.columns))
+    return rows.where(F.col("_pos").isNull()).select(*docs.columns)
 
 
-def document_source(doc: Column, path: Column) -> Column:
-    """``shipping`` for a document with a ``shipments`` key (list or
-    not), else the file stem up to the first ``_``."""
-    return F.when(_has_key(doc, SHIPMENTS), F.lit(S.SHIPPING_SOURCE)).otherwise(source_from_path(path))
+def _present(name: str) -> Column:
+    """The flat record has the key, whatever its value (JSON null included)."""
+    return F.col("_is_object") & FL.flat_value(F.col("_flat"), name, "variant").isNotNull()
 
 
 def normalize(docs: DataFrame, source: Column | str | None = None, doc_col: str = "doc",
@@ -96,77 +80,53 @@ def normalize(docs: DataFrame, source: Column | str | None = None, doc_col: str
               schema_path: str | None = None) -> DataFrame:
     """Flat records with ``source_name`` and ``record_index``.
 
-    ``source`` is a constant, a column, or None to derive it per document
-    from its content and ``path_col`` (P12). ``source_name`` and
+    ``source`` is a constant, a column of ``docs``, or None to derive it per
+    document from its content and ``path_col`` (P12). ``source_name`` and
     ``record_index`` are set only where the flat record lacks the key, so a
     value already in the record wins, an explicit null included.
-    Non-object elements become ``{"value": x}`` records. The wide shape is
-    inferred from all records (one aggregate job) unless ``schema`` is given;
-    with ``schema_path`` it is inferred once and reused from there.
+    Non-object elements become ``{"value": x}`` records. Names and types are
+    found from all records (one aggregate job) unless ``schema`` is given;
+    with ``schema_path`` they are found once and reused from there.
     """
-    if source is None:
-        src = document_source(F.col("_doc"), F.col(path_col))
-        if path_col not in keep:
-            keep_in = keep + (path_col,)
-        else:
-            keep_in = keep
-    else:
-        src = F.lit(source) if isinstance(source, str) else source
-        keep_in = keep
-    rows = explode_documents(docs, doc_col, keep_in, unwrap_keys, extra=(src.alias("_src"),))
-    rows = rows.withColumn("_obj", _is_object(F.col("_rec")))
-    rec, pos = F.col("_rec"), F.col("_pos")
-    obj = F.col("_obj")
+    rows = _records(docs, source, doc_col, keep, unwrap_keys, path_col)
+    flat, obj = F.col("_flat"), F.col("_is_object")
     if schema is None and schema_path:
-        schema = FL.load_or_infer_schema(rows.where(obj), rec, schema_path)
+        schema = FL.load_or_infer_flat_schema(rows.where(obj), flat, schema_path)
     elif schema is None:
-        schema = FL.infer_variant_schema(rows.where(obj), rec)
-    pairs = dict(FL.flatten_variant_pairs(F.when(obj, rec), schema))
-    meta = []
+        schema = FL.infer_flat_schema(rows.where(obj), flat)
+    pairs = dict(FL.flat_columns(F.when(obj, flat), schema))
     if S.VALUE_KEY not in pairs:
-        meta.append(F.when(~obj, rec).alias(S.VALUE_KEY))
+        pairs[S.VALUE_KEY] = F.when(~obj, flat)
     else:
         # objects have a "value" key too: one VARIANT column holds both kinds
-        pairs[S.VALUE_KEY] = F.when(obj, F.try_variant_get(rec, variant_path(S.VALUE_KEY), "variant")).otherwise(rec)
-
-    def set_default(name: str, default: Column, dtype: str) -> Column:
-        present = obj & F.try_variant_get(rec, variant_path(name), "variant").isNotNull()
-        if name in pairs:
-            flat = pairs.pop(name).cast(dtype)
-            return F.when(present | flat.isNotNull(), flat).otherwise(default)
-        return F.when(present, F.try_variant_get(rec, variant_path(name), dtype)).otherwise(default)
-
-    src_col = set_default(S.SOURCE_NAME, F.col("_src"), "string")
-    idx_col = set_default(S.RECORD_INDEX, pos.cast("bigint"), "bigint")
-    flat = [c.alias(n) for n, c in pairs.items()]
-    return rows.select(*[F.col(k) for k in keep], *flat, *meta,
+        pairs[S.VALUE_KEY] = F.when(obj, FL.flat_value(flat, S.VALUE_KEY, "variant")).otherwise(flat)
+
+    def with_default(name: str, default: Column, dtype: str) -> Column:
+        pairs.pop(name, None)
+        return F.when(_present(name), FL.flat_value(flat, name, dtype)).otherwise(default)
+
+    src_col = with_default(S.SOURCE_NAME, F.col("_src"), "string")
+    idx_col = with_default(S.RECORD_INDEX, F.col("_pos"), "bigint")
+    return rows.select(*[F.col(k) for k in keep], *[c.alias(n) for n, c in pairs.items()],
                        src_col.alias(S.SOURCE_NAME), idx_col.alias(S.RECORD_INDEX))
 
 
 def object_records(docs: DataFrame, doc_col: str = "doc", keep: tuple[str, ...] = ()) -> DataFrame:
-    """The object records of each document (non-objects dropped)."""
-    rows = explode_documents(docs, doc_col, keep, unwrap_keys=())
-    return rows.where(_is_object(F.col("_rec"))).select(*[F.col(k) for k in keep], F.col("_rec").alias("record"))
+    """The object records of each document, flat (non-objects dropped)."""
+    rows = FL.flat_records(docs, doc_col, keep)
+    return rows.where(F.col("_is_object")).select(*[F.col(k) for k in keep], F.col("_flat").alias("record"))
 
 
 def normalize_map(docs: DataFrame, source: Column | str | None = None, doc_col: str = "doc",
                   keep: tuple[str, ...] = (), unwrap_keys: tuple[str, ...] = (SHIPMENTS,),
-                  path_col: str = "path", depth: int = 8) -> DataFrame:
-    """P7-P12 in the ragged form: ``record`` is a ``map<string, variant>``
+                  path_col: str = "path") -> DataFrame:
+    """P7-P12 in the map form: ``record`` is a ``map<string, variant>``
     with the flattened keys of that record only, plus ``source_name`` and
     ``record_index`` set where absent (an explicit null is kept)."""
-    if source is None:
-        src = document_source(F.col("_doc"), F.col(path_col))
-        keep_in = keep if path_col in keep else keep + (path_col,)
-    else:
-        src = F.lit(source) if isinstance(source, str) else source
-        keep_in = keep
-    rows = explode_documents(docs, doc_col, keep_in, unwrap_keys, extra=(src.alias("_src"),))
-    rec = F.col("_rec")
-    wrapped = F.when(_is_object(rec), rec).otherwise(
-        F.to_variant_object(F.struct(rec.alias(S.VALUE_KEY))))
-    staged = rows.select(*[F.col(k) for k in keep], "_src", "_pos", wrapped.alias("_obj"))
-    flat = FL.flatten_ragged(staged, "_obj", keep=keep + ("_src", "_pos"), depth=depth)
+    rows = _records(docs, source, doc_col, keep, unwrap_keys, path_col)
+    record = F.when(F.col("_is_object"), F.try_variant_get("_flat", "$", "map<string,variant>")).otherwise(
+        F.create_map(F.lit(S.VALUE_KEY), F.col("_flat")))
+    flat = rows.select(*[F.col(k) for k in keep], "_src", "_pos", record.alias("record"))
     m = F.col("record")
     meta = F.create_map(
         F.lit(S.SOURCE_NAME), F.col("_src").cast("variant"),

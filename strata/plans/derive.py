@@ -135,20 +135,33 @@ def contract_records(events: DataFrame) -> DataFrame:
     return events.select("event_id", value.alias("value"))
 
 
+def stray_shipments(lineitem: DataFrame) -> DataFrame:
+    """Line items as a shipment feed in which some rows name an order that
+    does not exist: the first line of every order key that leaves 7 modulo 50
+    carries the negative key. No row is dropped."""
+    k = F.col("l_orderkey")
+    stray = (k % 50 == 7) & (F.col("l_linenumber") == 1)
+    return lineitem.withColumn("l_orderkey", F.when(stray, -k).otherwise(k))
+
+
+DEEP_LEVELS = 10
+DEEP_NAME = "deep" + "_a" * DEEP_LEVELS
+
+
 def order_documents(orders: DataFrame, customer: DataFrame, nation: DataFrame, ragged: bool = False) -> DataFrame:
     """One nested JSON order document per order (P7 input).
 
     ``{"order_id", "status", "priority", "total", "placed_at",
     "customer": {"key", "name", "segment", "nation": {"key", "name"}},
-    "meta": {}, "tags": [priority, status]}``. With ``ragged`` every 5th
-    order carries ``customer`` as the bare customer key (a scalar where
-    other records hold an object) and no ``total``.
+    "meta": {}, "tags": [priority, status]}`` and, at the end, keys that look
+    like type names (``AVOIDED``, ``VOID``), an object nested ten levels deep
+    and, in every 11th order, ``"customer_name": null``, which clashes with the
+    nested name and comes later. With ``ragged`` every 5th order carries
+    ``customer`` as the bare customer key (a scalar where other records hold
+    an object) and no ``total``.
     """
-    from strata.functions.joins import join_dimension
-
-    cust = join_dimension(
-        customer.select("c_custkey", "c_name", "c_mktsegment", "c_nationkey"),
-        nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), "c_nationkey", how="left")
+    cust = customer.select("c_custkey", "c_name", "c_mktsegment", "c_nationkey").join(
+        nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), "c_nationkey", "left")
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice",
                       "o_orderdate")
     joined = o.join(cust, o["o_custkey"] == cust["c_custkey"], "left")
@@ -172,8 +185,12 @@ def order_documents(orders: DataFrame, customer: DataFrame, nation: DataFrame, r
             .otherwise(body(customer_obj, False))
     else:
         doc = body(customer_obj, True)
-    # An empty object, which flattening must drop.
-    doc = F.regexp_replace(doc, r"\}$", ',"meta":{}}')
+    # An empty object, which flattening must drop, and the keys that end the document.
+    k = F.col("o_orderkey")
+    tail = F.concat(F.lit(',"meta":{},"AVOIDED":'), (k % 3).cast("string"), F.lit(',"VOID":'), (k % 5).cast("string"),
+                    F.lit(',"deep":' + '{"a":' * DEEP_LEVELS), k.cast("string"), F.lit("}" * DEEP_LEVELS),
+                    F.when(k % 11 == 0, F.lit(',"customer_name":null')).otherwise(F.lit("")), F.lit("}"))
+    doc = F.concat(F.substring(doc, F.lit(1), F.char_length(doc) - 1), tail)
     return joined.select(F.col("o_orderkey").alias("src_id"), doc.alias("doc"))
 
 

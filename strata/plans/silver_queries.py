@@ -3,25 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from strata import jobs
 from strata.functions import flatten as FL
-from strata.functions.columns import ensure_parallelism
 from strata.operators import normalize as N
 from strata.plans import derive as D
 from strata.plans.registry import register
+from strata.schemas import bronze_ddl
+from strata.session import scratch_path
+from strata.sinks import files as sinks
 from strata.sources.tables import read_table
 
 
 def _order_docs(spark, sf_dir, ragged=False):
-    docs = D.order_documents(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "customer"),
+    return D.order_documents(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "customer"),
                              read_table(spark, sf_dir, "nation"), ragged=ragged)
-    return ensure_parallelism(docs)
 
 
-@register("flatten_struct", sql="""
+@register("flatten_struct", sql=f"""
 SELECT o_orderkey AS order_id, o_orderstatus AS status, o_orderpriority AS priority,
   o_totalprice AS total, strftime(o_orderdate, '%Y-%m-%d') AS placed_at,
-  c_custkey AS customer_key, c_name AS customer_name, c_mktsegment AS customer_segment,
+  o_orderkey % 3 AS "AVOIDED", o_orderkey % 5 AS "VOID", o_orderkey AS {D.DEEP_NAME},
+  c_custkey AS customer_key, CASE WHEN o_orderkey % 11 <> 0 THEN c_name END AS customer_name, c_mktsegment AS customer_segment,
   CAST(CASE WHEN c_custkey IS NOT NULL THEN c_nationkey END AS BIGINT) AS customer_nation_key,
   n_name AS customer_nation_name,
   CAST(to_json([o_orderpriority, o_orderstatus]) AS VARCHAR) AS tags
@@ -33,11 +37,12 @@ def q_flatten_struct(spark, sf_dir):
     flat = FL.flatten_json(_order_docs(spark, sf_dir), "doc")
     return flat.select(
         "order_id", "status", "priority", F.col("total").cast("double").alias("total"), "placed_at",
+        "AVOIDED", "VOID", D.DEEP_NAME,
         "customer_key", "customer_name", "customer_segment", "customer_nation_key", "customer_nation_name",
         F.to_json("tags").alias("tags"))
 
 
-_RAGGED_SQL = """
+_RAGGED_SQL = f"""
 WITH o AS (
   SELECT o_orderkey, o_orderstatus, o_orderpriority, o_orderdate, o_custkey, c_custkey, c_name,
          c_mktsegment, c_nationkey, n_name
@@ -51,7 +56,11 @@ SELECT o_orderkey AS order_id, key, value FROM (
   UNION ALL SELECT o_orderkey, 'customer', CAST(o_custkey AS VARCHAR) FROM o WHERE o_orderkey % 5 = 0
   UNION ALL SELECT o_orderkey, 'customer_key', CAST(c_custkey AS VARCHAR) FROM o
     WHERE o_orderkey % 5 <> 0 AND c_custkey IS NOT NULL
-  UNION ALL SELECT o_orderkey, 'customer_name', c_name FROM o WHERE o_orderkey % 5 <> 0 AND c_custkey IS NOT NULL
+  UNION ALL SELECT o_orderkey, 'customer_name', CASE WHEN o_orderkey % 11 <> 0 THEN c_name END FROM o
+    WHERE o_orderkey % 11 = 0 OR (o_orderkey % 5 <> 0 AND c_custkey IS NOT NULL)
+  UNION ALL SELECT o_orderkey, 'AVOIDED', CAST(o_orderkey % 3 AS VARCHAR) FROM o
+  UNION ALL SELECT o_orderkey, 'VOID', CAST(o_orderkey % 5 AS VARCHAR) FROM o
+  UNION ALL SELECT o_orderkey, '{D.DEEP_NAME}', CAST(o_orderkey AS VARCHAR) FROM o
   UNION ALL SELECT o_orderkey, 'customer_segment', c_mktsegment FROM o
     WHERE o_orderkey % 5 <> 0 AND c_custkey IS NOT NULL
   UNION ALL SELECT o_orderkey, 'customer_nation_key', CAST(c_nationkey AS VARCHAR) FROM o
@@ -70,6 +79,11 @@ def q_flatten_ragged(spark, sf_dir):
     return kv.select("order_id", "key", F.col("v").cast("string").alias("value"))
 
 
+# The shape of the batch documents' records: with it, no job looks for names first.
+BATCH_SHAPE = T.StructType([T.StructField("order_id", T.LongType()), T.StructField("status", T.StringType()),
+                            T.StructField("customer_key", T.LongType()), T.StructField("source_name", T.StringType())])
+
+
 @register("normalize_metadata", sql="""
 WITH o AS (
   SELECT *, o_orderkey // 100 AS b,
@@ -91,6 +105,104 @@ def q_normalize_metadata(spark, sf_dir):
     records with source name, record index and dataset."""
     docs = D.order_batch_documents(read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_custkey"))
     docs = docs.withColumn("dataset", N.dataset_from_path(F.col("path"), "bronze"))
-    out = N.normalize(docs, None, doc_col="doc", keep=("dataset",), path_col="path")
+    out = N.normalize(docs, None, doc_col="doc", keep=("dataset",), path_col="path", schema=BATCH_SHAPE)
     return out.select("dataset", "source_name", "record_index", "order_id", "status", "customer_key",
                       F.col("value").cast("string").alias("value"))
+
+
+@register("silver_folder", sql="""
+SELECT 'orders' AS dataset, 'orders' AS source_name, o_orderkey AS order_id, o_custkey AS customer_key,
+       CAST(NULL AS VARCHAR) AS event_id, false AS quarantined
+FROM orders
+UNION ALL
+SELECT 'clicks', CASE WHEN event_id % 17 <> 0 THEN 'clicks' END, NULL, NULL,
+       CASE WHEN event_id % 17 <> 0 THEN 'e-' || event_id END, event_id % 17 = 0
+FROM events
+""")
+def q_silver_folder(spark, sf_dir):
+    """Orders and click lines land raw, the folder job makes silver
+    of the landing; truncated lines go to quarantine."""
+    base = scratch_path(spark, "silver-folder")
+    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey").select(
+        F.col("o_orderkey").alias("order_id"), F.struct(F.col("o_custkey").alias("key")).alias("customer"))
+    sinks.write_raw(orders, f"{base}/bronze", "orders", "run-1")
+    lines = D.clickstream_json(read_table(spark, sf_dir, "events"))
+    lines.select("value").write.text(f"{base}/bronze/source=clicks/ingest_date=2024-01-01/run_id=run-1")
+    jobs.silver_folder_job(spark, f"{base}/bronze", f"{base}/silver")
+    good = spark.read.parquet(f"{base}/silver").select(
+        "dataset", "source_name", "order_id", "customer_key", "event_id", F.lit(False).alias("quarantined"))
+    bad = spark.read.parquet(f"{base}/silver/{jobs.QUARANTINE}").select(
+        "dataset", F.lit(None).cast("string").alias("source_name"), F.lit(None).cast("bigint").alias("order_id"),
+        F.lit(None).cast("bigint").alias("customer_key"), F.lit(None).cast("string").alias("event_id"),
+        F.lit(True).alias("quarantined"))
+    return good.unionByName(bad)
+
+
+@register("single_objects", sql="""
+SELECT 'order_' || o_orderkey AS dataset, 'order' AS source_name, CAST(0 AS BIGINT) AS record_index,
+       o_orderkey AS order_id, o_custkey AS customer_key
+FROM orders
+""")
+def q_single_objects(spark, sf_dir):
+    """Documents that are one bare object, the dataset from the file's stem."""
+    docs = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey").select(
+        F.concat(F.lit("bronze/order_"), F.col("o_orderkey").cast("string"), F.lit(".json")).alias("path"),
+        F.to_json(F.struct(F.col("o_orderkey").alias("order_id"),
+                           F.struct(F.col("o_custkey").alias("key")).alias("customer"))).alias("doc"))
+    docs = docs.withColumn("dataset", N.file_stem(F.col("path")))
+    out = N.normalize(docs, None, keep=("dataset",), schema=BATCH_SHAPE)
+    return out.select("dataset", "source_name", "record_index", "order_id", "customer_key")
+
+
+@register("object_records", sql="""
+SELECT o_orderkey // 100 AS batch, o_orderkey AS order_id FROM orders WHERE o_orderkey // 100 % 3 <> 0
+UNION ALL
+SELECT DISTINCT o_orderkey // 100, CAST(NULL AS BIGINT) FROM orders WHERE o_orderkey // 100 % 3 = 0
+""")
+def q_object_records(spark, sf_dir):
+    """The object records of every batch document; scalars go, and a
+    wrapped list is the one object that holds it."""
+    docs = D.order_batch_documents(read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_custkey"))
+    records = N.object_records(docs, keep=("path",))
+    return records.select(F.regexp_extract("path", r"_(\d+)\.json$", 1).cast("bigint").alias("batch"),
+                          F.try_variant_get("record", "$.order_id", "bigint").alias("order_id"))
+
+
+# The bounded pull takes so many messages of each topic: its documented feature.
+MAX_MESSAGES = 5
+
+
+@register("run_summary", sql=f"""
+SELECT 'kafka_topics' AS source_kind, CAST(2 AS BIGINT) AS sources,
+       CAST((SELECT least({MAX_MESSAGES}, count(*)) FROM events) AS BIGINT) AS "rows"
+UNION ALL
+SELECT 'postgres_tables', 3, (SELECT count(*) FROM orders) + (SELECT count(*) FROM customer)
+UNION ALL
+SELECT 'api_payloads', 1, (SELECT count(*) FROM lineitem)
+""")
+def q_run_summary(spark, sf_dir):
+    """One bounded bronze pull with an empty topic and an empty table, and its summary."""
+    clicks = D.clickstream_json(read_table(spark, sf_dir, "events")).select("value")
+    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+    return jobs.run_bronze_batch(
+        spark, scratch_path(spark, "run-summary"), {"clickstream_events": clicks, "server_logs": clicks.where(F.lit(False))},
+        {"orders": orders, "users": read_table(spark, sf_dir, "customer", "c_custkey", "c_name"),
+         "products": orders.where(F.lit(False))},
+        {"shipping_payload": read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")}, MAX_MESSAGES)
+
+
+@register("bronze_columns", sql="""
+SELECT lower(event_type) || '_events' AS source, 'event_id,event_time,_ingested_at' AS columns, CAST(count(*) AS BIGINT) AS "rows"
+FROM events GROUP BY event_type
+""")
+def q_bronze_columns(spark, sf_dir):
+    """A bronze table's DDL is made from a schema; events land by
+    type in views of that DDL and are counted per source."""
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_time", T.TimestampNTZType())])
+    typed = T._parse_datatype_string(bronze_ddl(schema))
+    rows = read_table(spark, sf_dir, "events", "event_id", "ts", "event_type").select(
+        F.concat(F.lower("event_type"), F.lit("_events")).alias("source"),
+        F.struct("event_id", F.col("ts").alias("event_time"), F.current_timestamp().alias("_ingested_at"))
+        .cast(typed).alias("row"))
+    return rows.groupBy("source").agg(F.count("row").alias("rows")).select(
+        "source", F.lit(",".join(typed.fieldNames())).alias("columns"), "rows")

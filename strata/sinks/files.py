@@ -5,21 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.schemas import AUDIT_COLUMN
+from strata.schemas import AUDIT_COLUMN, RECORD_INDEX
 
 
 def write_raw(df: DataFrame, base_path: str, source: str, run_id: str | None = None) -> str:
     """K3: land raw records as JSON lines under
     ``<base>/source=<s>/ingest_date=<d>/[run_id=<r>/]``.
 
-    One record per line (splittable), tagged with source and UTC ingest time;
-    appends never overwrite earlier landings (Spark's part names are unique).
+    One record per line (splittable), tagged with its UTC ingest time and,
+    unless it has one, its ``record_index``: the position in its file. Silver
+    takes source and dataset from the folder. Appends never overwrite earlier
+    landings (Spark's part names are unique).
     With ``run_id`` every run gets its own partition, so a run's rows can be
     read back without listing earlier runs. Returns the source's folder.
     """
+    if RECORD_INDEX not in df.columns:
+        # The low 33 bits number the rows of a task, and a task writes one file here.
+        df = df.withColumn(RECORD_INDEX, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     out = (df.withColumn("source", F.lit(source))
              .withColumn(AUDIT_COLUMN, F.current_timestamp())
-             .withColumn("ingest_date", F.to_date(F.col(AUDIT_COLUMN))))
+             .withColumn("ingest_date", F.to_date(F.to_utc_timestamp(F.col(AUDIT_COLUMN), F.current_timezone()))))
     parts = ["source", "ingest_date"]
     if run_id is not None:
         out = out.withColumn("run_id", F.lit(run_id))

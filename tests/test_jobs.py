@@ -103,3 +103,33 @@ def test_bucketed_tables_reconcile_without_key_shuffle(spark, scratch):
         spark.sql("DROP TABLE silver.ships_b")
     assert "hashpartitioning" not in plan  # co-located: only the final single-row exchange
     assert (r.total_orders, r.unique_orders, r.matched_unique_orders) == (2000, 1499, 999)
+
+
+def test_bronze_batch_with_empty_sources(spark, scratch):
+    empty = spark.createDataFrame([], "value string")
+    summary = {r.source_kind: (r.sources, r.rows) for r in jobs.run_bronze_batch(
+        spark, f"{scratch}/raw0", {"clicks": empty}, {"users": empty}).collect()}
+    assert summary == {"kafka_topics": (1, 0), "postgres_tables": (1, 0)}
+
+
+def test_session_without_shared_folder_fails_on_a_cluster(monkeypatch):
+    from strata import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())

@@ -1,5 +1,6 @@
 import json
 
+from pyspark.sql import functions as F
 
 from strata import jobs
 from strata.functions import flatten as FL
@@ -52,7 +53,108 @@ def test_ragged_and_clash(spark):
     rows = [r.record for r in FL.flatten_ragged(df).collect()]
     assert sorted(rows[0]) == ["c_k", "c_n_x"]
     assert sorted(rows[1]) == ["c"]
-    assert len(rows[2]) == 1 and str(rows[2]["t_c"]) == "1"  # keys sorted: "t" < "t_c", so t_c wins
+    assert len(rows[2]) == 1 and str(rows[2]["t_c"]) == "2"  # the later in the document wins
+
+
+def flat(spark, *records):
+    df = spark.createDataFrame([(json.dumps(r),) for r in records], "value string")
+    return FL.flatten_json(df), [{k: v.toPython() for k, v in r.record.items()} for r in FL.flatten_ragged(df).collect()]
+
+
+def test_clashes_follow_the_document_and_null_wins(spark):
+    _, maps = flat(spark, {"t": {"c": 2}, "t_c": None}, {"t_c": 1, "t": {"c": 2}}, {"x": {"t": {"c": 2}, "t_c": None}})
+    assert maps == [{"t_c": None}, {"t_c": 2}, {"x_t_c": None}]
+    wide, _ = flat(spark, {"t_c": "x", "t": {"c": 2}}, {"t_c": "y"}, {"t": {"c": 3}, "t_c": None})
+    assert [r.t_c.toPython() if r.t_c is not None else None for r in wide.collect()] == [2, "y", None]
+
+
+def test_an_object_in_some_records_and_a_scalar_in_others(spark):
+    wide, maps = flat(spark, {"c": 1}, {"c": {"d": 2}})
+    assert wide.columns == ["c", "c_d"]
+    assert [(r.c, r.c_d) for r in wide.collect()] == [(1, None), (None, 2)]
+    assert maps == [{"c": 1}, {"c_d": 2}]
+
+
+def test_key_names_are_left_alone(spark):
+    wide, _ = flat(spark, {"AVOIDED": 1, "VOID": 2, "a VOID,": {"OBJECT": [{"VOID": None, "x>VOID": 1}]}, "n": None})
+    row = wide.first().asDict()
+    assert row["AVOIDED"] == 1 and row["VOID"] == 2 and row["n"] is None
+    assert row["a VOID,_OBJECT"][0].asDict() == {"VOID": None, "x>VOID": 1}
+
+
+def test_any_depth(spark):
+    deep = 7
+    for _ in range(60):
+        deep = {"a": deep}
+    wide, maps = flat(spark, deep)
+    name = "_".join("a" * 60)
+    assert wide.first()[name] == 7 and maps == [{name: 7}]
+
+
+def test_names_that_differ_in_case(spark, scratch):
+    wide, _ = flat(spark, {"a": 1, "A": 2}, {"A_2": 5})
+    wide.write.parquet(f"{scratch}/case")
+    rows = [r.asDict() for r in spark.read.parquet(f"{scratch}/case").collect()]
+    assert sorted((r["A"], r["A_2"], r["a_3"]) for r in rows if r["A"]) == [(2, None, 1)]
+
+
+def test_numbers_keep_their_digits(spark):
+    df = spark.createDataFrame([('{"a":{"b":1.10,"c":12345678901234567890,"d":1e2}}',)], "value string")
+    record = FL.flatten_ragged(df).select(F.to_json("record").alias("r")).first().r
+    assert json.loads(record, parse_float=str, parse_int=str)["a_c"] == "12345678901234567890"
+
+
+def test_pretty_printed_documents(spark, scratch):
+    import os
+    os.makedirs(f"{scratch}/b/deep")
+    with open(f"{scratch}/b/orders_1.json", "w") as fh:
+        json.dump([{"order_id": 1, "c": {"d": "x"}}, {"order_id": 2}], fh, indent=2)
+    with open(f"{scratch}/b/deep/shipping_2.json", "w") as fh:
+        json.dump({"shipments": [{"order_id": 1}, {"order_id": 9}]}, fh, indent=2)
+    with open(f"{scratch}/b/broken_3.json", "w") as fh:
+        fh.write("{broken")
+    from strata.sources import files
+    assert files.read_json_documents(spark, f"{scratch}/b").count() == 3
+    assert files.read_shipping_payload(spark, f"{scratch}/b").count() == 2
+    out = jobs.silver_folder_job(spark, f"{scratch}/b", f"{scratch}/s")
+    rows = spark.read.parquet(out).collect()
+    assert sorted((r.dataset, r.source_name, r.record_index, r.order_id) for r in rows) == [
+        ("deep_shipping_2", "shipping", 0, 1), ("deep_shipping_2", "shipping", 1, 9), ("orders_1", "orders", 0, 1),
+        ("orders_1", "orders", 1, 2)]
+    bad = spark.read.parquet(f"{out}/{jobs.QUARANTINE}").collect()
+    assert [(r.dataset, r.doc, r.error) for r in bad] == [("broken_3", "{broken", "not JSON")]
+
+
+def test_hidden_files_are_named_not_lost(spark, scratch):
+    import os
+
+    import pytest
+
+    from strata.sources import files
+    os.makedirs(f"{scratch}/h/_tmp")
+    for name in ("a.json", "_b.json", "_tmp/c.json", "_SUCCESS"):
+        with open(f"{scratch}/h/{name}", "w") as fh:
+            fh.write("[]")
+    with pytest.raises(ValueError, match="2 JSON files"):
+        files.read_json_documents(spark, f"{scratch}/h")
+    assert files.read_json_documents(spark, f"{scratch}/h", skip_hidden=True).count() == 1
+
+
+def test_landing_to_silver(spark, scratch):
+    from strata.sinks import files as sinks
+    orders = spark.createDataFrame([(i, (f"n{i}",)) for i in range(20)], "order_id int, customer struct<name:string>")
+    sinks.write_raw(orders.repartition(3), f"{scratch}/bronze", "web orders", "r1")
+    sinks.write_raw(orders.limit(2), f"{scratch}/bronze", "late", "r2")
+    with open(f"{scratch}/bronze/extra_1.json", "w") as fh:
+        json.dump({"order_id": 99}, fh, indent=2)
+    out = jobs.silver_folder_job(spark, f"{scratch}/bronze", f"{scratch}/silver")
+    rows = spark.read.parquet(out).collect()
+    web = [r for r in rows if r.dataset == "web orders"]
+    assert len(web) == 20 and {r.source_name for r in web} == {"web orders"}
+    assert {r.customer_name for r in web} == {f"n{i}" for i in range(20)}
+    assert sorted({r.record_index for r in web}) == list(range(max(r.record_index for r in web) + 1))
+    assert [(r.source_name, r.order_id) for r in rows if r.dataset == "extra_1"] == [("extra", 99)]
+    assert sum(r.dataset == "late" for r in rows) == 2
 
 
 def test_struct_flatten(spark):
@@ -131,9 +233,6 @@ def test_value_key_and_scalar_elements(spark):
 
 
 def test_schema_is_stored_and_reused(spark, scratch):
-    from pyspark.sql import functions as F
-
-    from strata.functions import flatten as FL
     df = spark.createDataFrame([('{"a":{"b":1}}',)], "value string").select(F.parse_json("value").alias("v"))
     first = FL.load_or_infer_schema(df, F.col("v"), f"{scratch}/schema")
     other = spark.createDataFrame([('{"z":1}',)], "value string").select(F.parse_json("value").alias("v"))
