@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_EXACT = (*_INTEGRAL, T.DecimalType)
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
 
@@ -36,9 +38,33 @@ def common_key_type(left: DataFrame, lname: str, right: DataFrame, rname: str) -
     if lt == rt:
         return lt
     if isinstance(lt, _NUMERIC) and isinstance(rt, _NUMERIC):
-        # Integral keys widen to bigint; anything fractional compares as double.
-        integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-        if isinstance(lt, integral) and isinstance(rt, integral):
+        # Integral keys widen to bigint, exact ones to a decimal that holds both.
+        if isinstance(lt, _INTEGRAL) and isinstance(rt, _INTEGRAL):
             return T.LongType()
+        if isinstance(lt, _EXACT) and isinstance(rt, _EXACT):
+            (lw, ls), (rw, rs) = _digits(lt), _digits(rt)
+            scale = max(ls, rs)
+            return T.DecimalType(min(38, max(lw, rw) + scale), scale)
         return T.DoubleType()
     return T.StringType()
+
+
+def _digits(dtype: T.DataType) -> tuple[int, int]:
+    """(digits before the point, digits after it) of an exact number type."""
+    return (dtype.precision - dtype.scale, dtype.scale) if isinstance(dtype, T.DecimalType) else (19, 0)
+
+
+def comparable_key(df: DataFrame, name: str, other: DataFrame, other_name: str,
+                   zero_is_missing: bool = True) -> Column:
+    """The key of ``df`` as it compares with that of ``other``.
+
+    A number or boolean never equals a string: then both sides become JSON
+    text (``1`` and ``"1"``), with null for a key that does not count.
+    """
+    mine, theirs = df.schema[name].dataType, other.schema[other_name].dataType
+    if isinstance(mine, T.StringType) == isinstance(theirs, T.StringType):
+        return F.col(name).cast(common_key_type(df, name, other, other_name))
+    text = F.col(name).cast("string")
+    if isinstance(mine, T.StringType):
+        text = F.concat(F.lit('"'), text, F.lit('"'))
+    return F.when(truthy_key(df, name, zero_is_missing), text)

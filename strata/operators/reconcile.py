@@ -22,23 +22,23 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.keys import common_key_type, truthy_key
+from strata.functions.keys import comparable_key, truthy_key
 
 KEY = "order_id"
 
 
-def _keys(df: DataFrame, key: str, cast_to=None) -> DataFrame:
-    col = F.col(key) if cast_to is None else F.col(key).cast(cast_to)
-    return df.select(col.alias(KEY))
+def _sides(orders: DataFrame, order_key: str, shipments: DataFrame, shipment_key: str,
+           zero_is_missing: bool) -> tuple[DataFrame, DataFrame]:
+    """The key columns of both sides in comparable form; shipments with a present key only."""
+    o = orders.select(comparable_key(orders, order_key, shipments, shipment_key, zero_is_missing).alias(KEY))
+    s = shipments.select(comparable_key(shipments, shipment_key, orders, order_key, zero_is_missing).alias(KEY))
+    return o, s.where(truthy_key(s, KEY, zero_is_missing))
 
 
 def _shipment_keys(orders: DataFrame, order_key: str, shipments: DataFrame,
                    shipment_key: str, zero_is_missing: bool) -> tuple[DataFrame, DataFrame]:
-    ktype = common_key_type(orders, order_key, shipments, shipment_key)
-    o = _keys(orders, order_key, ktype)
-    s = _keys(shipments, shipment_key, ktype)
-    s = s.where(truthy_key(s, KEY, zero_is_missing)).distinct()
-    return o, s
+    o, s = _sides(orders, order_key, shipments, shipment_key, zero_is_missing)
+    return o, s.distinct()
 
 
 def reconcile_report(orders: DataFrame, shipments: DataFrame, order_key: str = KEY,
@@ -75,10 +75,8 @@ def matched_orders(orders: DataFrame, shipments: DataFrame, order_key: str = KEY
                    shipment_key: str | None = None, zero_is_missing: bool = True) -> DataFrame:
     """Order rows (duplicates kept) whose key has a shipment (semi join)."""
     shipment_key = shipment_key or order_key
-    ktype = common_key_type(orders, order_key, shipments, shipment_key)
-    s = _keys(shipments, shipment_key, ktype)
-    s = s.where(truthy_key(s, KEY, zero_is_missing)).distinct()
-    keyed = orders.withColumn("_k", F.col(order_key).cast(ktype))
+    _, s = _shipment_keys(orders, order_key, shipments, shipment_key, zero_is_missing)
+    keyed = orders.withColumn("_k", comparable_key(orders, order_key, shipments, shipment_key, zero_is_missing))
     out = keyed.join(s.withColumnRenamed(KEY, "_k"), "_k", "left_semi")
     return out.drop("_k")
 
@@ -96,17 +94,15 @@ def orphan_shipments(orders: DataFrame, shipments: DataFrame, order_key: str = K
                      shipment_key: str | None = None, zero_is_missing: bool = True) -> DataFrame:
     """Distinct shipment keys with no order, with their row counts."""
     shipment_key = shipment_key or order_key
-    ktype = common_key_type(orders, order_key, shipments, shipment_key)
-    s = _keys(shipments, shipment_key, ktype)
-    s = s.where(truthy_key(s, KEY, zero_is_missing)).groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("shipment_rows"))
-    o = _keys(orders, order_key, ktype).distinct()
+    o, s = _sides(orders, order_key, shipments, shipment_key, zero_is_missing)
+    s = s.groupBy(KEY).agg(F.count(F.lit(1)).alias("shipment_rows"))
+    o = o.distinct()
     return s.join(o, KEY, "left_anti")
 
 
 def duplicate_orders(orders: DataFrame, order_key: str = KEY, zero_is_missing: bool = True) -> DataFrame:
     """A3: present keys that occur on more than one order row, with the count."""
-    o = _keys(orders, order_key)
+    o = orders.select(F.col(order_key).alias(KEY))
     o = o.where(truthy_key(o, KEY, zero_is_missing))
     return (o.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
             .where(F.col("n") > 1))
@@ -123,10 +119,9 @@ def key_counts(orders: DataFrame, shipments: DataFrame, order_key: str = KEY,
     derives from this one table.
     """
     shipment_key = shipment_key or order_key
-    ktype = common_key_type(orders, order_key, shipments, shipment_key)
-    o = _keys(orders, order_key, ktype).groupBy(KEY).agg(F.count(F.lit(1)).alias("n_orders"))
-    s = _keys(shipments, shipment_key, ktype)
-    s = s.where(truthy_key(s, KEY, zero_is_missing)).groupBy(KEY).agg(F.count(F.lit(1)).alias("n_shipments"))
+    o, s = _sides(orders, order_key, shipments, shipment_key, zero_is_missing)
+    o = o.groupBy(KEY).agg(F.count(F.lit(1)).alias("n_orders"))
+    s = s.groupBy(KEY).agg(F.count(F.lit(1)).alias("n_shipments"))
     joined = o.join(s, KEY, "full")
     return joined.withColumn("present", truthy_key(joined, KEY, zero_is_missing) & F.col("n_orders").isNotNull())
 
@@ -197,6 +192,16 @@ def reconcile(orders: DataFrame, shipments: DataFrame, order_key: str = KEY,
     return from_counts(key_counts(orders, shipments, order_key, shipment_key, zero_is_missing))
 
 
+def id_table(rec: Reconciliation) -> DataFrame:
+    """The missing and duplicate ids as one sorted table ``(kind, order_id)``.
+
+    A range-partitioned sort: no array and no single task holds the lists.
+    """
+    tagged = (rec.missing.select(F.lit("missing_shipment").alias("kind"), KEY)
+              .unionByName(rec.duplicates.select(F.lit("duplicate_order").alias("kind"), KEY)))
+    return tagged.orderBy("kind", KEY)
+
+
 def id_list_report(rec: Reconciliation, max_ids: int) -> DataFrame:
     """The small-report option (A6): the two sorted id arrays in one row.
 
