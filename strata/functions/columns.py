@@ -18,21 +18,3 @@ def computed_once(df: DataFrame, expr: Column, name: str, keep: tuple[str, ...]
     input row; a null value stays a row.
     """
     return df.select(*[F.col(k) for k in keep], F.explode(F.array(expr)).alias(name))
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a CPU-heavy narrow stage over all task slots when the input is
-    too coarse (a small table stored as one file scans as one partition).
-
-    Only when the scan yields fewer partitions than ``min_partitions``
-    (default: the default parallelism) is a round-robin repartition added; a
-    large input already has more partitions than slots and is left untouched,
-    so no shuffle is added at scale.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        # the JVM RDD's partition count: planning only, no conversion to Python rows
-        current = df._jdf.rdd().getNumPartitions()
-    except Exception:  # noqa: BLE001 - no JVM access (e.g. a remote session): leave the plan alone
-        return df
-    return df.repartition(target) if current < target else df

@@ -24,10 +24,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.joins import broadcast_if_small
 from strata.functions.timecols import epoch_micros
 
 BUCKET = "_seq_bucket"
+# Width of a time slice: a key busy all day is spread over 24 tasks a day.
+BUCKET_SECONDS = 3_600
 
 
 def time_bucket(df: DataFrame, ts: str, width_seconds: int) -> Column:
@@ -46,7 +47,7 @@ def _bucket_window(keys: list[str]):
 
 
 def _join_edges(inner: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
-    return inner.join(broadcast_if_small(edges), [*keys, BUCKET], "left")
+    return inner.join(edges, [*keys, BUCKET], "left")
 
 
 def neighbors_staged(staged: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str],

@@ -96,12 +96,11 @@ def to_variant(df: DataFrame, column: str, source: str) -> Column:
         return v
     as_message = F.parse_json(F.to_json(F.struct(
         (v.cast("string") if isinstance(dtype, T.VariantType) else
-         F.coalesce(F.try_variant_get(v, "$", "string"), raw.cast("string"))).alias("message"))))
-    is_string = _tag(v) == F.lit("STRING")
+         F.when(_tag(v) == F.lit("STRING"), v.cast("string")).otherwise(raw.cast("string"))).alias("message"))))
     if isinstance(dtype, T.VariantType):
-        return F.when(is_string, as_message).otherwise(v)
-    # Text input: a line that is not JSON at all is a bare log message too.
-    return F.when(v.isNull() & raw.isNotNull(), as_message).when(is_string, as_message).otherwise(v)
+        return F.when(_tag(v) == F.lit("STRING"), as_message).otherwise(v)
+    # Text input: a line that is no JSON object (free text, a number, a word that JSON knows) is a bare log message.
+    return F.when(~variant_is_object(v) & raw.isNotNull(), as_message).otherwise(v)
 
 
 def checked_records(df: DataFrame, source: str, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:

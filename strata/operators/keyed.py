@@ -17,11 +17,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import sequence as S
-from strata.functions.joins import broadcast_if_small
 from strata.functions.timecols import epoch_micros
 
 
-def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], latest: bool) -> DataFrame:
+def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], latest: bool,
+          few_repeats: bool = False) -> DataFrame:
+    """The greatest or smallest row per key. Where keys seldom repeat, folding
+    before the shuffle only sorts for nothing: ``few_repeats`` shuffles first."""
+    if few_repeats:
+        df = df.repartition(*keys)
     keys, order = list(keys), list(order)
     payload = [c for c in df.columns if c not in keys and c not in order]
     if not order and not payload:
@@ -37,9 +41,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return _pick(df, keys, order, latest=True)
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], few_repeats: bool = False) -> DataFrame:
     """B1 (batch): keep the first row per key by ``order`` (deduplication)."""
-    return _pick(df, keys, order, latest=False)
+    return _pick(df, keys, order, latest=False, few_repeats=few_repeats)
 
 
 def deduplicate(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
@@ -94,7 +98,7 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], or
 
 
 def scd2_history(changes: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str],
-                 bucket_seconds: int = 86_400) -> DataFrame:
+                 bucket_seconds: int = S.BUCKET_SECONDS) -> DataFrame:
     """Every change with ``valid_from``, ``valid_to`` (the next change's
     time, null for the last) and ``is_current``, per key.
 
@@ -110,12 +114,15 @@ def scd2_history(changes: DataFrame, keys: Sequence[str], ts: str, tiebreak: Seq
 def transition_violations(changes: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str],
                           status: str, allowed: Iterable[tuple[str, str]], allow_same: bool = True,
                           allow_initial: Iterable[str] | None = None,
-                          bucket_seconds: int = 86_400) -> DataFrame:
+                          needs: dict[str, Column] | None = None,
+                          bucket_seconds: int = S.BUCKET_SECONDS) -> DataFrame:
     """Changes whose (previous status, status) pair is not allowed.
 
     The allowed pairs are a constant list compiled into the predicate (no
     join). ``allow_initial`` (optional) restricts the first status of a key.
-    Output: the change row with ``prev_status`` and ``prev_ts``.
+    ``needs`` (optional) gives, for a previous status, a condition on the
+    change row without which the status may not be left (an order leaves
+    PLACED only once it is paid). Output: the change row with ``prev_status`` and ``prev_ts``.
     """
     order = [ts] + list(tiebreak)
     pairs = sorted({f"{a}\u0000{b}" for a, b in allowed})
@@ -125,6 +132,8 @@ def transition_violations(changes: DataFrame, keys: Sequence[str], ts: str, tieb
     ok_pair = F.concat(prev_status, F.lit("\u0000"), cur).isin(*pairs) if pairs else F.lit(False)
     if allow_same:
         ok_pair = ok_pair | (prev_status == cur)
+    for left, condition in (needs or {}).items():
+        ok_pair = ok_pair & ((prev_status != F.lit(left)) | (cur == F.lit(left)) | F.coalesce(condition, F.lit(False)))
     first_ok = F.lit(True) if allow_initial is None else cur.isin(*list(allow_initial))
     ok = F.when(F.col("prev").isNull(), first_ok).otherwise(F.coalesce(ok_pair, F.lit(False)))
     return nb.where(~ok).select(*changes.columns, prev_status.alias("prev_status"),
@@ -132,7 +141,7 @@ def transition_violations(changes: DataFrame, keys: Sequence[str], ts: str, tieb
 
 
 def sessionize(events: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str],
-               gap_seconds: int, bucket_seconds: int = 86_400) -> DataFrame:
+               gap_seconds: int, bucket_seconds: int = S.BUCKET_SECONDS) -> DataFrame:
     """``session_start`` per event: a new session starts when the gap to
     the key's previous event exceeds ``gap_seconds``; a session is then
     ``(key, session_start)``.
@@ -165,6 +174,6 @@ def sessionize(events: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequen
                            "_inner_max")
     edges = edges.select(*keys, S.BUCKET, "_first_start", F.max(F.greatest("_first_start", "_inner_max")).over(
         w_b.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
-    joined = inner.join(broadcast_if_small(edges), [*keys, S.BUCKET], "left")
+    joined = inner.join(edges, [*keys, S.BUCKET], "left")
     start = F.greatest("_run_start", "_first_start", "_before").alias("session_start")
     return joined.select(*events.columns, start)

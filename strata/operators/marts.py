@@ -26,35 +26,68 @@ def product_activity(events: DataFrame, ts: str, product: str, window: str = "5
                      slide: str = "1 minute", top_k: int | None = 3) -> DataFrame:
     """Interactions per product in sliding windows, top ``top_k`` per window.
 
-    ``window()`` expands each event into its ``window / slide`` windows (a
-    narrow Expand). Distinct users are counted with two plain aggregates,
-    per (window, product, user) and then per (window, product). Both combine
-    map-side, and this avoids the second expansion a ``count(DISTINCT)`` next
-    to other aggregates would add. The ranking then runs per window over the
-    small per-product aggregate (see :func:`top_per_window`).
+    Events are shuffled once, on (product, user salt), and counted per slide,
+    product and user there; only these counts are expanded into windows (see
+    :func:`activity_windows`). The salt keeps a hot product off a single task.
     """
-    per_user = (events.groupBy(F.window(ts, window, slide).alias("w"), F.col(product).alias("product_id"),
-                               F.col("user_id"))
-                .agg(F.count(F.lit(1)).alias("n"),
-                     F.count(F.when(F.col("event_type") == "purchase", True)).alias("p")))
-    agg = per_user.groupBy("w", "product_id").agg(
-        F.sum("n").alias("interactions"), F.sum("p").alias("purchases"), F.count("user_id").alias("users"))
-    out = agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                     "product_id", "interactions", "purchases", "users")
-    return out if top_k is None else top_per_window(out, top_k)
-
-
-def top_per_window(counts: DataFrame, top_k: int, salt_buckets: int = 16) -> DataFrame:
+    slides = (events.select(F.window(ts, slide)["start"].alias("slide_start"), F.col(product).alias("product_id"),
+                            "user_id", F.when(F.col("event_type") == "purchase", 1).otherwise(0).alias("p"),
+                            _salt("user_id").alias("_user_salt"))
+              .repartition("product_id", "_user_salt")
+              .groupBy("product_id", "_user_salt", "user_id", "slide_start")
+              .agg(F.count(F.lit(1)).alias("interactions"), F.sum("p").alias("purchases")))
+    return activity_windows(slides, window, slide, top_k)
+
+
+_SALTS = 16
+
+
+def _salt(column: str) -> Column:
+    return F.pmod(F.hash(column), F.lit(_SALTS))
+
+
+def _seconds(interval: str) -> int:
+    number, unit = interval.split()
+    return int(number) * {"second": 1, "minute": 60, "hour": 3_600, "day": 86_400}[unit.rstrip("s")]
+
+
+def activity_windows(slides: DataFrame, window: str, slide: str, top_k: int | None) -> DataFrame:
+    """B3 from counts per (product, ``_user_salt``, user, ``slide_start``).
+
+    A window is a whole number of slides, so each count goes to the windows
+    that hold its slide. Distinct users are counted per (product, salt,
+    window) where the rows are; one row for each of these meets the others of
+    its window, dealt by (window, product salt), which is also how
+    :func:`top_per_window` ranks first.
+    """
+    step, span = _seconds(slide), _seconds(window)
+    if span % step:
+        raise ValueError("a window must be a whole number of slides")
+    starts = F.array(*[F.col("slide_start") - F.expr(f"INTERVAL {k * step} SECONDS") for k in range(span // step)])
+    expanded = slides.select("product_id", "_user_salt", "user_id", F.explode(starts).alias("window_start"),
+                             "interactions", "purchases")
+    sums = [F.sum("interactions").alias("interactions"), F.sum("purchases").alias("purchases")]
+    parts = (expanded.groupBy("product_id", "_user_salt", "user_id", "window_start").agg(*sums)
+             .groupBy("product_id", "_user_salt", "window_start").agg(*sums, F.count("user_id").alias("users")))
+    out = (parts.withColumn("_salt", _salt("product_id")).repartition("window_start", "_salt")
+           .groupBy("window_start", "_salt", "product_id").agg(*sums, F.sum("users").alias("users"))
+           .withColumn("window_end", F.col("window_start") + F.expr(f"INTERVAL {span} SECONDS")))
+    columns = ["window_start", "window_end", "product_id", "interactions", "purchases", "users"]
+    return out.select(*columns) if top_k is None else top_per_window(out.select(*columns, "_salt"), top_k)
+
+
+def top_per_window(counts: DataFrame, top_k: int, salt_buckets: int = _SALTS) -> DataFrame:
     """The ``top_k`` products per window by interactions (ties: lower id).
 
     Two stages, so one very busy window is not ranked on one task: first the
-    top ``top_k`` inside ``(window, hash(product) % salt_buckets)``, then the
-    final top ``top_k`` per window over at most ``salt_buckets * top_k``
-    candidates. Exact: a window's top ``top_k`` are each within the top
+    top ``top_k`` inside ``(window, hash(product) % salt_buckets)`` (``_salt``,
+    if ``counts`` has it), then the final top ``top_k`` per window over at most
+    ``salt_buckets * top_k`` candidates. Exact: a window's top ``top_k`` are each within the top
     ``top_k`` of their own bucket. The limit is the report's feature.
     """
     order = [F.col("interactions").desc(), F.col("product_id").asc()]
-    salted = counts.withColumn("_salt", F.pmod(F.hash("product_id"), F.lit(salt_buckets)))
+    salted = counts if "_salt" in counts.columns else counts.withColumn(
+        "_salt", F.pmod(F.hash("product_id"), F.lit(salt_buckets)))
     first = salted.withColumn("_r", F.row_number().over(
         Window.partitionBy("window_start", "_salt").orderBy(*order))).where(F.col("_r") <= top_k)
     rank = F.row_number().over(Window.partitionBy("window_start").orderBy(*order))
@@ -73,12 +106,16 @@ def service_health(logs: DataFrame, ts: Column, window: str = "1 hour") -> DataF
             .agg(F.count(F.lit(1)).alias("requests"),
                  F.count(F.when(status >= 500, True)).alias("errors_5xx"),
                  F.count(F.when(status == 504, True)).alias("timeouts_504"),
-                 F.percentile("latency_ms", 0.5).alias("p50_latency_ms"),
-                 F.percentile("latency_ms", 0.95).alias("p95_latency_ms"),
-                 F.percentile("latency_ms", 0.99).alias("p99_latency_ms"))
+                 percentiles("latency_ms", 0.5, 0.95, 0.99).alias("_p"))
             .select("service", F.col("w.start").alias("window_start"), "requests", "errors_5xx",
                     (F.col("errors_5xx") / F.col("requests")).alias("error_share"), "timeouts_504",
-                    "p50_latency_ms", "p95_latency_ms", "p99_latency_ms"))
+                    F.col("_p")[0].alias("p50_latency_ms"), F.col("_p")[1].alias("p95_latency_ms"),
+                    F.col("_p")[2].alias("p99_latency_ms")))
+
+
+def percentiles(column: str | Column, *shares: float) -> Column:
+    """Exact percentiles as one array: one value-to-count map serves them all."""
+    return F.percentile(column, F.array(*[F.lit(s) for s in shares]))
 
 
 # --- B5: carrier latency ------------------------------------------------------
@@ -106,9 +143,10 @@ def carrier_latency(shipment_events: DataFrame, pickup: str = "PICKED_UP", deliv
         F.count(F.when(F.col("latency") < 0, True)).alias("invalid"),
         F.count(F.when(F.col("latency").isNull(), True)).alias("open"),
         F.avg(F.when(valid, F.col("latency"))).alias("avg_latency"),
-        F.percentile(F.when(valid, F.col("latency")), 0.5).alias("p50_latency"),
-        F.percentile(F.when(valid, F.col("latency")), 0.95).alias("p95_latency"),
+        percentiles(F.when(valid, F.col("latency")), 0.5, 0.95).alias("_p"),
         F.max(F.when(valid, F.col("latency"))).alias("max_latency"))
+    stats = stats.select("carrier", "delivered", "invalid", "open", "avg_latency", F.col("_p")[0].alias("p50_latency"),
+                         F.col("_p")[1].alias("p95_latency"), "max_latency")
     # One row per carrier: the ranking window sees a handful of rows.
     return stats.withColumn("worst_rank", F.rank().over(Window.orderBy(F.col("avg_latency").desc_nulls_last())))
 
@@ -156,9 +194,11 @@ def count_within(probes: DataFrame, probe_id: str, probe_ts: str, targets: DataF
     t_us = epoch_micros(targets, target_ts)
     # kind orders rows at equal time: lower probe (0) < target (1) < upper
     # probe (2) < the probe itself (3). The three probe points come from one
-    # scan of the probes (an explode), the targets from one scan.
-    tgt = targets.select(*keys, t_us.alias("_t"), F.lit(1).alias("_kind"),
-                         F.lit(None).cast(probes.schema[probe_id].dataType).alias("_pid"))
+    # scan of the probes (an explode), the targets from one scan. Targets at
+    # one time are one row with their number, folded map-side.
+    tgt = (targets.select(*keys, t_us.alias("_t")).groupBy(*keys, "_t").agg(F.count(F.lit(1)).alias("_n"))
+           .select(*keys, "_t", F.lit(1).alias("_kind"),
+                   F.lit(None).cast(probes.schema[probe_id].dataType).alias("_pid"), "_n"))
     # The probe's own columns ride along on its own point (kind 3), so the
     # result needs no join back to the probes (one scan of them).
     payload = F.struct(*[F.col(c) for c in probes.columns])
@@ -168,13 +208,13 @@ def count_within(probes: DataFrame, probe_id: str, probe_ts: str, targets: DataF
                      F.struct((p_us + us).alias("_t"), F.lit(2).alias("_kind"), null_payload.alias("_payload")),
                      F.struct(p_us.alias("_t"), F.lit(3).alias("_kind"), payload.alias("_payload")))
     prb = probes.select(*keys, F.col(probe_id).alias("_pid"), F.explode(points).alias("_p")).select(
-        *keys, "_p._t", "_p._kind", "_pid", "_p._payload")
+        *keys, "_p._t", "_p._kind", "_pid", F.lit(0).cast("bigint").alias("_n"), "_p._payload")
     rows = tgt.unionByName(prb)
     bucket = F.floor(F.col("_t") / F.lit(bucket_seconds * 1_000_000)).cast("bigint")
     staged = S.stage(rows, keys, bucket)
     is_target = F.col("_kind") == 1
     counted = S.running_aggs_staged(staged, keys, ["_t", "_kind", "_pid"], {
-        "_cum": (F.when(is_target, 1).otherwise(0), "sum"),
+        "_cum": (F.col("_n"), "sum"),
         "_last_t": (F.when(is_target, F.col("_t")), "max"),
     })
     per = (counted.where(F.col("_kind") != 1).groupBy("_pid")
@@ -190,13 +230,13 @@ def count_within(probes: DataFrame, probe_id: str, probe_ts: str, targets: DataF
 
 
 def failures_near_purchases(purchases: DataFrame, failures: DataFrame, seconds: int,
-                            bucket_seconds: int = 600) -> DataFrame:
+                            bucket_seconds: int = 60) -> DataFrame:
     """Per purchase event, failing checkout requests within ``seconds``.
 
     There is no key, so the running count is partitioned by time bucket
-    alone: ``bucket_seconds`` bounds the rows per task (a busy period is split
-    into more buckets) against the size of the per-bucket summary, which is
-    ranked in one task (span / bucket rows).
+    alone. Failures are folded to one row per time first, and a bucket is a
+    minute: a task holds a minute's purchases. The per-bucket summary is
+    ranked in one task, which has one row per minute of the whole span.
     """
     return count_within(purchases, "event_id", "ts", failures, "log_ts", seconds, bucket_seconds=bucket_seconds)
 
@@ -217,7 +257,7 @@ def purchases_vs_orders(purchases: DataFrame, orders: DataFrame, key: str = "use
 
 def purchases_matched_within(purchases: DataFrame, orders: DataFrame, seconds: int, key: str = "user_id",
                              order_key: str = "o_custkey", order_ts: str = "o_orderdate",
-                             bucket_seconds: int = 86_400) -> DataFrame:
+                             bucket_seconds: int = S.BUCKET_SECONDS) -> DataFrame:
     """B2 with a time bound: each purchase event is ``matched`` when the same
     customer has an order within ``seconds`` of it, else ``no_order``."""
     o = orders.select(F.col(order_key).alias(key), F.col(order_ts).alias("_ots"))
@@ -229,13 +269,21 @@ def purchases_matched_within(purchases: DataFrame, orders: DataFrame, seconds: i
 # --- B6: discrepancy layer ------------------------------------------------------
 
 SEVERITY = {"missing_shipment": "high", "orphan_shipment": "medium", "duplicate_order": "medium",
-            "unmatched_purchase": "high", "constraint_breach": "high", "referential_breach": "high"}
+            "duplicate_shipment": "low", "unmatched_purchase": "high", "order_without_event": "medium",
+            "constraint_breach": "high", "referential_breach": "high"}
+
+
+def severity_of(kind: Column) -> Column:
+    """The severity of a discrepancy kind, from the one table of them."""
+    table = F.create_map(*[F.lit(x) for pair in SEVERITY.items() for x in pair])
+    return F.coalesce(F.element_at(table, kind), F.lit("low"))
 
 
-def discrepancy(df: DataFrame, kind: str, key: Column, detail: Column) -> DataFrame:
-    """One discrepancy row per input row: ``(kind, severity, key, detail)``."""
-    return df.select(F.lit(kind).alias("kind"), F.lit(SEVERITY.get(kind, "low")).alias("severity"),
-                     key.cast("string").alias("key"), detail.cast("string").alias("detail"))
+def discrepancy(df: DataFrame, kind: str | Column, key: Column, detail: Column, detected_at: Column) -> DataFrame:
+    """One discrepancy row per input row: ``(kind, severity, key, detail, detected_at)``."""
+    kind = F.lit(kind) if isinstance(kind, str) else kind
+    return df.select(kind.alias("kind"), severity_of(kind).alias("severity"), key.cast("string").alias("key"),
+                     detail.cast("string").alias("detail"), detected_at.alias("detected_at"))
 
 
 def discrepancy_counts(discrepancies: DataFrame) -> DataFrame:
@@ -245,6 +293,20 @@ def discrepancy_counts(discrepancies: DataFrame) -> DataFrame:
                     F.coalesce("kind", F.lit("ALL")).alias("kind"), "n"))
 
 
+def route_late(updates: DataFrame, ts: str, arrival: str, lateness_seconds: int) -> DataFrame:
+    """B7 (batch): adds ``late``: the update is older than ``lateness_seconds``
+    behind the newest update of all earlier ``arrival`` batches.
+
+    One row per arrival is ranked in one task; the updates themselves are
+    joined to it, not windowed.
+    """
+    marks = updates.groupBy(arrival).agg(F.max(epoch_micros(updates, ts)).alias("_newest"))
+    before = Window.orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
+    marks = marks.select(arrival, F.max("_newest").over(before).alias("_mark"))
+    late = epoch_micros(updates, ts) < F.col("_mark") - F.lit(lateness_seconds * 1_000_000)
+    return updates.join(marks, arrival).withColumn("late", F.coalesce(late, F.lit(False))).drop("_mark")
+
+
 def latest_status(updates: DataFrame, key: str, ts: str, status: str) -> DataFrame:
     """B7 (batch): the latest status per key (``max_by``, partially aggregated)."""
     return updates.groupBy(key).agg(F.max_by(status, F.struct(ts, status)).alias(status),
@@ -252,5 +314,5 @@ def latest_status(updates: DataFrame, key: str, ts: str, status: str) -> DataFra
 
 
 __all__ = ["product_activity", "service_health", "carrier_latency", "sessions", "funnel", "count_within",
-           "failures_near_purchases", "purchases_vs_orders", "purchases_matched_within", "discrepancy",
+           "activity_windows", "percentiles", "severity_of", "failures_near_purchases", "purchases_vs_orders", "purchases_matched_within", "discrepancy",
            "discrepancy_counts", "latest_status", "top_per_window"]

@@ -8,8 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata import schemas as S
 from strata.operators import checks as CK
 from strata.operators import keyed as K
+from strata.plans import derive as D
 from strata.plans.registry import register
 from strata.sources.tables import read_table
 
@@ -126,7 +128,55 @@ def q_dedup_events(spark, sf_dir):
     # every event delivered once, every 5th a second time (one scan, an explode)
     deliveries = F.when(F.col("event_id") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     delivered = events.withColumn("_delivery", F.explode(deliveries))
-    return K.first_per_key(delivered, ["event_id"], ["_delivery"]).drop("_delivery")
+    return K.first_per_key(delivered, ["event_id"], ["_delivery"], few_repeats=True).drop("_delivery")
+
+
+# Order changes derived from events: one feed of changes per user, with an order and a payment status.
+_STATUS_SQL = """CASE event_type WHEN 'signup' THEN 'PLACED' WHEN 'view' THEN 'PLACED' WHEN 'click' THEN 'SHIPPED'
+    WHEN 'purchase' THEN 'DELIVERED' ELSE 'CANCELLED' END"""
+_PAYMENT_SQL = "CASE WHEN event_id % 3 = 0 THEN 'PAID' WHEN event_id % 3 = 1 THEN 'PENDING' ELSE 'FAILED' END"
+
+
+def _order_changes(spark, sf_dir):
+    kind, eid = F.col("event_type"), F.col("event_id")
+    status = (F.when(kind.isin("signup", "view"), "PLACED").when(kind == "click", "SHIPPED")
+              .when(kind == "purchase", "DELIVERED").otherwise("CANCELLED"))
+    payment = F.when(eid % 3 == 0, "PAID").when(eid % 3 == 1, "PENDING").otherwise("FAILED")
+    return read_table(spark, sf_dir, "events", "user_id", "ts", "event_id", "event_type").select(
+        "user_id", "ts", "event_id", status.alias("order_status"), payment.alias("payment_status"))
+
+
+@register("order_lifecycle_violations", sql=f"""
+WITH c AS (SELECT user_id, ts, event_id, {_STATUS_SQL} AS order_status, {_PAYMENT_SQL} AS payment_status FROM events),
+seq AS (
+  SELECT *, lag(order_status) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_status,
+         lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_ts FROM c),
+allowed(a, b) AS (VALUES {_pairs_sql(S.ORDER_TRANSITIONS)})
+SELECT * FROM seq
+WHERE prev_status IS NOT NULL AND prev_status <> order_status
+  AND (NOT EXISTS (SELECT 1 FROM allowed WHERE a = prev_status AND b = order_status)
+       OR (prev_status = 'PLACED' AND payment_status <> 'PAID'))
+""")
+def q_order_lifecycle_violations(spark, sf_dir):
+    """Order status changes outside the life cycle, or away from PLACED before the payment is PAID."""
+    return K.transition_violations(_order_changes(spark, sf_dir), ["user_id"], "ts", ["event_id"], "order_status",
+                                   S.ORDER_TRANSITIONS, needs={"PLACED": F.col("payment_status") == "PAID"})
+
+
+@register("payment_lifecycle_violations", sql=f"""
+WITH c AS (SELECT user_id, ts, event_id, {_PAYMENT_SQL} AS payment_status FROM events),
+seq AS (
+  SELECT *, lag(payment_status) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_status,
+         lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_ts FROM c),
+allowed(a, b) AS (VALUES {_pairs_sql(S.PAYMENT_TRANSITIONS)})
+SELECT * FROM seq
+WHERE prev_status IS NOT NULL AND prev_status <> payment_status
+  AND NOT EXISTS (SELECT 1 FROM allowed WHERE a = prev_status AND b = payment_status)
+""")
+def q_payment_lifecycle_violations(spark, sf_dir):
+    """Payment status changes outside PENDING to PAID or FAILED."""
+    changes = _order_changes(spark, sf_dir).select("user_id", "ts", "event_id", "payment_status")
+    return K.transition_violations(changes, ["user_id"], "ts", ["event_id"], "payment_status", S.PAYMENT_TRANSITIONS)
 
 
 @register("constraint_checks", sql="""
@@ -174,7 +224,9 @@ def q_constraint_checks(spark, sf_dir):
 
 @register("referential_checks", sql="""
 SELECT 'lineitem.l_orderkey->orders' AS relation, l_orderkey AS "key", CAST(count(*) AS BIGINT) AS "rows"
-FROM lineitem WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders
+FROM (SELECT CASE WHEN l_orderkey % 50 = 7 AND l_linenumber = 1 THEN -l_orderkey ELSE l_orderkey END AS l_orderkey
+      FROM lineitem)
+WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders
   WHERE o_orderkey IS NOT NULL) GROUP BY l_orderkey
 UNION ALL
 SELECT 'lineitem.l_partkey->part', l_partkey, CAST(count(*) AS BIGINT)
@@ -190,14 +242,19 @@ FROM orders WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey F
   WHERE c_custkey IS NOT NULL) GROUP BY o_custkey
 UNION ALL
 SELECT 'events.user_id->customer', user_id, CAST(count(*) AS BIGINT)
-FROM events WHERE user_id IS NOT NULL AND user_id NOT IN (SELECT c_custkey FROM customer
+FROM (SELECT CASE WHEN event_id % 97 = 3 THEN -user_id - 1 ELSE user_id END AS user_id FROM events)
+WHERE user_id IS NOT NULL AND user_id NOT IN (SELECT c_custkey FROM customer
   WHERE c_custkey IS NOT NULL) GROUP BY user_id
 """)
 def q_referential_checks(spark, sf_dir):
-    """Foreign keys without a parent row (each child table scanned once)."""
+    """Foreign keys without a parent row (each child table scanned once).
+
+    Some shipments name an order that does not exist (:func:`D.stray_shipments`)
+    and every 97th event a user that does not.
+    """
     t = lambda name, *c: read_table(spark, sf_dir, name, *c)
     return CK.orphan_report([
-        (t("lineitem", "l_orderkey", "l_partkey", "l_suppkey"), [
+        (D.stray_shipments(t("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")), [
             ("l_orderkey", "lineitem.l_orderkey->orders", t("orders", "o_orderkey"), "o_orderkey"),
             ("l_partkey", "lineitem.l_partkey->part", t("part", "p_partkey"), "p_partkey"),
             ("l_suppkey", "lineitem.l_suppkey->supplier", t("supplier", "s_suppkey"), "s_suppkey"),
@@ -205,7 +262,8 @@ def q_referential_checks(spark, sf_dir):
         (t("orders", "o_custkey"), [
             ("o_custkey", "orders.o_custkey->customer", t("customer", "c_custkey"), "c_custkey"),
         ]),
-        (t("events", "user_id"), [
+        (t("events", "user_id", "event_id").withColumn("user_id", F.when(
+            F.col("event_id") % 97 == 3, -F.col("user_id") - 1).otherwise(F.col("user_id"))), [
             ("user_id", "events.user_id->customer", t("customer", "c_custkey"), "c_custkey"),
         ]),
     ])

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import parse as P
-from strata.functions.columns import ensure_parallelism
+from strata.operators import checks as CK
 from strata.operators import keyed as K
 from strata.operators import marts as M
 from strata.operators import reconcile as R
 from strata.plans import derive as D
-from strata.plans.reconcile_queries import ORDER_EXTRACT_CUTOFF, _order_extract, _shipments
+from strata.plans.reconcile_queries import STRAY_SQL, _orders, _stray_shipments
 from strata.plans.registry import register
 from strata.sources.tables import read_table
 
@@ -39,7 +40,7 @@ _LOGS_SQL = f"""
 
 
 def _parsed_logs(spark, sf_dir) -> DataFrame:
-    events = ensure_parallelism(read_table(spark, sf_dir, "events"))
+    events = read_table(spark, sf_dir, "events")
     logs = P.parse_log_lines(D.server_log_lines(events), keep=("event_id",))
     ts = P.to_utc_wall_clock(spark, P.parse_time(F.col("timestamp")))
     return logs.withColumn("log_ts", ts)
@@ -206,57 +207,74 @@ def q_purchase_log_interval_join(spark, sf_dir):
     return M.failures_near_purchases(purchases, failures, FAILURE_WINDOW_SECONDS)
 
 
+# The time of the run that found the discrepancies.
+DETECTED_AT = "2024-02-01 00:00:00"
+
+
 def _discrepancies(spark, sf_dir) -> DataFrame:
+    at = F.lit(DETECTED_AT).cast("timestamp_ntz")
     # All order/shipment kinds come from one pass over one per-key table, so
     # line items are scanned and shuffled once.
-    counts = R.key_counts(_order_extract(spark, sf_dir), _shipments(spark, sf_dir))
-    found = R.key_findings(counts)
-    # line items are the shipment feed: their repeated keys are the
-    # "duplicate order" findings of the report
-    kind = F.col("kind")
-    detail = (F.when(kind == "missing_shipment", F.lit(f"order placed before {ORDER_EXTRACT_CUTOFF} has no shipment"))
-              .when(kind == "orphan_shipment", F.concat(F.col("n").cast("string"), F.lit(" shipment rows")))
-              .otherwise(F.concat(F.col("n").cast("string"), F.lit(" rows"))))
-    found = found.where(kind.isin("missing_shipment", "orphan_shipment", "duplicate_shipment")).select(
-        F.when(kind == "duplicate_shipment", F.lit("duplicate_order")).otherwise(kind).alias("kind"),
-        F.col("order_id"), detail.alias("detail"))
-    severity = F.when(F.col("kind") == "missing_shipment", "high").otherwise("medium")
-    keyed = found.select("kind", severity.alias("severity"), F.col("order_id").cast("string").alias("key"),
-                         "detail")
+    found = R.key_findings(R.key_counts(_orders(spark, sf_dir), _stray_shipments(spark, sf_dir)))
+    what = F.when(F.col("kind").isin("missing_shipment", "duplicate_order"), "order rows").otherwise("shipment rows")
+    keyed = M.discrepancy(found, F.col("kind"), F.col("order_id"), F.concat_ws(" ", F.col("n").cast("string"), what), at)
     purchases = read_table(spark, sf_dir, "events", "user_id", "event_type").where(
         F.col("event_type") == "purchase")
     pvo = M.purchases_vs_orders(purchases, read_table(spark, sf_dir, "orders", "o_custkey"))
-    unmatched = M.discrepancy(pvo.where(F.col("status") != "matched"), "unmatched_purchase",
-                              F.col("customer_id"), F.col("status"))
-    return keyed.unionByName(unmatched)
+    kind = F.when(F.col("status") == "no_order", "unmatched_purchase").otherwise("order_without_event")
+    unmatched = M.discrepancy(pvo.where(F.col("status") != "matched"), kind, F.col("customer_id"), F.col("status"), at)
+    checks = CK.constraint_report(_stray_customers(spark, sf_dir), "customer", ["c_custkey"], ["c_name", "c_mktsegment"])
+    breaches = M.discrepancy(checks.where(F.col("violations") > 0), "constraint_breach",
+                             F.concat_ws(".", "table", "column"), F.concat_ws(" ", "check", "violations"), at)
+    orphans = CK.orphan_keys(read_table(spark, sf_dir, "events", "user_id"), "user_id",
+                             read_table(spark, sf_dir, "customer", "c_custkey"), "c_custkey", "events.user_id->customer")
+    dangling = M.discrepancy(orphans, "referential_breach", F.col("key"), F.concat_ws(" ", "relation", "rows"), at)
+    return reduce(DataFrame.unionByName, [keyed, unmatched, breaches, dangling])
+
+
+def _stray_customers(spark, sf_dir) -> DataFrame:
+    """Customers as delivered by a feed: every 29th arrives twice, every 31st without its segment."""
+    key = F.col("c_custkey")
+    return read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment").select(
+        F.explode(F.when(key % 29 == 0, F.array(key, key)).otherwise(F.array(key))).alias("c_custkey"), "c_name",
+        F.when(key % 31 != 0, F.col("c_mktsegment")).alias("c_mktsegment"))
 
 
 _DISCREPANCIES_SQL = f"""
-  SELECT 'missing_shipment' AS kind, 'high' AS severity, CAST(o_orderkey AS VARCHAR) AS "key",
-         'order placed before {ORDER_EXTRACT_CUTOFF} has no shipment' AS detail
-  FROM (SELECT DISTINCT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '{ORDER_EXTRACT_CUTOFF}'
-        AND o_orderkey IS NOT NULL AND o_orderkey <> 0
-        AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL AND l_orderkey <> 0))
-  UNION ALL
-  SELECT 'orphan_shipment', 'medium', CAST(l_orderkey AS VARCHAR), count(*) || ' shipment rows'
-  FROM lineitem WHERE l_orderkey IS NOT NULL AND l_orderkey <> 0 AND l_orderkey NOT IN (
-    SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '{ORDER_EXTRACT_CUTOFF}' AND o_orderkey IS NOT NULL)
-  GROUP BY l_orderkey
-  UNION ALL
-  SELECT 'duplicate_order', 'medium', CAST(l_orderkey AS VARCHAR), count(*) || ' rows'
-  FROM lineitem WHERE l_orderkey IS NOT NULL AND l_orderkey <> 0 GROUP BY l_orderkey HAVING count(*) > 1
-  UNION ALL
-  SELECT 'unmatched_purchase', 'high', CAST(coalesce(p.customer_id, o.customer_id) AS VARCHAR),
-         CASE WHEN o.customer_id IS NULL THEN 'no_order' ELSE 'no_event' END
-  FROM (SELECT DISTINCT user_id AS customer_id FROM events WHERE event_type = 'purchase') p
-  FULL OUTER JOIN (SELECT DISTINCT o_custkey AS customer_id FROM orders) o ON p.customer_id = o.customer_id
-  WHERE p.customer_id IS NULL OR o.customer_id IS NULL
+  WITH ship AS (SELECT k, count(*) AS n FROM ({STRAY_SQL}) WHERE k IS NOT NULL AND k <> 0 GROUP BY k),
+  ord AS (SELECT o_orderkey AS k, count(*) AS n FROM orders GROUP BY o_orderkey),
+  found AS (
+    SELECT 'missing_shipment' AS kind, 'high' AS severity, CAST(k AS VARCHAR) AS "key", n || ' order rows' AS detail
+    FROM ord WHERE k IS NOT NULL AND k <> 0 AND k NOT IN (SELECT k FROM ship)
+    UNION ALL SELECT 'duplicate_order', 'medium', CAST(k AS VARCHAR), n || ' order rows' FROM ord WHERE k <> 0 AND n > 1
+    UNION ALL SELECT 'orphan_shipment', 'medium', CAST(k AS VARCHAR), n || ' shipment rows' FROM ship
+      WHERE k NOT IN (SELECT k FROM ord WHERE k IS NOT NULL)
+    UNION ALL SELECT 'duplicate_shipment', 'low', CAST(k AS VARCHAR), n || ' shipment rows' FROM ship WHERE n > 1
+    UNION ALL
+    SELECT CASE WHEN o.customer_id IS NULL THEN 'unmatched_purchase' ELSE 'order_without_event' END,
+           CASE WHEN o.customer_id IS NULL THEN 'high' ELSE 'medium' END,
+           CAST(coalesce(p.customer_id, o.customer_id) AS VARCHAR),
+           CASE WHEN o.customer_id IS NULL THEN 'no_order' ELSE 'no_event' END
+    FROM (SELECT DISTINCT user_id AS customer_id FROM events WHERE event_type = 'purchase') p
+    FULL OUTER JOIN (SELECT DISTINCT o_custkey AS customer_id FROM orders) o ON p.customer_id = o.customer_id
+    WHERE p.customer_id IS NULL OR o.customer_id IS NULL
+    UNION ALL
+    SELECT 'constraint_breach', 'high', 'customer.c_custkey', 'primary_key ' || count(*)
+    FROM customer WHERE c_custkey % 29 = 0 HAVING count(*) > 0
+    UNION ALL
+    SELECT 'constraint_breach', 'high', 'customer.c_mktsegment',
+           'not_null ' || sum(CASE WHEN c_custkey % 29 = 0 THEN 2 ELSE 1 END)
+    FROM customer WHERE c_custkey % 31 = 0 HAVING count(*) > 0
+    UNION ALL
+    SELECT 'referential_breach', 'high', CAST(user_id AS VARCHAR), 'events.user_id->customer ' || count(*)
+    FROM events WHERE user_id IS NOT NULL AND user_id NOT IN (SELECT c_custkey FROM customer) GROUP BY user_id)
+  SELECT *, TIMESTAMP '{DETECTED_AT}' AS detected_at FROM found
 """
 
 
 @register("discrepancies", sql=_DISCREPANCIES_SQL)
 def q_discrepancies(spark, sf_dir):
-    """One table of all discrepancy kinds ``(kind, severity, key, detail)``."""
+    """One table of all discrepancy kinds ``(kind, severity, key, detail, detected_at)``."""
     return _discrepancies(spark, sf_dir)
 
 
@@ -292,3 +310,65 @@ def q_purchase_view_within(spark, sf_dir):
     views = events.where(F.col("event_type") == "view").select("user_id", F.col("ts").alias("vts"))
     counted = M.count_within(purchases, "event_id", "ts", views, "vts", VIEW_WINDOW_SECONDS, keys=["user_id"])
     return counted.withColumn("status", F.when(F.col("n_within") > 0, "matched").otherwise("no_view"))
+
+
+# Events lie in January 2024 and orders in 1995 to 2001. Moving every order by the same 24 years brings
+# some of them to the events' month; no order is left out.
+ORDER_SHIFT_DAYS = 8766
+ORDER_WINDOW_SECONDS = 10 * 86_400
+
+
+@register("purchase_events_vs_orders", sql=f"""
+WITH p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
+o AS (SELECT o_custkey, o_orderdate + INTERVAL {ORDER_SHIFT_DAYS} DAY AS ots FROM orders)
+SELECT p.event_id, p.user_id, p.ts, CAST(count(o.ots) AS BIGINT) AS n_within,
+  (epoch_us(p.ts) - epoch_us(max(o.ots) FILTER (WHERE o.ots <= p.ts))) / 1000000.0 AS seconds_since_last,
+  CASE WHEN count(o.ots) > 0 THEN 'matched' ELSE 'no_order' END AS status
+FROM p LEFT JOIN o ON o.o_custkey = p.user_id
+  AND o.ots BETWEEN p.ts - INTERVAL {ORDER_WINDOW_SECONDS} SECOND AND p.ts + INTERVAL {ORDER_WINDOW_SECONDS} SECOND
+GROUP BY p.event_id, p.user_id, p.ts
+""")
+def q_purchase_events_vs_orders(spark, sf_dir):
+    """B2 per event: did the purchase reach the order system, as an order of
+    the same customer within ten days of it?"""
+    purchases = read_table(spark, sf_dir, "events", "event_id", "user_id", "ts", "event_type").where(
+        F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
+    orders = read_table(spark, sf_dir, "orders", "o_custkey", "o_orderdate")
+    moved = orders.withColumn("o_orderdate", F.col("o_orderdate") + F.expr(f"INTERVAL {ORDER_SHIFT_DAYS} DAYS"))
+    return M.purchases_matched_within(purchases, moved, ORDER_WINDOW_SECONDS)
+
+
+# Status updates that arrive in weekly batches; every 13th arrives a batch later than its time.
+LATENESS_SECONDS = 2 * 86_400
+_ARRIVALS_SQL = """SELECT user_id, ts, event_id, event_type AS status,
+  CAST((day(ts) - 1) // 7 + CASE WHEN event_id % 13 = 0 THEN 1 ELSE 0 END AS INTEGER) AS arrival FROM events"""
+LATE_SQL = f"""
+WITH a AS ({_ARRIVALS_SQL}),
+m AS (SELECT arrival, max(max(ts)) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark
+      FROM a GROUP BY arrival)
+SELECT a.*, coalesce(ts < mark - INTERVAL {LATENESS_SECONDS} SECOND, false) AS late FROM a JOIN m USING (arrival)
+"""
+
+
+def status_arrivals(events: DataFrame) -> DataFrame:
+    """Status updates with the batch in which they arrive."""
+    delay = F.when(F.col("event_id") % 13 == 0, 1).otherwise(0)
+    arrival = (F.floor((F.dayofmonth("ts") - 1) / 7) + delay).cast("int")
+    return events.select("user_id", "ts", "event_id", F.col("event_type").alias("status"), arrival.alias("arrival"))
+
+
+@register("late_updates", sql=LATE_SQL)
+def q_late_updates(spark, sf_dir):
+    """Status updates that arrive more than two days behind the newest of all earlier batches."""
+    events = read_table(spark, sf_dir, "events", "user_id", "ts", "event_id", "event_type")
+    return M.route_late(status_arrivals(events), "ts", "arrival", LATENESS_SECONDS)
+
+
+@register("latest_status", sql="""
+SELECT user_id, event_type AS status, ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type DESC) AS rn FROM events) WHERE rn = 1
+""")
+def q_latest_status(spark, sf_dir):
+    """The latest status per user by event time, whenever the update arrived."""
+    events = read_table(spark, sf_dir, "events", "user_id", "ts", "event_id", "event_type")
+    return M.latest_status(status_arrivals(events), "user_id", "ts", "status")

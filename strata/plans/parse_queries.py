@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.functions import parse as P
-from strata.functions.columns import ensure_parallelism
 from strata.operators import contracts as C
 from strata.plans import derive as D
 from strata.plans.registry import register
@@ -30,8 +29,7 @@ _LOG_LINE_SQL = """
 
 
 def _events(spark, sf_dir, *cols):
-    # Parsing is CPU-bound and narrow: spread a coarse scan over all slots.
-    return ensure_parallelism(read_table(spark, sf_dir, "events", *cols))
+    return read_table(spark, sf_dir, "events", *cols)
 
 
 @register("json_parse", sql="""
@@ -127,3 +125,29 @@ def q_validate_errors(spark, sf_dir):
     raw = D.contract_records(_events(spark, sf_dir)).withColumnRenamed("event_id", "src_id")
     bad = C.validate(raw, "clickstream_events", keep=("src_id",)).quarantine
     return bad.select("src_id", "error", F.size("errors").alias("n_errors"))
+
+
+@register("validate_strict", sql="""
+SELECT event_id AS src_id, 'e-' || event_id AS event_id, event_type, CAST(user_id AS VARCHAR) AS user_id FROM events
+""")
+def q_validate_strict(spark, sf_dir):
+    """V7 strict: every event as a record that keeps the contract; one that did not would stop the query."""
+    raw = _events(spark, sf_dir).select(F.col("event_id").alias("src_id"), F.to_json(F.struct(
+        F.concat(F.lit("e-"), F.col("event_id").cast("string")).alias("event_id"), "event_type", "user_id")).alias("value"))
+    return C.validate_strict(raw, "clickstream_events", "src_id").select("src_id", "event_id", "event_type", "user_id")
+
+
+@register("bare_log_lines", sql="""
+SELECT event_id AS src_id, CASE event_id % 5 WHEN 0 THEN CAST(event_id AS VARCHAR) WHEN 1 THEN 'true' WHEN 2 THEN event_type
+  WHEN 3 THEN event_type || ' by ' || user_id ELSE 'in an object' END AS message
+FROM events
+""")
+def q_bare_log_lines(spark, sf_dir):
+    """V1-V2: log records that are text, number-like text, a JSON string or an object, all as messages."""
+    eid, kind = F.col("event_id"), F.col("event_type")
+    line = (F.when(eid % 5 == 0, eid.cast("string")).when(eid % 5 == 1, F.lit("true"))
+            .when(eid % 5 == 2, F.concat(F.lit('"'), kind, F.lit('"')))
+            .when(eid % 5 == 3, F.concat_ws(" ", kind, F.lit("by"), F.col("user_id").cast("string")))
+            .otherwise(F.lit('{"message":"in an object"}')))
+    raw = _events(spark, sf_dir).select(eid.alias("src_id"), line.alias("value"))
+    return C.validate(raw, "server_logs", keep=("src_id",)).valid.select("src_id", "message")

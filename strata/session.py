@@ -91,8 +91,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach; we read it from the session and never replace it. Only when it is
-    unset (a local test session) do we pick a fresh temporary folder.
+    reach; we read it from the session and never replace it. Where it is unset
+    a local session gets a fresh temporary folder, and a cluster an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     context = None
@@ -103,6 +103,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and context is not None:
         configured = context.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if context is not None and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if context is not None and context.getCheckpointDir() is None:
