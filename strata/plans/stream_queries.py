@@ -17,13 +17,17 @@ from strata.plans import derive as D
 from strata.plans.mart_queries import (
     _LOGS_SQL,
     FAILURE_WINDOW_SECONDS,
+    LATE_SQL,
+    LATENESS_SECONDS,
     PERCENTILE_COLUMNS,
+    SESSION_GAP_SECONDS,
     round_columns,
+    status_arrivals,
 )
 from strata.plans.registry import ORACLE_SQL, register
 from strata.schemas import CLICKSTREAM_SCHEMA
 from strata.session import scratch_path
-from strata.sources.tables import stream_table
+from strata.sources.tables import read_table, stream_table
 from strata.streaming import bronze as B
 from strata.streaming import runner
 from strata.streaming import stateful as ST
@@ -33,10 +37,12 @@ WATERMARK = "1 hour"
 
 @register("stream_json_parse", sql=ORACLE_SQL["json_parse"])
 def q_stream_json_parse(spark, sf_dir):
-    """P1-P2 on a file stream of events, appended to parquet."""
+    """P1-P2, K1 on a file stream of events, appended to parquet."""
     raw = D.clickstream_json(stream_table(spark, sf_dir, "events")).withColumnRenamed("event_id", "src_id")
-    return runner.run_available(P.parse_json_columns(raw, CLICKSTREAM_SCHEMA, keep=("src_id",)),
-                                spark, "stream_json_parse")
+    base = scratch_path(spark, "stream_json_parse")
+    B.append_stream(P.parse_json_columns(raw, CLICKSTREAM_SCHEMA, keep=("src_id",)), f"{base}/checkpoint",
+                    path=f"{base}/data", trigger={"availableNow": True}).awaitTermination()
+    return spark.read.parquet(f"{base}/data")
 
 
 @register("stream_log_parse", sql=ORACLE_SQL["log_parse"])
@@ -60,25 +66,24 @@ def q_stream_dedup_events(spark, sf_dir):
 def q_stream_product_activity_window(spark, sf_dir):
     """B3 (stream): sliding-window counts with a watermark.
 
-    The stream keeps one state row per (window, product, user), spread by
-    hash and dropped once the watermark passes the window, and writes its
-    updates to an idempotent upsert log; distinct users, totals and the
+    The stream keeps one state row per (slide, product, user), spread by
+    hash and dropped once the watermark passes the slide, and writes its
+    updates to an idempotent upsert log; windows, distinct users and the
     top 3 per window are aggregated when the log's state is read. No set of
     users is ever collected into one state row.
     """
     events = stream_table(spark, sf_dir, "events").withColumn(
         "product_id", F.get_json_object("props", "$.k").cast("int"))
     per_user = ST.windowed_counts(
-        events, "ts", WATERMARK, "5 minutes", "1 minute", [F.col("product_id"), F.col("user_id")],
+        events, "ts", WATERMARK, "1 minute", None, [F.col("product_id"), F.col("user_id")],
         [F.count(F.lit(1)).alias("interactions"),
          F.count(F.when(F.col("event_type") == "purchase", True)).alias("purchases")])
     base = scratch_path(spark, "stream_product_activity_window")
     ST.upsert_log(per_user, f"{base}/log", f"{base}/checkpoint").awaitTermination()
     state = ST.read_upsert_log(spark, f"{base}/log", ["window_start", "window_end", "product_id", "user_id"])
-    counts = state.groupBy("window_start", "window_end", "product_id").agg(
-        F.sum("interactions").alias("interactions"), F.sum("purchases").alias("purchases"),
-        F.count(F.lit(1)).alias("users"))
-    return M.top_per_window(counts, 3)
+    slides = state.select("product_id", F.pmod(F.hash("user_id"), F.lit(16)).alias("_user_salt"), "user_id",
+                          F.col("window_start").alias("slide_start"), "interactions", "purchases")
+    return M.activity_windows(slides, "5 minutes", "1 minute", 3)
 
 
 @register("stream_service_health", sql=ORACLE_SQL["service_health"])
@@ -94,15 +99,14 @@ def q_stream_service_health(spark, sf_dir):
         [F.count(F.lit(1)).alias("requests"),
          F.count(F.when(status >= 500, True)).alias("errors_5xx"),
          F.count(F.when(status == 504, True)).alias("timeouts_504"),
-         F.percentile("latency_ms", 0.5).alias("p50_latency_ms"),
-         F.percentile("latency_ms", 0.95).alias("p95_latency_ms"),
-         F.percentile("latency_ms", 0.99).alias("p99_latency_ms")])
+         M.percentiles("latency_ms", 0.5, 0.95, 0.99).alias("_p")])
     base = scratch_path(spark, "stream_service_health")
     ST.upsert_log(counts, f"{base}/log", f"{base}/checkpoint").awaitTermination()
     state = ST.read_upsert_log(spark, f"{base}/log", ["service", "window_start"])
     out = state.select("service", "window_start", "requests", "errors_5xx",
                        (F.col("errors_5xx") / F.col("requests")).alias("error_share"), "timeouts_504",
-                       "p50_latency_ms", "p95_latency_ms", "p99_latency_ms")
+                       F.col("_p")[0].alias("p50_latency_ms"), F.col("_p")[1].alias("p95_latency_ms"),
+                       F.col("_p")[2].alias("p99_latency_ms"))
     return round_columns(out, PERCENTILE_COLUMNS)
 
 
@@ -111,10 +115,15 @@ def q_stream_current_state(spark, sf_dir):
     """B11 (stream): the latest event per user kept as streaming aggregate
     state (one row per key: the state is the current-state table itself),
     emitted in update mode to an idempotent upsert log."""
-    events = stream_table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
-    latest = events.groupBy("user_id").agg(F.max(F.struct("ts", "event_id", "event_type", "value")).alias("r"))
+    events = runner.Arrivals(spark, "stream_current_state", read_table(
+        spark, sf_dir, "events", "user_id", "ts", "event_id", "event_type", "value"), F.col("event_id") % 3, 3)
     base = scratch_path(spark, "stream_current_state")
-    ST.upsert_log(latest, f"{base}/log", f"{base}/checkpoint").awaitTermination()
+
+    def start(changes):
+        latest = changes.groupBy("user_id").agg(F.max(F.struct("ts", "event_id", "event_type", "value")).alias("r"))
+        return ST.upsert_log(latest, f"{base}/log", f"{base}/checkpoint")
+
+    runner.run_in_arrivals([events], start)
     state = ST.read_upsert_log(spark, f"{base}/log", ["user_id"])
     return state.select("user_id", "r.ts", "r.event_id", "r.event_type", "r.value")
 
@@ -142,13 +151,16 @@ def q_stream_purchases_near_failures(spark, sf_dir):
 
 @register("stream_reconcile_report", sql=ORACLE_SQL["reconcile_report"])
 def q_stream_reconcile_report(spark, sf_dir):
-    """E5 (stream): the flagship report kept up to date incrementally: order
-    and line-item streams update per-key counts (update mode, idempotent
-    upsert log); the report is aggregated from the current state."""
-    counts = ST.reconcile_counts_stream(stream_table(spark, sf_dir, "orders"), stream_table(spark, sf_dir, "lineitem"),
-                                        "o_orderkey", "l_orderkey")
+    """E5 (stream): the flagship report kept up to date incrementally: the
+    counts of every micro-batch of orders and line items are appended to a
+    log; the report sums it. Orders and line items arrive in three batches."""
+    orders = runner.Arrivals(spark, "stream_reconcile_orders", read_table(spark, sf_dir, "orders", "o_orderkey"),
+                             F.pmod(F.col("o_orderkey"), F.lit(3)), 3)
+    lines = runner.Arrivals(spark, "stream_reconcile_lines", read_table(
+        spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber"), F.col("l_linenumber") % 3, 3)
     base = scratch_path(spark, "stream_reconcile_report")
-    ST.upsert_log(counts, f"{base}/log", f"{base}/checkpoint").awaitTermination()
+    runner.run_in_arrivals([orders, lines], lambda o, s: ST.count_log(
+        ST.reconcile_rows(o, s, "o_orderkey", "l_orderkey"), f"{base}/log", f"{base}/checkpoint"))
     return ST.reconcile_report_from_log(spark, f"{base}/log")
 
 
@@ -164,3 +176,49 @@ def q_stream_validate_errors(spark, sf_dir):
     bad = spark.read.parquet(f"{base}/quarantine")
     return bad.select("src_id", "error", F.size("errors").alias("n_errors"))
 
+
+
+@register("stream_late_updates", sql=LATE_SQL)
+def q_stream_late_updates(spark, sf_dir):
+    """B7 (stream): every arrival is a micro-batch; updates more than two days
+    behind the newest of all earlier batches go to the late table."""
+    updates = status_arrivals(read_table(spark, sf_dir, "events", "user_id", "ts", "event_id", "event_type"))
+    batches = updates.agg(F.max("arrival")).first()[0]
+    arrivals = runner.Arrivals(spark, "stream_late_updates", updates, F.col("arrival"), (batches or 0) + 1)
+    base = scratch_path(spark, "stream_late_updates")
+    runner.run_in_arrivals([arrivals], lambda stream: ST.late_router(
+        stream, "ts", LATENESS_SECONDS, f"{base}/on_time", f"{base}/late", f"{base}/marks", f"{base}/checkpoint"))
+    on_time = spark.read.parquet(f"{base}/on_time").drop("batch_id").withColumn("late", F.lit(False))
+    return on_time.unionByName(spark.read.parquet(f"{base}/late").drop("batch_id").withColumn("late", F.lit(True)))
+
+
+@register("stream_sessions", sql=f"""
+WITH f AS (
+  SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR epoch_us(ts) - epoch_us(lag(ts) OVER w) >= {SESSION_GAP_SECONDS}000000
+                 THEN 1 ELSE 0 END AS starts
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+s AS (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS n FROM f)
+SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, CAST(count(*) AS BIGINT) AS events,
+       CAST(count(*) FILTER (WHERE event_type = 'purchase') AS BIGINT) AS purchases
+FROM s GROUP BY user_id, n
+""")
+def q_stream_sessions(spark, sf_dir):
+    """B9 (stream): sessions in append mode over three arrivals in event-time
+    order. A closing event far ahead moves the watermark past the last
+    session; its own session, of no user, is never closed."""
+    events = read_table(spark, sf_dir, "events", "user_id", "ts", "event_id", "event_type")
+    closing = events.limit(1).select(F.lit(None).cast("bigint").alias("user_id"),
+                                     F.lit("2100-01-01 00:00:00").cast("timestamp_ntz").alias("ts"),
+                                     F.lit(None).cast("bigint").alias("event_id"), F.lit("close").alias("event_type"))
+    third = F.floor((F.dayofmonth("ts") - 1) / 11)
+    batch = F.when(F.col("event_type") == "close", 3).otherwise(F.least(third, F.lit(2)))
+    arrivals = runner.Arrivals(spark, "stream_sessions", events.unionByName(closing), batch, 4)
+    base = scratch_path(spark, "stream_sessions")
+
+    def start(stream):
+        purchases = F.count(F.when(F.col("event_type") == "purchase", True)).alias("purchases")
+        sessions = ST.sessions_stream(stream, ["user_id"], "ts", f"{SESSION_GAP_SECONDS} seconds", WATERMARK, [purchases])
+        return B.append_stream(sessions, f"{base}/checkpoint", path=f"{base}/data", trigger={"availableNow": True})
+
+    runner.run_in_arrivals([arrivals], start)
+    return spark.read.parquet(f"{base}/data").where(F.col("user_id").isNotNull())

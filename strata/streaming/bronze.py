@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions import parse as P
-from strata.functions.columns import ensure_parallelism
 from strata.schemas import bronze_ddl
 
 DEFAULT_TRIGGER = {"processingTime": "30 seconds"}
@@ -111,7 +110,7 @@ def validated_append(raw: DataFrame, source: str, out_path: str, quarantine_path
         # slots when it arrives as too few partitions); both writes validate
         # from the cache. Caching the parsed VARIANT frame instead ran out of
         # heap on small drivers, so the raw text is what is kept.
-        staged = ensure_parallelism(batch).persist()
+        staged = batch.persist()
         try:
             out = split_checked(checked_records(staged, source, column="value", keep=keep + ("value",)),
                                 source, keep + ("value",))

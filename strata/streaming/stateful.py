@@ -2,9 +2,8 @@
 B10, B11 and E5).
 
 Windowed, session, dedup and join operators carry a watermark, so their
-state is dropped once event time has moved past the bound; the per-key
-counts of the streaming reconciliation keep one row per key, which is the
-per-key table itself. Sinks that update earlier results are
+state is dropped once event time has moved past the bound; the streaming
+reconciliation keeps no state, it appends counts that add up. Sinks that update earlier results are
 ``foreachBatch`` writers keyed by ``batch_id``: a batch replayed after a
 failure overwrites its own output folder, so restarts are exactly-once.
 """
@@ -135,23 +134,21 @@ def late_router(df: DataFrame, ts: str, lateness_seconds: int, on_time_path: str
     def route(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         # The previous batch's mark already folds in every earlier one, so
-        # only its one-row file is read (no scan over all past batches).
+        # only its one-row file is read (no scan over all past batches). Only
+        # the first batch of a checkpoint has none; anything else that keeps
+        # the mark from being read is an error and stops the stream.
+        mark = None if batch_id == 0 else spark.read.parquet(_batch_dir(marks_path, batch_id - 1)).first()["hw"]
+        staged = batch.persist()
         try:
-            mark = spark.read.parquet(_batch_dir(marks_path, batch_id - 1)).first()["hw"] if batch_id > 0 else None
-        except Exception:  # noqa: BLE001 - the previous batch wrote no mark (e.g. fresh checkpoint)
-            mark = None
-        t_us = epoch_micros(batch, ts)
-        if mark is None:
-            late_cond = F.lit(False)
-        else:
-            late_cond = t_us < F.lit(mark) - F.lit(lateness_seconds * 1_000_000)
-        flagged = batch.withColumn("_late", F.coalesce(late_cond, F.lit(False)))
-        flagged.where(~F.col("_late")).drop("_late").write.mode("overwrite").parquet(
-            _batch_dir(on_time_path, batch_id))
-        flagged.where(F.col("_late")).drop("_late").write.mode("overwrite").parquet(
-            _batch_dir(late_path, batch_id))
-        hw = batch.agg(F.max(t_us).alias("hw")).first()["hw"]
-        hw = max(x for x in (hw, mark) if x is not None) if (hw is not None or mark is not None) else None
+            t_us = epoch_micros(staged, ts)
+            late_cond = F.lit(False) if mark is None else t_us < F.lit(mark) - F.lit(lateness_seconds * 1_000_000)
+            late = F.coalesce(late_cond, F.lit(False))
+            staged.where(~late).write.mode("overwrite").parquet(_batch_dir(on_time_path, batch_id))
+            staged.where(late).write.mode("overwrite").parquet(_batch_dir(late_path, batch_id))
+            hw = staged.agg(F.max(t_us).alias("hw")).first()["hw"]
+        finally:
+            staged.unpersist()
+        hw = max((x for x in (hw, mark) if x is not None), default=None)
         spark.createDataFrame([(hw,)], "hw bigint").write.mode("overwrite").parquet(
             _batch_dir(marks_path, batch_id))
 
@@ -159,73 +156,72 @@ def late_router(df: DataFrame, ts: str, lateness_seconds: int, on_time_path: str
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def _interval_sides(left: DataFrame, left_ts: str, right: DataFrame, right_ts: str, seconds: int,
-                    left_delay: str, right_delay: str, bucket_seconds: int | None):
+# Salts that the left rows of a time bucket are dealt over.
+INTERVAL_SALTS = 8
+
+
+def interval_semi_join_stream(left: DataFrame, left_ts: str, right: DataFrame, right_ts: str, seconds: int,
+                              left_delay: str, right_delay: str, bucket_seconds: int | None = None,
+                              salts: int = INTERVAL_SALTS) -> DataFrame:
+    """B10 (stream): the left rows with at least one right row within
+    ``seconds`` (stream-stream left semi join); each left row is emitted at
+    most once, so the output is linear in the left stream.
+
+    Only whether a match exists matters, so the right stream is reduced to its
+    distinct times first. These few rows are copied to the neighbouring time
+    buckets and to every salt; the left rows of a bucket are dealt over the
+    salts. Both sides carry a watermark on a ``timestamp`` copy of their event
+    time (``timestamp_ntz`` is read as UTC), and the range condition lets
+    Spark drop join state once both watermarks pass it.
+    """
     width = bucket_seconds or max(seconds, 1)
     span = -(-seconds // width)  # neighbour buckets a match can fall in
     lw = left.withColumn("_lt", as_instant(left, left_ts)).withWatermark("_lt", left_delay)
-    lw = lw.withColumn("_lb", F.floor(F.unix_seconds("_lt") / width).cast("bigint"))
-    rw = right.withColumn("_rt", as_instant(right, right_ts)).withWatermark("_rt", right_delay)
+    lw = (lw.withColumn("_lb", F.floor(F.unix_seconds("_lt") / width).cast("bigint"))
+          .withColumn("_ls", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")))
+    times = (right.select(as_instant(right, right_ts).alias("_rt")).withWatermark("_rt", right_delay)
+             .dropDuplicatesWithinWatermark(["_rt"]))
     rb = F.floor(F.unix_seconds("_rt") / width).cast("bigint")
-    rw = rw.withColumn("_rb", F.explode(F.sequence(rb - F.lit(span), rb + F.lit(span))))
+    rw = times.select("_rt", F.explode(F.sequence(rb - F.lit(span), rb + F.lit(span))).alias("_rb"))
+    rw = rw.select("_rt", "_rb", F.explode(F.array(*[F.lit(i) for i in range(salts)])).alias("_rs"))
     bound = F.expr(f"INTERVAL {seconds} SECONDS")
-    cond = ((F.col("_lb") == F.col("_rb"))
+    cond = ((F.col("_lb") == F.col("_rb")) & (F.col("_ls") == F.col("_rs"))
             & (F.col("_rt") >= F.col("_lt") - bound) & (F.col("_rt") <= F.col("_lt") + bound))
-    return lw, rw, cond
+    return lw.join(rw, cond, "left_semi").drop("_lb", "_ls", "_lt")
+
 
+def reconcile_rows(orders: DataFrame, shipments: DataFrame, order_key: str, shipment_key: str,
+                   zero_is_missing: bool = True) -> DataFrame:
+    """E5 (stream): one row per order and per shipment with a present key, tagged for counting."""
+    from strata.functions.keys import comparable_key, truthy_key
+    o = orders.select(comparable_key(orders, order_key, shipments, shipment_key, zero_is_missing).alias("order_id"),
+                      F.lit(1).alias("_o"), F.lit(0).alias("_s"))
+    s = shipments.select(comparable_key(shipments, shipment_key, orders, order_key, zero_is_missing).alias("order_id"),
+                         F.lit(0).alias("_o"), F.lit(1).alias("_s"))
+    return o.unionByName(s.where(truthy_key(s, "order_id", zero_is_missing)))
 
-def interval_join_stream(left: DataFrame, left_ts: str, right: DataFrame, right_ts: str, seconds: int,
-                         left_delay: str, right_delay: str, bucket_seconds: int | None = None) -> DataFrame:
-    """B10 (stream): stream-stream inner join of rows within ``seconds``.
 
-    Both sides carry a watermark on a ``timestamp`` copy of their event time
-    (``timestamp_ntz`` is read as UTC); the equality on a time bucket (the
-    right side replicated into its neighbour buckets) gives the join an equi
-    key, and the range condition on the watermarked columns lets Spark drop
-    join state once both watermarks pass it. The output has one row per
-    matching pair, so it grows with the square of the event rate inside the
-    bound: use :func:`interval_semi_join_stream` when the question is
-    whether a match exists.
+def count_log(rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """E5 (stream): append each micro-batch's counts per key to ``<path>/batch_id=<n>``.
+
+    Counts add up, so the stream keeps no state at all; the report sums the
+    log when it is read. A replayed batch overwrites its own folder.
     """
-    lw, rw, cond = _interval_sides(left, left_ts, right, right_ts, seconds, left_delay, right_delay,
-                                   bucket_seconds)
-    return lw.join(rw, cond, "inner").drop("_lb", "_rb", "_lt", "_rt")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.groupBy("order_id").agg(F.sum("_o").cast("bigint").alias("n_orders"),
+                                               F.sum("_s").cast("bigint").alias("n_shipments"))
+        counts.write.mode("overwrite").parquet(_batch_dir(path, batch_id))
 
+    return (rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+            .trigger(**(trigger or {"availableNow": True})).start())
 
-def interval_semi_join_stream(left: DataFrame, left_ts: str, right: DataFrame, right_ts: str, seconds: int,
-                              left_delay: str, right_delay: str, bucket_seconds: int | None = None) -> DataFrame:
-    """B10 (stream): the left rows with at least one right row within
-    ``seconds`` (stream-stream left semi join); each left row is emitted at
-    most once, so the output is linear in the left stream. State on both
-    sides is bounded by the watermarks as in :func:`interval_join_stream`."""
-    lw, rw, cond = _interval_sides(left, left_ts, right, right_ts, seconds, left_delay, right_delay,
-                                   bucket_seconds)
-    return lw.join(rw, cond, "left_semi").drop("_lb", "_lt")
-
-
-def reconcile_counts_stream(orders: DataFrame, shipments: DataFrame, order_key: str, shipment_key: str,
-                            zero_is_missing: bool = True) -> DataFrame:
-    """E5 (stream): running per-key order and shipment row counts from two
-    streams, as update-mode aggregate state (one row per key: the state is
-    the per-key table itself). Feed it to :func:`upsert_log` and read the
-    report with :func:`reconcile_report_from_log`."""
-    from strata.functions.keys import common_key_type, truthy_key
-    ktype = common_key_type(orders, order_key, shipments, shipment_key)
-    o = orders.select(F.col(order_key).cast(ktype).alias("order_id"), F.lit(1).alias("_o"), F.lit(0).alias("_s"))
-    s = shipments.select(F.col(shipment_key).cast(ktype).alias("order_id"), F.lit(0).alias("_o"),
-                         F.lit(1).alias("_s"))
-    s = s.where(truthy_key(s, "order_id", zero_is_missing))
-    return (o.unionByName(s).groupBy("order_id")
-            .agg(F.sum("_o").cast("bigint").alias("n_orders"), F.sum("_s").cast("bigint").alias("n_shipments")))
-
-
-def reconcile_report_from_log(spark, path: str, zero_is_missing: bool = True,
-                              snapshot: str | None = None) -> DataFrame:
-    """The reconciliation report of the current state of an upsert log
-    written from :func:`reconcile_counts_stream`."""
+
+def reconcile_report_from_log(spark, path: str, zero_is_missing: bool = True) -> DataFrame:
+    """The reconciliation report of all counts that :func:`count_log` wrote."""
     from strata.functions.keys import truthy_key
     from strata.operators.reconcile import report_from_counts
-    state = read_upsert_log(spark, path, ["order_id"], snapshot=snapshot)
+    state = spark.read.parquet(path).groupBy("order_id").agg(
+        F.sum("n_orders").alias("n_orders"), F.sum("n_shipments").alias("n_shipments"))
     counts = state.select("order_id",
                           F.when(F.col("n_orders") > 0, F.col("n_orders")).alias("n_orders"),
                           F.when(F.col("n_shipments") > 0, F.col("n_shipments")).alias("n_shipments"))
