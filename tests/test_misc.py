@@ -111,16 +111,6 @@ def test_top_per_window_salted_is_exact(spark):
     assert got == [(1, 1), (2, 2), (5, 3)]
 
 
-def test_broadcast_only_when_small(spark):
-    from strata.functions.joins import broadcast_if_small, estimated_bytes
-    small = spark.read.parquet("/root/testdata/sf0.001/nation.parquet")
-    assert 0 < estimated_bytes(small) < 10_000
-    plan = broadcast_if_small(small)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan.lower()
-    big = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
-    assert broadcast_if_small(big, limit_bytes=1_000) is big
-
-
 def test_sizing_conf():
     from strata.session import sizing_conf
     conf = sizing_conf(100 * 1024 ** 4, 8000)
@@ -155,13 +145,6 @@ def test_deduplicate_and_json_lines(spark, scratch):
     assert lines.count() == 2 and lines.first().path.endswith("sub/a.json")
 
 
-def test_flatten_entries_single_expression(spark):
-    from strata.functions import flatten as FL
-    df = spark.createDataFrame([('{"a":{"b":{"c":1}},"d":2}',)], "value string")
-    row = df.select(FL.last_wins(FL.flatten_entries(F.parse_json("value"), depth=3)).alias("e")).first()
-    assert sorted((x.key, x.value.toPython()) for x in row.e) == [("a_b_c", 1), ("d", 2)]
-
-
 def test_kafka_source_needs_its_connector(spark):
     import pytest
     from strata.streaming import bronze as B
@@ -232,3 +215,53 @@ def test_session_conf_layers():
     assert conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 * 1024 * 1024)
     assert conf["spark.sql.adaptive.enabled"] == "true"
     assert "spark.sql.files.maxPartitionBytes" in session_conf()
+
+
+def test_keys_compare_exactly_and_by_type(spark):
+    from strata.operators import reconcile as R
+    big = 2 ** 53
+    orders = spark.createDataFrame([(big,), (big + 1,)], "order_id bigint")
+    ships = spark.createDataFrame([(str(big),), (str(big + 1),)], "k string").selectExpr("cast(k as decimal(20,0)) order_id")
+    r = R.reconcile_report(orders, ships).first()
+    assert (r.unique_orders, r.duplicate_orders, r.matched_unique_orders) == (2, 0, 2)
+    numbers = spark.createDataFrame([(1,), (2,), (0,)], "order_id int")
+    texts = spark.createDataFrame([("1",), ("x",), ("",)], "order_id string")
+    r = R.reconcile(numbers, texts)
+    assert (r.report.first().matched_orders, r.report.first().total_orders, r.report.first().unique_orders) == (0, 3, 2)
+    assert sorted(x.order_id for x in r.orphans.collect()) == ['"1"', '"x"']
+    assert sorted(x.order_id for x in R.missing_shipments(numbers, texts).collect()) == ["1", "2"]
+    assert R.matched_orders(numbers, texts).count() == 0
+
+
+def test_no_job_runs_before_the_action(spark):
+    from strata.plans import QUERIES
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "plan-only")
+    try:
+        QUERIES["flatten_ragged"](spark, "/root/testdata/sf0.001")
+        QUERIES["product_activity_window"](spark, "/root/testdata/sf0.001")
+        jobs = [j for j in tracker.getJobIdsForGroup("plan-only")]
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    # Reading a parquet footer is the only thing that may run.
+    assert all(tracker.getJobInfo(j) is None or len(tracker.getJobInfo(j).stageIds) == 1 for j in jobs)
+
+
+def test_payment_is_needed_to_leave_placed(spark):
+    rows = [(1, 1, "PLACED", "PENDING"), (1, 2, "SHIPPED", "PENDING"), (2, 1, "PLACED", "PENDING"), (2, 2, "PLACED", "PAID"),
+            (2, 3, "SHIPPED", "PAID"), (3, 1, "PLACED", "PAID"), (3, 2, "DELIVERED", "PAID"), (4, 1, "PLACED", None),
+            (4, 2, "CANCELLED", None)]
+    df = spark.createDataFrame(rows, "o int, n int, status string, pay string").withColumn(
+        "ts", F.timestamp_seconds("n").cast("timestamp_ntz"))
+    from strata import schemas as S
+    from strata.operators import keyed as K
+    bad = K.transition_violations(df, ["o"], "ts", ["n"], "status", S.ORDER_TRANSITIONS, needs={"PLACED": F.col("pay") == "PAID"})
+    assert sorted((r.o, r.n) for r in bad.collect()) == [(1, 2), (3, 2), (4, 2)]
+
+
+def test_bare_log_lines_that_are_json_values(spark):
+    from strata.operators import contracts as C
+    lines = ["12345", "true", "null", '"text"', "plain text", "[1]", '{"message":"m"}']
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = [r.message for r in C.validate(df, "server_logs").valid.collect()]
+    assert got == ["12345", "true", "null", "text", "plain text", "[1]", "m"]

@@ -27,6 +27,19 @@ def test_hot_key_split_across_partitions(spark):
     assert parts > 1
 
 
+def test_a_key_busy_on_one_day_is_split(spark):
+    day = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 97 + 1).alias("user_id"),
+        F.timestamp_seconds(F.lit(1_700_006_400) + F.col("id") * 2).cast("timestamp_ntz").alias("ts"))
+    staged = S.stage(day, ["user_id"], S.time_bucket(day, "ts", S.BUCKET_SECONDS))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = staged.where("user_id = 0").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(rows) > 3 and max(r["count"] for r in rows) < 6_000
+
+
 def test_hot_key_lead_matches_plain_window(spark):
     ev = _events(spark)
     got = K.scd2_history(ev, ["user_id"], "ts", ["event_id"], bucket_seconds=3_600)

@@ -75,21 +75,6 @@ def test_late_router(spark, scratch):
     assert spark.read.parquet(f"{scratch}/on").count() == 2
 
 
-def test_interval_join_stream_equals_batch(spark, scratch):
-    a, b = f"{scratch}/a", f"{scratch}/b"
-    _write_lines(a, "a.json", [json.dumps({"id": i, "ts": f"2026-06-11T10:{i:02d}:00Z"}) for i in range(0, 50, 7)])
-    _write_lines(b, "b.json", [json.dumps({"fid": i, "fts": f"2026-06-11T10:{i:02d}:30Z"}) for i in range(0, 50, 3)])
-    left = spark.readStream.format("json").schema("id int, ts timestamp").load(a)
-    right = spark.readStream.format("json").schema("fid int, fts timestamp").load(b)
-    joined = ST.interval_join_stream(left, "ts", right, "fts", 120, "10 minutes", "10 minutes")
-    from strata.streaming.runner import run_available
-    got = sorted((r.id, r.fid) for r in run_available(joined, spark, "ij").collect())
-    lb = spark.read.schema("id int, ts timestamp").json(a)
-    rb = spark.read.schema("fid int, fts timestamp").json(b)
-    exp = lb.join(rb, (F.abs(F.unix_seconds("ts") - F.unix_seconds("fts")) <= 120))
-    assert got == sorted((r.id, r.fid) for r in exp.collect()) and got
-
-
 def test_validated_append_quarantines(spark, scratch):
     src = f"{scratch}/v"
     _write_lines(src, "a.json", [_click(1), json.dumps({"event_id": "e-2", "event_type": "view"}), "[1]"])
@@ -173,8 +158,8 @@ def test_stream_reconcile_matches_batch(spark, scratch):
     _write_lines(s_dir, "2.json", [json.dumps({"order_id": k}) for k in ["o-3", "o-9", ""]])
     read = lambda d: spark.readStream.format("json").schema("order_id string").option(
         "maxFilesPerTrigger", 1).load(d)
-    counts = ST.reconcile_counts_stream(read(o_dir), read(s_dir), "order_id", "order_id")
-    ST.upsert_log(counts, f"{scratch}/rlog", f"{scratch}/rck").awaitTermination()
+    rows = ST.reconcile_rows(read(o_dir), read(s_dir), "order_id", "order_id")
+    ST.count_log(rows, f"{scratch}/rlog", f"{scratch}/rck").awaitTermination()
     got = ST.reconcile_report_from_log(spark, f"{scratch}/rlog").first().asDict()
     batch = lambda d: spark.read.schema("order_id string").json(d)
     exp = R.reconcile_report(batch(o_dir), batch(s_dir)).first().asDict()
@@ -253,3 +238,28 @@ def test_run_bronze_streams_to_paths(spark, scratch):
     assert spark.read.parquet(f"{scratch}/pout/clicks").count() == 2
     row = spark.read.parquet(f"{scratch}/pout/logs").first()
     assert (row.status_code, row.latency_ms, row._ingested_at is not None) == (504, 2999, True)
+
+
+def test_late_router_needs_the_mark_of_the_batch_before(spark, scratch):
+    import os
+
+    import pytest
+    src = f"{scratch}/ship2"
+    _write_lines(src, "1.json", [json.dumps({"order_id": 1, "status": "shipped", "ts": "2026-06-11T10:00:00Z"})])
+    raw = spark.readStream.format("json").schema("order_id int, status string, ts timestamp").load(src)
+
+    def run():
+        ST.late_router(raw, "ts", 3600, f"{scratch}/on2", f"{scratch}/late2", f"{scratch}/marks2",
+                       f"{scratch}/ck2").awaitTermination()
+
+    run()
+    marks = f"{scratch}/marks2/batch_id=0"
+    for name in os.listdir(marks):
+        if name.endswith(".parquet"):
+            with open(f"{marks}/{name}", "wb") as fh:
+                fh.write(b"not parquet")
+        elif name.endswith(".crc"):
+            os.remove(f"{marks}/{name}")
+    _write_lines(src, "2.json", [json.dumps({"order_id": 1, "status": "late", "ts": "2026-06-11T01:00:00Z"})])
+    with pytest.raises(Exception):
+        run()
