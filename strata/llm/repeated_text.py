@@ -5,9 +5,12 @@ anywhere else too. The steps are those of a distributed difference-cover
 suffix sort, cut down to what a comparison of ``min_length`` bytes needs:
 
 1. **Sample.** Some positions of each text are sampled so that any two equal
-   strings of ``min_length`` bytes hold a sample at the same offset: the least
-   hashes of all windows of ``w`` positions. (A fixed difference cover has
-   this property for every pair of positions, at six times as many samples.)
+   strings of ``min_length`` bytes hold a sample at the same offset. With
+   ``sampling="cover"`` these are the positions whose remainder modulo v lies
+   in a difference cover, which holds for every pair of positions. With
+   ``sampling="least"`` they are the least hashes of all windows of ``w``
+   positions, which holds for equal strings only, all that is asked here, and
+   takes a sixth of the samples.
 2. **Name.** Every sample is named by the bytes around it, samples are sorted
    by name, and neighbours compared. A name found once ends the matter: no
    string through that sample repeats. If the whole stretch that a sample
@@ -44,6 +47,11 @@ GROUP = 4096
 @dataclass(frozen=True)
 class RepeatParams:
     min_length: int = 400
+    sampling: str = "least"
+
+    def __post_init__(self):
+        if self.sampling not in ("least", "cover"):
+            raise ValueError(f"unknown sampling: {self.sampling}")
 
     @property
     def window(self) -> int:
@@ -55,12 +63,29 @@ class RepeatParams:
 
     @property
     def reach(self) -> tuple[int, int]:
-        """Least and greatest distance from a start to the sample that answers for it."""
+        """Least and greatest distance from a start to a sample that answers for it."""
+        if self.sampling == "cover":
+            return 0, difference_cover(self.min_length // 2)[0] - 1
         return self.window - 1, 2 * self.window - 2
 
 
 # --- samples ----------------------------------------------------------------------------------
 
+def difference_cover(most: int) -> tuple[int, list[int]]:
+    """(v, D): for any i and j some d < v has (i + d) and (j + d) modulo v in D; v is at most ``most``.
+
+    The covers of Colbourn and Ling: v = 24 r^2 + 36 r + 13 with 6 r + 4 members.
+    """
+    r = 0
+    while 24 * (r + 1) ** 2 + 36 * (r + 1) + 13 <= most:
+        r += 1
+    v = 24 * r * r + 36 * r + 13
+    if v > most:
+        raise ValueError("min_length is too short for a difference cover")
+    steps = [1] * r + [r + 1] + [2 * r + 1] * r + [4 * r + 3] * (2 * r + 1) + [2 * r + 2] * (r + 1) + [1] * r
+    return v, [0, *np.cumsum(steps).tolist()]
+
+
 def _grams(data: bytes) -> np.ndarray:
     """A 64-bit hash of the GRAM bytes at every position."""
     n = len(data) - GRAM + 1
@@ -75,11 +100,16 @@ def _grams(data: bytes) -> np.ndarray:
 
 
 def samples(data: bytes, params: RepeatParams) -> np.ndarray:
-    """Positions that are least in some window; ties all count.
+    """The sampled positions of a text.
 
+    Least positions: those that are least in some window; ties all count.
     Whether a position is sampled depends on the bytes of the windows that
     hold it, so equal strings agree on the samples deep enough inside them.
     """
+    if params.sampling == "cover":
+        v, members = difference_cover(params.min_length // 2)
+        near_bytes = params.min_length - v + 1
+        return np.flatnonzero(np.isin(np.arange(max(0, len(data) - near_bytes + 1)) % v, members))
     w = params.window
     h = _grams(data)
     if len(h) < w:
@@ -100,9 +130,12 @@ def samples(data: bytes, params: RepeatParams) -> np.ndarray:
 def _sample_rows(data: bytes, params: RepeatParams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(sample, first start, last start) of all samples that answer for a start."""
     length = params.min_length
-    near, _ = params.reach
+    near, far = params.reach
     at = samples(data, params)
-    first = np.maximum(np.concatenate(([-1], at[:-1])) - near + 1, 0)
+    if params.sampling == "cover":
+        first = np.maximum(at - far, 0)
+    else:  # a start has one sample: the next one deep enough
+        first = np.maximum(np.concatenate(([-1], at[:-1])) - near + 1, 0)
     last = np.minimum(at - near, len(data) - length)
     some = first <= last
     return at[some], first[some], last[some]

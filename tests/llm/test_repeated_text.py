@@ -47,13 +47,14 @@ def corpus(seed, length):
     return texts
 
 
-@pytest.mark.parametrize("length,seed", [(400, 1), (100, 2), (64, 3)])
-def test_matches_all_strings(spark, length, seed):
+@pytest.mark.parametrize("length,seed,sampling", [(400, 1, "least"), (100, 2, "least"), (64, 3, "least"), (400, 4, "cover"),
+                                                  (64, 5, "cover")])
+def test_matches_all_strings(spark, length, seed, sampling):
     texts = corpus(seed, length)
     rows = [(i * 2 + 1, t, "clash") for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_spans string").repartition(5)
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
-           for r in remove_repeats(docs, RepeatParams(length)).collect()}
+           for r in remove_repeats(docs, RepeatParams(length, sampling)).collect()}
     want = dict(zip((r[0] for r in rows), brute(texts, length)))
     assert got == want
     assert sum(v[1] for v in want.values()) > 0
@@ -78,6 +79,14 @@ def test_every_way_of_comparing_starts_agrees(spark, monkeypatch, pairs, group):
     assert got == dict(enumerate(brute(texts, 100)))
 
 
+@pytest.mark.parametrize("most", [13, 60, 73, 200, 400])
+def test_difference_covers_cover(most):
+    v, members = R.difference_cover(most)
+    assert v <= most
+    assert all(any((i + d) % v in members and (j + d) % v in members for d in range(v))
+               for i in range(0, v, 5) for j in range(v))
+
+
 def test_samples_agree_inside_equal_strings():
     params = RepeatParams(100)
     rng = np.random.default_rng(0)
