@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from typing import BinaryIO
 
@@ -55,6 +56,8 @@ def _pack(values: np.ndarray, width: int) -> bytes:
     """The low ``width`` bits of each value, lowest bit first."""
     if width == 0:
         return b""
+    if width == 16:
+        return values.astype("<u2").tobytes()
     bits = np.unpackbits(values.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
     return np.packbits(bits.reshape(-1), bitorder="little").tobytes()
 
@@ -62,6 +65,8 @@ def _pack(values: np.ndarray, width: int) -> bytes:
 def _unpack(data: bytes, count: int, width: int) -> np.ndarray:
     if width == 0:
         return np.zeros(count, dtype=np.uint32)
+    if width == 16:
+        return np.frombuffer(data, dtype="<u2", count=count).astype(np.uint32)
     bits = np.unpackbits(np.frombuffer(data, dtype=np.uint8), count=count * width, bitorder="little")
     wide = np.zeros((count, 32), dtype=np.uint8)
     wide[:, :width] = bits.reshape(count, width)
@@ -190,62 +195,117 @@ class TokenFile:
 # --- tokens -----------------------------------------------------------------------------------
 
 # A space between two characters that are no white space always begins a new word of a byte-level
-# vocabulary, so a text may be cut there and its chunks encoded once each.
+# vocabulary, and a line break there is a word of its own. So texts can be cut there, and as words
+# repeat, most pieces are looked up.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_UNSAFE = re.compile(r"\s |  |^ | $| \s")
-CACHE_CHUNKS = 300_000
-CACHE_CHUNK_CHARS = 64
+# Pieces kept per worker; a full cache is emptied, which costs time but never changes a result.
+CACHE_WORDS = 1_000_000
+CACHE_WORD_CHARS = 40
+_MARKS = ".,;:!?"
+# Letters below this are letters to every version of Unicode.
+_OLD_LETTERS = "\u0250"
+
+
+def byte_alphabet() -> dict[int, str]:
+    """Byte to character as byte-level vocabularies write it: printable bytes
+    stand for themselves, the others take the characters from 256 on in turn."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+def _plain(word: str) -> bool:
+    """Letters only, and ones that all Unicode versions agree on."""
+    return word.isalpha() and max(word) < _OLD_LETTERS
 _ENCODERS: dict[str, ByteEncoder] = {}
 
 
+class _Unsafe(Exception):
+    """A text has white space that the quick cut does not know."""
+
+
+class _Words(dict):
+    """Ids (as bytes) of words with a fixed lead, encoded on first sight.
+
+    A word may begin with a line break, which is then a word of its own; any
+    other white space in it raises :class:`_Unsafe`.
+    """
+
+    def __init__(self, encode, letters, lead: str):
+        super().__init__()
+        self.encode, self.letters, self.lead = encode, letters, lead
+        self.marks = {m: encode(m) for m in _MARKS}
+        self.line_break = encode("\n")
+
+    def __missing__(self, word: str) -> bytes:
+        broken = word.startswith("\n")
+        body = word[1:] if broken else word
+        if body.split() != [body]:
+            raise _Unsafe
+        if body[-1] in self.marks and _plain(body[:-1]):
+            # Letters and a closing mark are two words of the vocabulary's pattern.
+            ids = self[word[:-1]] + self.marks[body[-1]]
+        else:
+            # Letters with the space before them are one.
+            encode = self.letters if _plain(body) else self.encode
+            ids = self.line_break + encode(body) if broken else encode(self.lead + body)
+        if len(word) <= CACHE_WORD_CHARS:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class ByteEncoder:
-    """Ids of a byte-level vocabulary by the tokenizers library, chunk by chunk.
+    """Ids of a byte-level vocabulary by the tokenizers library, word by word.
 
-    Every distinct chunk goes through the library's own pre-tokeniser and
+    Every distinct piece goes through the library's own pre-tokeniser and
     model. Files whose normaliser, pre-tokeniser or added tokens do not allow
-    cutting at spaces are encoded whole by ``encode_batch``.
+    cutting are encoded whole by the library's ``encode``.
     """
 
     def __init__(self, path: str):
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        probe = "It's a  test,\nof words; naïve 12 x"
-        whole = self.tokenizer.encode(probe, add_special_tokens=False).ids
+        self.alphabet = byte_alphabet()
+        self.words = _Words(self._piece, self._letters, " ")
+        probe = "It's a  test,\nof words; naïve\n12 x"
         self.cuts = (self.tokenizer.normalizer is None
                      and type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel"
-                     and self._chunk(probe).tolist() == whole
-                     and not getattr(self.tokenizer.pre_tokenizer, "add_prefix_space", True))
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+                     and not getattr(self.tokenizer.pre_tokenizer, "add_prefix_space", True)
+                     and all(self._cut(t) == array("I", self._whole(t)).tobytes() for t in (probe, probe.replace("  ", " "))))
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _chunk(self, text: str) -> np.ndarray:
-        model = self.tokenizer.model
-        ids = [t.id for word, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text) for t in model.tokenize(word)]
-        return np.array(ids, dtype=np.uint32)
+    def _piece(self, text: str) -> bytes:
+        tokenize = self.tokenizer.model.tokenize
+        words = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
+        return array("I", [t.id for word, _ in words for t in tokenize(word)]).tobytes()
+
+    def _letters(self, word: str) -> bytes:
+        """Ids of one word of the pre-tokeniser, spelt in the vocabulary's alphabet."""
+        spelt = word.encode().decode("latin-1").translate(self.alphabet)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(spelt)]).tobytes()
+
+    def _cut(self, text: str) -> bytes:
+        # A break within a line of words stays with the word that follows it.
+        words = text.replace("\n", " \n").split(" ")
+        try:
+            # Single spaces and line breaks part the words, and there is no other white space.
+            return self._piece(words[0]) + b"".join(map(self.words.__getitem__, words[1:]))
+        except _Unsafe:
+            pieces = _CUT.split(text)
+            return b"".join([self._piece(pieces[0]), *(self._piece(" " + p) if p.split() != [p] else self.words[p]
+                                                       for p in pieces[1:])])
 
     def encode(self, text: str) -> np.ndarray:
         """``encode(text, add_special_tokens=False).ids`` as an array."""
         if not text:
             return np.zeros(0, dtype=np.uint32)
         if not self.cuts or any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-        chunks = _CUT.split(text) if _UNSAFE.search(text) else text.split(" ")
-        later = self.later
-        if len(later) > CACHE_CHUNKS:
-            later.clear()
-        parts = [self._chunk(chunks[0]).tobytes()]
-        try:
-            parts += map(later.__getitem__, chunks[1:])
-        except KeyError:
-            parts = parts[:1]
-            for chunk in chunks[1:]:
-                ids = later.get(chunk)
-                if ids is None:
-                    ids = self._chunk(" " + chunk).tobytes()
-                    if len(chunk) <= CACHE_CHUNK_CHARS:
-                        later[chunk] = ids
-                parts.append(ids)
-        return np.frombuffer(b"".join(parts), dtype=np.uint32)
+            return np.array(self._whole(text), dtype=np.uint32)
+        return np.frombuffer(self._cut(text), dtype=np.uint32)
 
 
 def byte_encoder(path: str) -> ByteEncoder:
@@ -306,9 +366,10 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("part_first", F.coalesce(F.sum("part_ids").over(before), F.lit(0)))
-    return (manifest.withColumn("inside", F.coalesce(F.sum("ids").over(inside), F.lit(0)))
-            .join(parts, "part")
-            .select("path", (F.col("part_first") + F.col("inside")).alias("first_id"), "documents", "ids"))
+    ordered = (manifest.withColumn("inside", F.coalesce(F.sum("ids").over(inside), F.lit(0)))
+               .join(parts, "part")
+               .select("path", (F.col("part_first") + F.col("inside")).alias("first_id"), "documents", "ids"))
+    return materialise(spark, ordered, "token-files")
 
 
 _MANIFEST_DDL = "part int, number int, path string, documents bigint, ids bigint"
@@ -332,8 +393,9 @@ def read_tokens(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:
                            "n_tokens": [len(d) for d in documents],
                            "ids_crc32": [zlib.crc32(d.astype("<u4").tobytes()) for d in documents]}
 
-    # Files are dealt out one by one; a batch names a few paths, never their content.
-    dealt = manifest.select("path", "first_id").repartition(F.col("path"))
+    # A row names a file of many megabytes: every file is a task of its own.
+    files = manifest.select("path", "first_id")
+    dealt = files.repartitionByRange(max(1, files.count()), "first_id")
     return map_batches(dealt, read, f"`{id_col}` bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
