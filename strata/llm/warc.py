@@ -168,11 +168,13 @@ def read_records(index: DataFrame, payload: bool = False, read_bytes: int = READ
 
     Returns page_id, payload_bytes, payload_digest, record_type, refers_to and
     url, and the payload itself where ``payload`` asks for it. Every payload
-    read is checked against its digest. Rows are dealt by stretches of a file,
-    so a large archive is read by many tasks.
+    read is checked against its digest. A row of the index is small but stands
+    for its record, so tasks are dealt by the records' bytes: ranges of files
+    and offsets of about two reads each.
     """
-    stretch = F.floor(F.col("offset") / F.lit(8 * read_bytes))
-    dealt = (index.select("path", "offset", "length").repartition(F.col("path"), stretch)
+    chosen = index.select("path", "offset", "length")
+    total = chosen.agg(F.sum("length")).first()[0] or 0
+    dealt = (chosen.repartitionByRange(1 + total // (2 * read_bytes), "path", "offset")
              .sortWithinPartitions("path", "offset"))
     fields = [("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
               ("record_type", pa.string()), ("refers_to", pa.int64()), ("url", pa.string())]
