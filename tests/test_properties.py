@@ -250,8 +250,9 @@ def test_salted_top_k_matches_plain_rank(spark, rows, k, salts):
 
 
 def model_validate_any(rec, source, contract):
-    if source == "server_logs" and isinstance(rec, str):
-        rec = {"message": rec}
+    if source == "server_logs" and not isinstance(rec, dict):
+        # A text line that is no object is a bare message, as it was written.
+        rec = {"message": rec if isinstance(rec, str) else json.dumps(rec)}
     if isinstance(rec, dict) and source == "clickstream_events" and "ts" not in rec and "event_time" in rec:
         rec = {**rec, "ts": rec["event_time"]}
     return model_validate(rec, contract)
