@@ -25,7 +25,7 @@ WORDS = r"[^\x20\x09-\x0D]+"
 # Buckets that rows of one source and size are numbered in.
 BUCKETS = 64
 NEWTON_STEPS = 60
-# Rounds that move the documents whose size fits a source's remaining error best.
+# Rounds that first rate a source's small documents anew and then move the one document that fits best.
 CORRECTIONS = 3
 
 
@@ -66,12 +66,12 @@ def newton_multipliers(sources: DataFrame, steps: int = NEWTON_STEPS) -> DataFra
     """Adds ``lambda``: the minimum of the dual ``size * exp(lambda) - target * lambda`` per source.
 
     Gradient ``size * exp(lambda) - target``, curvature ``size * exp(lambda)``.
-    A step is cut to one unit down, where the dual is flat, so that steps from
-    zero converge for every ratio; null where the target or size is zero.
+    Steps are cut to one unit, so that they converge from zero for every ratio
+    within ``exp`` of their number; null where the target or size is zero.
     """
     ratio = F.col("target") / F.col("source_size")
     step = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.lit(0.0),
-                       lambda at, _: at - F.least(F.lit(1.0), F.lit(1.0) - ratio * F.exp(-at)))
+                       lambda at, _: at - F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.lit(1.0) - ratio * F.exp(-at))))
     return sources.withColumn("lambda", F.when((F.col("source_size") > 0) & (F.col("target") > 0), step))
 
 
@@ -108,16 +108,44 @@ def mix_sources(docs: DataFrame, weights: Sequence[float], cap: float = 3.0, id_
     known = sources.withColumnRenamed("source", "of")
     rated = placed.join(known, F.col("source").eqNullSafe(F.col("of"))).drop("of", "lambda")
     # Whole copies of the rate's whole part; one more for every step of the running sum of the rest.
-    whole = F.floor("rate")
-    part = F.col("rate") - whole
-    more = F.floor(part * F.col("rank") + 0.5) - F.floor(part * (F.col("rank") - 1) + 0.5)
-    mixed = materialise(spark, rated.withColumn("copies", (whole + more).cast("long")), "mix-copies")
+    mixed = materialise(spark, rated.withColumn("copies", _rounded(F.col("rate"), F.col("rank"))), "mix-copies")
     for _ in range(CORRECTIONS):
+        mixed = materialise(spark, _rated_anew(mixed, cap), "mix-copies")
         mixed = materialise(spark, _corrected(mixed, cap), "mix-copies")
     return mixed.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "rate",
                         "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def _rounded(rate: Column, rank: Column) -> Column:
+    """Whole copies for a rate: its whole part, and one more at every step of the running sum of the rest."""
+    part = rate - F.floor(rate)
+    return (F.floor(rate) + F.floor(part * rank + 0.5) - F.floor(part * (rank - 1) + 0.5)).cast("long")
+
+
+def _errors(mixed: DataFrame) -> DataFrame:
+    """(of, error): words that each source still lacks (or has too many of, below zero)."""
+    error = mixed.groupBy("source").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("error"))
+    return error.withColumnRenamed("source", "of")
+
+
+def _rated_anew(mixed: DataFrame, cap: float) -> DataFrame:
+    """Let a source's documents no larger than its error make up for it.
+
+    They get the rate that would, and are rounded anew; as they are the last in
+    rank, rounding leaves at most half the largest of them, so the error halves
+    at least wherever they have the words.
+    """
+    same = F.col("source").eqNullSafe(F.col("of"))
+    small = (F.col("size") > 0) & (F.col("size") <= F.abs("error"))
+    sums = (mixed.join(_errors(mixed), same).where(small).groupBy("of").agg(
+        F.first("error").alias("error"), F.sum("size").alias("words"), F.sum(F.col("copies") * F.col("size")).alias("taken")))
+    rates = sums.select("of", "error", F.greatest(F.lit(0.0), F.least(
+        F.lit(float(cap)), (F.col("taken") + F.col("error")) / F.col("words"))).alias("anew"))
+    return mixed.join(rates, same, "left").select(
+        *[c for c in mixed.columns if c != "copies"],
+        F.when(F.coalesce(small, F.lit(False)), _rounded(F.col("anew"), F.col("rank"))).otherwise(F.col("copies")).alias("copies"))
+
+
 def take_copies(docs: DataFrame, weights: Sequence[float], cap: float = 3.0, id_col: str = "doc_id",
                 text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with all their columns.
@@ -138,8 +166,7 @@ def take_copies(docs: DataFrame, weights: Sequence[float], cap: float = 3.0, id_
 
 def _corrected(mixed: DataFrame, cap: float) -> DataFrame:
     """Give or take one copy of the document whose size fits its source's error best, where that helps."""
-    error = mixed.groupBy("source").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("error"))
-    error = error.withColumnRenamed("source", "of")
+    error = _errors(mixed)
     same = F.col("source").eqNullSafe(F.col("of"))
     able = F.when(F.col("error") > 0, F.col("copies") + 1 <= F.lit(cap)).otherwise(F.col("copies") >= 1)
     miss = F.abs(F.abs("error") - F.col("size"))

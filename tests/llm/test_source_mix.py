@@ -50,13 +50,15 @@ def test_targets_and_copies(spark, sources):
     for _, text, source in rows:
         sizes[source] = sizes.get(source, 0) + len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
     want = brute_targets(sizes)
-    taken = dict.fromkeys(sizes, 0)
+    taken, largest = dict.fromkeys(sizes, 0), dict.fromkeys(sizes, 0)
     for r in got:
         assert r.source_size == sizes[r.source] and math.isclose(r.target, want[r.source], rel_tol=1e-9, abs_tol=1e-9)
         assert r.taken == r.copies * r.size and 0 <= r.copies <= 3
         taken[r.source] += r.taken
+        largest[r.source] = max(largest[r.source], r.size)
     for s, t in want.items():
-        assert abs(taken[s] - t) <= max(3, 0.02 * t), (s, taken[s], t)
+        # Whole copies of a document that is most of its source leave half of it; any other source comes near.
+        assert abs(taken[s] - t) <= (largest[s] / 2 if largest[s] > 0.2 * t else max(3, 0.02 * t)), (s, taken[s], t)
 
 
 def test_reruns_agree_whatever_the_partitions(spark):
