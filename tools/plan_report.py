@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-import __spark_entry__ as E  # noqa: E402
+from strata.plans import QUERIES  # noqa: E402
 
 
 def summarise(plan: str) -> dict:
@@ -57,7 +57,7 @@ def main() -> None:
           "parquet reader).\n")
     print("| query | exchanges | reused | scans | windows | generate |")
     print("|---|---|---|---|---|---|")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name.startswith("stream_"):
             continue
         df = fn(spark, sf_dir)

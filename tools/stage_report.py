@@ -109,13 +109,13 @@ def main():
              .config("spark.eventLog.compress", "false")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    import __spark_entry__ as E
+    from strata.plans import QUERIES
     from strata.operators import keyed as K
     from strata.sources.tables import read_table
 
-    names = [n for n in E.queries() if not n.startswith("stream_")]
+    names = [n for n in QUERIES if not n.startswith("stream_")]
     for name in names:
-        run(spark, name, lambda name=name: E.queries()[name](spark, sf_dir))
+        run(spark, name, lambda name=name: QUERIES[name](spark, sf_dir))
     events = read_table(spark, sf_dir, "events", "user_id", "ts", "event_id", "event_type")
     hot = events.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
     run(spark, "hot:scd2_history", lambda: K.scd2_history(hot, ["user_id"], "ts", ["event_id"], bucket_seconds=3_600))
