@@ -10,7 +10,7 @@ suffix sort, cut down to what a comparison of ``min_length`` bytes needs:
    in a difference cover, which holds for every pair of positions. With
    ``sampling="least"`` they are the least hashes of all windows of ``w``
    positions, which holds for equal strings only, all that is asked here, and
-   takes a sixth of the samples.
+   takes about a fifth of the samples.
 2. **Name.** Every sample is named by the bytes around it, samples are sorted
    by name, and neighbours compared. A name found once ends the matter: no
    string through that sample repeats. If the whole stretch that a sample
