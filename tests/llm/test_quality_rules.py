@@ -1,13 +1,17 @@
 """Base figures and fertility against plain counting."""
 
+import base64
 import math
+import random
 import re
+import string
 from collections import Counter
 
 import public_tokenizers
+import regex
 import sentencepiece
 
-from strata.llm.quality_rules import Band, QualityParams, quality_figures, script_of
+from strata.llm.quality_rules import BANDS, SCRIPTS, Band, QualityParams, quality_figures, script_of
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -61,6 +65,102 @@ def test_bands_reject_per_script(spark):
     assert got[2] == (False, "too few characters per token")
 
 
+# (script, language, text)
+CLEAN = [
+    ("Latin", "en",
+     "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience and should act towards one another in a spirit of brotherhood. The ferry leaves the harbour twice a day in winter, and most of the passengers are children on their way to school."),
+    ("Latin", "fr",
+     "Tous les êtres humains naissent libres et égaux en dignité et en droits. Ils sont doués de raison et de conscience et doivent agir les uns envers les autres dans un esprit de fraternité. Le bateau quitte le port deux fois par jour en hiver."),
+    ("Latin", "pl",
+     "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa. Zimą prom wypływa z portu dwa razy dziennie."),
+    ("Latin", "tr",
+     "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler. Vapur kışın limandan günde iki kez kalkıyor."),
+    ("Latin", "vi",
+     "Tất cả mọi người sinh ra đều được tự do và bình đẳng về nhân phẩm và quyền lợi. Mọi con người đều được tạo hóa ban cho lý trí và lương tâm và cần phải đối xử với nhau trong tình anh em."),
+    ("Latin", "fi",
+     "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. Lautta lähtee satamasta talvella kahdesti päivässä."),
+    ("Latin", "sw",
+     "Watu wote wamezaliwa huru, hadhi na haki zao ni sawa. Wote wamejaliwa akili na dhamiri, hivyo yapasa watendeane kindugu. Kivuko huondoka bandarini mara mbili kwa siku wakati wa baridi."),
+    ("Latin", "yo",
+     "Gbogbo ènìyàn ni a bí ní òmìnira; iyì àti ẹ̀tọ́ kọ̀ọ̀kan sì dọ́gba. Wọ́n ní ẹ̀bùn ti làákàyè àti ti ẹ̀rí-ọkàn, ó sì yẹ kí wọn ó máa hùwà sí ara wọn gẹ́gẹ́ bí ọmọ ìyá."),
+    ("Cyrillic", "ru",
+     "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства. Зимой паром отходит из порта два раза в день."),
+    ("Cyrillic", "uk",
+     "Всі люди народжуються вільними і рівними у своїй гідності та правах. Вони наділені розумом і совістю і повинні діяти у відношенні один до одного в дусі братерства."),
+    ("Cyrillic", "sr",
+     "Сва људска бића рађају се слободна и једнака у достојанству и правима. Она су обдарена разумом и свешћу и треба једни према другима да поступају у духу братства."),
+    ("Cyrillic", "kk",
+     "Барлық адамдар тумысынан азат және қадір-қасиеті мен құқықтары тең болып дүниеге келеді. Адамдарға ақыл-парасат, ар-ождан берілген, сондықтан олар бір-бірімен туыстық, бауырмалдық қарым-қатынас жасаулары тиіс."),
+    ("Cyrillic", "mn",
+     "Хүн бүр төрж мэндлэхэд эрх чөлөөтэй, адилхан нэр төртэй, ижил эрхтэй байдаг. Оюун ухаан, нандин чанар заяасан хүн гэгч өөр хоорондоо ахан дүүгийн үзэл санаагаар харьцах учиртай."),
+    ("Greek", "el",
+     "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα. Είναι προικισμένοι με λογική και συνείδηση, και οφείλουν να συμπεριφέρονται μεταξύ τους με πνεύμα αδελφοσύνης. Το πλοίο φεύγει από το λιμάνι δύο φορές την ημέρα τον χειμώνα."),
+    ("Arabic", "ar",
+     "يولد جميع الناس أحراراً متساوين في الكرامة والحقوق. وقد وهبوا عقلاً وضميراً وعليهم أن يعامل بعضهم بعضاً بروح الإخاء. تغادر العبارة الميناء مرتين في اليوم في فصل الشتاء."),
+    ("Arabic", "fa",
+     "تمام افراد بشر آزاد به دنیا می‌آیند و از لحاظ حیثیت و حقوق با هم برابرند. همه دارای عقل و وجدان هستند و باید نسبت به یکدیگر با روح برادری رفتار کنند."),
+    ("Hebrew", "he",
+     "כל בני האדם נולדו בני חורין ושווים בערכם ובזכויותיהם. כולם חוננו בתבונה ובמצפון, לפיכך חובה עליהם לנהוג איש ברעהו ברוח של אחווה. המעבורת יוצאת מהנמל פעמיים ביום בחורף."),
+    ("Devanagari", "hi",
+     "सभी मनुष्यों को गौरव और अधिकारों के मामले में जन्मजात स्वतन्त्रता और समानता प्राप्त है। उन्हें बुद्धि और अन्तरात्मा की देन प्राप्त है और परस्पर उन्हें भाईचारे के भाव से बर्ताव करना चाहिए।"),
+    ("Han", "zh",
+     "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。冬天的时候，渡船每天两次离开港口，大部分乘客都是去上学的孩子。"),
+    ("Han", "zht",
+     "人人生而自由，在尊嚴和權利上一律平等。他們賦有理性和良心，並應以兄弟關係的精神相對待。冬天的時候，渡船每天兩次離開港口，大部分乘客都是去上學的孩子。"),
+    ("Hiragana", "ja",
+     "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。人間は、理性と良心とを授けられており、互いに同胞の精神をもって行動しなければならない。冬になると、船は一日に二回みなとを出ていきます。"),
+    ("Katakana", "ja",
+     "スベテノ ニンゲンハ ウマレナガラニシテ ジユウデアリ カツ ソンゲント ケンリトニ ツイテ ビョウドウデアル。コンピューター、インターネット、ソフトウェア、テレビ、ラジオ、レストラン、ホテル、タクシー。"),
+    ("Hangul", "ko",
+     "모든 인간은 태어날 때부터 자유로우며 그 존엄과 권리에 있어 동등하다. 인간은 천부적으로 이성과 양심을 부여받았으며 서로 형제애의 정신으로 행동하여야 한다. 겨울에는 배가 하루에 두 번 항구를 떠난다."),
+    ("Thai", "th",
+     "มนุษย์ทั้งหลายเกิดมามีอิสระและเสมอภาคกันในเกียรติศักดิ์และสิทธิ ต่างมีเหตุผลและมโนธรรม และควรปฏิบัติต่อกันด้วยเจตนารมณ์แห่งภราดรภาพ ในฤดูหนาวเรือออกจากท่าวันละสองครั้ง"),
+    ("other", "ka",
+     "ყველა ადამიანი იბადება თავისუფალი და თანასწორი თავისი ღირსებითა და უფლებებით. მათ მინიჭებული აქვთ გონება და სინდისი და ერთმანეთის მიმართ უნდა იქცეოდნენ ძმობის სულისკვეთებით."),
+    ("other", "ta",
+     "மனிதப் பிறிவியினர் சகலரும் சுதந்திரமாகவே பிறக்கின்றனர்; அவர்கள் மதிப்பிலும், உரிமைகளிலும் சமமானவர்கள், அவர்கள் நியாயத்தையும் மனச்சாட்சியையும் இயற்பண்பாகப் பெற்றவர்கள்."),
+]
+
+
+def noise():
+    """(name, text) that no band may keep; 250 words each, drawn with a fixed seed."""
+    draw = random.Random(10)
+
+    def words(letters, n=250):
+        return " ".join("".join(draw.choice(letters) for _ in range(draw.randint(3, 9))) for _ in range(n))
+
+    yield "lower", words(string.ascii_lowercase)
+    yield "lower, English frequencies", words([c for c in CLEAN[0][2].lower() if c.isalpha()])
+    yield "consonants", words("bcdfghjklmnpqrstvwxz")
+    yield "letters and digits", words(string.ascii_letters + string.digits)
+    yield "printable", words([chr(i) for i in range(33, 127)])
+    yield "base64", " ".join(base64.b64encode(draw.randbytes(9)).decode() for _ in range(250))
+    yield "Russian letters", words([chr(i) for i in range(0x430, 0x450)])
+    for script in SCRIPTS[1:]:
+        yield f"any {script}", words([chr(i) for i in range(0x10000) if regex.match(rf"(?V1)[\p{{Script={script}}}&&\p{{L}}]", chr(i))])
+    for script, lang, text in CLEAN:
+        if script != "Latin":
+            yield f"mojibake of {lang}", text.encode().decode("latin-1").replace("\x85", ".").replace("\xa0", ".")
+
+
+def test_bands_tell_noise_from_text_per_script(spark):
+    assert set(SCRIPTS) < set(BANDS)
+    clean, junk = {f"{s} {x}": t for s, x, t in CLEAN}, dict(noise())
+    docs = spark.createDataFrame([*clean.items(), *junk.items()], "doc_id string, text string")
+    # Scripts without spaces have few words; only the bands are asked here.
+    got = {r.doc_id: r for r in quality_figures(docs, MODEL, QualityParams(min_words=1, max_repeat_percent=100)).collect()}
+    assert {x: got[x].script for x in clean} == {f"{s} {x}": s for s, x, _ in CLEAN}
+    assert {x: got[x].reason for x in clean if not got[x].kept} == {}
+    assert [x for x in junk if got[x].kept] == []
+
+
+def test_evenly_drawn_tokens_have_too_much_entropy(spark):
+    sp, draw = sentencepiece.SentencePieceProcessor(model_file=MODEL), random.Random(11)
+    whole = [p[1:] for p in map(sp.id_to_piece, range(sp.get_piece_size())) if re.fullmatch("▁[a-z]{4,}", p)]
+    docs = spark.createDataFrame([(1, " ".join(draw.sample(whole, 2000)))], "doc_id long, text string")
+    assert [r.reason for r in quality_figures(docs, MODEL).collect()] == ["too much token entropy"]
+
+
 def test_scripts():
     assert script_of("plain") == "Latin" and script_of("été") == "Latin" and script_of("") == "Latin"
     assert script_of("привет мир x") == "Cyrillic" and script_of("日本語") == "Han" and script_of("αβγ") == "Greek"
