@@ -391,7 +391,10 @@ def _compare_starts(contexts: DataFrame, params: RepeatParams) -> DataFrame:
                    "text_key": [key] * len(starts), "start": starts, "open": [is_open] * len(starts)}
 
     rows = map_batches(contexts, strings, "string binary, text_key binary, start int, open boolean")
-    shared = rows.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("string")
+    # A start may come in through several samples; only different starts repeat each other.
+    place = F.struct("text_key", "start")
+    shared = (rows.groupBy("string").agg(F.min(place).alias("least"), F.max(place).alias("most"))
+              .where(F.col("least") != F.col("most")).select("string"))
     return rows.where("open").join(shared, "string").select(
         "text_key", F.col("start").alias("first"), F.col("start").alias("last"))
 

@@ -79,6 +79,19 @@ def test_every_way_of_comparing_starts_agrees(spark, monkeypatch, pairs, group):
     assert got == dict(enumerate(brute(texts, 100)))
 
 
+@pytest.mark.parametrize("sampling", ["least", "cover"])
+@pytest.mark.parametrize("group", [2, 4096])
+def test_a_start_is_no_repeat_of_itself(spark, monkeypatch, sampling, group):
+    # Several samples of the cover have one name here and answer for one start.
+    monkeypatch.setattr(R, "GROUP", group)
+    rng = random.Random(8)
+    texts = ["ab" * 150 + "".join(rng.choice("cdefgh") for _ in range(n)) for n in (60, 90, 120)] + corpus(6, 100)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+           for r in remove_repeats(docs, RepeatParams(100, sampling)).collect()}
+    assert got == dict(enumerate(brute(texts, 100)))
+
+
 @pytest.mark.parametrize("most", [13, 60, 73, 200, 400])
 def test_difference_covers_cover(most):
     v, members = R.difference_cover(most)
