@@ -19,8 +19,8 @@ suffix sort, cut down to what a comparison of ``min_length`` bytes needs:
    part are ordered by the bytes around their sample and neighbours' common
    prefixes decide each start.
 
-Text is compared within groups of equal names only. Exact copies of a text
-share their key, so a thousand copies cost one text.
+Text is compared within groups of equal names only. Exact copies are folded
+before anything is sampled, so a thousand copies cost one text.
 """
 
 from __future__ import annotations
@@ -141,32 +141,40 @@ def _sample_rows(data: bytes, params: RepeatParams) -> tuple[np.ndarray, np.ndar
     return at[some], first[some], last[some]
 
 
+def _distinct_texts(docs: DataFrame, params: RepeatParams, text_col: str) -> DataFrame:
+    """(text_key, text, copies): every text long enough to repeat once, folded map-side before the shuffle."""
+    text = F.col(text_col)
+    rows = docs.where(F.octet_length(text) >= params.min_length).select(
+        F.unhex(F.md5(text)).alias("text_key"), F.octet_length(text).alias("n_bytes"), text.alias("text"))
+    return (rows.groupBy("text_key", "n_bytes").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+            .select("text_key", "text", "copies"))
+
+
 # ``many``: 0 for a sample found once in its text, 1 for one of several with the same stretch, which
-# stands for all of them, and 2 for the starts of the others, which need no further comparison.
+# stands for all of them, or one of a text with copies, and 2 for the starts of the others, which need no further comparison.
 _ROWS = "many byte, name bigint, stretch bigint, text_key binary, at int, first int, last int"
 
 
-def _named_samples(docs: DataFrame, params: RepeatParams, text_col: str) -> DataFrame:
-    """A row per sample: the name of its near bytes, of its whole stretch, the text and its starts.
+def _named_samples(texts: DataFrame, params: RepeatParams) -> DataFrame:
+    """A row per sample of the distinct texts: the name of its near bytes, of its whole stretch, the text and its starts.
 
     Samples of one text with equal stretches (a text that repeats a line has
     many) repeat each other. They are folded before the shuffle: one stands
-    for them, and the starts of the others are merged into few rows.
+    for them, and the starts of the others are merged into few rows. All
+    starts of a text with copies are repeated.
     """
     length = params.min_length
     near, far = params.reach
-    source = docs.select(F.col(text_col).alias("text")).where(F.octet_length(F.col("text")) >= length)
 
     def run(batch: pa.RecordBatch):
         columns: dict[str, list] = {c.split()[0]: [] for c in _ROWS.split(", ")}
         held = 0
         digest = xxhash.xxh3_64_intdigest
-        for text in batch.column("text"):
+        for key, text, copies in zip(batch.column("text_key").to_pylist(), batch.column("text"), batch.column("copies").to_pylist()):
             data = text.as_buffer().to_pybytes()
             at, first, last = _sample_rows(data, params)
             if not len(at):
                 continue
-            key = hashlib.md5(data, usedforsecurity=False).digest()
             at_list, first_list, last_list = at.tolist(), first.tolist(), last.tolist()
             names = np.array([digest(data[a - near:a + length - far]) for a in at_list], dtype=np.uint64)
             # The stretch's offsets are part of its name.
@@ -176,7 +184,7 @@ def _named_samples(docs: DataFrame, params: RepeatParams, text_col: str) -> Data
             _, one, own, count = np.unique(pairs, axis=0, return_index=True, return_inverse=True, return_counts=True)
             stands = np.zeros(len(at), dtype=bool)
             stands[one] = True
-            many = np.where(stands, (count[own.reshape(-1)] > 1).astype(np.int8), np.int8(2))
+            many = np.where(stands, ((count[own.reshape(-1)] > 1) | (copies > 1)).astype(np.int8), np.int8(2))
             kept = np.ones(len(at), dtype=bool)
             rest = np.flatnonzero(~stands)
             if len(rest):
@@ -198,7 +206,7 @@ def _named_samples(docs: DataFrame, params: RepeatParams, text_col: str) -> Data
         if held:
             yield _joined(columns)
 
-    return map_batches(source, run, _ROWS)
+    return map_batches(texts, run, _ROWS)
 
 
 def _joined(columns: dict[str, list]) -> dict:
@@ -272,15 +280,12 @@ def _judge_neighbours(rows: DataFrame) -> DataFrame:
 _CONTEXT = "name bigint, text_key binary, at int, first int, last int, open boolean, bytes binary"
 
 
-def _contexts(rows: DataFrame, docs: DataFrame, params: RepeatParams, text_col: str) -> DataFrame:
-    """The bytes of the stretches of open and witness rows; exact copies give theirs once."""
+def _contexts(rows: DataFrame, texts: DataFrame, params: RepeatParams) -> DataFrame:
+    """The bytes of the stretches of open and witness rows of the distinct texts."""
     wanted = (rows.where(F.col("state") != REPEATED)
               .groupBy("text_key", "name", "at", "first", "last").agg(F.max(F.col("state") == OPEN).alias("open"))
               .groupBy("text_key").agg(F.collect_list(F.struct("name", "at", "first", "last", "open")).alias("stretches")))
-    text = F.col(text_col)
-    texts = (docs.where(F.octet_length(text) >= params.min_length)
-             .select(F.unhex(F.md5(text)).alias("text_key"), text.cast("binary").alias("data"))
-             .join(wanted, "text_key").dropDuplicates(["text_key"]))
+    texts = texts.select("text_key", F.col("text").cast("binary").alias("data")).join(wanted, "text_key")
     length = params.min_length
     start, size = F.col("s.first"), F.col("s.last") - F.col("s.first") + F.lit(length)
     return texts.select("text_key", "data", F.explode("stretches").alias("s")).select(
@@ -404,8 +409,9 @@ def _compare_starts(contexts: DataFrame, params: RepeatParams) -> DataFrame:
 def repeated_starts(docs: DataFrame, params: RepeatParams, text_col: str = "text") -> DataFrame:
     """(text_key, first, last): runs of repeated starts per distinct text (its MD5). Runs may touch or overlap."""
     spark = docs.sparkSession
-    rows = materialise(spark, _judge_neighbours(_named_samples(docs, params, text_col)), "repeated-samples")
-    contexts = materialise(spark, _contexts(rows, docs, params, text_col), "sample-contexts")
+    texts = materialise(spark, _distinct_texts(docs, params, text_col), "distinct-texts")
+    rows = materialise(spark, _judge_neighbours(_named_samples(texts, params)), "repeated-samples")
+    contexts = materialise(spark, _contexts(rows, texts, params), "sample-contexts")
     hot = materialise(spark, contexts.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP)
                       .select("name"), "hot-names")
     spans = _compare_contexts(contexts.join(hot, "name", "left_anti"), params).unionByName(

@@ -122,5 +122,19 @@ def test_kept_text_drops_broken_characters_and_keeps_columns(spark):
     assert got == {1: ("az", "en"), 2: ("by", "fr"), 3: ("", "de"), None: ("q", "x")}
 
 
+def test_copies_are_sampled_once(spark):
+    params = RepeatParams(100)
+    rng = random.Random(9)
+    texts = [" ".join(str(rng.randrange(10 ** 6)) for _ in range(80)) for _ in range(2)]
+    docs = spark.createDataFrame([(i, texts[0]) for i in range(300)] + [(300, texts[1]), (301, texts[0] + texts[1])],
+                                 "doc_id long, text string").repartition(6)
+    folded = R._distinct_texts(docs, params, "text")
+    assert sorted(r.copies for r in folded.collect()) == [1, 1, 300]
+    samples = R._named_samples(folded, params).collect()
+    assert len({(r.text_key, r.at) for r in samples}) == len(samples)
+    got = {r.doc_id: (r.n_removed, r.n_bytes) for r in remove_repeats(docs, params).collect()}
+    assert got == {i: (len(t), len(t)) for i, t in enumerate([texts[0]] * 300 + [texts[1], texts[0] + texts[1]])}
+
+
 def test_empty_table(spark):
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
