@@ -2,10 +2,13 @@
 
 Every document gets a rate. Among all rates that give each source its target
 of words, entropy balancing takes those closest in relative entropy to taking
-every document once: rates of the form ``exp(lambda_source)`` per word. The
-multipliers solve a convex dual, found by Newton steps on sums that Spark
-gathers per source. Rates are then rounded into whole copies so that each
-source's words stay close to its target.
+every document once, weighed by its words: rates ``exp(lambda_source)``. The
+dual separates by source, so a multiplier is ``ln(target / source_size)`` and
+all documents of a source have one rate, the ratio; the Newton steps are a
+scalar loop on one row per source that arrives there, and no round gathers
+sums over documents. The cap is part of the targets and cut on rates and
+copies, not a term of the dual. Rates are then rounded into whole copies so
+that each source's words stay close to its target.
 
 Everything is DataFrame expressions. A source may hold most rows: sums are
 folded map-side, and positions within a source come from running sums over
