@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from strata.llm.chat_format import format_conversations, read_formatted
 from strata.llm.common import materialise
 from strata.llm.embedding_dedup import NearDupParams, near_duplicates
+from strata.llm.html_extract import ExtractParams, extract_text
 from strata.llm.quality_rules import quality_figures
 from strata.llm.registry import ORACLE_SQL, QUERIES, register
 from strata.llm.repeated_text import RepeatParams, remove_repeats
@@ -168,3 +169,23 @@ def source_mix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repeated_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that lie in repeated strings of 400 bytes, removed."""
     return remove_repeats(read_table(spark, sf_dir, "documents", "doc_id", "text"), RepeatParams(min_length=400))
+
+
+@register("op11_html_extract", r"""
+    WITH a AS (
+      SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's') AS body FROM pages
+    ), l AS (
+      SELECT page_id, url, list_transform(
+        string_split(regexp_replace(body, '</?(?:p|h1)>', chr(1), 'g'), chr(1)),
+        lambda x: trim(regexp_replace(
+          regexp_replace(replace(replace(regexp_replace(regexp_replace(x, '<br>', ' ', 'g'), '&quot;?', '"', 'g'),
+                         '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS lines
+      FROM (SELECT page_id, url, regexp_replace(body, '</?b>', '', 'g') AS body FROM a)
+    ), t AS (
+      SELECT page_id, url, array_to_string(list_filter(lines, lambda x: x <> ''), chr(10)) AS text FROM l
+    )
+    SELECT page_id, url, text, length(text) AS n_chars FROM t
+""")
+def html_extract_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_text(read_table(spark, sf_dir, "pages", "page_id", "url", "html"), ExtractParams())
