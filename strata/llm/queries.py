@@ -11,6 +11,7 @@ from strata.llm.common import materialise
 from strata.llm.embedding_dedup import NearDupParams, near_duplicates
 from strata.llm.html_extract import ExtractParams, extract_text
 from strata.llm.quality_rules import quality_figures
+from strata.llm.ranked_search import SearchParams, rank_documents
 from strata.llm.registry import ORACLE_SQL, QUERIES, register
 from strata.llm.repeated_text import RepeatParams, remove_repeats
 from strata.llm.sentence_pieces import encode_digests
@@ -189,3 +190,32 @@ def repeated_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def html_extract_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return extract_text(read_table(spark, sf_dir, "pages", "page_id", "url", "html"), ExtractParams())
+
+
+@register("op12_ranked_search", r"""
+    WITH d AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+    ), i AS (
+      SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+    ), t AS (
+      SELECT count(*) FILTER (len(terms) > 0) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS all_terms FROM d
+    ), p AS (
+      SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM d)
+      WHERE term IN (SELECT term FROM i) GROUP BY ALL
+    ), w AS (
+      SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+      FROM p, t GROUP BY term, n_docs
+    ), s AS (
+      SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // all_terms)))) AS BIGINT) AS score
+      FROM i JOIN w USING (term) JOIN p USING (term), t GROUP BY item_id, doc_id
+    )
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM s WHERE score > 0 QUALIFY rank <= 50
+""")
+def ranked_search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for every benchmark item."""
+    return rank_documents(read_table(spark, sf_dir, "benchmark", "item_id", "text"),
+                          read_table(spark, sf_dir, "documents", "doc_id", "text"), SearchParams(k=50))
