@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.chat_format import format_conversations, read_formatted
 from strata.llm.common import materialise
+from strata.llm.conversation_repair import RepairParams, damage, repair_reports
 from strata.llm.embedding_dedup import NearDupParams, near_duplicates
 from strata.llm.html_extract import ExtractParams, extract_text
 from strata.llm.quality_rules import quality_figures
@@ -219,3 +220,10 @@ def ranked_search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 50 best documents for every benchmark item."""
     return rank_documents(read_table(spark, sf_dir, "benchmark", "item_id", "text"),
                           read_table(spark, sf_dir, "documents", "doc_id", "text"), SearchParams(k=50))
+
+
+@register("op13_conversation_repair")
+def conversation_repair_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after damage."""
+    table = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return repair_reports(damage(table), table, RepairParams())
