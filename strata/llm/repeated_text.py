@@ -55,11 +55,11 @@ class RepeatParams:
 
     @property
     def window(self) -> int:
-        """Positions per window: the largest power of two w with ``3 w <= min_length - GRAM + 3``."""
+        """Positions per window: the largest w with ``3 w <= min_length - GRAM + 3``."""
         third = (self.min_length - GRAM + 3) // 3
         if third < 4:
             raise ValueError("min_length is too short to sample")
-        return 1 << (third.bit_length() - 1)
+        return third
 
     @property
     def reach(self) -> tuple[int, int]:
@@ -99,6 +99,15 @@ def _grams(data: bytes) -> np.ndarray:
     return h
 
 
+def _sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
+    """``pick`` over every window of ``width`` values, by windows of doubling width."""
+    step = 1
+    while 2 * step <= width:
+        values, step = pick(values[:-step], values[step:]), 2 * step
+    rest = width - step
+    return pick(values[:-rest], values[rest:]) if rest else values
+
+
 def samples(data: bytes, params: RepeatParams) -> np.ndarray:
     """The sampled positions of a text.
 
@@ -114,16 +123,9 @@ def samples(data: bytes, params: RepeatParams) -> np.ndarray:
     h = _grams(data)
     if len(h) < w:
         return np.zeros(0, dtype=np.int64)
-    least, step = h, 1
-    while step < w:
-        least = np.minimum(least[:-step], least[step:])
-        step *= 2
     # The largest of the minima of a position's windows equals its hash iff it is least in one of them.
     edge = np.zeros(w - 1, dtype=np.uint64)
-    most, step = np.concatenate((edge, least, edge)), 1
-    while step < w:
-        most = np.maximum(most[:-step], most[step:])
-        step *= 2
+    most = _sliding(np.concatenate((edge, _sliding(h, w, np.minimum), edge)), w, np.maximum)
     return np.flatnonzero(most == h)
 
 
