@@ -59,14 +59,14 @@ def _records(docs: DataFrame, source: Column | str | None, doc_col: str, keep: t
     else:
         src = F.lit(source) if isinstance(source, str) else source
     staged = docs.select(*[F.col(k) for k in keep], src.alias("_src"), text.alias("_doc"))
-    rows = FL.flat_records(staged, "_doc", (*keep, "_src"), unwrap_keys)
-    return rows.where(F.col("_pos").isNotNull())
+    return FL.flat_records(staged, "_doc", (*keep, "_src"), unwrap_keys)
 
 
 def unparsed_documents(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
-    """The documents that are not JSON, with all their columns."""
-    rows = FL.flat_records(docs, doc_col, tuple(docs.columns))
-    return rows.where(F.col("_pos").isNull()).select(*docs.columns)
+    """The documents that give no record (not JSON, or beyond the parser's limits), with all their columns."""
+    others = tuple(c for c in docs.columns if c != doc_col)
+    rows = FL.flat_records(docs, doc_col, others, explode=False)
+    return rows.where(F.col("_pos").isNull()).withColumnRenamed("_rejected", doc_col).select(*docs.columns)
 
 
 def _present(name: str) -> Column:
@@ -77,7 +77,7 @@ def _present(name: str) -> Column:
 def normalize(docs: DataFrame, source: Column | str | None = None, doc_col: str = "doc",
               keep: tuple[str, ...] = (), unwrap_keys: tuple[str, ...] = (SHIPMENTS,),
               schema: T.DataType | None = None, path_col: str = "path",
-              schema_path: str | None = None) -> DataFrame:
+              schema_path: str | None = None, rejected: str | None = None) -> DataFrame:
     """Flat records with ``source_name`` and ``record_index``.
 
     ``source`` is a constant, a column of ``docs``, or None to derive it per
@@ -86,9 +86,13 @@ def normalize(docs: DataFrame, source: Column | str | None = None, doc_col: str
     value already in the record wins, an explicit null included.
     Non-object elements become ``{"value": x}`` records. Names and types are
     found from all records (one aggregate job) unless ``schema`` is given;
-    with ``schema_path`` they are found once and reused from there.
+    with ``schema_path`` they are found once and reused from there. With
+    ``rejected`` a document that gives no record is a row too, its text in the
+    column of that name, so that one pass finds records and quarantine.
     """
     rows = _records(docs, source, doc_col, keep, unwrap_keys, path_col)
+    if rejected is None:
+        rows = rows.where(F.col("_pos").isNotNull())
     flat, obj = F.col("_flat"), F.col("_is_object")
     if schema is None and schema_path:
         schema = FL.load_or_infer_flat_schema(rows.where(obj), flat, schema_path)
@@ -108,7 +112,8 @@ def normalize(docs: DataFrame, source: Column | str | None = None, doc_col: str
     src_col = with_default(S.SOURCE_NAME, F.col("_src"), "string")
     idx_col = with_default(S.RECORD_INDEX, F.col("_pos"), "bigint")
     return rows.select(*[F.col(k) for k in keep], *[c.alias(n) for n, c in pairs.items()],
-                       src_col.alias(S.SOURCE_NAME), idx_col.alias(S.RECORD_INDEX))
+                       src_col.alias(S.SOURCE_NAME), idx_col.alias(S.RECORD_INDEX),
+                       *([] if rejected is None else [F.col("_rejected").alias(rejected)]))
 
 
 def object_records(docs: DataFrame, doc_col: str = "doc", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -123,7 +128,7 @@ def normalize_map(docs: DataFrame, source: Column | str | None = None, doc_col:
     """P7-P12 in the map form: ``record`` is a ``map<string, variant>``
     with the flattened keys of that record only, plus ``source_name`` and
     ``record_index`` set where absent (an explicit null is kept)."""
-    rows = _records(docs, source, doc_col, keep, unwrap_keys, path_col)
+    rows = _records(docs, source, doc_col, keep, unwrap_keys, path_col).where(F.col("_pos").isNotNull())
     record = F.when(F.col("_is_object"), F.try_variant_get("_flat", "$", "map<string,variant>")).otherwise(
         F.create_map(F.lit(S.VALUE_KEY), F.col("_flat")))
     flat = rows.select(*[F.col(k) for k in keep], "_src", "_pos", record.alias("record"))

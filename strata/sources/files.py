@@ -9,7 +9,7 @@ from __future__ import annotations
 import fnmatch
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,8 +102,24 @@ def read_landing(spark: SparkSession, folders: list[str]) -> DataFrame:
     ``landed_source`` (from the folder). Lines are records, so large files split."""
     lines = (spark.read.option("pathGlobFilter", "part-*").option("recursiveFileLookup", True).text(folders)
              .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("doc")))
-    source = F.url_decode(F.regexp_replace(F.regexp_extract("path", r"/source=([^/]*)/", 1), r"\+", "%2B"))
-    return lines.where(F.trim("doc") != "").withColumn("landed_source", source)
+    return lines.where(F.trim("doc") != "").withColumn("landed_source", landed_source(F.col("path")))
+
+
+def landed_source(path: Column) -> Column:
+    """The source of a raw landing's file, from its folder."""
+    return F.url_decode(F.regexp_replace(F.regexp_extract(path, r"/source=([^/]*)/", 1), r"\+", "%2B"))
+
+
+def stream_documents(spark: SparkSession, path: str, glob: str = "*.json", lines: bool = False,
+                     max_files: int | None = None) -> DataFrame:
+    """S5/S6 as a file stream: ``path`` and ``doc`` of every file below ``path`` that is new since the
+    stream's checkpoint; with ``lines`` every line is a document."""
+    reader = (spark.readStream.format("text").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+              .option("wholetext", not lines))
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    docs = reader.load(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("doc"))
+    return docs.where(F.trim("doc") != "") if lines else docs
 
 
 def read_json_lines(spark: SparkSession, path: str, glob: str = "*.json",

@@ -1,6 +1,9 @@
 import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata import jobs
 from strata.functions import flatten as FL
@@ -122,7 +125,7 @@ def test_pretty_printed_documents(spark, scratch):
         ("deep_shipping_2", "shipping", 0, 1), ("deep_shipping_2", "shipping", 1, 9), ("orders_1", "orders", 0, 1),
         ("orders_1", "orders", 1, 2)]
     bad = spark.read.parquet(f"{out}/{jobs.QUARANTINE}").collect()
-    assert [(r.dataset, r.doc, r.error) for r in bad] == [("broken_3", "{broken", "not JSON")]
+    assert [(r.dataset, r.doc, r.error) for r in bad] == [("broken_3", "{broken", jobs.NOT_JSON)]
 
 
 def test_hidden_files_are_named_not_lost(spark, scratch):
@@ -250,3 +253,120 @@ def test_folder_job_reuses_stored_schema(spark, scratch):
     assert os.path.isdir(f"{scratch}/shape")
     rows = jobs.silver_records(spark, bronze, base_dir=bronze, schema_path=f"{scratch}/shape").collect()
     assert rows[0].order_id == "o-1" and rows[0].source_name == "orders"
+
+
+def test_nothing_is_lost_beyond_the_parsers_limits(spark):
+    """A document the parser cannot take goes to quarantine whole; nothing of it vanishes silently."""
+    long_number = '{"a":' + "1" * 1200 + ',"b":2}'
+    deep = "[" * 1500 + "]" * 1500
+    long_string = '{"a":"' + "x" * 21_000_000 + '","b":1}'
+    fine = '{"a":' + "1" * 900 + ',"b":2}'
+    two = '{"a":1} {"b":2}'
+    inject = ('{"a":1},{"b":2}', '{"a":1}],[{"b":2}', "1,2", "1],[2", '{"v":1}}')
+    texts = [long_number, deep, long_string, two, *inject, fine, "[]", '{"a":{"b":{}}}']
+    d = spark.createDataFrame([(f"{i}.json", t) for i, t in enumerate(texts)], "path string, doc string")
+    bad = {r.path: r.doc for r in N.unparsed_documents(d).collect()}
+    assert bad == {f"{i}.json": t for i, t in enumerate(texts[:-3])}
+    rows = N.normalize_map(d, "s", keep=("path",)).collect()
+    kept = {r.path: {k: str(v) for k, v in r.record.items()} for r in rows}
+    assert set(kept) == {f"{len(texts) - 3}.json", f"{len(texts) - 1}.json"}
+    assert kept[f"{len(texts) - 3}.json"]["b"] == "2"
+    both = N.normalize(d, "s", keep=("path",), schema=T.StructType([T.StructField("b", T.LongType())]), rejected="bad").collect()
+    assert len(both) == len(texts) - 1 and sum(r.bad is not None for r in both) == len(texts) - 3
+
+
+def test_wide_lists_and_deep_objects(spark):
+    deep = "1"
+    for i in range(200):
+        deep = f'{{"k{i % 10}":{deep}}}'
+    wide = "{" + ",".join(f'"n{i}":{{"v":{i}.50}}' for i in range(1500)) + "}"
+    twice = '{"a":{"x":1,"y":2},"a_x":3,"b":[{"q":1.10}],"a":{"x":4.50,"z":1e2}}'
+    d = spark.createDataFrame([(t,) for t in (deep, wide, twice)], "doc string")
+    out = [{k: str(v) for k, v in r.record.items()} for r in FL.flatten_ragged(d, "doc").collect()]
+    assert list(out[0].values()) == ["1"] and len(next(iter(out[0]))) == 200 * 2 + 199
+    assert len(out[1]) == 1500 and out[1]["n7_v"] == "7.50"
+    assert out[2] == {"a_x": "3", "a_z": "100.0", "b": '[{"q":1.10}]'}
+
+
+def test_ids_as_keys_are_refused_before_they_are_collected(spark, monkeypatch):
+    monkeypatch.setattr(FL, "MAX_NAMES", 50)
+    d = spark.createDataFrame([(json.dumps({f"id{i}": i}),) for i in range(60)], "doc string")
+    with pytest.raises(ValueError, match="map form"):
+        FL.flatten_json(d, "doc")
+    assert FL.flatten_ragged(d, "doc").count() == 60
+
+
+def put(folder, name, text):
+    path = f"{folder}/{name}"
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as fh:
+        fh.write(text)
+
+
+SHAPE = T.StructType([T.StructField("id", T.LongType()), T.StructField("c_d", T.StringType())])
+
+
+def test_stream_job_reads_new_documents_only(spark, scratch):
+    base = f"{scratch}/bronze"
+    run = lambda: jobs.silver_stream_job(spark, base, f"{scratch}/silver", f"{scratch}/ck", SHAPE)
+    put(base, "a/x_1.json", json.dumps([{"id": 1, "c": {"d": "p"}}, {"id": 2}], indent=2))
+    put(base, "ships.json", json.dumps({"shipments": [{"id": 3}]}, indent=1))
+    put(base, "a/b/broken.json", "{")
+    run()
+    put(base, "later/y_2.json", '{"id": 4}')
+    put(base, "a/.hidden.json", '{"id": 99}')
+    run()
+    run()
+    got = jobs.read_silver(spark, f"{scratch}/silver")
+    assert sorted((r.dataset, r.source_name, r.record_index, r.id, r.c_d, r.batch_id) for r in got.collect()) == [
+        ("a_x_1", "x", 0, 1, "p", 0), ("a_x_1", "x", 1, 2, None, 0), ("later_y_2", "y", 0, 4, None, 1), ("ships", "shipping", 0, 3, None, 0)]
+    bad = jobs.read_quarantine(spark, f"{scratch}/silver").collect()
+    assert [(r.dataset, r.doc, r.error, r.batch_id) for r in bad] == [("a_b_broken", "{", jobs.NOT_JSON, 0)]
+    # A batch that is delivered again rewrites its own folder.
+    names = {n for n in os.listdir(f"{scratch}/silver") if not n.startswith((".", "_"))}
+    assert names == {"batch_id=0", "batch_id=1"}
+
+
+def test_stream_job_over_landed_lines(spark, scratch):
+    from strata.sinks import files as sinks
+    sinks.write_raw(spark.range(5).select(F.col("id")), f"{scratch}/raw", "my src+1")
+    jobs.silver_stream_job(spark, f"{scratch}/raw", f"{scratch}/silver", f"{scratch}/ck", SHAPE, glob="part-*", lines=True)
+    rows = jobs.read_silver(spark, f"{scratch}/silver").collect()
+    assert sorted(r.id for r in rows) == list(range(5)) and {r.dataset for r in rows} == {"my src+1"}
+
+
+def files_below(folder):
+    return [os.path.join(d, n) for d, _, names in os.walk(folder) for n in names if n.endswith(".parquet")]
+
+
+def test_files_do_not_grow_with_documents_and_filters_skip(spark, scratch):
+    for i in range(60):
+        put(f"{scratch}/many", f"d{i:02}/x.json", json.dumps([{"id": 1000 * i + k} for k in range(300)]))
+    jobs.silver_stream_job(spark, f"{scratch}/many", f"{scratch}/silver", f"{scratch}/ck", SHAPE)
+    assert len(files_below(f"{scratch}/silver")) <= 10
+    one = jobs.read_silver(spark, f"{scratch}/silver").where(F.col("dataset") == "d07_x")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(dataset,d07_x)" in plan and "PartitionFilters: [isnotnull(state" in plan
+    assert one.count() == 300
+    import pyarrow.parquet as pq
+    groups = [pq.ParquetFile(f).metadata.row_group(g).column(pq.ParquetFile(f).schema_arrow.get_field_index("dataset")).statistics
+              for f in files_below(f"{scratch}/silver") for g in range(pq.ParquetFile(f).metadata.num_row_groups)]
+    if len(groups) > 1:
+        assert sum(s.min <= "d07_x" <= s.max for s in groups) < len(groups)
+
+
+def test_skewed_silver_write_is_split_at_the_advisory_size(spark, scratch):
+    from strata.sinks import files as sinks
+    keys = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k"}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(60_000).select(F.when(F.col("id") % 10 < 8, "hot").otherwise(F.concat(F.lit("d"), F.col("id") % 7)).alias("dataset"),
+                                          F.sha2(F.col("id").cast("string"), 256).alias("text"))
+        sinks.write_silver(rows, f"{scratch}/out")
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    hot = [os.path.getsize(f) for f in files_below(f"{scratch}/out/dataset=hot")]
+    cold = files_below(f"{scratch}/out")
+    assert len(hot) >= 4 and max(hot) < 2 * (sum(hot) / len(hot)) and len(cold) - len(hot) <= 14
