@@ -12,6 +12,7 @@ is exact and stays linear however many rows share a key or a second.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -266,6 +267,81 @@ def purchases_matched_within(purchases: DataFrame, orders: DataFrame, seconds: i
     return counted.withColumn("status", F.when(F.col("n_within") > 0, "matched").otherwise("no_order"))
 
 
+_FAR = 1 << 60
+
+
+def match_one_to_one(purchases: DataFrame, orders: DataFrame, keys: Sequence[str], seconds: int,
+                     purchase: tuple[str, str] = ("event_id", "ts"), order: tuple[str, str] = ("order_id", "order_ts"),
+                     bucket_seconds: int = S.BUCKET_SECONDS) -> DataFrame:
+    """B2: purchases and orders paired one to one, each used once at most.
+
+    An order takes the oldest purchase of its keys that is at most ``seconds``
+    older and not taken yet; that leaves as few as possible without a partner.
+    Classes: ``matched``, ``no_order`` (purchase alone), ``no_event`` (order alone).
+
+    No pairs are built. The next free purchase is a number that the orders of a
+    key move on one after the other: order ``j`` sees purchases ``L`` (the first
+    not too old) up to ``U`` (those before it) and takes the later of ``L`` and
+    the next free one, if below ``U``. With ``j`` subtracted this is a clamp to
+    ``[L - j, U - j - 1]``, and clamps in a row make a clamp again. ``L``, ``U``
+    and ``j`` are running sums; an hour's orders of a key make one clamp, a
+    scan over a key's hours tells where each hour starts, and hours then run
+    independently. A hot key is spread over its hours, never held whole.
+
+    ``purchase`` and ``order`` name the id and time columns; ids identify rows.
+    """
+    keys = list(keys)
+    (pid, pts), (oid, ots) = purchase, order
+    width = F.lit(bucket_seconds * 1_000_000)
+    p = purchases.select(*keys, epoch_micros(purchases, pts).alias("_t"), F.lit(1).alias("_kind"),
+                         F.struct(F.col(pid).alias("id"), F.col(pts).alias("at")).alias("_p"))
+    t = epoch_micros(orders, ots)
+    points = F.array(F.struct((t - seconds * 1_000_000).alias("t"), F.lit(0).alias("kind")),
+                     F.struct(t.alias("t"), F.lit(2).alias("kind")))
+    o = orders.select(*keys, F.struct(F.col(oid).alias("id"), F.col(ots).alias("at")).alias("_o"), F.explode(points).alias("_x")).select(
+        *keys, F.col("_x.t").alias("_t"), F.col("_x.kind").alias("_kind"), "_o")
+    rows = p.unionByName(o, allowMissingColumns=True)
+    counted = S.running_aggs_staged(
+        S.stage(rows, keys, F.floor(F.col("_t") / width).cast("bigint")), keys, ["_t", "_kind", "_p", "_o"],
+        {"_purchases": (F.when(F.col("_kind") == 1, 1).otherwise(0), "sum"),
+         "_orders": (F.when(F.col("_kind") == 2, 1).otherwise(0), "sum")})
+    ranked = counted.where(F.col("_kind") == 1).select(*keys, "_p", (F.col("_purchases") - 1).alias("_rank"))
+
+    def at(kind: int, name: str) -> Column:
+        return F.max(F.when(F.col("_kind") == kind, F.col(name)))
+
+    seen = (counted.where(F.col("_kind") != 1).groupBy(*keys, "_o")
+            .agg((at(2, "_orders") - 1).alias("j"), at(0, "_purchases").alias("low"), at(2, "_purchases").alias("high"), at(2, "_t").alias("_t")))
+    held = (seen.select(*keys, F.floor(F.col("_t") / width).cast("bigint").alias("_bucket"), F.struct("j", "low", "high", "_o").alias("_s"))
+            .groupBy(*keys, "_bucket").agg(F.sort_array(F.collect_list("_s")).alias("_seen")))
+
+    def clamp(free: Column, s: Column) -> Column:
+        return F.least(F.greatest(free, s["low"] - s["j"]), s["high"] - s["j"] - 1)
+
+    hours = held.select(*keys, "_bucket", *[F.aggregate("_seen", F.lit(edge).cast("bigint"), clamp).alias(name)
+                                            for name, edge in (("lo", -_FAR), ("hi", _FAR))])
+    chain = hours.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_bucket", "lo", "hi"))).alias("_chain"))
+    starts = chain.select(*keys, F.explode(F.transform("_chain", lambda c, i: F.struct(
+        c["_bucket"].alias("b"),
+        F.aggregate(F.slice("_chain", F.lit(1), i), F.lit(0).cast("bigint"), lambda y, h: F.least(F.greatest(y, h["lo"]), h["hi"])).alias("free")))).alias("_h"))
+    starts = starts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_h.b", "_h.free")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], F.col("_bucket") == F.col("b"))
+
+    def take(state: Column, s: Column) -> Column:
+        rank = F.greatest(state["free"] + s["j"], s["low"])
+        made = F.struct(F.when(rank < s["high"], rank).alias("rank"), s["_o"].alias("o"))
+        return F.struct(clamp(state["free"], s).alias("free"), F.concat(state["made"], F.array(made)).alias("made"))
+
+    nothing = F.slice(F.transform("_seen", lambda s: F.struct(s["j"].alias("rank"), s["_o"].alias("o"))), 1, 0)
+    taken = held.join(starts, same).select(*keys, F.explode(F.aggregate(
+        "_seen", F.struct(F.col("free").alias("free"), nothing.alias("made")), take)["made"]).alias("_m"))
+    taken = taken.select(*keys, F.col("_m.rank").alias("_rank"), F.col("_m.o").alias("_o"))
+    both = ranked.join(taken, [*keys, "_rank"], "full_outer")
+    status = F.when(F.col("_p").isNull(), "no_event").when(F.col("_o").isNull(), "no_order").otherwise("matched")
+    return both.select(*keys, F.col("_p.id").alias(pid), F.col("_p.at").alias(pts), F.col("_o.id").alias(oid),
+                       F.col("_o.at").alias(ots), status.alias("status"))
+
+
 # --- B6: discrepancy layer ------------------------------------------------------
 
 SEVERITY = {"missing_shipment": "high", "orphan_shipment": "medium", "duplicate_order": "medium",

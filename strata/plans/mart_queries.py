@@ -372,3 +372,52 @@ def q_latest_status(spark, sf_dir):
     """The latest status per user by event time, whenever the update arrived."""
     events = read_table(spark, sf_dir, "events", "user_id", "ts", "event_id", "event_type")
     return M.latest_status(status_arrivals(events), "user_id", "ts", "status")
+
+
+# An order follows its purchase event within three days.
+MATCH_SECONDS = 3 * 86_400
+
+
+@register("purchases_one_to_one", sql=f"""
+WITH RECURSIVE p AS (
+  SELECT user_id, CAST(json_extract(props, '$.k') AS INTEGER) % 10 AS product, event_id, ts,
+         row_number() OVER (PARTITION BY user_id, CAST(json_extract(props, '$.k') AS INTEGER) % 10 ORDER BY ts, event_id) - 1 AS r
+  FROM events WHERE event_type = 'purchase'
+), o AS (
+  SELECT o_custkey // 10 AS user_id, CAST(o_orderkey % 10 AS INTEGER) AS product, o_orderkey AS order_id,
+         TIMESTAMP '2024-01-01' + to_days(CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) % 30 AS INTEGER))
+         + to_seconds(o_orderkey % 86400) AS order_ts
+  FROM orders
+), s AS (
+  SELECT user_id, product, order_id, order_ts, row_number() OVER (PARTITION BY user_id, product ORDER BY order_ts, order_id) AS j FROM o
+), g AS (
+  SELECT s.user_id, s.product, s.j, s.order_id, s.order_ts,
+         count(p.event_id) FILTER (p.ts < s.order_ts - INTERVAL {MATCH_SECONDS} SECOND) AS low,
+         count(p.event_id) FILTER (p.ts <= s.order_ts) AS high
+  FROM s LEFT JOIN p ON p.user_id = s.user_id AND p.product = s.product GROUP BY ALL
+), w AS (
+  SELECT user_id, product, CAST(0 AS BIGINT) AS j, CAST(0 AS BIGINT) AS free, CAST(NULL AS BIGINT) AS r FROM (SELECT DISTINCT user_id, product FROM g)
+  UNION ALL
+  SELECT w.user_id, w.product, w.j + 1, CASE WHEN greatest(free, low) < high THEN greatest(free, low) + 1 ELSE greatest(free, low) END,
+         CASE WHEN greatest(free, low) < high THEN greatest(free, low) END
+  FROM w JOIN g ON g.user_id = w.user_id AND g.product = w.product AND g.j = w.j + 1
+), m AS (
+  SELECT g.user_id, g.product, g.order_id, g.order_ts, w.r FROM w JOIN g USING (user_id, product, j)
+)
+SELECT coalesce(p.user_id, m.user_id) AS user_id, coalesce(p.product, m.product) AS product, p.event_id, p.ts, m.order_id, m.order_ts,
+  CASE WHEN p.event_id IS NULL THEN 'no_event' WHEN m.order_id IS NULL THEN 'no_order' ELSE 'matched' END AS status
+FROM p FULL JOIN m ON p.user_id = m.user_id AND p.product = m.product AND p.r = m.r
+""")
+def q_purchases_one_to_one(spark, sf_dir):
+    """B2 one to one: every purchase event and every order of a customer and
+    product, paired within three days, each used once; what stays alone on
+    either side is shown too. Orders get customers, products and times in
+    the range of the events; no order is left out."""
+    events = read_table(spark, sf_dir, "events", "event_id", "user_id", "ts", "event_type", "props").where(F.col("event_type") == "purchase")
+    purchases = events.select("user_id", (D.product_id(events) % 10).alias("product"), "event_id", "ts")
+    day = F.date_diff(F.to_date("o_orderdate"), F.lit("1995-01-01").cast("date")) % 30
+    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate").select(
+        F.expr("o_custkey div 10").alias("user_id"), (F.col("o_orderkey") % 10).cast("int").alias("product"),
+        F.col("o_orderkey").alias("order_id"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(day, F.lit(0), F.lit(0), F.col("o_orderkey") % 86_400)).alias("order_ts"))
+    return M.match_one_to_one(purchases, orders, ("user_id", "product"), MATCH_SECONDS)
