@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.functions import parse as P
+from strata.operators import history as H
 from strata.operators import marts as M
 from strata.plans import derive as D
 from strata.plans.mart_queries import (
@@ -24,6 +25,7 @@ from strata.plans.mart_queries import (
     round_columns,
     status_arrivals,
 )
+from strata.plans.reconcile_queries import STRAY_SQL
 from strata.plans.registry import ORACLE_SQL, register
 from strata.schemas import CLICKSTREAM_SCHEMA
 from strata.session import scratch_path
@@ -222,3 +224,58 @@ def q_stream_sessions(spark, sf_dir):
 
     runner.run_in_arrivals([arrivals], start)
     return spark.read.parquet(f"{base}/data").where(F.col("user_id").isNotNull())
+
+
+# Orders are placed a second apart, and their lines ship so many hours later.
+SHIP_WITHIN_SECONDS = 8 * 3_600
+
+
+@register("stream_outer_reconcile", sql=f"""
+WITH s AS (SELECT k, count(*) AS n FROM ({STRAY_SQL}) WHERE k <> 0 GROUP BY k),
+o AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey <> 0)
+SELECT coalesce(o.k, s.k) AS order_id,
+  CASE WHEN s.k IS NULL THEN 'missing_shipment' WHEN o.k IS NULL THEN 'orphan_shipment' ELSE 'matched' END AS status,
+  CAST(coalesce(n, 0) AS BIGINT) AS shipment_rows
+FROM o FULL JOIN s ON o.k = s.k
+""")
+def q_stream_outer_reconcile(spark, sf_dir):
+    """J2, B12 (stream): orders and shipments arrive in four batches of time;
+    missing and orphan rows leave the join's state when the watermark passes
+    them. The last batch holds one row a side far in the future, which
+    closes the day for all others."""
+    start = F.lit("2024-01-01").cast("timestamp")
+    end = F.lit("2200-01-01").cast("timestamp")
+
+    def closing(key):
+        return spark.range(1).select(F.lit(key).cast("bigint").alias("key"), end.alias("ts"), F.lit(3).cast("bigint").alias("arrival"))
+
+    arrival = F.least(F.lit(2), F.expr("abs(key) div 5000"))
+    orders = read_table(spark, sf_dir, "orders", "o_orderkey").select(F.col("o_orderkey").alias("key"))
+    orders = orders.select("key", (start + F.make_dt_interval(secs=F.col("key"))).alias("ts"), arrival.alias("arrival"))
+    lines = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")
+    lines = D.stray_shipments(lines).select(F.col("l_orderkey").alias("key"), "l_linenumber")
+    lines = lines.select("key", (start + F.make_dt_interval(hours=F.col("l_linenumber"), secs=F.abs("key"))).alias("ts"), arrival.alias("arrival"))
+    sides = [runner.Arrivals(spark, f"stream_outer_{name}", rows.unionByName(closing(key)), F.col("arrival"), 4)
+             for name, rows, key in (("orders", orders, -1), ("lines", lines, -2))]
+    base = scratch_path(spark, "stream_outer_reconcile")
+
+    def begin(o, s):
+        joined = ST.reconcile_outer_stream(o, "key", "ts", s, "key", "ts", SHIP_WITHIN_SECONDS, WATERMARK)
+        return (joined.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint")
+                .trigger(availableNow=True).start(f"{base}/data"))
+
+    runner.run_in_arrivals(sides, begin)
+    return spark.read.parquet(f"{base}/data").groupBy("order_id", "status").agg(
+        F.sum(F.when(F.col("status") != "missing_shipment", 1).otherwise(0)).alias("shipment_rows"))
+
+
+@register("scd2_incremental", sql=ORACLE_SQL["scd2_history"])
+def q_scd2_incremental(spark, sf_dir):
+    """B8, incremental: events arrive in three batches that interleave in time,
+    so two thirds of the changes are late and split intervals that are there."""
+    changes = runner.Arrivals(spark, "scd2_incremental", read_table(
+        spark, sf_dir, "events", "user_id", "ts", "event_id", "event_type", "value"), F.col("event_id") % 3, 3)
+    base = scratch_path(spark, "scd2_incremental")
+    runner.run_in_arrivals([changes], lambda stream: H.history_stream(
+        stream, f"{base}/history", f"{base}/checkpoint", ["user_id"], "ts", ["event_id"]))
+    return H.read_history(spark, f"{base}/history")

@@ -201,6 +201,29 @@ def reconcile_rows(orders: DataFrame, shipments: DataFrame, order_key: str, ship
     return o.unionByName(s.where(truthy_key(s, "order_id", zero_is_missing)))
 
 
+def reconcile_outer_stream(orders: DataFrame, order_key: str, order_ts: str, shipments: DataFrame, shipment_key: str,
+                           shipment_ts: str, within_seconds: int, delay: str, zero_is_missing: bool = True) -> DataFrame:
+    """J2, B12 (stream): every order with its shipments, and whatever stays alone on either side.
+
+    A stream-stream full outer join: a pair is emitted at once (``matched``);
+    an order that no shipment names from its time on until ``within_seconds``
+    later is emitted as ``missing_shipment``, and a shipment without such an
+    order as ``orphan_shipment``, once the watermark has passed the bound.
+    Their state leaves with them, so it holds the rows of the bound alone.
+    Keys that do not count as present are left out, as in the batch form.
+    """
+    from strata.functions.keys import comparable_key, truthy_key
+    o = orders.select(comparable_key(orders, order_key, shipments, shipment_key, zero_is_missing).alias("_ok"),
+                      as_instant(orders, order_ts).alias("_ot")).withWatermark("_ot", delay)
+    s = shipments.select(comparable_key(shipments, shipment_key, orders, order_key, zero_is_missing).alias("_sk"),
+                         as_instant(shipments, shipment_ts).alias("_st")).withWatermark("_st", delay)
+    o, s = o.where(truthy_key(o, "_ok", zero_is_missing)), s.where(truthy_key(s, "_sk", zero_is_missing))
+    bound = F.expr(f"INTERVAL {within_seconds} SECONDS")
+    pair = (F.col("_ok") == F.col("_sk")) & (F.col("_st") >= F.col("_ot")) & (F.col("_st") <= F.col("_ot") + bound)
+    status = (F.when(F.col("_sk").isNull(), "missing_shipment").when(F.col("_ok").isNull(), "orphan_shipment").otherwise("matched"))
+    return o.join(s, pair, "full_outer").select(F.coalesce("_ok", "_sk").alias("order_id"), status.alias("status"))
+
+
 def count_log(rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """E5 (stream): append each micro-batch's counts per key to ``<path>/batch_id=<n>``.
 
