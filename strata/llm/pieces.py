@@ -21,6 +21,7 @@ class PieceModel:
         self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
         size = self.sp.get_piece_size()
         self.is_byte = np.array([self.sp.is_byte(i) for i in range(size)], dtype=bool)
+        self.letters = np.array([0 if self.is_byte[i] else sum(map(str.isalpha, self.sp.id_to_piece(i))) for i in range(size)], dtype=np.int64)
         special = np.array([self.sp.is_control(i) or self.sp.is_unknown(i) for i in range(size)], dtype=bool)
         # Normalised bytes that each piece covers; -1 where the text decides (an unknown character).
         self.piece_bytes = np.array([len(self.sp.id_to_piece(i).encode()) for i in range(size)], dtype=np.int64)

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +52,9 @@ class Band:
     # Entropy over characters per token. Where a script is spelt letter by letter, or in pairs of letters, letters
     # drawn at random cost more bits a character than words do.
     max_bits_per_char: float = math.inf
+    # Digits and marks take about a token each in any text, so that a table, a list of references or a log has few
+    # characters per token. Where they abound, letters decide: those of pieces that hold any.
+    min_letters_per_piece: float = math.inf
 
 
 # Set from clean text: the documents (Latin: 13 of 9086 below 2.0 characters per token, 3.51 bits a character at
@@ -59,9 +62,9 @@ class Band:
 # Russian ones 1.27 to 1.58, mojibake 1.10 at most). Scripts from Greek on are spelt letter by letter, so that
 # their own letters in random order differ little from text; what tells them is bytes and bits a character.
 BANDS: dict[str, Band] = {
-    "Latin": Band(1.9, 9.0, 0.2, 2.5, 3.65),
+    "Latin": Band(1.9, 9.0, 0.2, 2.5, 3.65, 1.6),
     "Latin marked": Band(1.2, 9.0, 0.25, 2.5),
-    "Cyrillic": Band(1.9, 7.0, 0.2, 2.5, 3.8),
+    "Cyrillic": Band(1.9, 7.0, 0.2, 2.5, 3.8, 1.6),
     "Cyrillic marked": Band(1.42, 7.0, 0.2, 2.5),
     "Greek": Band(0.9, 6.0, 0.25, 2.5, 4.75),
     "Arabic": Band(0.85, 6.0, 0.25, 2.5, 4.85),
@@ -75,9 +78,14 @@ BANDS: dict[str, Band] = {
     # Languages that the vocabulary may spell in bytes throughout.
     "other": Band(0.25, 9.0, 0.99, 2.0),
 }
+# ASCII digits and marks abound from this share of all characters but spaces; below the other share of letters there is
+# no telling by letters, and a column of numbers is taken as it is. Clean text rich in marks (tables, references, logs,
+# records, code) has 1.8 letters a piece and more, noise 1.4 at most (hex strings).
+MANY_MARKS, FEW_LETTERS = 0.25, 0.05
 # Letters beyond the common ones of their script, and the share of all its letters from which a text is "marked".
 MARKED = {"Latin": (regex.compile(r"(?V1)[\p{Script=Latin}--[A-Za-z]]"), _LATIN, 0.10),
           "Cyrillic": (regex.compile(r"(?V1)[\p{Script=Cyrillic}--[\u0400-\u045f]]"), regex.compile(r"\p{Script=Cyrillic}+"), 0.03)}
+_MARKS = np.array([c for c in range(33, 127) if not chr(c).isalpha()])
 # Above 2 ** EVEN_FROM tokens a text repeats some: each doubling costs it EVEN_COST bits of the possible at least.
 EVEN_FROM, EVEN_COST = 7, 0.25
 
@@ -172,22 +180,42 @@ def fertility(model: PieceModel, text: str, ids: np.ndarray) -> tuple[int, float
     return (n, len(text) / n, float(np.count_nonzero(model.is_byte[ids])) / n, float(-(p * np.log2(p)).sum()) + 0.0)
 
 
+def rich_in_marks(model: PieceModel, text: str, ids: np.ndarray, band: Band) -> bool:
+    """Whether digits and marks abound in a text whose letters are spelt as words are."""
+    if math.isinf(band.min_letters_per_piece):
+        return False
+    shown = len(text) - sum(map(text.count, WHITE_SPACE))
+    ascii_bytes = np.bincount(np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8), minlength=256)
+    if ascii_bytes[_MARKS].sum() < MANY_MARKS * shown:
+        return False
+    letters = model.letters[ids]
+    pieces = np.count_nonzero(letters)
+    return letters.sum() < FEW_LETTERS * shown or letters.sum() >= band.min_letters_per_piece * pieces
+
+
 def verdict(params: QualityParams, script: str, tokens: int, chars_per_token: float, byte_share: float,
-            entropy: float, text: str = "") -> str | None:
-    """The band that a document breaks, or None. ``text`` tells whether the band for marked letters holds."""
+            entropy: float, text: str = "", ids: np.ndarray | None = None, model: PieceModel | None = None) -> str | None:
+    """The band that a document breaks, or None. ``text`` tells whether the band for marked letters holds, ``ids``
+    whether it is rich in digits and marks: then neither limit that counts characters per token holds."""
     if tokens < params.min_tokens:
         return None
     figures = (tokens, chars_per_token, byte_share, entropy)
-    reason = _broken(params.bands.get(script, params.bands["other"]), *figures)
+    band = params.bands.get(script, params.bands["other"])
+    reason = _broken(band, *figures)
+    if reason == TOO_FEW and model is not None and rich_in_marks(model, text, ids, band):
+        return _broken(replace(band, min_chars_per_token=0.0, max_bits_per_char=math.inf), *figures)
     marked = params.bands.get(f"{script} marked")
     if reason and marked and is_marked(script, text):
         return _broken(marked, *figures)
     return reason
 
 
+TOO_FEW = "too few characters per token"
+
+
 def _broken(band: Band, tokens: int, chars_per_token: float, byte_share: float, entropy: float) -> str | None:
     if chars_per_token < band.min_chars_per_token:
-        return "too few characters per token"
+        return TOO_FEW
     if chars_per_token > band.max_chars_per_token:
         return "too many characters per token"
     if byte_share > band.max_byte_share:
@@ -233,7 +261,7 @@ def quality_figures(docs: DataFrame, model_path: str, params: QualityParams | No
             failed = base[0] < params.min_words or 100 * base[4] > params.max_repeat_percent * base[0]
             script = script_of(text)
             figures = fertility(model, text, ids)
-            reason = "base rules" if failed else verdict(params, script, *figures, text)
+            reason = "base rules" if failed else verdict(params, script, *figures, text, ids, model)
             rows.append((*base, failed, script, *figures, reason, reason is None))
         out = {c: batch.column(c) for c in keep}
         out.update(zip(figure_names, zip(*rows) if rows else [[] for _ in figure_names]))

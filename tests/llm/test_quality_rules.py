@@ -154,6 +154,44 @@ def test_bands_tell_noise_from_text_per_script(spark):
     assert [x for x in junk if got[x].kept] == []
 
 
+def rich_in_marks():
+    """(name, text): tables, references, code, logs and lists as they stand in clean documents."""
+    draw = random.Random(3)
+    n = draw.randrange
+    states = "Alabama Alaska Arizona Arkansas California Colorado Connecticut Delaware Florida Georgia Hawaii Idaho Illinois Indiana Iowa".split()
+    yield "census table", "\n".join(f"{s}\t{n(10 ** 3, 10 ** 6)}\t{n(10 ** 3, 10 ** 6)}\t{n(1000) / 10}\t{n(10000) / 100}" for s in states)
+    papers = [("Knuth, D. E.", "The art of computer programming"), ("Codd, E. F.", "A relational model of data for large shared data banks"),
+              ("Gray, J. N.", "Notes on data base operating systems"), ("Dijkstra, E. W.", "Self-stabilizing systems")]
+    yield "references", "\n".join(f"[{i}] {a} ({n(1960, 2024)}). {t}. Commun. ACM, {n(1, 90)}({n(1, 12)}), {n(1, 900)}-{n(901, 999)}. doi:10.{n(1000, 9999)}/{n(10 ** 6)}"
+                                  for i, (a, t) in enumerate(papers * 2))
+    yield "citations", ("Smith J, Jones AB, Li X. N Engl J Med 2019;381:1456-65. PMID 31597020. Doe RT, Roe KL. Lancet 2020;395:497-506. Ann Intern Med "
+                        "2018;169:467-73. JAMA 2017;318(2):1243-52. BMJ 2016;354:i4482. Nature 2015;521:436-44. Science 2014;346:1258096.")
+    yield "C code", ("#include <stdio.h>\nint main(int argc, char **argv) {\n  for (int i = 0; i < argc; ++i) {\n    if (argv[i][0] == '-') continue;\n"
+                     "    printf(\"%s\\n\", argv[i]);\n  }\n  return 0;\n}\nstatic inline uint32_t rotl(uint32_t x, int8_t r) { return (x << r) | (x >> (32 - r)); }\n")
+    yield "assembly", "mov eax, 1\nxor ebx, ebx\nint 0x80\npush ebp\nmov ebp, esp\nsub esp, 0x10\nlea eax, [ebp-0x8]\ncall 0x8048400\nadd esp, 0x10\nleave\nret\n"
+    yield "access log", "\n".join(f"2024-01-{n(10, 30)}T{n(10, 24)}:{n(10, 60)}:{n(10, 60)}Z 10.0.{n(256)}.{n(256)} GET /api/v1/items/{n(10 ** 5)} "
+                                  f"{draw.choice((200, 404, 500))} {n(10, 3000)}ms" for _ in range(30))
+    yield "price list", "\n".join(f"{draw.choice(('Apples', 'Pears', 'Plums', 'Bread', 'Milk 3.5%', 'Butter'))} ${n(900) / 100} / {draw.choice(('kg', 'lb', 'each'))}" for _ in range(30))
+    yield "results", "\n".join(f"{n(1, 29)} {draw.choice(('Jan', 'Feb', 'Mar'))} 2023 18:{n(10, 60)} {draw.choice(('Leeds', 'Lyon', 'Porto'))} - "
+                               f"{draw.choice(('Ajax', 'Roma', 'Celtic'))} {n(5)}:{n(5)}" for _ in range(20))
+    yield "JSON records", "\n".join(f'{{"id": {n(9999)}, "name": "{draw.choice(("bolt", "nut", "gear", "shaft"))}", "price": {n(5000) / 100}}}' for _ in range(20))
+    yield "table of contents", "\n".join(f"{i}.{j} {draw.choice(('Introduction', 'Related work', 'Method', 'Results'))} ........ {10 * i + j}" for i in range(1, 8) for j in range(1, 5))
+    yield "numbers", " ".join(str(n(10 ** 6)) for _ in range(100))
+    yield "Russian table", "\n".join(f"{c}\t{n(10 ** 6)}\t{n(10 ** 6)}" for c in "Москва Казань Самара Омск Пермь Уфа Тула Псков Тверь Орёл".split() * 2)
+
+
+def test_tables_references_code_and_lists_are_kept(spark):
+    clean = dict(rich_in_marks())
+    draw = random.Random(4)
+    junk = {"hex": " ".join("".join(draw.choice("0123456789abcdef") for _ in range(32)) for _ in range(40)),
+            "base64 and marks": " ".join(base64.b64encode(draw.randbytes(9)).decode() + "+/=#;" for _ in range(250)),
+            "printable": " ".join("".join(chr(draw.randrange(33, 127)) for _ in range(8)) for _ in range(250))}
+    docs = spark.createDataFrame([*clean.items(), *junk.items()], "doc_id string, text string")
+    got = {r.doc_id: r for r in quality_figures(docs, MODEL, QualityParams(max_repeat_percent=100)).collect()}
+    assert {x: (got[x].reason, got[x].chars_per_token) for x in clean if not got[x].kept} == {}
+    assert [x for x in junk if got[x].kept] == []
+
+
 def test_evenly_drawn_tokens_have_too_much_entropy(spark):
     sp, draw = sentencepiece.SentencePieceProcessor(model_file=MODEL), random.Random(11)
     whole = [p[1:] for p in map(sp.id_to_piece, range(sp.get_piece_size())) if re.fullmatch("▁[a-z]{4,}", p)]
