@@ -6,6 +6,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from strata.llm.source_mix import mix_sources, newton_multipliers, take_copies
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -69,16 +71,65 @@ def test_reruns_agree_whatever_the_partitions(spark):
     assert first == again
 
 
-@pytest.mark.parametrize("ratio", [1e-9, 0.01, 0.5, 1.0, 2.0, 3.0, 1000.0])
-def test_newton_reaches_the_minimum(spark, ratio):
-    frame_ = spark.createDataFrame([("s", 100, 100 * ratio), ("empty", 0, 0.0)], "source string, source_size long, target double")
-    got = {r.source: r["lambda"] for r in newton_multipliers(frame_).collect()}
-    assert math.isclose(got["s"], math.log(ratio), abs_tol=1e-9) and got["empty"] is None
+def words_at(cells, scale, multiplier, cap):
+    return sum(n * min(cap, math.exp(min(5.0, multiplier * size / scale))) * size for size, n in cells)
+
+
+@pytest.mark.parametrize("cap", [3.0, 1.5])
+def test_newton_reaches_the_minimum_of_the_dual(spark, cap):
+    """Multipliers against bisection, for targets from almost nothing to almost the cap."""
+    rng = random.Random(9)
+    cells = {s: [(int(rng.paretovariate(1.1) * 3) + i, rng.randrange(1, 40)) for i in range(0, 60, rng.randrange(1, 4))]
+             for s in ("a", "b", "c", "d", "e", "f", "g")}
+    cells = {s: list(dict(v).items()) for s, v in cells.items()}
+    ratios = dict(zip(cells, (1e-3, 0.05, 0.5, 1.0, 0.8 * cap, 0.999 * cap, cap)))
+    size = {s: sum(k * n for k, n in v) for s, v in cells.items()}
+    sources = spark.createDataFrame([(s, size[s], ratios[s] * size[s]) for s in cells] + [("empty", 0, 0.0)],
+                                    "source string, source_size long, target double")
+    frame_ = spark.createDataFrame([(s, k, n) for s, v in cells.items() for k, n in v] + [("empty", 0, 5)], "source string, size long, n long")
+    got = {r.source: r for r in newton_multipliers(sources, frame_, cap).collect()}
+    assert got["empty"]["lambda"] is None and got["g"]["lambda"] is None
+    for s in "abcdef":
+        scale = size[s] / sum(n for _, n in cells[s])
+        low, high = -50 * scale, math.log(cap) * scale + 1
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if words_at(cells[s], scale, mid, cap) < ratios[s] * size[s] else (low, mid)
+        assert math.isclose(words_at(cells[s], scale, got[s]["lambda"], cap), ratios[s] * size[s], rel_tol=1e-8)
+        assert math.isclose(got[s]["lambda"], low, rel_tol=1e-5, abs_tol=1e-6), s
+
+
+def test_rates_tilt_per_document(spark):
+    """Of one source, longer documents have rates exponentially above (or below) those of shorter ones, up to the cap."""
+    rows = [(i, " ".join(["w"] * (1 + i % 50)), "grows") for i in range(1000)] + [(1000 + i, " ".join(["w"] * (1 + i % 50)), "shrinks") for i in range(2000)]
+    got = mix_sources(frame(spark, rows), (1.0, 1.0)).collect()
+    for source, sign in (("grows", 1), ("shrinks", -1)):
+        rate = {r.size: r.rate for r in got if r.source == source}
+        slopes = {s: math.log(x) / s for s, x in rate.items() if 0.01 < x < 3}
+        assert len(slopes) > 3 and all(v * sign > 0 for v in slopes.values())
+        assert max(slopes.values()) - min(slopes.values()) < 1e-3
+    assert max(r.rate for r in got) <= 3
+
+
+def test_a_third_of_the_rows_without_ids_is_spread(spark):
+    """Equal rows with null ids are counted, and numbered in buckets, never as one window."""
+    rows = spark.range(6000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 == 0, "the same text").otherwise(
+        F.concat_ws(" ", F.lit("text"), F.col("id"))).alias("text"), F.lit("s").alias("source"))
+    mixed = mix_sources(rows, (1.0,)).collect()
+    assert len(mixed) == 6000 and sum(r.taken for r in mixed) == sum(r.size for r in mixed)
+    from strata.llm import source_mix as X
+    measured = rows.select(F.col("doc_id").alias("id"), "source", X.word_count(F.col("text")).alias("size"), F.md5("text").alias("text_key"),
+                           F.monotonically_increasing_id().alias("row"))
+    groups = measured.groupBy("source", "size", "id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    placed = X._places(measured, groups).where("size = 3").orderBy("place").collect()
+    assert [r.place for r in placed] == list(range(1, 2001))
+    plan = X._places(measured, groups)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("row_number()") == 1 and "salt" in plan
 
 
 def test_sources_without_words(spark):
     got = mix_sources(frame(spark, [(1, None, "a"), (2, "", "b")]), WEIGHTS).collect()
-    assert [(r.size, r.target, r.taken) for r in got] == [(0, 0.0, 0)] * 2
+    assert [(r.size, r.target, r.copies, r.taken) for r in got] == [(0, 0.0, 1, 0)] * 2
 
 
 def test_rows_are_taken_as_often_as_their_copies(spark):
