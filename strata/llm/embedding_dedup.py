@@ -17,8 +17,9 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -81,15 +82,29 @@ def _unit(data: list[bytes]) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
-def _hashes(rows: np.ndarray, signs: int, tables: int, seed: int) -> np.ndarray:
-    """hashes[i, t]: the signs of row i in table t as an integer."""
-    planes = np.random.default_rng([seed, rows.shape[1]]).standard_normal((rows.shape[1], tables * signs))
-    bits = (rows @ planes >= 0).reshape(len(rows), tables, signs)
+# Scales at which unit vectors and hyperplanes are whole numbers: their products are exact in doubles, so the side of
+# a hyperplane does not depend on the order of a sum, and a hash found again in another task is the same.
+ROW_SCALE, PLANE_SCALE = 1 << 20, 1 << 10
+
+
+@lru_cache(maxsize=4)
+def _planes(dimension: int, signs: int, tables: int, seed: int) -> np.ndarray:
+    return np.rint(np.random.default_rng([seed, dimension]).standard_normal((dimension, tables * signs)) * PLANE_SCALE)
+
+
+def _hashes(rows: np.ndarray, signs: int, tables: int, seed: int, upto: int | None = None) -> np.ndarray:
+    """hashes[i, t]: the signs of row i in table t as an integer, for the first ``upto`` tables."""
+    upto = tables if upto is None else upto
+    planes = _planes(rows.shape[1], signs, tables, seed)[:, :upto * signs]
+    bits = (np.rint(rows * ROW_SCALE) @ planes >= 0).reshape(len(rows), upto, signs)
     return bits @ (np.int64(1) << np.arange(signs, dtype=np.int64))
 
 
 def _bucket_rows(classes: DataFrame, signs: int, tables: int, seed: int) -> DataFrame:
-    """(bucket, node, copies, vector, hashes): a row per distinct vector and table."""
+    """(bucket, table, node, copies, vector): a row per distinct vector and table.
+
+    A row holds nothing of the other tables; the few hashes that are asked for later are found again from the vector.
+    """
     def run(batch: pa.RecordBatch):
         nodes, copies, data = (batch.column(c).to_pylist() for c in ("node", "copies", "vector"))
         lengths = np.array([len(d) for d in data])
@@ -100,15 +115,14 @@ def _bucket_rows(classes: DataFrame, signs: int, tables: int, seed: int) -> Data
                 part = some[at:at + 512]
                 vectors = [data[i] for i in part]
                 hashes = _hashes(_unit(vectors), signs, tables, seed)
-                packed = [h.astype("<i8").tobytes() for h in hashes]
                 for t in range(tables):
                     # Table, dimension and hash in one key.
                     yield {"bucket": [f"{t}:{length}:{h}" for h in hashes[:, t].tolist()],
                            "table": [t] * len(part), "node": [nodes[i] for i in part],
-                           "copies": [copies[i] for i in part], "vector": vectors, "hashes": packed}
+                           "copies": [copies[i] for i in part], "vector": vectors}
 
     return map_batches(classes.select("node", "copies", "vector"), run,
-                       "bucket string, table int, node bigint, copies bigint, vector binary, hashes binary")
+                       "bucket string, table int, node bigint, copies bigint, vector binary")
 
 
 _FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
@@ -136,8 +150,12 @@ def found_links(classes: DataFrame, params: NearDupParams) -> DataFrame:
     warm = rows.join(hot, "bucket").select(*rows.columns, own.alias("own"), F.explode(grid).alias("cell"))
     warm = warm.select(*rows.columns, F.col("cell.row").alias("row"), F.col("cell.col").alias("col"), "own")
     dealt = (cold.unionByName(warm).repartition("bucket", "row", "col").sortWithinPartitions("bucket", "row", "col"))
-    threshold = params.threshold
-    names = ("bucket", "row", "col", "own", "table", "node", "copies", "vector", "hashes")
+    threshold, seed = params.threshold, params.seed
+
+    def earlier(unit: np.ndarray, table: int) -> np.ndarray:
+        return _hashes(unit, signs, tables, seed, table)
+
+    names = ("bucket", "row", "col", "own", "table", "node", "copies", "vector")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, []
@@ -145,22 +163,26 @@ def found_links(classes: DataFrame, params: NearDupParams) -> DataFrame:
             for values in zip(*(batch.column(c).to_pylist() for c in names)):
                 if values[:3] != last:
                     if len(held) > 1:
-                        yield from _cell(held, threshold)
+                        yield from _cell(held, threshold, earlier)
                     last, held = values[:3], []
                 held.append(values)
         if len(held) > 1:
-            yield from _cell(held, threshold)
+            yield from _cell(held, threshold, earlier)
 
     return dealt.mapInArrow(search, "a bigint, b bigint, n bigint")
 
 
-def _cell(rows: list[tuple], threshold: float) -> Iterator[pa.RecordBatch]:
+def _slices(i: np.ndarray, j: np.ndarray, size: int = 65_536) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for at in range(0, len(i), size):
+        yield i[at:at + size], j[at:at + size]
+
+
+def _cell(rows: list[tuple], threshold: float, earlier: Callable[[np.ndarray, int], np.ndarray]) -> Iterator[pa.RecordBatch]:
     """Links within a bucket, or between the two blocks of a cell."""
-    _, row, col, _, table, _, _, _, _ = rows[0]
+    _, row, col, _, table, _, _, _ = rows[0]
     nodes = np.array([r[5] for r in rows], dtype=np.int64)
     copies = np.array([r[6] for r in rows], dtype=np.int64)
     unit = _unit([r[7] for r in rows])
-    hashes = np.frombuffer(b"".join(r[8] for r in rows), dtype="<i8").reshape(len(rows), -1)[:, :table]
     own = np.array([r[3] for r in rows])
     left = np.flatnonzero(own == row)
     right = np.flatnonzero(own == col)
@@ -175,9 +197,12 @@ def _cell(rows: list[tuple], threshold: float) -> Iterator[pa.RecordBatch]:
             near &= some[:, None] < right[None, :]
         i, j = np.nonzero(near)
         i, j = some[i], right[j]
-        # Pairs that an earlier table put together were counted there.
-        fresh = ~(hashes[i] == hashes[j]).any(axis=1) if table else np.ones(len(i), dtype=bool)
-        i, j = i[fresh], j[fresh]
+        if table and len(i):
+            # Pairs that an earlier table put together were counted there.
+            ends, at_ends = np.unique(np.concatenate((i, j)), return_inverse=True)
+            hashes = earlier(unit[ends], table)
+            fresh = np.concatenate([~(hashes[x] == hashes[y]).any(axis=1) for x, y in _slices(at_ends[:len(i)], at_ends[len(i):])])
+            i, j = i[fresh], j[fresh]
         np.add.at(links, i, copies[j])
         np.add.at(links, j, copies[i])
         for x in np.unique(i):

@@ -80,3 +80,21 @@ def test_rows_without_ids_and_shared_ids(spark):
 
 def test_empty_table(spark):
     assert got_of(spark, [], NearDupParams()) == []
+
+
+def test_a_row_of_the_shuffle_does_not_grow_with_the_tables(spark):
+    from strata.llm import embedding_dedup as X
+    rows = spark.createDataFrame([(i, [float(i % 7), float(i), 1.0]) for i in range(1, 40)], "vec_id long, embedding array<double>")
+    clean = X.clean_vectors(rows).selectExpr("vec_id AS node", "1L AS copies", "vector")
+    few, many = (X._bucket_rows(clean, 8, tables, 7) for tables in (3, 40))
+    size = "max(length(bucket) + length(vector))"
+    assert set(few.columns) == {"bucket", "table", "node", "copies", "vector"} and many.count() == 40 * 39
+    assert many.selectExpr(size).first()[0] <= few.selectExpr(size).first()[0] + 1
+
+
+def test_hashes_do_not_depend_on_the_rows_beside(spark):
+    from strata.llm import embedding_dedup as X
+    rows = np.random.default_rng(3).standard_normal((200, 48))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    whole = X._hashes(rows, 12, 20, 7)
+    assert all((X._hashes(rows[i:i + 1], 12, 20, 7, 9)[0] == whole[i, :9]).all() for i in range(200))
