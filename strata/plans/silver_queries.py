@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,10 +13,11 @@ from strata.functions import flatten as FL
 from strata.operators import normalize as N
 from strata.plans import derive as D
 from strata.plans.registry import register
-from strata.schemas import bronze_ddl
+from strata.schemas import BRONZE_SCHEMAS
 from strata.session import scratch_path
 from strata.sinks import files as sinks
 from strata.sources.tables import read_table
+from strata.streaming import bronze as B
 
 
 def _order_docs(spark, sf_dir, ragged=False):
@@ -191,18 +195,125 @@ def q_run_summary(spark, sf_dir):
         {"shipping_payload": read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")}, MAX_MESSAGES)
 
 
-@register("bronze_columns", sql="""
-SELECT lower(event_type) || '_events' AS source, 'event_id,event_time,_ingested_at' AS columns, CAST(count(*) AS BIGINT) AS "rows"
-FROM events GROUP BY event_type
-""")
+# What the bronze tables hold, in SQL: column, type and when a record has a value.
+_BRONZE_SQL = """
+SELECT source, CAST(position AS INTEGER) AS position, name, type, CAST(count(*) FILTER (filled) AS BIGINT) AS filled FROM (
+  SELECT 'clickstream_events' AS source, c.* FROM events, LATERAL (VALUES
+    (1, 'event_id', 'string', true), (2, 'event_time', 'string', true), (3, 'user_id', 'int', event_id % 23 <> 0),
+    (4, 'session_id', 'string', true), (5, 'event_type', 'string', true), (6, 'product_id', 'int', true),
+    (7, 'category', 'string', event_id % 7 <> 0), (8, 'device_type', 'string', false), (9, 'country', 'string', true),
+    (10, 'price', 'double', true), (11, 'quantity', 'int', event_type = 'purchase'), (12, '_ingested_at', 'timestamp', true)
+  ) c(position, name, type, filled)
+  UNION ALL
+  SELECT 'order_changes', c.* FROM orders, LATERAL (VALUES
+    (1, 'order_id', 'int', true), (2, 'user_id', 'int', true), (3, 'product_id', 'int', o_orderkey % 5 <> 0),
+    (4, 'quantity', 'int', true), (5, 'total_amount', 'double', true), (6, 'order_status', 'string', true),
+    (7, 'payment_status', 'string', o_orderkey % 3 <> 0), (8, 'order_placed_at', 'string', true), (9, '_ingested_at', 'timestamp', true)
+  ) c(position, name, type, filled)
+  UNION ALL
+  SELECT 'shipment_data', c.* FROM lineitem, LATERAL (VALUES
+    (1, 'order_id', 'int', true), (2, 'carrier', 'string', true), (3, 'tracking_number', 'string', true), (4, 'status', 'string', true),
+    (5, 'status_last_updated_at', 'string', l_linenumber % 2 = 0), (6, 'events', 'array<struct<event:string,time:string>>', true),
+    (7, '_ingested_at', 'timestamp', true)
+  ) c(position, name, type, filled)
+  UNION ALL
+  SELECT 'server_logs', c.* FROM events, LATERAL (VALUES
+    (1, 'timestamp', 'string', true), (2, 'ip', 'string', true), (3, 'service', 'string', true), (4, 'method', 'string', event_id % 2 = 0),
+    (5, 'path', 'string', true), (6, 'status_code', 'int', true), (7, 'latency_ms', 'int', true), (8, '_ingested_at', 'timestamp', true)
+  ) c(position, name, type, filled)
+) GROUP BY ALL
+"""
+
+
+def _bronze_messages(spark, sf_dir):
+    """JSON messages of every bronze source, some without a field."""
+    events = read_table(spark, sf_dir, "events")
+    eid, product = F.col("event_id"), D.product_id(events)
+    clicks = F.struct(
+        eid.cast("string").alias("event_id"), F.col("ts").cast("string").alias("event_time"),
+        F.when(eid % 23 != 0, F.col("user_id")).alias("user_id"),
+        F.concat(F.lit("s-"), eid).alias("session_id"), "event_type", product.alias("product_id"),
+        F.when(eid % 7 != 0, F.concat(F.lit("c-"), product)).alias("category"), F.lit("C1").alias("country"),
+        F.col("value").alias("price"), F.when(F.col("event_type") == "purchase", F.lit(1)).alias("quantity"))
+    logs = F.struct(
+        F.col("ts").cast("string").alias("timestamp"), F.lit("10.0.0.1").alias("ip"), D.log_service(F.col("event_type")).alias("service"),
+        F.when(eid % 2 == 0, F.lit("GET")).alias("method"), D.log_path(F.col("event_type")).alias("path"),
+        F.lit(200).alias("status_code"), (eid % 900).cast("int").alias("latency_ms"))
+    key = F.col("o_orderkey")
+    orders = F.struct(
+        key.alias("order_id"), F.col("o_custkey").alias("user_id"), F.when(key % 5 != 0, key % 100).alias("product_id"),
+        (key % 7).alias("quantity"), F.col("o_totalprice").alias("total_amount"), F.col("o_orderstatus").alias("order_status"),
+        F.when(key % 3 != 0, F.lit("PAID")).alias("payment_status"), F.col("o_orderdate").cast("string").alias("order_placed_at"))
+    line = F.col("l_linenumber")
+    ships = F.struct(
+        F.col("l_orderkey").alias("order_id"), F.concat(F.lit("carrier-"), F.col("l_suppkey") % 4).alias("carrier"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("tracking_number"), F.col("l_linestatus").alias("status"),
+        F.when(line % 2 == 0, F.col("l_shipdate").cast("string")).alias("status_last_updated_at"),
+        F.array(F.struct(F.lit("DELIVERED").alias("event"), F.col("l_shipdate").cast("string").alias("time"))).alias("events"))
+    return {"clickstream_events": events.select(F.to_json(clicks).alias("value")),
+            "order_changes": read_table(spark, sf_dir, "orders").select(F.to_json(orders).alias("value")),
+            "shipment_data": read_table(spark, sf_dir, "lineitem").select(F.to_json(ships).alias("value")),
+            "server_logs": events.select(F.to_json(logs).alias("value"))}
+
+
+@register("bronze_columns", sql=_BRONZE_SQL)
 def q_bronze_columns(spark, sf_dir):
-    """A bronze table's DDL is made from a schema; events land by
-    type in views of that DDL and are counted per source."""
-    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_time", T.TimestampNTZType())])
-    typed = T._parse_datatype_string(bronze_ddl(schema))
-    rows = read_table(spark, sf_dir, "events", "event_id", "ts", "event_type").select(
-        F.concat(F.lower("event_type"), F.lit("_events")).alias("source"),
-        F.struct("event_id", F.col("ts").alias("event_time"), F.current_timestamp().alias("_ingested_at"))
-        .cast(typed).alias("row"))
-    return rows.groupBy("source").agg(F.count("row").alias("rows")).select(
-        "source", F.lit(",".join(typed.fieldNames())).alias("columns"), "rows")
+    """Every bronze table is created from its schema's DDL, the parsed
+    messages land in it, and its columns are listed with the number of
+    records that have a value."""
+    base = scratch_path(spark, "bronze-columns")
+    parts = []
+    for source, raw in _bronze_messages(spark, sf_dir).items():
+        table = B.ensure_table(spark, f"strata_columns.{source}_{base.rsplit('-', 1)[-1]}", BRONZE_SCHEMAS[source], f"{base}/{source}")
+        shape = spark.table(table).schema
+        spark.sql(f"DROP TABLE {table}")  # the files of an external table stay
+        B.json_bronze(raw, BRONZE_SCHEMAS[source], drop_malformed=False).select(*shape.names).write.mode("append").parquet(f"{base}/{source}")
+        rows = spark.read.schema(shape).parquet(f"{base}/{source}")
+        columns = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"),
+                                     F.count(f"`{f.name}`").alias("filled")) for i, f in enumerate(shape, 1)])
+        parts.append(rows.agg(columns.alias("c")).select(F.lit(source).alias("source"), F.explode("c").alias("c")).select("source", "c.*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+ORDERS_PER_FILE = 1000
+
+
+@register("silver_increments", sql=f"""
+WITH o AS (
+  SELECT o_orderkey // {ORDERS_PER_FILE} AS file, o_orderkey, o_orderstatus, o_custkey,
+         row_number() OVER (PARTITION BY o_orderkey // {ORDERS_PER_FILE} ORDER BY o_orderkey) - 1 AS pos
+  FROM orders)
+SELECT file, CAST(file % 2 AS INTEGER) AS run, CAST(pos AS BIGINT) AS record_index, o_orderkey AS order_id, o_orderstatus AS status,
+       o_custkey AS customer_key, file % 3 = 0 AS unwrapped, false AS quarantined
+FROM o WHERE file % 5 <> 4
+UNION ALL
+SELECT DISTINCT file, CAST(file % 2 AS INTEGER), CAST(NULL AS BIGINT), NULL, NULL, NULL, NULL, true FROM o WHERE file % 5 = 4
+""")
+def q_silver_increments(spark, sf_dir):
+    """Whole, indented JSON documents in nested folders, some of
+    them cut off, come in two arrivals; each run of the folder job reads the
+    new files only and appends records and quarantine."""
+    file = F.expr(f"o_orderkey div {ORDERS_PER_FILE}")
+    record = F.struct(F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"),
+                      F.struct(F.col("o_custkey").alias("key")).alias("customer"))
+    # A file holds a bounded number of orders.
+    docs = (read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_custkey").groupBy(file.alias("file"))
+            .agg(F.sort_array(F.collect_list(record)).alias("records")))
+    pretty = {"pretty": "true"}
+    text = F.when(F.col("file") % 3 == 0, F.to_json(F.struct(F.col("records").alias("shipments")), pretty)).otherwise(F.to_json("records", pretty))
+    docs = docs.select("file", (F.col("file") % 2).cast("int").alias("arrival"), (F.col("file") % 10).alias("shelf"), text.alias("doc"))
+    docs = docs.withColumn("doc", F.when(F.col("file") % 5 == 4, F.expr("left(doc, char_length(doc) div 2)")).otherwise(F.col("doc")))
+    base = scratch_path(spark, "silver-increments")
+    arrived = f"{base}/arrivals"
+    docs.repartition("file").write.parquet(arrived)
+    for run in range(2):
+        new = spark.read.parquet(arrived).where(F.col("arrival") == run).drop("arrival")
+        new.repartition("file").write.mode("append").partitionBy("shelf", "file").text(f"{base}/bronze")
+        jobs.silver_stream_job(spark, f"{base}/bronze", f"{base}/silver", f"{base}/checkpoint", BATCH_SHAPE, glob="part-*")
+    number = F.regexp_extract("dataset", r"file=(\d+)_", 1).cast("bigint")
+    good = jobs.read_silver(spark, f"{base}/silver").select(
+        number.alias("file"), F.col("batch_id").cast("int").alias("run"), "record_index", "order_id", "status", "customer_key",
+        (F.col("source_name") == "shipping").alias("unwrapped"), F.lit(False).alias("quarantined"))
+    bad = jobs.read_quarantine(spark, f"{base}/silver").select(
+        number.alias("file"), F.col("batch_id").cast("int").alias("run"), F.lit(True).alias("quarantined"))
+    return good.unionByName(bad, allowMissingColumns=True)
