@@ -421,3 +421,31 @@ def q_purchases_one_to_one(spark, sf_dir):
         F.col("o_orderkey").alias("order_id"),
         (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(day, F.lit(0), F.lit(0), F.col("o_orderkey") % 86_400)).alias("order_ts"))
     return M.match_one_to_one(purchases, orders, ("user_id", "product"), MATCH_SECONDS)
+
+
+HEALTH_SHARES = (0.5, 0.95, 0.99)
+RANK_ERROR = 0.03
+
+
+@register("service_health_days", sql=f"""
+SELECT service, date_trunc('day', log_ts)::TIMESTAMP AS window_start, CAST(count(*) AS BIGINT) AS requests,
+  CAST(count(*) FILTER (WHERE status_code >= 500) AS BIGINT) AS errors_5xx,
+  CAST(count(*) FILTER (WHERE status_code = 504) AS BIGINT) AS timeouts_504, true AS within_rank_error
+FROM ({_LOGS_SQL}) GROUP BY ALL
+""")
+def q_service_health_days(spark, sf_dir):
+    """B4 by sketches: hourly states merged to days. Beside the exact counts
+    it says whether the three latencies lie within three per cent of their
+    ranks among the day's lines, which are counted exactly."""
+    logs = _parsed_logs(spark, sf_dir)
+    days = M.merged_health(M.health_states(logs, F.col("log_ts")), "day", HEALTH_SHARES)
+    days = days.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    lines = logs.select("service", F.date_trunc("day", "log_ts").cast("timestamp_ntz").alias("window_start"), "latency_ms")
+    per = lines.groupBy("service", "window_start", "latency_ms").agg(F.count(F.lit(1)).alias("n")).join(days, ["service", "window_start"])
+    sums = []
+    for i, share in enumerate(HEALTH_SHARES):
+        at = F.col("latency_at")[i]
+        below, upto = (F.sum(F.when(c, F.col("n")).otherwise(0)) / F.sum("n") for c in (F.col("latency_ms") < at, F.col("latency_ms") <= at))
+        sums.append((below <= share + RANK_ERROR) & (upto >= share - RANK_ERROR))
+    return per.groupBy("service", "window_start", "requests", "errors_5xx", "timeouts_504").agg(
+        reduce(lambda a, b: a & b, sums).alias("within_rank_error"))

@@ -279,3 +279,37 @@ def q_scd2_incremental(spark, sf_dir):
     runner.run_in_arrivals([changes], lambda stream: H.history_stream(
         stream, f"{base}/history", f"{base}/checkpoint", ["user_id"], "ts", ["event_id"]))
     return H.read_history(spark, f"{base}/history")
+
+
+@register("stream_activity_sketches", sql=f"""
+WITH w AS (
+  SELECT date_trunc('minute', ts) - INTERVAL (k) MINUTE AS window_start, CAST(json_extract(props, '$.k') AS INTEGER) AS product_id
+  FROM events, range(0, 5) r(k)),
+c AS (SELECT window_start, product_id, count(*) AS n FROM w GROUP BY ALL)
+SELECT window_start, CAST(sum(n) AS BIGINT) AS events, CAST(least(3, count(*)) AS BIGINT) AS products, true AS within_error
+FROM c GROUP BY window_start
+""")
+def q_stream_activity_sketches(spark, sf_dir):
+    """B3 (stream) by sketches: one state row per slide, whatever the number of
+    products and users. Per window: its events, how many top products there
+    are, and whether their estimates are within the sketch's error bound of
+    the exact counts and no product left out has more than that above them."""
+    events = stream_table(spark, sf_dir, "events")
+    events = events.select("ts", D.product_id(events).alias("product_id"))
+    base = scratch_path(spark, "stream_activity_sketches")
+    slides = ST.windowed_counts(events, "ts", WATERMARK, "1 minute", None, [],
+                                [F.count(F.lit(1)).alias("events"), M.slide_sketch("product_id").alias("sketch")])
+    ST.upsert_log(slides, f"{base}/log", f"{base}/checkpoint").awaitTermination()
+    state = ST.read_upsert_log(spark, f"{base}/log", ["window_start"])
+    top = M.activity_from_sketches(state.withColumnRenamed("window_start", "slide_start"), "5 minutes", "1 minute", 3)
+    table = read_table(spark, sf_dir, "events", "ts", "props")
+    starts = F.array(*[F.date_trunc("minute", "ts").cast("timestamp_ntz") - F.expr(f"INTERVAL {k} MINUTES") for k in range(5)])
+    exact = (table.select(F.explode(starts).alias("window_start"), D.product_id(table).alias("product_id"))
+             .groupBy("window_start", "product_id").agg(F.count(F.lit(1)).alias("n")))
+    both = exact.join(top, ["window_start", "product_id"], "left")
+    bound = M.SKETCH_ERROR / M.SKETCH_ITEMS * F.sum("n")
+    shown = F.col("interactions").isNotNull()
+    return both.groupBy("window_start").agg(
+        F.max("events").alias("events"), F.count("interactions").alias("products"),
+        ((F.coalesce(F.max(F.when(shown, F.abs(F.col("interactions") - F.col("n")))), F.lit(0)) <= bound)
+         & (F.coalesce(F.max(F.when(~shown, F.col("n"))), F.lit(0)) <= F.min("interactions") + bound)).alias("within_error"))
