@@ -418,6 +418,35 @@ def discrepancy(df: DataFrame, kind: str | Column, key: Column, detail: Column,
                      detail.cast("string").alias("detail"), detected_at.alias("detected_at"))
 
 
+TRACKED = ("kind", "key", "severity", "detail", "first_seen", "last_seen", "resolved_at")
+
+
+def track_discrepancies(open_: DataFrame | None, found: DataFrame, run_at: Column) -> DataFrame:
+    """B6 life cycle: what a run at ``run_at`` found, against what was open before it.
+
+    ``open_`` has the ``TRACKED`` columns of unresolved discrepancies, ``found`` those of
+    :func:`discrepancy`. One that is found again keeps its ``first_seen`` and gets the new detail; one that is not found
+    is resolved at the run's time; one that is new, or comes back after it was resolved, is seen first now. It is one
+    null-safe full outer join; resolved rows are not carried on, so the work of a run follows what is open. Rows that
+    are found twice are one.
+    """
+    now = found.groupBy("kind", "key").agg(F.max(F.struct("severity", "detail")).alias("n"))
+    if open_ is None:
+        return now.select("kind", "key", "n.severity", "n.detail", run_at.alias("first_seen"), run_at.alias("last_seen"),
+                          F.lit(None).cast(found.schema["detected_at"].dataType).alias("resolved_at"))
+    before = open_.select(F.col("kind").alias("_kind"), F.col("key").alias("_key"), F.struct(*TRACKED[2:]).alias("b"))
+    both = now.join(before, F.col("kind").eqNullSafe(F.col("_kind")) & F.col("key").eqNullSafe(F.col("_key")), "full_outer")
+    seen, known = F.col("n").isNotNull(), F.col("b").isNotNull()
+
+    def either(new: str, old: str) -> Column:
+        return F.when(seen, F.col(new)).otherwise(F.col(old))
+
+    return both.select(
+        either("kind", "_kind").alias("kind"), either("key", "_key").alias("key"), either("n.severity", "b.severity").alias("severity"),
+        either("n.detail", "b.detail").alias("detail"), F.when(known, F.col("b.first_seen")).otherwise(run_at).alias("first_seen"),
+        F.when(seen, run_at).otherwise(F.col("b.last_seen")).alias("last_seen"), F.when(~seen, run_at).alias("resolved_at"))
+
+
 def discrepancy_counts(discrepancies: DataFrame) -> DataFrame:
     """Counts per kind and severity with subtotals (``rollup``)."""
     return (discrepancies.rollup("severity", "kind").agg(F.count(F.lit(1)).alias("n"))

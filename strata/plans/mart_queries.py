@@ -15,6 +15,8 @@ from strata.operators import reconcile as R
 from strata.plans import derive as D
 from strata.plans.reconcile_queries import STRAY_SQL, _orders, _stray_shipments
 from strata.plans.registry import register
+from strata.session import scratch_path
+from strata.sinks import files as sinks
 from strata.sources.tables import read_table
 
 SESSION_GAP_SECONDS = 30 * 60
@@ -287,6 +289,45 @@ def q_discrepancy_counts(spark, sf_dir):
     return M.discrepancy_counts(_discrepancies(spark, sf_dir))
 
 
+RUNS = ("2024-02-01 00:00:00", "2024-02-02 00:00:00")
+
+
+def _snapshot_sql(lines: str) -> str:
+    return f"""
+  SELECT * FROM (
+    WITH ship AS (SELECT k, count(*) AS n FROM ({lines}) WHERE k <> 0 GROUP BY k),
+    ord AS (SELECT o_orderkey AS k, count(*) AS n FROM orders WHERE o_orderkey <> 0 GROUP BY o_orderkey)
+    SELECT 'missing_shipment' AS kind, 'high' AS severity, CAST(k AS VARCHAR) AS "key", n || ' rows' AS detail FROM ord WHERE k NOT IN (SELECT k FROM ship)
+    UNION ALL SELECT 'duplicate_order', 'medium', CAST(k AS VARCHAR), n || ' rows' FROM ord WHERE n > 1
+    UNION ALL SELECT 'orphan_shipment', 'medium', CAST(k AS VARCHAR), n || ' rows' FROM ship WHERE k NOT IN (SELECT k FROM ord)
+    UNION ALL SELECT 'duplicate_shipment', 'low', CAST(k AS VARCHAR), n || ' rows' FROM ship WHERE n > 1)"""
+
+
+@register("discrepancy_life_cycle", sql=f"""
+WITH a AS ({_snapshot_sql("SELECT l_orderkey AS k FROM lineitem WHERE l_linenumber % 2 = 0")}),
+b AS ({_snapshot_sql(STRAY_SQL)})
+SELECT coalesce(b.kind, a.kind) AS kind, coalesce(b.severity, a.severity) AS severity, coalesce(b.key, a.key) AS "key",
+  coalesce(b.detail, a.detail) AS detail, CASE WHEN a.key IS NULL THEN TIMESTAMP '{RUNS[1]}' ELSE TIMESTAMP '{RUNS[0]}' END AS first_seen,
+  CASE WHEN b.key IS NULL THEN TIMESTAMP '{RUNS[0]}' ELSE TIMESTAMP '{RUNS[1]}' END AS last_seen,
+  CASE WHEN b.key IS NULL THEN TIMESTAMP '{RUNS[1]}' END AS resolved_at
+FROM a FULL JOIN b ON a.kind = b.kind AND a.key = b.key
+""")
+def q_discrepancy_life_cycle(spark, sf_dir):
+    """Two runs of the reconciliation, the first before the odd lines of the
+    shipment feed have come. Discrepancies open in the first run, stay open,
+    are resolved or open anew in the second."""
+    lines = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")
+    early = lines.where(F.col("l_linenumber") % 2 == 0).select(F.col("l_orderkey").alias("order_id"))
+    tracked = None
+    for at, shipments in zip(RUNS, (early, _stray_shipments(spark, sf_dir))):
+        run_at = F.lit(at).cast("timestamp_ntz")
+        keys = R.key_findings(R.key_counts(_orders(spark, sf_dir), shipments))
+        found = M.discrepancy(keys, F.col("kind"), F.col("order_id"), F.concat_ws(" ", F.col("n").cast("string"), F.lit("rows")), run_at)
+        path = sinks.write_table(M.track_discrepancies(tracked, found, run_at), scratch_path(spark, "discrepancy-life-cycle"))
+        tracked = spark.read.parquet(path)
+    return tracked
+
+
 VIEW_WINDOW_SECONDS = 30 * 60
 
 

@@ -75,3 +75,45 @@ def test_a_hot_key_is_spread_over_its_hours(spark):
     assert rows.where("status = 'matched' AND event_id = order_id").count() == 4000
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_discrepancies_open_stay_and_close(spark):
+    def found(rows, day):
+        frame = spark.createDataFrame(rows, "kind string, key string, detail string")
+        at = F.lit(f"2024-01-0{day}").cast("timestamp_ntz")
+        return M.discrepancy(frame, F.col("kind"), F.col("key"), F.col("detail"), at), at
+
+    def step(tracked, rows, day):
+        return M.track_discrepancies(tracked, *found(rows, day))
+
+    def shown(frame):
+        return sorted(((r.kind, r.key, r.detail, r.first_seen.day, r.last_seen.day, r.resolved_at and r.resolved_at.day) for r in frame.collect()), key=str)
+
+    one = step(None, [("missing_shipment", "1", "a"), ("missing_shipment", "2", "a"), ("orphan_shipment", None, "n"), ("orphan_shipment", None, "n")], 1)
+    assert shown(one) == [("missing_shipment", "1", "a", 1, 1, None), ("missing_shipment", "2", "a", 1, 1, None), ("orphan_shipment", None, "n", 1, 1, None)]
+    two = step(one.where("resolved_at IS NULL"), [("missing_shipment", "2", "b"), ("orphan_shipment", None, "n"), ("orphan_shipment", "3", "c")], 2)
+    assert shown(two) == [("missing_shipment", "1", "a", 1, 1, 2), ("missing_shipment", "2", "b", 1, 2, None), ("orphan_shipment", "3", "c", 2, 2, None),
+                          ("orphan_shipment", None, "n", 1, 2, None)]
+    three = step(two.where("resolved_at IS NULL"), [("missing_shipment", "1", "again")], 3)
+    assert ("missing_shipment", "1", "again", 3, 3, None) in shown(three) and sum(r[-1] == 3 for r in shown(three)) == 3
+    assert shown(step(three.where("resolved_at IS NULL"), [], 4)) == [("missing_shipment", "1", "again", 3, 3, 4)]
+
+
+def test_quantile_states_merge_within_the_rank_error(spark):
+    logs = spark.range(60_000).select(
+        F.lit("api").alias("service"), (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(secs=F.col("id"))).alias("at"),
+        F.when(F.col("id") % 50 == 0, 504).otherwise(200).alias("status_code"), (F.col("id") * 7919 % 10_007).alias("latency_ms"))
+    day = M.merged_health(M.health_states(logs, F.col("at")), "day").collect()
+    assert [(r.requests, r.errors_5xx, r.timeouts_504) for r in day] == [(60_000, 1200, 1200)]
+    for share, value in zip((0.5, 0.95, 0.99), day[0].latency_at):
+        assert abs(value / 10_007 - share) < 0.02
+
+
+def test_sketched_top_products_within_the_bound(spark):
+    events = spark.range(50_000).select((F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(secs=(F.col("id") % 300).cast("double"))).alias("ts"),
+                                        F.when(F.col("id") % 4 == 0, 7).when(F.col("id") % 4 == 1, 9).otherwise(1000 + F.col("id") % 5000).cast("int").alias("product_id"))
+    slides = events.groupBy(F.window("ts", "1 minute")["start"].alias("slide_start")).agg(
+        F.count(F.lit(1)).alias("events"), M.slide_sketch("product_id", 64).alias("sketch"))
+    top = M.activity_from_sketches(slides, "5 minutes", "1 minute", 2, 64).orderBy(F.desc("events"), "rank").limit(2).collect()
+    assert {r.product_id for r in top} == {7, 9} and top[0].events == 50_000
+    assert all(abs(r.interactions - 12_500) <= M.SKETCH_ERROR / 64 * 50_000 for r in top)
