@@ -9,7 +9,6 @@ from __future__ import annotations
 import re
 import uuid
 from datetime import datetime, timezone
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,18 +42,13 @@ def bronze_documents(spark: SparkSession, input_path: str, base_dir: str | None
     local_base = re.sub(r"^file:/+", "/", base_dir or input_path)
     name = F.lit(dataset_name) if dataset_name else N.dataset_from_path(
         F.regexp_replace(F.col("path"), r"^file:/+", "/"), local_base)
-    parts = []
+    files = sources.read_json_documents(spark, others if landed else input_path)
+    documents = files.select(F.col("path").alias(_PATH), "doc", name.alias("dataset"), F.lit(None).cast("string").alias(_LANDED))
     if not landed:
-        parts.append(sources.read_json_documents(spark, input_path).select(
-            F.col("path").alias(_PATH), "doc", name.alias("dataset"), F.lit(None).cast("string").alias(_LANDED)))
-    else:
-        parts += [sources.read_json_documents(spark, other).select(
-            F.col("path").alias(_PATH), "doc", name.alias("dataset"), F.lit(None).cast("string").alias(_LANDED))
-            for other in others]
-        dataset = F.lit(dataset_name) if dataset_name else F.col("landed_source")
-        parts.append(sources.read_landing(spark, landed).select(
-            F.col("path").alias(_PATH), "doc", dataset.alias("dataset"), F.col("landed_source").alias(_LANDED)))
-    return reduce(DataFrame.unionByName, parts)
+        return documents
+    dataset = F.lit(dataset_name) if dataset_name else F.col("landed_source")
+    return documents.unionByName(sources.read_landing(spark, landed).select(
+        F.col("path").alias(_PATH), "doc", dataset.alias("dataset"), F.col("landed_source").alias(_LANDED)))
 
 
 def silver_records(spark: SparkSession, input_path: str, base_dir: str | None = None,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import fnmatch
 import logging
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,11 +52,11 @@ def hidden_files(spark: SparkSession, path: str, glob: str = "*.json") -> list[s
     return sorted(found)
 
 
-def read_json_documents(spark: SparkSession, path: str, recursive: bool = True,
+def read_json_documents(spark: SparkSession, path: str | Sequence[str], recursive: bool = True,
                         glob: str = "*.json", skip_hidden: bool = False) -> DataFrame:
     """One row per JSON file: ``path`` (full URI) and ``doc`` (its whole text).
 
-    A folder is scanned recursively for ``glob`` in one multi-file scan (no
+    One path, or several that make one scan. A folder is scanned recursively for ``glob`` in one multi-file scan (no
     driver-side loop over files). A missing path gives an empty result with a
     warning. Spark's sources skip names that start with ``_`` or ``.``; if
     such a file would match, the call fails and names it, or with
@@ -63,10 +64,15 @@ def read_json_documents(spark: SparkSession, path: str, recursive: bool = True,
     suits the bounded bronze files; unbounded inputs should be written and
     read as JSON lines.
     """
-    if not _exists(spark, path):
-        log.warning("No such input: %s (nothing to read)", path)
+    paths = []
+    for given in [path] if isinstance(path, str) else path:
+        if _exists(spark, given):
+            paths.append(given)
+        else:
+            log.warning("No such input: %s (nothing to read)", given)
+    if not paths:
         return spark.createDataFrame([], DOC_SCHEMA)
-    hidden = hidden_files(spark, path, glob)
+    hidden = [name for given in paths for name in hidden_files(spark, given, glob)]
     if hidden:
         text = f"{len(hidden)} JSON files have names that the reader skips, such as {hidden[0]}"
         if not skip_hidden:
@@ -75,7 +81,7 @@ def read_json_documents(spark: SparkSession, path: str, recursive: bool = True,
     reader = spark.read.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
-    df = reader.text(path, wholetext=True)
+    df = reader.text(paths, wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("doc"))
 
 
