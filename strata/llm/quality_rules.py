@@ -238,7 +238,8 @@ def quality_figures(docs: DataFrame, model_path: str, params: QualityParams | No
     """One row per document: the id, ``carry`` columns and the figures with the verdict.
 
     Null and empty texts have no words: the base rules fail them. A null id
-    stays null; repeated rows are judged one by one and alike; other columns
+    stays null; repeated rows are judged one by one and alike; very long texts
+    are measured whole, with a few integers per word and token; other columns
     of ``docs`` are ignored, whatever their names. An empty table gives an
     empty result. ``carry`` may not name a figure.
     """

@@ -252,8 +252,9 @@ def simhash_components(docs: DataFrame, params: SimHashParams | None = None, id_
     ``component_id`` is the smallest id reachable over links, the document's
     own included; null ids count for nothing there, and a component of null
     ids has a null ``component_id``. Null and empty texts have fingerprint
-    zero and are linked like any other. Repeated rows each get a row. Other
-    columns are ignored, and an empty table gives an empty result.
+    zero and are linked like any other. Repeated rows each get a row. Very long
+    texts are shingled whole; a task holds one text and its hashes. Other columns
+    are ignored, and an empty table gives an empty result.
     """
     params = params or SimHashParams()
     prints = materialise(docs.sparkSession, fingerprints(docs, params, id_col, text_col), "fingerprints")
