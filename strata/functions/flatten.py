@@ -5,12 +5,10 @@ A record keeps the order of its document: where two paths give the same name
 null included. Objects are walked to any depth, lists are kept as lists, empty
 objects vanish, numbers keep the digits they were written with.
 
-VARIANT keeps a value exactly but sorts object keys; ``from_json`` to
-``map<string,string>`` keeps the keys in document order but rewrites nested
-numbers. A record is therefore carried as both: its text says which keys come
-when, its VARIANT what they hold. Each round of an ``aggregate`` replaces the
-objects of a record's entry list by their own entries, until none is left. All
-of it is one narrow projection of Spark's own expressions, in batch and in streams.
+VARIANT sorts object keys, so document order cannot be had from it. The walk
+itself is therefore a small per-record helper behind one narrow ``mapInArrow``
+step; it turns each document into flat JSON objects, and everything after it
+(types, columns, metadata) is Spark expressions over those.
 
 Two forms, neither with a shuffle:
 
@@ -21,23 +19,26 @@ Two forms, neither with a shuffle:
 2. **Map** (:func:`flatten_ragged`): ``map<string, variant>`` with the names of
    that record only.
 
-What Spark's JSON parser does not take (broken text, numbers of over 1,000
-digits, strings of over 20 MB, nesting beyond 1,000) is no record: the whole
-document is reported with a null position, for quarantine, never in part.
+What Spark's VARIANT parser does not take (numbers of over 1,000 digits, strings
+of over 20 MB, lists nested some 900 deep) is no record, just as broken text is
+none: the document is reported whole with a null position, for quarantine.
+Should a record fail there for any other reason, it is reported alone.
 """
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from strata.functions.columns import computed_once
-from strata.functions.variant import is_object
 from strata.functions.variant import path as variant_path
 from strata.schemas import FLATTEN_SEPARATOR
 
@@ -45,92 +46,86 @@ SEP = FLATTEN_SEPARATOR
 
 # --- one record -----------------------------------------------------------------
 
-# JSON as the standard has it: no single quotes, no NaN.
-STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
-REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
-# The parser refuses deeper nesting, so no record takes more rounds.
-MAX_DEPTH = 1000
-# Columns that a wide table may have.
-MAX_NAMES = 20_000
-# Stands behind a document in a list; a document that closes the list itself is not JSON.
-_END = "<<end of document>>"
 
+class _Number(str):
+    """A JSON number as it was written."""
 
-def allow_repeated_keys(spark: SparkSession) -> None:
-    """Of a key that an object repeats the last value counts, as in JSON parsers; VARIANT refuses them by default."""
-    if spark.conf.get(REPEATED_KEYS) != "true":
-        spark.conf.set(REPEATED_KEYS, "true")
 
-
-def _ordered(text: Column) -> Column:
-    """(key, text) of an object in document order; a repeated key stands where it first was, with its last value."""
-    entries = F.map_entries(F.from_json(text, "map<string,string>", STRICT))
-    keys = F.transform(entries, lambda e: e["key"])
-    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(F.transform(
-        F.array_distinct(keys),
-        lambda k: F.struct(k.alias("key"), F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"].alias("value"))))
+# Columns that a wide table may have.
+MAX_NAMES = 20_000
+# Limits of Spark's JSON parser; beyond them a record would turn into null.
+MAX_DIGITS, MAX_STRING = 1_000, 20_000_000
 
 
-def _entry(name: Column, text: Column, value: Column) -> Column:
-    """An entry of the walk; ``text`` only where the value is an object."""
-    return F.struct(name.alias("name"), F.when(is_object(value), text).alias("text"), value.alias("value"))
+def _refuse(token: str):
+    raise ValueError(f"not JSON: {token}")
 
 
-def _members(prefix: Column | None, text: Column, value: Column) -> Column:
-    """The entries of one object, their names behind ``prefix``."""
-    held = F.try_variant_get(value, "$", "map<string,variant>")
-    return F.transform(_ordered(text), lambda e: _entry(
-        e["key"] if prefix is None else F.concat(prefix, F.lit(SEP), e["key"]), e["value"], F.element_at(held, e["key"])))
+def _number(token: str) -> _Number:
+    if len(token) > MAX_DIGITS:
+        raise ValueError("a number beyond the parser's limit")
+    return _Number(token)
 
 
-def flat_entries(text: Column, value: Column) -> Column:
-    """(name, value) of an object record's flat form in document order; equal names still stand side by side."""
-    # An object inside takes a brace of its own, so there are at least as many rounds as levels.
-    braces = F.length(text) - F.length(F.replace(text, F.lit("{")))
-    rounds = F.sequence(F.lit(1), F.least(F.greatest(braces, F.lit(1)), F.lit(MAX_DEPTH)))
-    return F.aggregate(rounds, _members(None, text, value), lambda entries, _: F.when(
-        F.exists(entries, lambda e: e["text"].isNotNull()),
-        F.flatten(F.transform(entries, lambda e: F.when(e["text"].isNotNull(), _members(e["name"], e["text"], e["value"]))
-                              .otherwise(F.array(e))))).otherwise(entries))
+def _load(text: str):
+    return json.loads(text, parse_int=_number, parse_float=_number, parse_constant=_refuse)
 
 
-def flat_map(entries: Column) -> Column:
-    """Flat entries as ``map<string,variant>``; of equal names the last wins."""
-    names = F.transform(entries, lambda e: e["name"])
-    values = F.transform(entries, lambda e: e["value"])
-    last = F.transform(F.array_distinct(names), lambda n: F.element_at(F.filter(entries, lambda e: e["name"] == n), -1)["value"])
-    return F.when(F.size(F.array_distinct(names)) == F.size(names), F.map_from_arrays(names, values)).otherwise(
-        F.map_from_arrays(F.array_distinct(names), last))
+def _dump(value) -> str:
+    if isinstance(value, _Number):
+        return str(value)
+    if isinstance(value, str) and len(value) > MAX_STRING:
+        raise ValueError("a string beyond the parser's limit")
+    if isinstance(value, list):
+        return "[" + ",".join(map(_dump, value)) + "]"
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{json.dumps(k)}:{_dump(v)}" for k, v in value.items()) + "}"
+    return json.dumps(value)
 
 
-# --- documents to flat records --------------------------------------------------
+def flat_entries(record: dict) -> dict:
+    """The flat form of a record; of equal names the last in the document wins."""
+    out: dict = {}
+    # A stack, so depth is bounded by the document alone.
+    stack = [iter([(k, v) for k, v in record.items()])]
+    while stack:
+        for name, value in stack[-1]:
+            if isinstance(value, dict):
+                stack.append(iter([(f"{name}{SEP}{k}", v) for k, v in value.items()]))
+                break
+            out[name] = value
+        else:
+            stack.pop()
+    return out
 
 
-def _quoted(key: str) -> str:
-    return "`" + key.replace("`", "``") + "`"
+def _records(text: str, unwrap_keys: Sequence[str], explode: bool) -> list:
+    doc = _load(text)
+    if not explode:
+        return [doc]
+    if isinstance(doc, dict):
+        for key in unwrap_keys:
+            if isinstance(doc.get(key), list):
+                return doc[key]
+    return doc if isinstance(doc, list) else [doc]
 
 
-def _document_records(doc: Column, unwrap_keys: Sequence[str], explode: bool) -> Column:
-    """(text, value) of a document's records; null where it is not JSON.
+def document_records(text: str | None, unwrap_keys: Sequence[str], explode: bool = True) -> list[tuple[str, bool]] | None:
+    """(flat JSON text, is an object) of a document's records, None if it is not JSON or beyond the parser's limits.
 
     ``{"<key>": [...]}`` for a key of ``unwrap_keys`` gives the list, a list
     stays a list, anything else is a list of one; without ``explode`` the
     document is the one record.
     """
-    def pairs(texts: Column, values: Column) -> Column:
-        same = texts.isNotNull() & values.isNotNull() & (F.size(texts) == F.size(values))
-        return F.when(same, F.zip_with(texts, values, lambda t, v: F.struct(t.alias("text"), v.alias("value"))))
-
-    single = F.try_parse_json(doc)
-    found = F.when(single.isNotNull(), F.array(F.struct(doc.alias("text"), single.alias("value"))))
-    if explode:
-        first = F.left(F.regexp_replace(F.left(doc, F.lit(4096)), r"^\s+", ""), F.lit(1))
-        listed = pairs(F.from_json(doc, "array<string>", STRICT), F.from_json(doc, "array<variant>", STRICT))
-        wrapped = [pairs(*(F.from_json(doc, f"struct<{_quoted(k)}: array<{kind}>>", STRICT).getField(k) for kind in ("string", "variant")))
-                   for k in unwrap_keys]
-        found = F.when(first == "[", listed).when(first == "{", F.coalesce(*wrapped, found)).otherwise(found)
-    closed = F.from_json(F.concat(F.lit("["), doc, F.lit(f',"{_END}"]')), "array<string>", STRICT)
-    return F.when((F.size(closed) == 2) & (closed[1] == _END), found)
+    if text is None:
+        return None
+    try:
+        return [(_dump(flat_entries(r) if isinstance(r, dict) else r), isinstance(r, dict)) for r in _records(text, unwrap_keys, explode)]
+    except (ValueError, RecursionError):
+        return None
+
+
+# --- documents to flat records --------------------------------------------------
 
 
 def flat_records(docs: DataFrame, doc_col: str, keep: Sequence[str] = (), unwrap_keys: Sequence[str] = (),
@@ -143,23 +138,37 @@ def flat_records(docs: DataFrame, doc_col: str, keep: Sequence[str] = (), unwrap
     Without ``explode`` the document itself is the one record. A VARIANT
     column is taken as its text.
     """
-    allow_repeated_keys(docs.sparkSession)
     doc = F.col(doc_col)
     if isinstance(docs.schema[doc_col].dataType, T.VariantType):
         doc = F.to_json(doc)
     keep = list(dict.fromkeys(keep))
     source = docs.select(*[F.col(k) for k in keep], doc.cast("string").alias("_doc"))
-    parsed = computed_once(source, _document_records(F.col("_doc"), unwrap_keys, explode), "_records", [*keep, "_doc"])
-    # The text goes on only where it is rejected, not beside every record. A null stands for a document without
-    # records to tell; a list without elements gives none.
-    valid = F.col("_records").isNotNull()
-    rows = parsed.select(*[F.col(k) for k in keep], valid.alias("_valid"), F.when(~valid, F.col("_doc")).alias("_rejected"),
-                         F.posexplode(F.coalesce("_records", F.array(F.lit(None)))).alias("_at", "_record"))
-    text, value = F.col("_record.text"), F.col("_record.value")
-    walked = F.when(is_object(value), F.to_variant_object(flat_map(flat_entries(text, value)))).otherwise(value)
-    out = computed_once(rows.withColumn("_is_object", is_object(value)), walked, "_flat", [*keep, "_valid", "_at", "_is_object", "_rejected"])
-    return out.select(*[F.col(k) for k in keep], F.when(F.col("_valid"), F.col("_at").cast("bigint")).alias("_pos"),
-                      "_flat", "_is_object", "_rejected")
+    fields = T.StructType([*[source.schema[k] for k in keep], T.StructField("_at", T.LongType()), T.StructField("_text", T.StringType()),
+                           T.StructField("_object", T.BooleanType()), T.StructField("_whole", T.StringType())])
+    target = to_arrow_schema(fields)
+    keys = tuple(unwrap_keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[int] = []
+            made: list[tuple] = []
+            for i, text in enumerate(batch.column("_doc").to_pylist()):
+                records = document_records(text, keys, explode)
+                # A rejected document's text goes on once, not beside records.
+                entries = [(None, None, False, text)] if records is None else [(pos, *r, None) for pos, r in enumerate(records)]
+                rows.extend([i] * len(entries))
+                made.extend(entries)
+            kept = batch.select(keep).take(pa.array(rows, pa.int64())) if keep else None
+            columns = list(kept.columns) if keep else []
+            columns += [pa.array(list(c), t.type) for c, t in
+                        zip(zip(*made) if made else ((), (), (), ()), list(target)[len(keep):])]
+            yield pa.RecordBatch.from_arrays(columns, schema=target)
+
+    walked = source.mapInArrow(run, fields)
+    out = computed_once(walked, F.try_parse_json("_text"), "_flat", walked.columns)
+    lost = F.col("_text").isNotNull() & F.col("_flat").isNull()
+    return out.select(*[F.col(k) for k in keep], F.when(~lost, F.col("_at")).alias("_pos"), "_flat",
+                      (F.col("_object") & ~lost).alias("_is_object"), F.when(lost, F.col("_text")).otherwise(F.col("_whole")).alias("_rejected"))
 
 
 # --- names and types ------------------------------------------------------------
