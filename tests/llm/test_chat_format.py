@@ -2,6 +2,7 @@
 
 import hashlib
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -120,6 +121,33 @@ def test_rewrites_that_begin_late_are_found(spark):
     assert not any(r.loss for r in got[300:]) and got[-1].segment == keeps_300(turns)
 
 
+def test_length_switches_nothing():
+    def shouts_at_300(turns):  # rewrites the prefix of 300 turns, and takes it back with the next turn
+        made = C.render_instructions(turns)
+        return made.upper() if len(turns) == 300 else made
+
+    turns = [("assistant" if i % 2 else "user", f"t{i}") for i in range(320)]
+    made = list(C.IncrementalRenderer(shouts_at_300).segments(turns))
+    assert [i for i, (_, s) in enumerate(made) if s.rewrites] == [299, 300]
+    assert made == by_full_prefixes(shouts_at_300, turns)
+
+
+def test_a_declared_look_back_holds_at_any_length():
+    def joined(turns):  # a turn's mark depends on the turn before it
+        return "".join(f"{'+' if i and turns[i - 1][0] == role else '-'}{text}" for i, (role, text) in enumerate(turns))
+
+    joined.look_back = 1
+    for n in (1, 2, 5, 300):
+        turns = [("assistant" if i % 3 else "user", f"t{i}") for i in range(n)]
+        renderer = C.IncrementalRenderer(joined)
+        assert list(renderer.segments(turns)) == by_full_prefixes(joined, turns)
+        assert renderer.proven == n and len(renderer.turns) <= 1
+
+    joined.look_back = 0
+    with pytest.raises(ValueError, match="looks back further"):
+        list(C.IncrementalRenderer(joined).segments([("user", "a"), ("user", "b")]))
+
+
 def test_templates_that_want_a_user_first():
     def strict(turns):
         if turns and turns[0][0] != "user":
