@@ -55,6 +55,8 @@ class _Number(str):
 MAX_NAMES = 20_000
 # Limits of Spark's JSON parser; beyond them a record would turn into null.
 MAX_DIGITS, MAX_STRING = 1_000, 20_000_000
+# Records, and characters of them, that a task gathers before it hands them on.
+MADE_ROWS, MADE_CHARS = 5_000, 8_000_000
 
 
 def _refuse(token: str):
@@ -67,33 +69,39 @@ def _number(token: str) -> _Number:
     return _Number(token)
 
 
-def _load(text: str):
-    return json.loads(text, parse_int=_number, parse_float=_number, parse_constant=_refuse)
+# One decoder for all documents: ``json.loads`` with arguments makes one per call.
+_load = json.JSONDecoder(parse_int=_number, parse_float=_number, parse_constant=_refuse).decode
+_quoted = json.encoder.encode_basestring_ascii
+_CONSTANTS = {None: "null", True: "true", False: "false"}
 
 
 def _dump(value) -> str:
-    if isinstance(value, _Number):
+    kind = type(value)
+    if kind is _Number:
         return str(value)
-    if isinstance(value, str) and len(value) > MAX_STRING:
-        raise ValueError("a string beyond the parser's limit")
-    if isinstance(value, list):
-        return "[" + ",".join(map(_dump, value)) + "]"
-    if isinstance(value, dict):
-        return "{" + ",".join(f"{json.dumps(k)}:{_dump(v)}" for k, v in value.items()) + "}"
-    return json.dumps(value)
+    if kind is str:
+        if len(value) > MAX_STRING:
+            raise ValueError("a string beyond the parser's limit")
+        return _quoted(value)
+    if kind is list:
+        return "[" + ",".join([_dump(v) for v in value]) + "]"
+    if kind is dict:
+        return "{" + ",".join([f"{_quoted(k)}:{_dump(v)}" for k, v in value.items()]) + "}"
+    return _CONSTANTS[value]
 
 
 def flat_entries(record: dict) -> dict:
     """The flat form of a record; of equal names the last in the document wins."""
     out: dict = {}
     # A stack, so depth is bounded by the document alone.
-    stack = [iter([(k, v) for k, v in record.items()])]
+    stack = [("", iter(record.items()))]
     while stack:
-        for name, value in stack[-1]:
-            if isinstance(value, dict):
-                stack.append(iter([(f"{name}{SEP}{k}", v) for k, v in value.items()]))
+        prefix, entries = stack[-1]
+        for key, value in entries:
+            if type(value) is dict:
+                stack.append((f"{prefix}{key}{SEP}", iter(value.items())))
                 break
-            out[name] = value
+            out[prefix + key] = value
         else:
             stack.pop()
     return out
@@ -128,6 +136,33 @@ def document_records(text: str | None, unwrap_keys: Sequence[str], explode: bool
 # --- documents to flat records --------------------------------------------------
 
 
+def walked_batch(batch: pa.RecordBatch, keep: Sequence[str], unwrap_keys: Sequence[str], explode: bool,
+                 target: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The flat records of a batch of documents, in batches of a bounded size: a document may hold any number of records."""
+    rows: list[int] = []
+    made: list[tuple] = []
+    chars = 0
+
+    def gathered() -> pa.RecordBatch:
+        columns = list(batch.select(keep).take(pa.array(rows, pa.int64())).columns) if keep else []
+        columns += [pa.array(list(c), t.type) for c, t in zip(zip(*made), list(target)[len(keep):])]
+        return pa.RecordBatch.from_arrays(columns, schema=target)
+
+    for i, doc in enumerate(batch.column("_doc")):
+        text = doc.as_py()
+        records = document_records(text, unwrap_keys, explode)
+        # A rejected document's text goes on once, not beside records.
+        for entry in [(None, None, False, text)] if records is None else ((pos, *r, None) for pos, r in enumerate(records)):
+            rows.append(i)
+            made.append(entry)
+            chars += len(entry[1] or entry[3] or "")
+            if len(rows) >= MADE_ROWS or chars >= MADE_CHARS:
+                yield gathered()
+                rows, made, chars = [], [], 0
+    if rows:
+        yield gathered()
+
+
 def flat_records(docs: DataFrame, doc_col: str, keep: Sequence[str] = (), unwrap_keys: Sequence[str] = (),
                  explode: bool = True) -> DataFrame:
     """Kept columns, ``_pos``, ``_flat`` (VARIANT), ``_is_object`` and ``_rejected`` per record.
@@ -150,19 +185,7 @@ def flat_records(docs: DataFrame, doc_col: str, keep: Sequence[str] = (), unwrap
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[int] = []
-            made: list[tuple] = []
-            for i, text in enumerate(batch.column("_doc").to_pylist()):
-                records = document_records(text, keys, explode)
-                # A rejected document's text goes on once, not beside records.
-                entries = [(None, None, False, text)] if records is None else [(pos, *r, None) for pos, r in enumerate(records)]
-                rows.extend([i] * len(entries))
-                made.extend(entries)
-            kept = batch.select(keep).take(pa.array(rows, pa.int64())) if keep else None
-            columns = list(kept.columns) if keep else []
-            columns += [pa.array(list(c), t.type) for c, t in
-                        zip(zip(*made) if made else ((), (), (), ()), list(target)[len(keep):])]
-            yield pa.RecordBatch.from_arrays(columns, schema=target)
+            yield from walked_batch(batch, keep, keys, explode, target)
 
     walked = source.mapInArrow(run, fields)
     out = computed_once(walked, F.try_parse_json("_text"), "_flat", walked.columns)

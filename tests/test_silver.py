@@ -1,6 +1,7 @@
 import json
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -370,3 +371,16 @@ def test_skewed_silver_write_is_split_at_the_advisory_size(spark, scratch):
     hot = [os.path.getsize(f) for f in files_below(f"{scratch}/out/dataset=hot")]
     cold = files_below(f"{scratch}/out")
     assert len(hot) >= 4 and max(hot) < 2 * (sum(hot) / len(hot)) and len(cold) - len(hot) <= 14
+
+
+def test_a_task_holds_few_records_at_a_time():
+    """Batches of documents hold any number of records; those on their way are bounded in number and in characters."""
+    target = pa.schema([("k", pa.string()), ("_at", pa.int64()), ("_text", pa.string()), ("_object", pa.bool_()), ("_whole", pa.string())])
+    many = "[" + ",".join(f'{{"a":{i}}}' for i in range(3000)) + "]"
+    texts = [many] * 5 + ["[1,", "[]", None] + ['{"a":"' + "x" * 3_000_000 + '"}'] * 6
+    batch = pa.RecordBatch.from_pydict({"k": [str(i) for i in range(len(texts))], "_doc": texts})
+    made = list(FL.walked_batch(batch, ["k"], (), True, target))
+    assert all(b.num_rows <= FL.MADE_ROWS and b.nbytes < 2 * FL.MADE_CHARS for b in made) and len(made) >= 5
+    rows = [(r["k"], r["_at"], r["_object"], r["_whole"]) for b in made for r in b.to_pylist()]
+    assert rows == [(str(k), i, True, None) for k in range(5) for i in range(3000)] + [("5", None, False, "[1,"), ("7", None, False, None)] + [
+        (str(k), 0, True, None) for k in range(8, 14)]
