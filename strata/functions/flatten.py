@@ -10,6 +10,10 @@ itself is therefore a small per-record helper behind one narrow ``mapInArrow``
 step; it turns each document into flat JSON objects, and everything after it
 (types, columns, metadata) is Spark expressions over those.
 
+A pass that only looks for names and types, or for refused documents, hands on
+no more than it needs: entries of a name and type not seen before, or the
+records of which Spark's parser has the last word (see :func:`needed_records`).
+
 Two forms, neither with a shuffle:
 
 1. **Wide** (:func:`flatten_json`): a column per flat name. Names and types are
@@ -57,6 +61,14 @@ MAX_NAMES = 20_000
 MAX_DIGITS, MAX_STRING = 1_000, 20_000_000
 # Records, and characters of them, that a task gathers before it hands them on.
 MADE_ROWS, MADE_CHARS = 5_000, 8_000_000
+# JSON text of so many characters and brackets at most is well within the parser's limits on names, depth and size.
+PLAIN_CHARS, PLAIN_BRACKETS = 30_000, 400
+# Numbers of fewer characters keep their type when their digits change: they fit a BIGINT or a DECIMAL.
+PLAIN_DIGITS = 18
+# Levels of objects that are walked by calls, which is faster; a stack takes the deeper ones.
+CALL_LEVELS = 50
+# What a pass needs: every record, names and types of the entries, or the refused documents.
+RECORDS, SHAPES, REFUSED = "records", "shapes", "refused"
 
 
 def _refuse(token: str):
@@ -90,11 +102,9 @@ def _dump(value) -> str:
     return _CONSTANTS[value]
 
 
-def flat_entries(record: dict) -> dict:
-    """The flat form of a record; of equal names the last in the document wins."""
-    out: dict = {}
+def _entries_below(record: dict, name: str, out: dict) -> None:
     # A stack, so depth is bounded by the document alone.
-    stack = [("", iter(record.items()))]
+    stack = [(name, iter(record.items()))]
     while stack:
         prefix, entries = stack[-1]
         for key, value in entries:
@@ -104,6 +114,22 @@ def flat_entries(record: dict) -> dict:
             out[prefix + key] = value
         else:
             stack.pop()
+
+
+def _entries(record: dict, prefix: str, out: dict, levels: int) -> None:
+    for key, value in record.items():
+        if type(value) is not dict:
+            out[prefix + key] = value
+        elif levels:
+            _entries(value, f"{prefix}{key}{SEP}", out, levels - 1)
+        else:
+            _entries_below(value, f"{prefix}{key}{SEP}", out)
+
+
+def flat_entries(record: dict) -> dict:
+    """The flat form of a record; of equal names the last in the document wins."""
+    out: dict = {}
+    _entries(record, "", out, CALL_LEVELS)
     return out
 
 
@@ -133,11 +159,86 @@ def document_records(text: str | None, unwrap_keys: Sequence[str], explode: bool
         return None
 
 
+def _plain(text: str) -> bool:
+    return len(text) <= PLAIN_CHARS and text.count("[") + text.count("{") <= PLAIN_BRACKETS
+
+
+_SAME_TYPE = str.maketrans("23456789", "11111111")
+
+
+def _shape(value) -> str:
+    """JSON text of the same type as the value's for Spark's parser: strings are empty, whole numbers and digits
+    other than 0 are 1, and a list has its elements' shapes once each."""
+    kind = type(value)
+    if kind is str:
+        return '""'
+    if kind is _Number:
+        if len(value) >= PLAIN_DIGITS:
+            return str(value)
+        return "1" if value.isdigit() else value.translate(_SAME_TYPE)
+    if kind is list:
+        return "[" + ",".join(dict.fromkeys([_shape(v) for v in value])) + "]"
+    if kind is dict:
+        return "{" + ",".join([f"{_quoted(k)}:{_shape(v)}" for k, v in value.items()]) + "}"
+    return _CONSTANTS[value]
+
+
+class Shapes:
+    """Flat names and shapes that a task has met; their size is bounded, what is forgotten is only told again."""
+
+    def __init__(self):
+        self.seen: set[str | tuple[str, str]] = set()
+        self.chars = 0
+
+    def new(self, flat: dict) -> str | None:
+        """The entries of a flat record not met before, as JSON text."""
+        found, seen = [], self.seen
+        for name, value in flat.items():
+            # The most frequent kind has the name alone as its mark.
+            mark = name if type(value) is str else (name, _shape(value))
+            if mark not in seen:
+                found.append((mark, name, _shape(value)))
+        if not found:
+            return None
+        self.chars += sum(2 * len(name) + len(shape) for _, name, shape in found)
+        if self.chars > MADE_CHARS:
+            self.seen, self.chars = set(), 0
+        self.seen.update([mark for mark, _, _ in found])
+        return "{" + ",".join([f"{_quoted(name)}:{shape}" for _, name, shape in found]) + "}"
+
+
+def needed_records(text: str | None, unwrap_keys: Sequence[str], explode: bool, shapes: Shapes | None) -> list[tuple[str, bool]] | None:
+    """Like :func:`document_records`, without what Spark's parser need not see.
+
+    A plain record (see ``PLAIN_CHARS``) is sure to parse, so it is left out,
+    or with ``shapes`` cut to its entries of a name and type not met before.
+    Other records are whole, since the parser decides whether they are records.
+    """
+    if text is None:
+        return None
+    sure = _plain(text)
+    try:
+        flats = [flat_entries(r) if isinstance(r, dict) else r for r in _records(text, unwrap_keys, explode)]
+        texts = [None if sure else _dump(flat) for flat in flats]
+    except (ValueError, RecursionError):
+        return None
+    out = []
+    for flat, whole in zip(flats, texts):
+        obj = isinstance(flat, dict)
+        if not sure and not _plain(whole):
+            out.append((whole, obj))
+        elif shapes is not None and obj:
+            new = shapes.new(flat)
+            if new is not None:
+                out.append((new, True))
+    return out
+
+
 # --- documents to flat records --------------------------------------------------
 
 
 def walked_batch(batch: pa.RecordBatch, keep: Sequence[str], unwrap_keys: Sequence[str], explode: bool,
-                 target: pa.Schema) -> Iterator[pa.RecordBatch]:
+                 target: pa.Schema, need: str = RECORDS, shapes: Shapes | None = None) -> Iterator[pa.RecordBatch]:
     """The flat records of a batch of documents, in batches of a bounded size: a document may hold any number of records."""
     rows: list[int] = []
     made: list[tuple] = []
@@ -150,7 +251,7 @@ def walked_batch(batch: pa.RecordBatch, keep: Sequence[str], unwrap_keys: Sequen
 
     for i, doc in enumerate(batch.column("_doc")):
         text = doc.as_py()
-        records = document_records(text, unwrap_keys, explode)
+        records = document_records(text, unwrap_keys, explode) if need == RECORDS else needed_records(text, unwrap_keys, explode, shapes)
         # A rejected document's text goes on once, not beside records.
         for entry in [(None, None, False, text)] if records is None else ((pos, *r, None) for pos, r in enumerate(records)):
             rows.append(i)
@@ -164,14 +265,16 @@ def walked_batch(batch: pa.RecordBatch, keep: Sequence[str], unwrap_keys: Sequen
 
 
 def flat_records(docs: DataFrame, doc_col: str, keep: Sequence[str] = (), unwrap_keys: Sequence[str] = (),
-                 explode: bool = True) -> DataFrame:
+                 explode: bool = True, need: str = RECORDS) -> DataFrame:
     """Kept columns, ``_pos``, ``_flat`` (VARIANT), ``_is_object`` and ``_rejected`` per record.
 
     A record that is no object has its own value in ``_flat``. A document that
     is not JSON, or beyond the parser's limits, gives one row with a null
     ``_pos`` and its text as ``_rejected``, which is null everywhere else.
     Without ``explode`` the document itself is the one record. A VARIANT
-    column is taken as its text.
+    column is taken as its text. With ``need`` as ``SHAPES`` the rows have the
+    same names and types as all records (``_pos`` does not count), with
+    ``REFUSED`` the same rows with a null ``_pos``, and few others.
     """
     doc = F.col(doc_col)
     if isinstance(docs.schema[doc_col].dataType, T.VariantType):
@@ -184,8 +287,9 @@ def flat_records(docs: DataFrame, doc_col: str, keep: Sequence[str] = (), unwrap
     keys = tuple(unwrap_keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shapes = Shapes() if need == SHAPES else None
         for batch in batches:
-            yield from walked_batch(batch, keep, keys, explode, target)
+            yield from walked_batch(batch, keep, keys, explode, target, need, shapes)
 
     walked = source.mapInArrow(run, fields)
     out = computed_once(walked, F.try_parse_json("_text"), "_flat", walked.columns)
@@ -353,7 +457,7 @@ def flatten_json(df: DataFrame, column: str = "value", keep: tuple[str, ...] = (
     rows = flat_records(df, column, keep, explode=False)
     flat = F.when(F.col("_is_object"), F.col("_flat"))
     if schema is None:
-        schema = infer_flat_schema(rows, flat)
+        schema = infer_flat_schema(flat_records(df, column, explode=False, need=SHAPES), flat)
     return rows.select(*[F.col(k) for k in keep], *[c.alias(n) for n, c in flat_columns(flat, schema)])
 
 

@@ -384,3 +384,38 @@ def test_a_task_holds_few_records_at_a_time():
     rows = [(r["k"], r["_at"], r["_object"], r["_whole"]) for b in made for r in b.to_pylist()]
     assert rows == [(str(k), i, True, None) for k in range(5) for i in range(3000)] + [("5", None, False, "[1,"), ("7", None, False, None)] + [
         (str(k), 0, True, None) for k in range(8, 14)]
+
+
+def _made(texts, need, explode=True):
+    target = pa.schema([("_at", pa.int64()), ("_text", pa.string()), ("_object", pa.bool_()), ("_whole", pa.string())])
+    shapes = FL.Shapes() if need == FL.SHAPES else None
+    batch = pa.RecordBatch.from_pydict({"_doc": texts})
+    return [r for b in FL.walked_batch(batch, [], ("shipments",), explode, target, need, shapes) for r in b.to_pylist()]
+
+
+def test_names_and_quarantine_take_few_records():
+    """A pass for names and types, or for refused documents, hands on entries of new names and types, or the refused alone."""
+    texts = [f'{{"k{i % 3}":{i},"t":{{"c":"text {i}","d":[{i},{i}]}}}}' for i in range(2000)] + ["{", '{"a":"b"}"x', None, '{"a":NaN}']
+    shapes = _made(texts, FL.SHAPES)
+    assert [r["_whole"] for r in shapes if r["_at"] is None] == texts[-4:] and len(shapes) == 3 + 4
+    assert [r["_whole"] for r in _made(texts, FL.REFUSED)] == texts[-4:]
+    # What only Spark's parser can judge goes on whole.
+    deep = "[" * 500 + "]" * 500
+    assert len(_made([f'{{"a":{deep}}}'] * 2, FL.REFUSED)) == 2
+
+
+def test_found_names_and_types_are_those_of_all_records(spark):
+    values = ["1", "-20", "0", "1.50", "10.05", "0.007", "1e5", "1E-400", "12345678901234567890", "0." + "3" * 30, "9" * 45, "true", "null", '""',
+              '"a\\"b"', '"x:1"', "[]", "[1,2.5]", '[{"b":1},{"b":"x","c":[2]}]', "{}", '{"b":{"c":1}}', '{"b":7}', '"\u00e9"']
+    texts = [f'{{"n{i % 7}":{a}, "m{j}" : {b},"n{i % 7}_b":{b}}}' for i, a in enumerate(values) for j, b in enumerate(values)]
+    texts += [f'[{texts[3]},{texts[40]},5]', f'{{"shipments":[{texts[77]}]}}', '{"n1":"cut', '{"a":"b"}"x', "01", '{"q2":01}', '{"q3":1}', "NaN", None]
+    texts += ['{"long":"' + "x" * 40_000 + '","only_here":1.25}', '{"d":' + "[" * 300 + '"y"' + "]" * 300 + "}"]
+    d = docs(spark, *texts).repartition(1)
+    flat = F.col("_flat")
+    for explode in (True, False):
+        every = FL.flat_records(d, "doc", (), ("shipments",), explode).where("_is_object")
+        few = FL.flat_records(d, "doc", (), ("shipments",), explode, FL.SHAPES).where("_is_object")
+        assert FL.infer_flat_schema(few, flat) == FL.infer_flat_schema(every, flat)
+        refused = [FL.flat_records(d, "doc", (), ("shipments",), explode, need).where("_pos IS NULL").select("_rejected").collect()
+                   for need in (FL.RECORDS, FL.REFUSED)]
+        assert refused[0] == refused[1] and len(refused[0]) == 6
