@@ -65,7 +65,7 @@ def _records(docs: DataFrame, source: Column | str | None, doc_col: str, keep: t
 def unparsed_documents(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     """The documents that give no record (not JSON, or beyond the parser's limits), with all their columns."""
     others = tuple(c for c in docs.columns if c != doc_col)
-    rows = FL.flat_records(docs, doc_col, others, explode=False)
+    rows = FL.flat_records(docs, doc_col, others, explode=False, need=FL.REFUSED)
     return rows.where(F.col("_pos").isNull()).withColumnRenamed("_rejected", doc_col).select(*docs.columns)
 
 
@@ -94,10 +94,9 @@ def normalize(docs: DataFrame, source: Column | str | None = None, doc_col: str
     if rejected is None:
         rows = rows.where(F.col("_pos").isNotNull())
     flat, obj = F.col("_flat"), F.col("_is_object")
-    if schema is None and schema_path:
-        schema = FL.load_or_infer_flat_schema(rows.where(obj), flat, schema_path)
-    elif schema is None:
-        schema = FL.infer_flat_schema(rows.where(obj), flat)
+    if schema is None:
+        shapes = FL.flat_records(docs, doc_col, (), unwrap_keys, need=FL.SHAPES).where(obj)
+        schema = FL.load_or_infer_flat_schema(shapes, flat, schema_path) if schema_path else FL.infer_flat_schema(shapes, flat)
     pairs = dict(FL.flat_columns(F.when(obj, flat), schema))
     if S.VALUE_KEY not in pairs:
         pairs[S.VALUE_KEY] = F.when(~obj, flat)

@@ -419,3 +419,12 @@ def test_found_names_and_types_are_those_of_all_records(spark):
         refused = [FL.flat_records(d, "doc", (), ("shipments",), explode, need).where("_pos IS NULL").select("_rejected").collect()
                    for need in (FL.RECORDS, FL.REFUSED)]
         assert refused[0] == refused[1] and len(refused[0]) == 6
+
+
+def test_normalize_finds_names_from_few_records(spark, monkeypatch):
+    """The pass for names and types sees entries of each name and type, not every record."""
+    rows, infer = [], FL.infer_flat_schema
+    monkeypatch.setattr(FL, "infer_flat_schema", lambda df, flat: rows.append(df.count()) or infer(df, flat))
+    d = docs(spark, *[f'{{"a":{i},"t":{{"b":"x{i}"}}}}' for i in range(500)]).repartition(1)
+    out = N.normalize(d, "s")
+    assert rows == [1] and {"a", "t_b"} <= set(out.columns) and out.where("a IS NOT NULL AND t_b IS NOT NULL").count() == 500
