@@ -29,12 +29,13 @@ def product_activity(events: DataFrame, ts: str, product: str, window: str = "5
 
     Events are shuffled once, on (product, user salt), and counted per slide,
     product and user there; only these counts are expanded into windows (see
-    :func:`activity_windows`). The salt keeps a hot product off a single task.
+    :func:`activity_windows`). The salt keeps a hot product off a single task,
+    and :func:`dealt` keeps a task's share small.
     """
-    slides = (events.select(F.window(ts, slide)["start"].alias("slide_start"), F.col(product).alias("product_id"),
-                            "user_id", F.when(F.col("event_type") == "purchase", 1).otherwise(0).alias("p"),
-                            _salt("user_id").alias("_user_salt"))
-              .repartition("product_id", "_user_salt")
+    rows = events.select(F.window(ts, slide)["start"].alias("slide_start"), F.col(product).alias("product_id"),
+                         "user_id", F.when(F.col("event_type") == "purchase", 1).otherwise(0).alias("p"),
+                         _salt("user_id").alias("_user_salt"))
+    slides = (dealt(rows, "product_id", "_user_salt")
               .groupBy("product_id", "_user_salt", "user_id", "slide_start")
               .agg(F.count(F.lit(1)).alias("interactions"), F.sum("p").alias("purchases")))
     return activity_windows(slides, window, slide, top_k)
@@ -47,13 +48,23 @@ def _salt(column: str) -> Column:
     return F.pmod(F.hash(column), F.lit(_SALTS))
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` over the session's shuffle partitions, all of them.
+
+    Adaptive execution merges partitions by their compressed bytes, but here a
+    row becomes one state row per window, many times its size in memory: the
+    share of a task is set by the number of partitions instead.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def _seconds(interval: str) -> int:
     number, unit = interval.split()
     return int(number) * {"second": 1, "minute": 60, "hour": 3_600, "day": 86_400}[unit.rstrip("s")]
 
 
 def activity_windows(slides: DataFrame, window: str, slide: str, top_k: int | None) -> DataFrame:
-    """B3 from counts per (product, ``_user_salt``, user, ``slide_start``).
+    """B3 from counts per (product, ``_user_salt``, user, ``slide_start``), :func:`dealt` by the first two.
 
     A window is a whole number of slides, so each count goes to the windows
     that hold its slide. Distinct users are counted per (product, salt,
@@ -70,7 +81,7 @@ def activity_windows(slides: DataFrame, window: str, slide: str, top_k: int | No
     sums = [F.sum("interactions").alias("interactions"), F.sum("purchases").alias("purchases")]
     parts = (expanded.groupBy("product_id", "_user_salt", "user_id", "window_start").agg(*sums)
              .groupBy("product_id", "_user_salt", "window_start").agg(*sums, F.count("user_id").alias("users")))
-    out = (parts.withColumn("_salt", _salt("product_id")).repartition("window_start", "_salt")
+    out = (dealt(parts.withColumn("_salt", _salt("product_id")), "window_start", "_salt")
            .groupBy("window_start", "_salt", "product_id").agg(*sums, F.sum("users").alias("users"))
            .withColumn("window_end", F.col("window_start") + F.expr(f"INTERVAL {span} SECONDS")))
     columns = ["window_start", "window_end", "product_id", "interactions", "purchases", "users"]

@@ -85,7 +85,7 @@ def q_stream_product_activity_window(spark, sf_dir):
     state = ST.read_upsert_log(spark, f"{base}/log", ["window_start", "window_end", "product_id", "user_id"])
     slides = state.select("product_id", F.pmod(F.hash("user_id"), F.lit(16)).alias("_user_salt"), "user_id",
                           F.col("window_start").alias("slide_start"), "interactions", "purchases")
-    return M.activity_windows(slides, "5 minutes", "1 minute", 3)
+    return M.activity_windows(M.dealt(slides, "product_id", "_user_salt"), "5 minutes", "1 minute", 3)
 
 
 @register("stream_service_health", sql=ORACLE_SQL["service_health"])

@@ -114,3 +114,13 @@ def test_activity_shuffles_events_once(no_broadcast):
 def test_dedup_sorts_once(no_broadcast):
     plan = _final_plan(E.queries()["dedup_events"](no_broadcast, SF))
     assert len(re.findall(r"\bSort \[", plan)) == 1
+
+
+@pytest.mark.parametrize("name", ["product_activity_window", "stream_product_activity_window"])
+def test_activity_is_dealt_over_all_partitions(spark, name):
+    """Rows expand after the shuffle, so partitions are not merged by their size in it."""
+    plan = _final_plan(E.queries()[name](spark, SF))
+    for keys in ("product_id, _user_salt", "window_start, _salt"):
+        found = re.findall(rf"( *[+:-]*) ?(\S.*)\n[^\n]*ShuffleQueryStage[^\n]*\n[^\n]*Exchange hashpartitioning\({keys}, 8\)",
+                           re.sub(r"#\d+L?", "", plan))
+        assert found and not any("AQEShuffleRead coalesced" in line for _, line in found)
