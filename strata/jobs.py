@@ -10,6 +10,7 @@ import re
 import uuid
 from datetime import datetime, timezone
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -130,7 +131,12 @@ def silver_stream_job(spark: SparkSession, input_dir: str, output_dir: str, chec
     rows = rows.withColumns({"state": F.when(bad, REJECTED).otherwise(RECORDS), "_error": F.when(bad, NOT_JSON)})
 
     def append(batch: DataFrame, number: int) -> None:
-        sinks.write_clustered(batch, f"{output_dir.rstrip('/')}/batch_id={number}", ("dataset", S.RECORD_INDEX), ("state",))
+        # Ranges come from a sample of all rows: kept on the executors' disks, these are made once.
+        made = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            sinks.write_clustered(made, f"{output_dir.rstrip('/')}/batch_id={number}", ("dataset", S.RECORD_INDEX), ("state",))
+        finally:
+            made.unpersist()
 
     query = (rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()

@@ -428,3 +428,31 @@ def test_normalize_finds_names_from_few_records(spark, monkeypatch):
     d = docs(spark, *[f'{{"a":{i},"t":{{"b":"x{i}"}}}}' for i in range(500)]).repartition(1)
     out = N.normalize(d, "s")
     assert rows == [1] and {"a", "t_b"} <= set(out.columns) and out.where("a IS NOT NULL AND t_b IS NOT NULL").count() == 500
+
+
+def test_stream_job_makes_each_record_once(spark, scratch):
+    """Silver ranges are found from a sample of the rows; the documents are not read and walked for it again."""
+    os.makedirs(f"{scratch}/in")
+    for i in range(3):
+        with open(f"{scratch}/in/d{i}.json", "w") as f:
+            f.write(json.dumps([{"a": i}, {"a": i + 1}]))
+    schema, walked = T.StructType([T.StructField("a", T.LongType())]), spark.sparkContext.accumulator(0)
+    flat = FL.flat_records
+
+    def counted(docs, *args, **kw):
+        rows = flat(docs, *args, **kw)
+
+        def run(batches):
+            for batch in batches:
+                walked.add(batch.num_rows)
+                yield batch
+        # The text of a VARIANT goes through the count.
+        plain = rows.withColumn("_flat", F.to_json("_flat"))
+        return plain.mapInArrow(run, plain.schema).withColumn("_flat", F.try_parse_json("_flat"))
+
+    FL.flat_records = counted
+    try:
+        jobs.silver_stream_job(spark, f"{scratch}/in", f"{scratch}/out", f"{scratch}/ckpt", schema)
+    finally:
+        FL.flat_records = flat
+    assert walked.value == 6 and jobs.read_silver(spark, f"{scratch}/out").count() == 6
